@@ -155,7 +155,7 @@ def scores_from_moments(
     n = test[0, 0]
     sse = max(float(v @ test @ v), 0.0)
     sst = test[-1, -1] - test[0, -1] ** 2 / n
-    return {"mse": sse / n, "r2": None if sst <= 0 else 1.0 - sse / sst}
+    return {"mse": float(sse / n), "r2": None if sst <= 0 else float(1.0 - sse / sst)}
 
 
 @dataclass

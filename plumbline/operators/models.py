@@ -8,15 +8,15 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LinearSVC,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -103,18 +103,55 @@ class FourierFeatures:
 class ModelFamily:
     """How to build an estimator from parameters, and how to search them.
 
-    ``build(params, n_rows, seed, n_classes)`` returns a Spark ML estimator, or
-    a Ridge. ``kernel`` families see random Fourier features of their columns.
+    ``build(params, n_rows, seed)`` returns a Spark ML estimator, or a Ridge.
+    ``kernel`` families see random Fourier features of their columns; ``binary``
+    ones are fitted once per class when there are more than two.
     """
 
     name: str
     classifier: bool
-    build: Callable[[dict, int, int, int], object]
+    build: Callable[[dict, int, int], object]
     defaults: dict = field(default_factory=dict)
     space: dict = field(default_factory=dict)
     metric: str = "mse"
     n_trials: int = 30
     kernel: bool = False
+    binary: bool = False
+
+
+class OneAgainstRest:
+    """Binary models, one per class; the class of the highest raw score wins.
+
+    Scores are combined by column expressions, so prediction stays in the JVM.
+    """
+
+    def __init__(self, models: Sequence):
+        self.models = list(models)
+
+    @classmethod
+    def fit(cls, estimator, train: DataFrame, n_classes: int) -> OneAgainstRest:
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            models = [
+                estimator.fit(train.withColumn(LABEL, (F.col(LABEL) == float(k)).cast("double")))
+                for k in range(n_classes)
+            ]
+        finally:
+            train.unpersist()
+        return cls(models)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        scores = []
+        for k, model in enumerate(self.models):
+            # A copy leaves the training summary, which cannot be sent to tasks.
+            model = model.copy().setPredictionCol("").setRawPredictionCol(f"_raw{k}")
+            if hasattr(model, "setProbabilityCol"):
+                model = model.setProbabilityCol("")
+            df = model.transform(df)
+            scores.append(F.element_at(vector_to_array(f"_raw{k}"), 2))
+        found = F.array(*scores)
+        best = F.array_position(found, F.array_max(found)) - 1
+        return df.withColumn("prediction", best.cast("double"))
 
 
 def _columns(seed: int | None = None) -> dict:
@@ -123,24 +160,28 @@ def _columns(seed: int | None = None) -> dict:
 
 
 def _tree(cls):
-    return lambda p, n, seed, k: cls(maxDepth=int(p["max_depth"]), **_columns(seed))
+    return lambda p, n, seed: cls(maxDepth=int(p["max_depth"]), **_columns(seed))
 
 
 def _forest(cls):
-    return lambda p, n, seed, k: cls(
+    return lambda p, n, seed: cls(
         maxDepth=int(p["max_depth"]), numTrees=int(p["n_estimators"]), **_columns(seed)
     )
 
 
-def _svc(p: dict, n: int, seed: int, k: int):
-    svm = LinearSVC(regParam=1.0 / (p["C"] * n), **_columns())
-    return svm if k <= 2 else OneVsRest(classifier=svm, **_columns())
+def _svc(p: dict, n: int, seed: int):
+    return LinearSVC(regParam=1.0 / (p["C"] * n), maxIter=int(p["max_iter"]), tol=1e-4, **_columns())
 
 
-def _svr(p: dict, n: int, seed: int, k: int):
+def _svr(p: dict, n: int, seed: int):
     # Spark has no epsilon tube; the Huber loss also flattens large residuals.
     return LinearRegression(
-        loss="huber", epsilon=1.0 + p["epsilon"], regParam=1.0 / (p["C"] * n), **_columns()
+        loss="huber",
+        epsilon=1.0 + p["epsilon"],
+        regParam=1.0 / (p["C"] * n),
+        maxIter=int(p["max_iter"]),
+        tol=1e-4,
+        **_columns(),
     )
 
 
@@ -155,10 +196,6 @@ def _boosted(p: dict, seed: int) -> dict:
     }
 
 
-def _gbt_clf(p: dict, n: int, seed: int, k: int):
-    gbt = GBTClassifier(**_boosted(p, seed))
-    return gbt if k <= 2 else OneVsRest(classifier=gbt, **_columns())
-
 
 # Search ranges and trial counts of each family.
 _SVM_SPACE = {"C": LogUniform(1e-2, 1e2), "gamma": LogUniform(1e-3, 1e3)}
@@ -175,21 +212,25 @@ FAMILIES = {
     f.name: f
     for f in (
         ModelFamily(
-            "ridge", False, lambda p, n, seed, k: Ridge(alpha=p["alpha"]),
+            "ridge", False, lambda p, n, seed: Ridge(alpha=p["alpha"]),
             {"alpha": 1.0}, {"alpha": LogUniform(1e-3, 1e2)}, "mse", 10,
         ),
         ModelFamily(
-            "svr", False, _svr, {"C": 1.0, "epsilon": 0.1, "gamma": 1.0},
+            "svr", False, _svr, {"C": 1.0, "epsilon": 0.1, "gamma": 1.0, "max_iter": 100},
             {**_SVM_SPACE, "epsilon": LogUniform(1e-3, 1e2)}, "mse", 100, kernel=True,
         ),
         ModelFamily(
-            "svc", True, _svc, {"C": 1.0, "gamma": 1.0}, _SVM_SPACE, "matthews", 100, kernel=True
+            "svc", True, _svc, {"C": 1.0, "gamma": 1.0, "max_iter": 100}, _SVM_SPACE, "matthews", 100,
+            kernel=True, binary=True,
         ),
         ModelFamily(
-            "gbt_reg", False, lambda p, n, seed, k: GBTRegressor(**_boosted(p, seed)),
+            "gbt_reg", False, lambda p, n, seed: GBTRegressor(**_boosted(p, seed)),
             _GBT_DEFAULTS, _GBT_SPACE, "mse", 150,
         ),
-        ModelFamily("gbt_clf", True, _gbt_clf, _GBT_DEFAULTS, _GBT_SPACE, "matthews", 150),
+        ModelFamily(
+            "gbt_clf", True, lambda p, n, seed: GBTClassifier(**_boosted(p, seed)),
+            _GBT_DEFAULTS, _GBT_SPACE, "matthews", 150, binary=True,
+        ),
         ModelFamily("tree_reg", False, _tree(DecisionTreeRegressor), {"max_depth": 5}, metric="r2"),
         ModelFamily("tree_clf", True, _tree(DecisionTreeClassifier), {"max_depth": 5}, metric="accuracy"),
         ModelFamily(
@@ -277,12 +318,16 @@ def fit_model(
         classes = class_labels(df, y)
     if n_rows is None:
         n_rows = df.count() if family.kernel else 0
-    estimator = family.build(params, n_rows, seed, len(classes or ()))
+    estimator = family.build(params, n_rows, seed)
     if isinstance(estimator, Ridge):
         return FittedModel(family, params, xs, y, None, estimator.fit(df, xs, y), seed)
     label = label_index(y, classes) if family.classifier else number(y)
     train = with_features(df.select(*[col(c) for c in dict.fromkeys([*xs, y])]), family, params, xs, seed)
-    model = estimator.fit(train.select(FEATURES, label.alias(LABEL)))
+    train = train.select(FEATURES, label.alias(LABEL))
+    if family.binary and len(classes) > 2:
+        model = OneAgainstRest.fit(estimator, train, len(classes))
+    else:
+        model = estimator.fit(train).copy()
     return FittedModel(family, params, xs, y, list(classes) if family.classifier else None, model, seed)
 
 

@@ -106,7 +106,7 @@ def tune(
     full = prep.transform(df, keep)
     xs = [c for c in full.columns if c not in keep]
     if moments is not None:
-        ridge = family.build(best, moments.n_rows, seed, 0).from_moments(moments)
+        ridge = family.build(best, moments.n_rows, seed).from_moments(moments)
         model = FittedModel(family, best, xs, spec.target, None, ridge, seed)
     else:
         model = fit_model(full, xs, spec.target, family, best, seed)
@@ -115,7 +115,7 @@ def tune(
 
 
 def _as_row(trial: int, params: dict, rep: int, fold: int, value: float | None) -> tuple:
-    return trial, {k: float(v) for k, v in params.items()}, rep, fold, value
+    return trial, {k: float(v) for k, v in params.items()}, rep, fold, None if value is None else float(value)
 
 
 def _ridge_trials(

@@ -683,7 +683,7 @@ def svr_kernel(spark, sf_dir):
 def svc_kernel(spark, sf_dir):
     """L4, three classes."""
     lines = pl.quantile_band(_scaled_planted(spark, sf_dir), "y")
-    return _scored(spark, lines, list(SIGNALS), "y", "svc", {"gamma": 0.3, "C": 10.0})
+    return _scored(spark, lines, list(SIGNALS), "y", "svc", {"gamma": 0.3, "C": 10.0, "max_iter": 30})
 
 
 @query

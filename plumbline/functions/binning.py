@@ -23,9 +23,9 @@ def bin_index(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     The quotient can land one bin off where a value sits on an edge, so the
     guess is compared with the two edges around it.
     """
-    guess = F.least(
-        F.floor((value - lo) / (hi - lo) * F.lit(float(bins))).cast("int"), F.lit(bins - 1)
-    )
+    raw = F.floor((value - lo) / (hi - lo) * F.lit(float(bins))).cast("int")
+    # Not least(): it would put a missing value into the last bin.
+    guess = F.when(raw >= bins, F.lit(bins - 1)).otherwise(raw)
     return (
         F.when(value < edge(guess, lo, hi, bins), guess - 1)
         .when((guess < bins - 1) & (value >= edge(guess + 1, lo, hi, bins)), guess + 1)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..staging import stage_table
+
 # A lookup above either bound is never broadcast or held by the driver.
 SMALL_ROWS = 10_000
 SMALL_BYTES = 16 * 1024 * 1024
@@ -72,6 +74,19 @@ def local_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFr
     return spark.createDataFrame([tuple(r) for r in rows], schema)
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """An aggregated result, computed once, for plans that use it several times.
+
+    Within the bounds it becomes a local relation; beyond them a written table.
+    Catalyst would otherwise prune each use differently and scan the source for
+    every one of them.
+    """
+    rows = small_rows(df)
+    if rows is not None:
+        return local_frame(df.sparkSession, rows, df.schema)
+    return stage_table(df, "settled")
+
+
 def attach(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join an aggregated lookup to the rows.
 

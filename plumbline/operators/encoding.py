@@ -79,18 +79,22 @@ def fit_categories(
     Without an order key, categories are numbered alphabetically. Missing is a
     category of its own when it occurs, sorted last if unordered.
     """
-    cols = require(df, as_list(cols))
-    seen = _first_seen(df, cols, as_list(order_by))
+    return _fit_mapping(df, as_list(cols), as_list(order_by))[0]
+
+
+def _fit_mapping(df: DataFrame, cols: list[str], order_by: list[str]) -> tuple[DataFrame, list | None]:
+    """The mapping and, if it is small, its rows."""
+    seen = _first_seen(df, require(df, cols), order_by)
     rows = small_rows(seen)
     if rows is None:
         order = [F.col("seen"), F.col("category").asc_nulls_last()]
-        return number_rows(seen, "column", order, "code").select("column", "category", "code")
+        return number_rows(seen, "column", order, "code").select("column", "category", "code"), None
     coded = []
     for c in cols:
         mine = [r for r in rows if r["column"] == c]
         mine.sort(key=lambda r: (r["seen"], r["category"] is None, (r["category"] or "").encode()))
         coded += [(c, r["category"], i) for i, r in enumerate(mine, 1)]
-    return local_frame(df.sparkSession, coded, MAPPING_SCHEMA)
+    return local_frame(df.sparkSession, coded, MAPPING_SCHEMA), coded
 
 
 class OrdinalEncoder:
@@ -103,18 +107,20 @@ class OrdinalEncoder:
         self._known: dict[str, list[tuple[str | None, int]]] | None = None
 
     def fit(self, df: DataFrame) -> OrdinalEncoder:
-        return self.use(fit_categories(df, self.cols, self.order_by))
+        return self._take(*_fit_mapping(df, self.cols, self.order_by))
 
     def use(self, mapping: DataFrame) -> OrdinalEncoder:
         """Take a mapping fitted earlier, for instance one read back from disk."""
+        return self._take(mapping, small_rows(mapping.select("column", "category", "code")))
+
+    def _take(self, mapping: DataFrame, rows: list | None) -> OrdinalEncoder:
         self.mapping = mapping
-        rows = small_rows(mapping)
         self._known = None
         if rows is not None:
             self._known = {c: [] for c in self.cols}
-            for r in sorted(rows, key=lambda r: r["code"]):
-                if r["column"] in self._known:
-                    self._known[r["column"]].append((r["category"], r["code"]))
+            for column, category, code in sorted(rows, key=lambda r: r[2]):
+                if column in self._known:
+                    self._known[column].append((category, code))
         return self
 
     def categories(self, name: str) -> list[str | None]:
@@ -193,7 +199,11 @@ class BaseNEncoder(OrdinalEncoder):
         self.base = base
 
     def places(self) -> dict[str, int]:
-        tops = {r["column"]: r["top"] for r in self.mapping.groupBy("column").agg(F.max("code").alias("top")).collect()}
+        if self._known is not None:
+            tops = {c: len(pairs) for c, pairs in self._known.items()}
+        else:
+            rows = self.mapping.groupBy("column").agg(F.max("code").alias("top")).collect()
+            tops = {r["column"]: r["top"] for r in rows}
         out = {}
         for c in self.cols:
             out[c] = 1
@@ -347,9 +357,9 @@ class Preprocessor:
                 (self.ordinal if counts[c] > self.threshold else self.onehot).append(c)
         coded = self.ordinal + self.onehot
         if coded:
-            mapping = fit_categories(df, coded, self.order_by)
-            self.ord_encoder = OrdinalEncoder(self.ordinal, self.order_by).use(mapping)
-            self.oh_encoder = OneHotEncoder(self.onehot, self.order_by).use(mapping)
+            fitted = _fit_mapping(df, coded, self.order_by)
+            self.ord_encoder = OrdinalEncoder(self.ordinal, self.order_by)._take(*fitted)
+            self.oh_encoder = OneHotEncoder(self.onehot, self.order_by)._take(*fitted)
         return self
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, number, require
+from ..functions.columns import col, number, require, settle
 
 # Spread of the label lists when the dense grid is laid out.
 GRID_BUCKETS = 16
@@ -45,6 +45,7 @@ def fill_grid(found: DataFrame, left: Sequence[str], hue: str, values: Sequence[
     is the result asked for, one row per pair of labels; it is laid out by an
     equi join on a bucket of the hue label, then summed with the counts.
     """
+    found = settle(found)
     shared = list(left[:-1])
     spread = F.explode(F.sequence(F.lit(0), F.lit(GRID_BUCKETS - 1)))
     xs = found.select(*[col(c) for c in left]).distinct().withColumn("_g", spread)

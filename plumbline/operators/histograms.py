@@ -9,29 +9,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.binning import bin_index, edge, widen
-from ..functions.columns import attach, col, number, require, safe_ratio
+from ..functions.columns import attach, col, number, require, safe_ratio, settle
 from ..functions.stats import pair_corr, pair_count
 
 
 def _extents(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Widened (lo_i, hi_i) of each column per key, from one aggregate."""
+    """Widened (lo_i, hi_i) and count n_i of each column per key, from one aggregate."""
     raw = df.groupBy(*[col(k) for k in keys]).agg(
-        *[f(number(c)).alias(f"{n}{i}") for i, c in enumerate(cols) for n, f in (("a", F.min), ("b", F.max))]
+        *[
+            f(number(c)).alias(f"{name}{i}")
+            for i, c in enumerate(cols)
+            for name, f in (("a", F.min), ("b", F.max), ("n", F.count))
+        ]
     )
     ends = []
     for i in range(len(cols)):
         lo, hi = widen(F.col(f"a{i}"), F.col(f"b{i}"))
-        ends += [lo.alias(f"lo{i}"), hi.alias(f"hi{i}")]
+        ends += [lo.alias(f"lo{i}"), hi.alias(f"hi{i}"), F.col(f"n{i}")]
     return raw.select(*[col(k) for k in keys], *ends)
 
 
+def _per_column(cols: Sequence[str], *extra) -> Column:
+    """Array of (variable, lo, hi, extra...) structs, one per column."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("variable"),
+                F.col(f"lo{i}").alias("lo"),
+                F.col(f"hi{i}").alias("hi"),
+                *[e(i, c) for e in extra],
+            )
+            for i, c in enumerate(cols)
+        ]
+    )
+
+
 def histograms(
     df: DataFrame,
     cols: Sequence[str],
     bins: int = 30,
     density: bool = True,
     hue: str | None = None,
-    keep_hue: bool = False,
 ) -> DataFrame:
     """Histograms of many columns in two scans.
 
@@ -41,64 +59,49 @@ def histograms(
     """
     cols = require(df, cols)
     keys = [] if hue is None else require(df, [hue])
+    group = [col(k) for k in keys]
     rows = df.dropna(subset=keys) if keys else df
-    ends = _extents(rows, cols, keys)
-    named = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.lit(c).alias("variable"), F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi"))
-            for i, c in enumerate(cols)
-        ]
-    )
-    empty = (
-        ends.select(*[col(k) for k in keys], F.explode(named).alias("e"))
-        .filter(F.col("e.lo").isNotNull())
-        .select(
-            *[col(k) for k in keys],
-            "e.variable",
-            "e.lo",
-            "e.hi",
-            F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
-            F.lit(0).cast("bigint").alias("n"),
-        )
-    )
+    ends = settle(_extents(rows, cols, keys))
     if keys:
         placed = attach(rows, ends, keys)
     else:
-        only = ends.first()
-        placed = rows.withColumns({k: F.lit(v).cast("double") for k, v in only.asDict().items()})
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("variable"),
-                F.col(f"lo{i}").alias("lo"),
-                F.col(f"hi{i}").alias("hi"),
-                bin_index(number(c), F.col(f"lo{i}"), F.col(f"hi{i}"), bins).alias("bin"),
-            )
-            for i, c in enumerate(cols)
-        ]
+        only = ends.first().asDict()
+        placed = rows.withColumns(
+            {k: F.lit(v).cast(ends.schema[k].dataType) for k, v in only.items()}
+        )
+    binned = _per_column(
+        cols, lambda i, c: bin_index(number(c), F.col(f"lo{i}"), F.col(f"hi{i}"), bins).alias("bin")
     )
-    group = [col(k) for k in keys]
     counted = (
-        placed.select(*group, F.explode(cells).alias("c"))
+        placed.select(*group, F.explode(binned).alias("c"))
         .filter(F.col("c.bin").isNotNull())
-        .groupBy(*group, "c.variable", "c.lo", "c.hi", "c.bin")
+        .groupBy(*group, "c.variable", "c.bin")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumns({"lo": F.lit(None).cast("double"), "hi": F.lit(None).cast("double"), "total": F.lit(0).cast("bigint")})
+    )
+    # Every bin once with a zero count; these rows also carry the edges.
+    empty = (
+        ends.select(
+            *group, F.explode(_per_column(cols, lambda i, c: F.col(f"n{i}").alias("total"))).alias("e")
+        )
+        .filter(F.col("e.lo").isNotNull())
+        .select(
+            *group,
+            "e.*",
+            F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
+            F.lit(0).cast("bigint").alias("n"),
+        )
     )
     both = (
-        counted.unionByName(empty.select(*counted.columns))
+        counted.unionByName(empty)
         .groupBy(*group, "variable", "bin")
-        .agg(F.sum("n").alias("n"), F.max("lo").alias("lo"), F.max("hi").alias("hi"))
+        .agg(F.sum("n").alias("n"), F.max("lo").alias("lo"), F.max("hi").alias("hi"), F.max("total").alias("total"))
     )
     left = edge(F.col("bin"), F.col("lo"), F.col("hi"), bins)
     right = edge(F.col("bin") + 1, F.col("lo"), F.col("hi"), bins)
-    out = both.select("variable", *group, "bin", left.alias("left"), right.alias("right"), "n")
-    if not density:
-        return out.withColumn("height", F.col("n").cast("double"))
-    totals = counted.groupBy(*group, "variable").agg(F.sum("n").alias("_total"))
-    out = out.join(totals, [*keys, "variable"])
-    height = safe_ratio(F.col("n"), F.col("_total") * (F.col("right") - F.col("left")))
-    return out.withColumn("height", height).select(
-        "variable", *group, "bin", "left", "right", "n", "height"
+    height = safe_ratio(F.col("n"), F.col("total") * (right - left)) if density else F.col("n").cast("double")
+    return both.select(
+        "variable", *group, "bin", left.alias("left"), right.alias("right"), "n", height.alias("height")
     )
 
 

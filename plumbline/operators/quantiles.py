@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import col, number, require
 
@@ -53,40 +54,63 @@ def values_at_ranks(df: DataFrame, targets: Sequence[tuple[str, int]]) -> list[R
     """Value at each (column, 0-based rank) among the non-missing values."""
     names = list(dict.fromkeys(c for c, _ in targets))
     place = {c: i for i, c in enumerate(names)}
-    nums = df.select(*[col(c).alias(f"v{i}") for c, i in place.items()])
-    ranges = nums.agg(
-        *[f(f"v{i}").alias(f"{n}{i}") for i in place.values() for n, f in (("n", F.count), ("a", F.min), ("b", F.max))]
-    ).first()
+    nums = df.select(*[col(c).alias(f"v{i}") for i, c in enumerate(names)])
+    ranges = nums.agg(*[a for i in range(len(names)) for a in _extent(nums, f"v{i}", i)]).first()
     brackets = []
     for c, rank in targets:
         i = place[c]
-        if not 0 <= rank < ranges[f"n{i}"]:
-            raise ValueError(f"rank {rank} is outside the {ranges[f'n{i}']} values of {c}")
-        brackets.append(_Bracket(i, rank, ranges[f"a{i}"], ranges[f"b{i}"], 0, ranges[f"n{i}"]))
+        n, low, high = (ranges[f"{name}{i}"] for name in ("n", "low", "high"))
+        if not 0 <= rank < n:
+            raise ValueError(f"rank {rank} is outside the {n} values of {c}")
+        if rank < low:
+            brackets.append(_Bracket(i, rank, -math.inf, -math.inf, 0, low))
+        elif rank >= n - high:
+            brackets.append(_Bracket(i, rank, math.inf, math.inf, n - high, high))
+        else:
+            brackets.append(_Bracket(i, rank, ranges[f"a{i}"], ranges[f"b{i}"], low, n - low - high))
     _sketch(nums, brackets)
     while any(not b.solved and b.inside > GATHER_ROWS for b in brackets):
         _narrow(nums, [b for b in brackets if not b.solved and b.inside > GATHER_ROWS])
     return _gather(nums, brackets)
 
 
+def _extent(nums: DataFrame, name: str, i: int) -> list[Column]:
+    """Count, ends of the finite values, and how many are infinite."""
+    value, finite, low, high = F.col(name), F.col(name), F.lit(0), F.lit(0)
+    if isinstance(nums.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        low, high = F.count_if(value == -math.inf), F.count_if(value == math.inf)
+        finite = F.when(F.abs(value) != math.inf, value)
+    return [
+        F.count(value).alias(f"n{i}"),
+        F.min(finite).alias(f"a{i}"),
+        F.max(finite).alias(f"b{i}"),
+        low.alias(f"low{i}"),
+        high.alias(f"high{i}"),
+    ]
+
+
 def _sketch(nums: DataFrame, brackets: list[_Bracket]) -> None:
     """Tighten wide brackets by approximate percentiles, checked by counting."""
     wide = [b for b in brackets if not b.solved and b.inside > GATHER_ROWS]
     if not wide:
         return
     slack = 2.0 / SKETCH_ACCURACY
+    counts = {b.column: max(1, b.below + b.inside) for b in wide}
     guesses = nums.agg(
         *[
             F.percentile_approx(
                 f"v{b.column}",
-                [max(0.0, b.rank / b.inside - slack), min(1.0, b.rank / b.inside + slack)],
+                [max(0.0, b.rank / counts[b.column] - slack), min(1.0, b.rank / counts[b.column] + slack)],
                 SKETCH_ACCURACY,
             ).alias(f"g{k}")
             for k, b in enumerate(wide)
         ]
     ).first()
-    trial = [_Bracket(b.column, b.rank, *guesses[k]) for k, b in enumerate(wide)]
-    counts = nums.agg(
+    trial = [
+        _Bracket(b.column, b.rank, max(guesses[k][0], b.lo), min(guesses[k][1], b.hi))
+        for k, b in enumerate(wide)
+    ]
+    seen = nums.agg(
         *[
             F.count_if(condition).alias(f"{name}{k}")
             for k, t in enumerate(trial)
@@ -97,7 +121,7 @@ def _sketch(nums: DataFrame, brackets: list[_Bracket]) -> None:
         ]
     ).first()
     for k, (b, t) in enumerate(zip(wide, trial)):
-        t.below, t.inside = counts[f"below{k}"], counts[f"inside{k}"]
+        t.below, t.inside = seen[f"below{k}"], seen[f"inside{k}"]
         if t.has_rank():
             b.lo, b.hi, b.below, b.inside = t.lo, t.hi, t.below, t.inside
 
@@ -117,16 +141,17 @@ def _tagged(nums: DataFrame, brackets: list[_Bracket], *extra) -> DataFrame:
 
 
 def _position(value: Column, b: _Bracket) -> Column:
-    lo, hi = float(b.lo), float(b.hi)
-    share = (value.cast("double") - F.lit(lo)) / F.lit(hi - lo)
+    # Whole numbers are subtracted as such: far from zero doubles would merge them.
+    share = (value - F.lit(b.lo)).cast("double") / F.lit(float(b.hi - b.lo))
     return F.least(F.floor(share * F.lit(float(BINS))).cast("int"), F.lit(BINS - 1)).alias("bin")
 
 
 def _narrow(nums: DataFrame, brackets: list[_Bracket]) -> None:
     """Replace each bracket by the extent of the one bin that holds its rank.
 
-    At most BINS rows per bracket come back. Ends become values that occur, so
-    a hot value ends up alone in its bracket.
+    At most BINS rows per bracket come back. Ends are values that occur and fall
+    into different bins, so every pass drops at least one of them, and a hot
+    value ends up alone in its bracket.
     """
     counted = (
         _tagged_by_type(nums, brackets, lambda v, b: _position(v, b), lambda v, b: v.alias("v"))
@@ -136,14 +161,14 @@ def _narrow(nums: DataFrame, brackets: list[_Bracket]) -> None:
     )
     for k, b in enumerate(brackets):
         bins = sorted((r["bin"], r) for r in counted if r["k"] == k)
-        below, before = b.below, b.inside
+        if len(bins) < 2:
+            raise ValueError(f"cannot separate values between {b.lo} and {b.hi}")
+        below = b.below
         for _, r in bins:
             if b.rank < below + r["n"]:
                 b.lo, b.hi, b.below, b.inside = r["lo"], r["hi"], below, r["n"]
                 break
             below += r["n"]
-        if b.inside == before and not b.solved and float(b.hi) - float(b.lo) <= 0:
-            raise ValueError("values too close to separate as doubles")
 
 
 def _tagged_by_type(nums: DataFrame, brackets: list[_Bracket], *extra) -> DataFrame:

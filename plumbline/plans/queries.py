@@ -601,11 +601,11 @@ def tune_ridge(spark, sf_dir):
 @query
 def tune_boosted_trees(spark, sf_dir):
     """H1 over L7: two draws, scored by Matthews correlation."""
-    orders = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
-    spec = TableSpec("quality", "categorical", ("lang", "source"), ("text", "toxic"), key=("doc_id",))
+    lines = planted(spark, sf_dir).withColumn("band", F.when(col("y") > 100, "high").otherwise("low"))
+    spec = TableSpec("band", "categorical", use_cols=("l_quantity", "l_tax", "l_linenumber"), key=LINE_KEY)
     family = pl.FAMILIES["gbt_clf"]
     space = {**family.space, "max_depth": 2, "n_estimators": 5}
-    return pl.tune(orders, spec, family, space, n_trials=2, folds=3, repeats=1).trial_scores()
+    return pl.tune(lines, spec, family, space, n_trials=2, folds=3, repeats=1).trial_scores()
 
 
 @query

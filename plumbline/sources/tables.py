@@ -34,10 +34,17 @@ def format_of(path: str, fmt: str | None = None) -> str:
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str | None = None,
+    schema: T.StructType | str | None = None,
+    nan_as_null: bool = True,
 ) -> DataFrame:
     """Read a table; missing tokens and NaN become null.
 
+    ``nan_as_null=False`` leaves Parquet columns as they are, so that filters on
+    float columns reach the files; the operators treat NaN as missing anyway.
+
     CSV types come from the schema or from one pass over the text: whole
     numbers, then decimals, then true/false, else text. Cells that do not fit a
     given schema become null.
@@ -45,7 +52,8 @@ def read_table(
     fmt = format_of(path, fmt)
     if fmt == "parquet":
         reader = spark.read if schema is None else spark.read.schema(schema)
-        return nan_to_null(reader.parquet(path))
+        df = reader.parquet(path)
+        return nan_to_null(df) if nan_as_null else df
     text = _csv_text(spark, path, schema)
     if schema is None:
         schema = infer_schema(text)

@@ -17,17 +17,24 @@ def edge(i: Column, lo: Column, hi: Column, bins: int) -> Column:
     return F.when(i >= bins, hi).otherwise(i * ((hi - lo) / F.lit(float(bins))) + lo)
 
 
-def bin_index(value: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Bin of a value inside [lo, hi].
+def bin_guess(value: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Bin by quotient, the closed end folded into the last bin; missing stays missing."""
+    raw = F.floor((value - lo) / (hi - lo) * F.lit(float(bins))).cast("int")
+    return raw - (value >= hi).cast("int")
+
+
+def bin_settled(value: Column, guess: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """The guess compared with the two edges around it.
 
-    The quotient can land one bin off where a value sits on an edge, so the
-    guess is compared with the two edges around it.
+    The quotient can land one bin off where a value sits on an edge. Written as
+    arithmetic on truth values: branches would multiply in the optimizer.
     """
-    raw = F.floor((value - lo) / (hi - lo) * F.lit(float(bins))).cast("int")
-    # Not least(): it would put a missing value into the last bin.
-    guess = F.when(raw >= bins, F.lit(bins - 1)).otherwise(raw)
-    return (
-        F.when(value < edge(guess, lo, hi, bins), guess - 1)
-        .when((guess < bins - 1) & (value >= edge(guess + 1, lo, hi, bins)), guess + 1)
-        .otherwise(guess)
-    )
+    step = (hi - lo) / F.lit(float(bins))
+    below = value < guess * step + lo
+    above = (guess < bins - 1) & (value >= (guess + 1) * step + lo)
+    return guess - below.cast("int") + above.cast("int")
+
+
+def bin_index(value: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Bin of a value inside [lo, hi]."""
+    return bin_settled(value, bin_guess(value, lo, hi, bins), lo, hi, bins)

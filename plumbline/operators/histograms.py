@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.binning import bin_index, edge, widen
+from ..functions.binning import bin_guess, bin_settled, edge, widen
 from ..functions.columns import attach, col, number, require, safe_ratio, settle
 from ..functions.stats import pair_corr, pair_count
 
@@ -29,18 +29,29 @@ def _extents(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> Da
     return raw.select(*[col(k) for k in keys], *ends)
 
 
-def _per_column(cols: Sequence[str], *extra) -> Column:
-    """Array of (variable, lo, hi, extra...) structs, one per column."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("variable"),
-                F.col(f"lo{i}").alias("lo"),
-                F.col(f"hi{i}").alias("hi"),
-                *[e(i, c) for e in extra],
-            )
-            for i, c in enumerate(cols)
-        ]
+def _staged(df: DataFrame, keep: Sequence[Column], cols: Sequence[str], lo, hi, bins: int) -> DataFrame:
+    """``keep`` and the bin number ``_b{i}`` of each column; ``lo(i)``, ``hi(i)`` are its ends.
+
+    Value, first guess and bin are projected in steps, so each is computed once.
+    """
+    some = range(len(cols))
+    ends = [f(i).alias(f"_{name}{i}") for i in some for name, f in (("lo", lo), ("hi", hi))]
+    out = df.select(*keep, *[number(c).alias(f"_v{i}") for i, c in enumerate(cols)], *ends)
+    kept = [col(c) for c in out.columns[: len(out.columns) - 3 * len(cols)]]
+    place = lambda i: (F.col(f"_lo{i}"), F.col(f"_hi{i}"), bins)
+    out = out.select("*", *[bin_guess(F.col(f"_v{i}"), *place(i)).alias(f"_g{i}") for i in some])
+    return out.select(
+        *kept, *[bin_settled(F.col(f"_v{i}"), F.col(f"_g{i}"), *place(i)).alias(f"_b{i}") for i in some]
+    )
+
+
+def _count_cells(binned: DataFrame, group: Sequence[Column], cells: Sequence[Column]) -> DataFrame:
+    """Rows per (group, cell number); a missing cell is left out."""
+    return (
+        binned.select(*group, F.explode(F.array(*cells)).alias("cell"))
+        .filter(F.col("cell").isNotNull())
+        .groupBy(*group, "cell")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
@@ -63,39 +74,51 @@ def histograms(
     rows = df.dropna(subset=keys) if keys else df
     ends = settle(_extents(rows, cols, keys))
     if keys:
-        placed = attach(rows, ends, keys)
+        used = df.select(*[col(c) for c in dict.fromkeys([*keys, *cols])]).dropna(subset=keys)
+        placed = attach(used, ends, keys)
+        binned = _staged(placed, group, cols, lambda i: F.col(f"lo{i}"), lambda i: F.col(f"hi{i}"), bins)
     else:
-        only = ends.first().asDict()
-        placed = rows.withColumns(
-            {k: F.lit(v).cast(ends.schema[k].dataType) for k, v in only.items()}
+        only = ends.first()
+        binned = _staged(
+            rows, [], cols,
+            lambda i: F.lit(only[f"lo{i}"]).cast("double"),
+            lambda i: F.lit(only[f"hi{i}"]).cast("double"),
+            bins,
         )
-    binned = _per_column(
-        cols, lambda i, c: bin_index(number(c), F.col(f"lo{i}"), F.col(f"hi{i}"), bins).alias("bin")
-    )
-    counted = (
-        placed.select(*group, F.explode(binned).alias("c"))
-        .filter(F.col("c.bin").isNotNull())
-        .groupBy(*group, "c.variable", "c.bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumns({"lo": F.lit(None).cast("double"), "hi": F.lit(None).cast("double"), "total": F.lit(0).cast("bigint")})
+    counted = _count_cells(
+        binned, group, [F.col(f"_b{i}") + F.lit(i * bins) for i in range(len(cols))]
+    ).withColumns({"lo": F.lit(None).cast("double"), "hi": F.lit(None).cast("double"), "total": F.lit(0).cast("bigint")})
+    # Every cell once with a zero count; these rows also carry the edges.
+    spans = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("i"), F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi"), F.col(f"n{i}").alias("total")
+            )
+            for i in range(len(cols))
+        ]
     )
-    # Every bin once with a zero count; these rows also carry the edges.
     empty = (
-        ends.select(
-            *group, F.explode(_per_column(cols, lambda i, c: F.col(f"n{i}").alias("total"))).alias("e")
-        )
+        ends.select(*group, F.explode(spans).alias("e"))
         .filter(F.col("e.lo").isNotNull())
         .select(
             *group,
-            "e.*",
-            F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
+            F.explode(F.sequence(F.col("e.i") * bins, F.col("e.i") * bins + bins - 1)).alias("cell"),
             F.lit(0).cast("bigint").alias("n"),
+            "e.lo",
+            "e.hi",
+            "e.total",
         )
     )
     both = (
         counted.unionByName(empty)
-        .groupBy(*group, "variable", "bin")
+        .groupBy(*group, "cell")
         .agg(F.sum("n").alias("n"), F.max("lo").alias("lo"), F.max("hi").alias("hi"), F.max("total").alias("total"))
+        .withColumns(
+            {
+                "variable": F.element_at(F.array(*[F.lit(c) for c in cols]), F.floor(F.col("cell") / bins).cast("int") + 1),
+                "bin": F.pmod("cell", F.lit(bins)),
+            }
+        )
     )
     left = edge(F.col("bin"), F.col("lo"), F.col("hi"), bins)
     right = edge(F.col("bin") + 1, F.col("lo"), F.col("hi"), bins)
@@ -126,32 +149,29 @@ def pair_bins(
     cols = list(dict.fromkeys(c for pair in pairs for c in pair))
     require(df, cols)
     ends = _extents(df, cols).first()
-    place = {
-        c: bin_index(number(c), F.lit(ends[f"lo{i}"]), F.lit(ends[f"hi{i}"]), bins)
-        if ends[f"lo{i}"] is not None
-        else F.lit(None).cast("int")
-        for i, c in enumerate(cols)
-    }
-    keys = list(keys)
-    names = df.select(*keys).columns if keys else []
-    binned = df.select(*keys, *[place[c].alias(f"_b{i}") for i, c in enumerate(cols)])
-    at = {c: F.col(f"_b{i}") for i, c in enumerate(cols)}
-    cells = F.array(
-        *[
-            F.struct(F.lit(p).alias("p"), at[a].alias("bin1"), at[b].alias("bin2"))
-            for p, (a, b) in enumerate(pairs)
-        ]
+    group = list(keys)
+    names = df.select(*group).columns if group else []
+    binned = _staged(
+        df, group, cols,
+        lambda i: F.lit(ends[f"lo{i}"]).cast("double"),
+        lambda i: F.lit(ends[f"hi{i}"]).cast("double"),
+        bins,
     )
+    at = {c: F.col(f"_b{i}") for i, c in enumerate(cols)}
     group = [col(k) for k in names]
-    counted = (
-        binned.select(*group, F.explode(cells).alias("c"))
-        .filter(F.col("c.bin1").isNotNull() & F.col("c.bin2").isNotNull())
-        .groupBy("c.p", *group, "c.bin1", "c.bin2")
-        .agg(F.count(F.lit(1)).alias("n"))
+    square = bins * bins
+    cells = [
+        F.lit(p * square).cast("bigint") + at[a] * bins + at[b] for p, (a, b) in enumerate(pairs)
+    ]
+    pair = F.floor(F.col("cell") / square).cast("int") + 1
+    return _count_cells(binned, group, cells).select(
+        F.element_at(F.array(*[F.lit(a) for a, _ in pairs]), pair).alias("col1"),
+        F.element_at(F.array(*[F.lit(b) for _, b in pairs]), pair).alias("col2"),
+        *group,
+        F.pmod(F.floor(F.col("cell") / bins), F.lit(bins)).cast("int").alias("bin1"),
+        F.pmod(F.col("cell"), F.lit(bins)).cast("int").alias("bin2"),
+        "n",
     )
-    first = F.element_at(F.array(*[F.lit(a) for a, _ in pairs]), F.col("p") + 1)
-    second = F.element_at(F.array(*[F.lit(b) for _, b in pairs]), F.col("p") + 1)
-    return counted.select(first.alias("col1"), second.alias("col2"), *group, "bin1", "bin2", "n")
 
 
 def scatter_bins(df: DataFrame, x: str, y: str, hue: str | None = None, bins: int = 20) -> DataFrame:

@@ -9,6 +9,7 @@ is a scan of the needed columns with map-side combined counts.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import col, number, require
 
-DIRECT_ROWS = 1_000_000
+DIRECT_ROWS = 200_000
 GATHER_ROWS = 20_000
 BINS = 2048
 SKETCH_ACCURACY = 10_000
@@ -50,25 +51,72 @@ class RankValue:
     below: int  # rows strictly smaller
 
 
-def values_at_ranks(df: DataFrame, targets: Sequence[tuple[str, int]]) -> list[RankValue]:
-    """Value at each (column, 0-based rank) among the non-missing values."""
+def values_at_ranks(
+    df: DataFrame, targets: Sequence[tuple[str, int]], n_rows: int | None = None
+) -> list[RankValue]:
+    """Value at each (column, 0-based rank) among the non-missing values.
+
+    ``n_rows`` saves a pass: it turns ranks into the shares the sketch needs.
+    """
     names = list(dict.fromkeys(c for c, _ in targets))
-    place = {c: i for i, c in enumerate(names)}
     nums = df.select(*[col(c).alias(f"v{i}") for i, c in enumerate(names)])
-    ranges = nums.agg(*[a for i in range(len(names)) for a in _extent(nums, f"v{i}", i)]).first()
+    n_rows = df.count() if n_rows is None else n_rows
+    wanted = [_Target(names.index(c), r, min(1.0, r / max(1, n_rows))) for c, r in targets]
+    return _search(nums, _survey(nums, wanted), wanted)
+
+
+@dataclass(frozen=True)
+class _Target:
+    column: int
+    rank: int
+    share: float  # of the column's values, where the sketch looks
+
+
+@dataclass(frozen=True)
+class _Survey:
+    """First look at a column: counts, finite ends, sketched points."""
+
+    n: int
+    low: int
+    high: int
+    first: object
+    last: object
+    around: dict[float, tuple]  # share -> sketched values a little before and after
+
+
+def _survey(nums: DataFrame, targets: Sequence[_Target]) -> list[_Survey]:
+    """One pass over all columns, each sketched a little around every share."""
+    slack = 2.0 / SKETCH_ACCURACY
+    aggregates, shares = [], []
+    for i in range(len(nums.columns)):
+        shares.append(sorted({t.share for t in targets if t.column == i}))
+        around = [min(1.0, max(0.0, s + d)) for s in shares[i] for d in (-slack, slack)]
+        aggregates += _extent(nums, f"v{i}", i)
+        aggregates.append(F.percentile_approx(f"v{i}", around, SKETCH_ACCURACY).alias(f"p{i}"))
+    row = nums.agg(*aggregates).first()
+    out = []
+    for i in range(len(nums.columns)):
+        points = row[f"p{i}"] or [None] * (2 * len(shares[i]))
+        pairs = dict(zip(shares[i], zip(points[::2], points[1::2])))
+        out.append(_Survey(*(row[f"{name}{i}"] for name in ("n", "low", "high", "a", "b")), pairs))
+    return out
+
+
+def _search(
+    nums: DataFrame, surveys: Sequence[_Survey], targets: Sequence[_Target]
+) -> list[RankValue]:
     brackets = []
-    for c, rank in targets:
-        i = place[c]
-        n, low, high = (ranges[f"{name}{i}"] for name in ("n", "low", "high"))
-        if not 0 <= rank < n:
-            raise ValueError(f"rank {rank} is outside the {n} values of {c}")
-        if rank < low:
-            brackets.append(_Bracket(i, rank, -math.inf, -math.inf, 0, low))
-        elif rank >= n - high:
-            brackets.append(_Bracket(i, rank, math.inf, math.inf, n - high, high))
+    for t in targets:
+        i, rank, s = t.column, t.rank, surveys[t.column]
+        if not 0 <= rank < s.n:
+            raise ValueError(f"rank {rank} is outside the {s.n} values")
+        if rank < s.low:
+            brackets.append(_Bracket(i, rank, -math.inf, -math.inf, 0, s.low))
+        elif rank >= s.n - s.high:
+            brackets.append(_Bracket(i, rank, math.inf, math.inf, s.n - s.high, s.high))
         else:
-            brackets.append(_Bracket(i, rank, ranges[f"a{i}"], ranges[f"b{i}"], low, n - low - high))
-    _sketch(nums, brackets)
+            brackets.append(_Bracket(i, rank, s.first, s.last, s.low, s.n - s.low - s.high))
+    _tighten(nums, brackets, [surveys[t.column].around[t.share] for t in targets])
     while any(not b.solved and b.inside > GATHER_ROWS for b in brackets):
         _narrow(nums, [b for b in brackets if not b.solved and b.inside > GATHER_ROWS])
     return _gather(nums, brackets)
@@ -89,27 +137,12 @@ def _extent(nums: DataFrame, name: str, i: int) -> list[Column]:
     ]
 
 
-def _sketch(nums: DataFrame, brackets: list[_Bracket]) -> None:
-    """Tighten wide brackets by approximate percentiles, checked by counting."""
-    wide = [b for b in brackets if not b.solved and b.inside > GATHER_ROWS]
+def _tighten(nums: DataFrame, brackets: list[_Bracket], guesses: Sequence[tuple]) -> None:
+    """Shrink wide brackets to the sketched values, where counting confirms them."""
+    wide = [(b, g) for b, g in zip(brackets, guesses) if not b.solved and b.inside > GATHER_ROWS]
     if not wide:
         return
-    slack = 2.0 / SKETCH_ACCURACY
-    counts = {b.column: max(1, b.below + b.inside) for b in wide}
-    guesses = nums.agg(
-        *[
-            F.percentile_approx(
-                f"v{b.column}",
-                [max(0.0, b.rank / counts[b.column] - slack), min(1.0, b.rank / counts[b.column] + slack)],
-                SKETCH_ACCURACY,
-            ).alias(f"g{k}")
-            for k, b in enumerate(wide)
-        ]
-    ).first()
-    trial = [
-        _Bracket(b.column, b.rank, max(guesses[k][0], b.lo), min(guesses[k][1], b.hi))
-        for k, b in enumerate(wide)
-    ]
+    trial = [_Bracket(b.column, b.rank, max(g[0], b.lo), min(g[1], b.hi)) for b, g in wide]
     seen = nums.agg(
         *[
             F.count_if(condition).alias(f"{name}{k}")
@@ -120,7 +153,7 @@ def _sketch(nums: DataFrame, brackets: list[_Bracket]) -> None:
             )
         ]
     ).first()
-    for k, (b, t) in enumerate(zip(wide, trial)):
+    for (b, _), (k, t) in zip(wide, enumerate(trial)):
         t.below, t.inside = seen[f"below{k}"], seen[f"inside{k}"]
         if t.has_rank():
             b.lo, b.hi, b.below, b.inside = t.lo, t.hi, t.below, t.inside
@@ -137,7 +170,11 @@ def _tagged(nums: DataFrame, brackets: list[_Bracket], *extra) -> DataFrame:
             for k, b in enumerate(brackets)
         ]
     )
-    return nums.select(F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("h")).select("h.*")
+    inside = functools.reduce(
+        lambda a, b: a | b, [F.col(f"v{b.column}").between(b.lo, b.hi) for b in brackets]
+    )
+    tagged = nums.filter(inside).select(F.explode(hits).alias("h"))
+    return tagged.filter(F.col("h").isNotNull()).select("h.*")
 
 
 def _position(value: Column, b: _Bracket) -> Column:
@@ -180,8 +217,7 @@ def _tagged_by_type(nums: DataFrame, brackets: list[_Bracket], *extra) -> DataFr
 
 
 def _gather(nums: DataFrame, brackets: list[_Bracket]) -> list[RankValue]:
-    open_ones = [b for b in brackets if not b.solved]
-    if open_ones:
+    if open_ones := [b for b in brackets if not b.solved]:
         found = (
             _tagged_by_type(nums, open_ones, lambda v, b: v.alias("v"))
             .groupBy("k")
@@ -220,30 +256,33 @@ def exact_quantiles(
     if approx:
         row = nums.agg(*[F.percentile_approx(v, list(probs), SKETCH_ACCURACY).alias(v) for v in names]).first()
         return {c: list(row[v]) if row[v] else [None] * len(probs) for c, v in zip(cols, names)}
-    counts = nums.agg(*[F.count(v).alias(v) for v in names]).first()
-    small = [v for v in names if counts[v] <= DIRECT_ROWS]
+    surveys = _survey(nums, [_Target(i, 0, p) for i in range(len(names)) for p in probs])
+    small = [v for v, s in zip(names, surveys) if s.n <= DIRECT_ROWS]
     found: dict[str, list] = {}
     if small:
         row = nums.agg(*[F.percentile(v, list(probs)).alias(v) for v in small]).first()
         found = {v: list(row[v]) if row[v] else [None] * len(probs) for v in small}
-    large = [v for v in names if v not in found]
-    if large:
-        spots = {(v, p): p * (counts[v] - 1) for v in large for p in probs}
-        targets = list(
-            dict.fromkeys(
-                (v, r) for (v, _), spot in spots.items() for r in (math.floor(spot), math.ceil(spot))
-            )
-        )
-        value = {t: r.value for t, r in zip(targets, values_at_ranks(nums, targets))}
-        for v in large:
-            found[v] = []
-            for p in probs:
-                spot = spots[v, p]
-                low, high = value[v, math.floor(spot)], value[v, math.ceil(spot)]
-                found[v].append(low + (high - low) * (spot - math.floor(spot)))
+    spots = {
+        (i, p): p * (surveys[i].n - 1) for i, v in enumerate(names) if v not in found for p in probs
+    }
+    targets = [
+        _Target(i, rank, p)
+        for (i, p), spot in spots.items()
+        for rank in dict.fromkeys((math.floor(spot), math.ceil(spot)))
+    ]
+    value = {(t.column, t.rank): r.value for t, r in zip(targets, _search(nums, surveys, targets))}
+    for i, v in enumerate(names):
+        if v not in found:
+            found[v] = [_between(value, i, spots[i, p]) for p in probs]
     return {c: found[v] for c, v in zip(cols, names)}
 
 
+def _between(value: dict, column: int, spot: float) -> float:
+    """Linear interpolation between the two ranks around a spot."""
+    low, high = value[column, math.floor(spot)], value[column, math.ceil(spot)]
+    return low + (high - low) * (spot - math.floor(spot)) if high != low else low
+
+
 def band(value: Column, q25: float | None, q75: float | None) -> Column:
     if q25 is None:
         return F.lit(None).cast("string")

@@ -56,7 +56,7 @@ def kfold(
     starts = list(accumulate(sizes))[:-1]
     frame = df.select(*[o.alias(f"k{i}") for i, o in enumerate(ordered)])
     lookup = sorted({r for s in starts for r in (s - 1, s)})
-    keys = dict(zip(lookup, _keys_at(frame, lookup)))
+    keys = dict(zip(lookup, _keys_at(frame, lookup, n)))
     for s in starts:
         if keys[s - 1] == keys[s]:
             raise ValueError(f"key {key} does not order the rows at a fold boundary")
@@ -85,14 +85,14 @@ def _at_least(key: Sequence[Column], bound: Sequence) -> Column:
     return test
 
 
-def _keys_at(frame: DataFrame, ranks: Sequence[int]) -> list[tuple]:
+def _keys_at(frame: DataFrame, ranks: Sequence[int], n_rows: int | None = None) -> list[tuple]:
     """Key tuples at 0-based ranks of the key order.
 
     The first column is searched by rank; rows tied there are few, unless the
     value is hot, in which case the next column is searched the same way.
     """
     first, *rest = frame.columns
-    hits = values_at_ranks(frame, [(first, r) for r in ranks])
+    hits = values_at_ranks(frame, [(first, r) for r in ranks], n_rows)
     if not rest:
         return [(h.value,) for h in hits]
     found: dict[int, tuple] = {}

@@ -39,6 +39,18 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
+def present(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Rows where every named column is neither null nor NaN.
+
+    Unlike ``dropna`` the null test is a plain predicate that file scans apply.
+    """
+    for name in names:
+        df = df.filter(col(name).isNotNull())
+        if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+            df = df.filter(~F.isnan(col(name)))
+    return df
+
+
 def require(df: DataFrame, names: Iterable[str]) -> list[str]:
     """The names as a list, or ValueError for a name the frame lacks."""
     names = list(names)

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_list, col, nan_to_null, require
+from ..functions.columns import as_list, col, nan_to_null, present, require
 from ..spec import TableSpec
 
 Featurizer = Callable[[DataFrame], DataFrame]
@@ -22,11 +22,11 @@ def drop_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 def drop_unlabeled(df: DataFrame, target: str) -> DataFrame:
     """Rows whose target is present; NaN counts as missing."""
-    return df.dropna(subset=require(df, [target]))
+    return present(df, require(df, [target]))
 
 
 def dropna_keys(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
-    return df.dropna(subset=require(df, as_list(keys)))
+    return present(df, require(df, as_list(keys)))
 
 
 def assemble_columns(df: DataFrame, spec: TableSpec, numeric: Sequence | None = None) -> DataFrame:

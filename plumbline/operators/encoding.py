@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import SMALL_ROWS, as_list, col, is_numeric, local_frame, number, require, small_rows
+from ..functions.columns import SMALL_ROWS, as_list, col, is_numeric, local_frame, number, present, require, small_rows
 from ..functions.stats import digit
 from ..spec import TableSpec
 from ..staging import stage_table
@@ -281,12 +281,11 @@ def cardinality(df: DataFrame, cols: Sequence[str], approx: bool = False) -> Dat
 
 def distinct_values(df: DataFrame, name: str, order_by: str | Sequence[str] = ()) -> DataFrame:
     """Distinct values, sorted, or by first appearance under an order key."""
-    require(df, [name])
-    present = df.dropna(subset=[name])
+    rows = present(df, require(df, [name]))
     if not as_list(order_by):
-        return present.select(col(name)).distinct().orderBy(col(name))
+        return rows.select(col(name)).distinct().orderBy(col(name))
     key = F.struct(*[col(c) for c in require(df, as_list(order_by))])
-    return present.groupBy(col(name)).agg(F.min(key).alias("_seen")).orderBy("_seen", col(name)).drop("_seen")
+    return rows.groupBy(col(name)).agg(F.min(key).alias("_seen")).orderBy("_seen", col(name)).drop("_seen")
 
 
 class Standardizer:

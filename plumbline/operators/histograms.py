@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.binning import bin_guess, bin_settled, edge, widen
-from ..functions.columns import attach, col, number, require, safe_ratio, settle
+from ..functions.columns import attach, col, number, present, require, safe_ratio, settle
 from ..functions.stats import pair_corr, pair_count
 
 
@@ -71,10 +71,10 @@ def histograms(
     cols = require(df, cols)
     keys = [] if hue is None else require(df, [hue])
     group = [col(k) for k in keys]
-    rows = df.dropna(subset=keys) if keys else df
+    rows = present(df, keys)
     ends = settle(_extents(rows, cols, keys))
     if keys:
-        used = df.select(*[col(c) for c in dict.fromkeys([*keys, *cols])]).dropna(subset=keys)
+        used = rows.select(*[col(c) for c in dict.fromkeys([*keys, *cols])])
         placed = attach(used, ends, keys)
         binned = _staged(placed, group, cols, lambda i: F.col(f"lo{i}"), lambda i: F.col(f"hi{i}"), bins)
     else:
@@ -207,7 +207,8 @@ def scatter_points(
 ) -> DataFrame:
     """The points themselves, optionally a seeded sample of them to draw."""
     names = list(dict.fromkeys([x, y] + ([hue] if hue else [])))
-    points = df.select(*[col(c) for c in require(df, names)]).dropna(subset=[x, y])
+    points = df.select(*[col(c) for c in require(df, names)])
+    points = present(points, [x, y])
     return points if fraction >= 1.0 else points.sample(fraction=fraction, seed=seed)
 
 
@@ -229,7 +230,7 @@ def facet_bins(
 ) -> DataFrame:
     """Scatter bins split by one or two facet keys: (facet, [hue,] bin_x, bin_y, n)."""
     keys = [k for k in (row, col_name) if k]
-    kept = df.dropna(subset=require(df, keys))
+    kept = present(df, require(df, keys))
     extra = [] if hue is None else [col(hue)]
     return (
         pair_bins(kept, [(x, y)], [facet_label(col_name, row).alias("facet"), *extra], bins)

@@ -32,6 +32,8 @@ from .metrics import Metric, metric_named, score
 
 FEATURES = "_features"
 LABEL = "_label"
+# Up to this many training rows are dealt evenly over the cores.
+SPREAD_ROWS = 10_000_000
 
 
 # ---- search space ------------------------------------------------------------
@@ -301,6 +303,17 @@ def with_features(df: DataFrame, family: ModelFamily, params: dict, xs: Sequence
     return VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="error").transform(df)
 
 
+def spread(train: DataFrame, n_rows: int) -> DataFrame:
+    """Even out a small training table, which may sit in a single file split.
+
+    A large table already has more splits than cores and stays where it is.
+    """
+    if n_rows > SPREAD_ROWS:
+        return train
+    parts = min(train.sparkSession.sparkContext.defaultParallelism, 1 + n_rows // 5_000)
+    return train.repartition(parts)
+
+
 def fit_model(
     df: DataFrame,
     xs: Sequence[str],
@@ -316,14 +329,14 @@ def fit_model(
     params = {**family.defaults, **(params or {})}
     if family.classifier and classes is None:
         classes = class_labels(df, y)
-    if n_rows is None:
-        n_rows = df.count() if family.kernel else 0
-    estimator = family.build(params, n_rows, seed)
+    if n_rows is None and not isinstance(family.build(params, 1, seed), Ridge):
+        n_rows = df.count()
+    estimator = family.build(params, n_rows or 1, seed)
     if isinstance(estimator, Ridge):
         return FittedModel(family, params, xs, y, None, estimator.fit(df, xs, y), seed)
     label = label_index(y, classes) if family.classifier else number(y)
     train = with_features(df.select(*[col(c) for c in dict.fromkeys([*xs, y])]), family, params, xs, seed)
-    train = train.select(FEATURES, label.alias(LABEL))
+    train = spread(train.select(FEATURES, label.alias(LABEL)), n_rows)
     if family.binary and len(classes) > 2:
         model = OneAgainstRest.fit(estimator, train, len(classes))
     else:

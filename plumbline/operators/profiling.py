@@ -8,7 +8,7 @@ from itertools import combinations, permutations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, is_numeric, not_nan, number, require, safe_ratio
+from ..functions.columns import col, is_numeric, number, present, require, safe_ratio
 from ..functions.stats import pair_corr
 from ..spec import TableSpec
 from .cleaning import unpivot_one_row
@@ -79,11 +79,13 @@ def profile_numeric(df: DataFrame, cols: Sequence[str] | None = None, approx: bo
 def profile_categorical(df: DataFrame, cats: Sequence[str], approx: bool = False) -> DataFrame:
     """(variable, n, n_missing, n_distinct) per categorical column."""
     cats = require(df, cats)
-    present = df.agg(*[F.count(col(c)).alias(c) for c in cats])
-    rows = unpivot_one_row(present, "variable", "n")
-    total = df.agg(F.count(F.lit(1)).alias("_rows")).first()["_rows"]
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(col(c)).alias(c) for c in cats])
+    rows = counts.unpivot(["_rows"], [col(c) for c in cats], "variable", "n")
     distinct = cardinality(df, cats, approx).withColumnRenamed("column", "variable")
-    return rows.withColumn("n_missing", F.lit(total) - F.col("n")).join(F.broadcast(distinct), "variable")
+    # One row per column on either side.
+    return rows.select("variable", "n", (F.col("_rows") - F.col("n")).alias("n_missing")).join(
+        F.broadcast(distinct), "variable"
+    )
 
 
 def top_values(df: DataFrame, cats: Sequence[str], k: int = 10) -> DataFrame:
@@ -92,8 +94,7 @@ def top_values(df: DataFrame, cats: Sequence[str], k: int = 10) -> DataFrame:
     Ranks above k are cut before the shuffle as well as after it.
     """
     counts = (
-        long_categories(df, cats)
-        .dropna(subset=["category"])
+        present(long_categories(df, cats), ["category"])
         .groupBy("variable", "category")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -193,7 +194,7 @@ def _correlation_ratios(df: DataFrame, numeric: Sequence[str], cats: Sequence[st
     """
     means = df.agg(*[F.avg(number(c)).alias(f"m{i}") for i, c in enumerate(numeric)]).first()
     shifted = [(number(c) - F.lit(means[f"m{i}"] or 0.0)).alias(f"x{i}") for i, c in enumerate(numeric)]
-    rows = long_categories(df, cats, *shifted).dropna(subset=["category"])
+    rows = present(long_categories(df, cats, *shifted), ["category"])
     sums = []
     for i in range(len(numeric)):
         x = F.col(f"x{i}")

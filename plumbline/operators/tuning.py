@@ -176,7 +176,7 @@ def _model_trials(
             a = own.transform(train, [spec.target])
             b = own.transform(test, [spec.target])
             xs = [c for c in a.columns if c != spec.target]
-            n = train.count() if family.kernel else 0
+            n = train.count()
             splits[rep, f] = (a, b, xs, n)
 
     def one(job: tuple[int, int, int]) -> tuple:

@@ -13,6 +13,7 @@ from .operators.cleaning import (
     featurizer,
     select_features,
 )
+from .operators.comparison import binned_mi, compare_subsets, leaderboard
 from .operators.encoding import (
     BaseNEncoder,
     OneHotEncoder,
@@ -57,6 +58,7 @@ from .operators.profiling import (
     univariate_profile,
 )
 from .operators.quantiles import QuantileBand, exact_quantiles, quantile_band
+from .operators.segments import cluster_profile, segment_ridge, useful_segments
 from .operators.splits import fold_sizes, holdouts, kfold, repeated_kfold
 from .operators.subsets import subset_search, subset_search_log
 from .operators.tuning import tune
@@ -67,6 +69,7 @@ from .sources.tables import (
     selected_features,
     write_feature_sets,
     write_mapping,
+    write_product,
     write_selection,
     write_table,
 )

@@ -557,22 +557,83 @@ ready AS (SELECT selected, fold, wa, wb, (y - wa * a - wb * b) / k AS w0 FROM co
 fold_score AS (SELECT s.n, selected, fold, 1 - sum((y - w0 - wa * a - wb * b) ** 2) / (sum(y * y) - sum(y) ** 2 / count(*)) AS r2
           FROM shifted s JOIN ready USING (selected, fold) GROUP BY s.n, selected, fold),
 scored AS (SELECT n, selected, avg(r2) AS score FROM fold_score GROUP BY n, selected)
+"""
+
+
+ORACLES["subset_search_ridge"] = f"""{_subsets()}
 SELECT CAST(n AS INTEGER) AS n, round(score, 6) AS score, selected FROM scored a
 WHERE NOT EXISTS (SELECT 1 FROM scored b WHERE b.n <= a.n AND b.score >= a.score AND (b.n < a.n OR b.score > a.score))"""
 
-
-ORACLES["subset_search_ridge"] = _subsets()
+ORACLES["compare_subsets"] = f"""{_subsets()}
+SELECT CASE WHEN n = 1 THEN 'reduced' ELSE 'both' END AS name, CAST(n AS INTEGER) AS n, round(score, 6) AS score
+FROM scored WHERE selected IN ('l_quantity', 'l_quantity,l_discount')"""
 
 # ---- trees ---------------------------------------------------------------------------
 
-ORACLES["tree_stump"] = f"""
-WITH {_PLANTED},
-g AS (SELECT l_discount AS x, count(*) AS n, sum(y) AS s FROM planted GROUP BY l_discount),
+
+
+def stump(table: str) -> str:
+    """CTEs: best split of y by l_discount, and the rows with their leaf."""
+    return f"""g AS (SELECT l_discount AS x, count(*) AS n, sum(y) AS s FROM {table} GROUP BY l_discount),
 c AS (SELECT x, lead(x) OVER (ORDER BY x) AS nx, sum(n) OVER w AS n1, sum(s) OVER w AS s1,
              sum(n) OVER () AS n, sum(s) OVER () AS s FROM g WINDOW w AS (ORDER BY x)),
 best AS (SELECT (x + nx) / 2 AS t FROM c WHERE nx IS NOT NULL
          ORDER BY s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) DESC LIMIT 1),
-leaves AS (SELECT CASE WHEN l_discount <= t THEN 0 ELSE 1 END AS leaf, t, y FROM planted, best)
+leaves AS (SELECT CASE WHEN l_discount <= t THEN 0 ELSE 1 END AS leaf, t, l_discount AS x, y FROM {table}, best)"""
+
+
+ORACLES["tree_stump"] = f"""
+WITH {_PLANTED}, {stump("planted")}
 SELECT CAST(leaf AS INTEGER) AS leaf, 'l_discount ' || CASE WHEN leaf = 0 THEN '<= ' ELSE '> ' END || round(t, 6) AS rule,
        count(*) AS n, round(count(*) / (SELECT count(*) FROM planted), 6) AS share, round(avg(y), 6) AS mean
 FROM leaves GROUP BY leaf, t"""
+
+
+ORACLES["segment_ridge"] = f"""
+WITH priced AS (SELECT *, l_extendedprice AS y FROM lineitem), {stump("priced")},
+m AS (SELECT leaf, count(*) AS n, avg(x) AS mx, avg(y) AS my FROM leaves GROUP BY leaf),
+s AS (SELECT leaf, any_value(m.n) AS n, any_value(mx) AS mx, any_value(my) AS my,
+             sum((x - mx) * (y - my)) / (sum((x - mx) ** 2) + 1) AS slope
+      FROM leaves JOIN m USING (leaf) GROUP BY leaf)
+SELECT CAST(leaf AS INTEGER) AS leaf, n, round(slope, 3) AS slope, round(my - slope * mx, 3) AS intercept FROM s"""
+
+ORACLES["useful_segments"] = f"""
+WITH {_PLANTED}, {stump("planted")},
+w AS (SELECT avg(y) AS m, stddev_pop(y) AS d, count(*) AS k FROM planted),
+s AS (SELECT leaf, count(*) AS n, avg(y) AS mean FROM leaves GROUP BY leaf)
+SELECT CAST(leaf AS INTEGER) AS leaf, n, round((mean - m) / d, 6) AS lift, round(abs(mean - m) / d * n / k, 6) AS weight
+FROM s, w"""
+
+ORACLES["product_stage"] = ORACLES["preprocess"].replace("SELECT p_partkey,", "SELECT p_partkey, p_retailprice,")
+
+
+def _eighths(c: str) -> str:
+    cuts = [f"quantile_cont(CAST({c} AS DOUBLE), {i / 8})" for i in range(1, 8)]
+    return f"[{', '.join(cuts)}] AS cuts"
+
+
+def _cut(c: str, table: str) -> str:
+    return "(" + " + ".join(f"CAST({c} >= {table}.cuts[{i}] AS INTEGER)" for i in range(1, 8)) + ")"
+
+
+_EIGHTHS = union(
+    [
+        f"""SELECT '{c}' AS variable, {_cut(c, "e")} AS x, {_cut("y", "t")} AS z
+FROM planted, (SELECT {_eighths(c)} FROM planted) e, (SELECT {_eighths("y")} FROM planted) t"""
+        for c in _FEATURES
+    ]
+)
+ORACLES["binned_mi"] = f"""
+WITH {_PLANTED},
+fine AS ({_EIGHTHS}),
+grid AS (SELECT variable, 2 ** a AS gx, 2 ** b AS gz, CAST(floor(x / 2 ** (3 - a)) AS INTEGER) AS x,
+                CAST(floor(z / 2 ** (3 - b)) AS INTEGER) AS z
+         FROM fine, range(1, 4) r(a), range(1, 4) s(b)),
+cells AS (SELECT variable, gx, gz, x, z, count(*) AS n FROM grid GROUP BY ALL),
+parts AS (SELECT *, sum(n) OVER (PARTITION BY variable, gx, gz) AS t, sum(n) OVER (PARTITION BY variable, gx, gz, x) AS nx,
+                 sum(n) OVER (PARTITION BY variable, gx, gz, z) AS nz FROM cells),
+scores AS (SELECT variable, gx, gz, round(sum(n / t * ln(CAST(n AS DOUBLE) * t / (CAST(nx AS DOUBLE) * nz))) / ln(least(gx, gz)), 12) AS score
+           FROM parts GROUP BY variable, gx, gz),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY score DESC, gx, gz) AS place FROM scores)
+SELECT variable, round(score, 6) AS score, CAST(gx AS INTEGER) AS bins_x, CAST(gz AS INTEGER) AS bins_y
+FROM ranked WHERE place = 1"""

@@ -697,3 +697,62 @@ def gbt_clf(spark, sf_dir):
     """L7, three classes."""
     lines = pl.quantile_band(planted(spark, sf_dir), "y")
     return _scored(spark, lines, [*SIGNALS, *NOISE], "y", "gbt_clf", {"n_estimators": 5, "max_depth": 3})
+
+
+# ---- goals named for the baseline ----------------------------------------------------
+
+
+@query
+def binned_mi(spark, sf_dir):
+    """Information each column holds about the target."""
+    found = pl.binned_mi(planted(spark, sf_dir), [*SIGNALS, *NOISE], "y")
+    return rounded(found, 6, "score")
+
+
+@query
+def segment_ridge(spark, sf_dir):
+    """A split on the discount, then ridge on it in each half."""
+    spec = TableSpec("l_extendedprice", "numerical", use_cols=("l_discount",), key=LINE_KEY)
+    found = pl.segment_ridge(table(spark, sf_dir, "lineitem"), spec, max_depth=1)
+    return found.select("leaf", "n", F.round(F.col("coef")["l_discount"], 3).alias("slope"), F.round("intercept", 3).alias("intercept"))
+
+
+@query
+def cluster_profile(spark, sf_dir):
+    """Means per cluster."""
+    return pl.cluster_profile(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], 3)
+
+
+@query
+def useful_segments(spark, sf_dir):
+    """Leaves by lift times share."""
+    spec = TableSpec("y", "numerical", use_cols=("l_discount",), key=LINE_KEY)
+    found = pl.useful_segments(planted(spark, sf_dir), spec, max_depth=1)
+    return found.select("leaf", "n", F.round("lift", 6).alias("lift"), F.round("weight", 6).alias("weight"))
+
+
+@query
+def product_stage(spark, sf_dir):
+    """E5: prepared columns and target written for modelling, joined again by key."""
+    parts = table(spark, sf_dir, "part")
+    prep = pl.Preprocessor.of(parts, part_spec(), scaling=True).fit(parts)
+    paths = pl.write_product(parts, part_spec(), pl.StageFolders(new_path(spark, "product")), prep)
+    x, y = spark.read.parquet(paths["X"]), spark.read.parquet(paths["y"])
+    return rounded(x.join(y, "p_partkey"), 6, "st__p_size")
+
+
+@query
+def compare_subsets(spark, sf_dir):
+    """One signal, and both, on the same folds."""
+    found = pl.compare_subsets(
+        planted(spark, sf_dir), planted_spec(), {"reduced": ["l_quantity"], "both": list(SIGNALS)}
+    )
+    return rounded(found, 6, "score")
+
+
+@query
+def leaderboard(spark, sf_dir):
+    """Three families with fixed parameters."""
+    spec = TableSpec("y", "numerical", use_cols=SIGNALS, key=LINE_KEY)
+    families = {"ridge": {}, "tree_reg": {}, "gbt_reg": {"n_estimators": 5, "max_depth": 3}}
+    return pl.leaderboard(planted(spark, sf_dir), spec, families)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import col, nan_to_null, require
 from ..operators.cleaning import apply_featurizers, assemble_columns, drop_columns, drop_unlabeled
+from ..operators.encoding import Preprocessor
 from ..operators.polynomial import full_terms, interaction_terms
 from ..spec import TableSpec
 
@@ -188,6 +189,21 @@ def write_feature_sets(
     return paths
 
 
+def write_product(
+    df: DataFrame, spec: TableSpec, folders: StageFolders, preprocessor: Preprocessor
+) -> dict[str, str]:
+    """Model input in the product stage: prepared columns ``X`` and target ``y``.
+
+    Both carry the key columns, so that they can be joined again.
+    """
+    key = list(spec.key)
+    labeled = drop_unlabeled(df, spec.target)
+    return {
+        "X": folders.write(preprocessor.transform(labeled, key), "product", "X"),
+        "y": folders.write(labeled.select(*[col(c) for c in (*key, spec.target)]), "product", "y"),
+    }
+
+
 def write_mapping(mapping: DataFrame, path: str, fmt: str = "json") -> None:
     """Persist a category mapping (column, category, code)."""
     _write_result(mapping.select(*require(mapping, ["column", "category", "code"])), path, fmt)

@@ -588,6 +588,52 @@ SELECT CAST(leaf AS INTEGER) AS leaf, 'l_discount ' || CASE WHEN leaf = 0 THEN '
        count(*) AS n, round(count(*) / (SELECT count(*) FROM planted), 6) AS share, round(avg(y), 6) AS mean
 FROM leaves GROUP BY leaf, t"""
 
+ORACLES["stump_nodes"] = f"""
+WITH {_PLANTED}, {stump("planted")},
+ends AS (SELECT min(y) AS lo, max(y) AS hi FROM planted),
+placed AS (SELECT leaf, {bin_of("y", 30)} AS bin FROM leaves, ends)
+SELECT CAST(leaf + 2 AS INTEGER) AS node, bin, count(*) AS n FROM placed GROUP BY leaf, bin
+UNION ALL SELECT CAST(1 AS INTEGER), bin, count(*) FROM placed GROUP BY bin"""
+
+
+def _best_split(name: str, rows: str) -> str:
+    """CTE: per side, the column and threshold of least squared error."""
+    sides = union(
+        [
+            f"SELECT side, '{c}' AS f, CAST({c} AS DOUBLE) AS x, count(*) AS n, sum(y) AS s FROM {rows} GROUP BY side, {c}"
+            for c in ("l_discount", "l_linenumber")
+        ]
+    )
+    return f"""{name}_steps AS (
+  SELECT side, f, x, lead(x) OVER w AS nx, sum(n) OVER w AS n1, sum(s) OVER w AS s1,
+         sum(n) OVER (PARTITION BY side, f) AS n, sum(s) OVER (PARTITION BY side, f) AS s
+  FROM ({sides}) WINDOW w AS (PARTITION BY side, f ORDER BY x)),
+{name} AS (SELECT side, f, (x + nx) / 2 AS t FROM {name}_steps WHERE nx IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY side ORDER BY s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) DESC) = 1)"""
+
+
+def _goes_right(split: str) -> str:
+    return f"CAST(CASE WHEN {split}.f = 'l_discount' THEN l_discount ELSE l_linenumber END > {split}.t AS INTEGER)"
+
+
+ORACLES["tree_two_levels"] = f"""
+WITH {_PLANTED},
+whole AS (SELECT 0 AS side, * FROM planted),
+{_best_split("first_split", "whole")},
+halves AS (SELECT {_goes_right("first_split")} AS side, l_discount, l_linenumber, y
+           FROM whole JOIN first_split ON whole.side = first_split.side),
+{_best_split("second_split", "halves")}
+SELECT CAST(2 * halves.side + {_goes_right("second_split")} AS INTEGER) AS leaf, count(*) AS n, round(avg(y), 6) AS mean
+FROM halves JOIN second_split ON halves.side = second_split.side GROUP BY 1"""
+
+# y is made of the columns it is correlated with; the others must be rejected.
+ORACLES["boruta"] = f"WITH {_PLANTED}\n" + union(
+    [
+        f"""SELECT '{c}' AS feature, CASE WHEN abs(corr({c}, y)) > 0.1 THEN 'confirmed' ELSE 'rejected' END AS decision
+FROM planted"""
+        for c in _FEATURES
+    ]
+)
 
 ORACLES["segment_ridge"] = f"""
 WITH priced AS (SELECT *, l_extendedprice AS y FROM lineitem), {stump("priced")},

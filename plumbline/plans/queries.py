@@ -631,13 +631,29 @@ def tree_rules_classes(spark, sf_dir):
     return rules.withColumn("class_counts", F.to_json("class_counts"))
 
 
+@query
+def tree_two_levels(spark, sf_dir):
+    """X1 at depth 2 over two columns: the best split of each half."""
+    spec = TableSpec("y", "numerical", use_cols=("l_discount", "l_linenumber"), key=LINE_KEY)
+    rules = pl.tree_rules(planted(spark, sf_dir), spec, max_depth=2)
+    return rules.select("leaf", "n", F.round("mean", 6).alias("mean"))
+
+
 @query
 def tree_nodes(spark, sf_dir):
-    """Target distribution at every node."""
+    """Target distribution at every node of a deep tree."""
     nodes = pl.tree_nodes(planted(spark, sf_dir), planted_spec(), max_depth=3)
     return nodes.withColumn("histogram", F.to_json("histogram"))
 
 
+@query
+def stump_nodes(spark, sf_dir):
+    """Target distribution at the root and both leaves, one row per bin."""
+    spec = TableSpec("y", "numerical", use_cols=("l_discount",), key=LINE_KEY)
+    nodes = pl.tree_nodes(planted(spark, sf_dir), spec, max_depth=1)
+    return nodes.select("node", F.explode("histogram").alias("h")).select("node", "h.bin", "h.n")
+
+
 @query
 def feature_importance(spark, sf_dir):
     """X3."""
@@ -646,11 +662,11 @@ def feature_importance(spark, sf_dir):
 
 @query
 def boruta(spark, sf_dir):
-    """Selection written and read back."""
+    """Selection written and read back; the columns that make up y are confirmed."""
     path = new_path(spark, "selection")
     found = pl.boruta(planted(spark, sf_dir), planted_spec(), max_iter=8, params={"n_estimators": 10})
     pl.write_selection(found, path, "parquet")
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).select("feature", "decision")
 
 
 def _scored(spark: SparkSession, df: DataFrame, xs, y: str, family: str, params: dict) -> DataFrame:

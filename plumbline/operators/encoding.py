@@ -97,6 +97,25 @@ def _fit_mapping(df: DataFrame, cols: list[str], order_by: list[str]) -> tuple[D
     return local_frame(df.sparkSession, coded, MAPPING_SCHEMA), coded
 
 
+def _category_counts(mapping: DataFrame, rows: list | None) -> dict[str, int]:
+    """Categories per column, missing left out."""
+    if rows is None:
+        found = mapping.groupBy("column").agg(F.count("category").alias("n")).collect()
+        return {r["column"]: r["n"] for r in found}
+    counts: dict[str, int] = {}
+    for column, category, _ in rows:
+        counts[column] = counts.get(column, 0) + (category is not None)
+    return counts
+
+
+def _restricted(mapping: DataFrame, rows: list | None, cols: Sequence[str]) -> tuple[DataFrame, list | None]:
+    """The part of a mapping about some columns; short enough to hold, if they are."""
+    part = mapping.filter(F.col("column").isin(list(cols)))
+    if rows is None:
+        return part, small_rows(part.select("column", "category", "code")) if cols else []
+    return part, [r for r in rows if r[0] in cols]
+
+
 class OrdinalEncoder:
     """Codes from 1; a category unseen in fit is -1, an unseen missing is -2."""
 
@@ -351,14 +370,15 @@ class Preprocessor:
         self.scaler = Standardizer(self.numeric if self.scaling else []).fit(df)
         self.ordinal, self.onehot = [], []
         if self.encode and self.categorical:
-            counts = {r["column"]: r["n_distinct"] for r in cardinality(df, self.categorical).collect()}
+            # The distinct categories give both the codes and the cardinalities.
+            mapping, rows = _fit_mapping(df, self.categorical, self.order_by)
+            counts = _category_counts(mapping, rows)
             for c in self.categorical:
-                (self.ordinal if counts[c] > self.threshold else self.onehot).append(c)
-        coded = self.ordinal + self.onehot
-        if coded:
-            fitted = _fit_mapping(df, coded, self.order_by)
-            self.ord_encoder = OrdinalEncoder(self.ordinal, self.order_by)._take(*fitted)
-            self.oh_encoder = OneHotEncoder(self.onehot, self.order_by)._take(*fitted)
+                (self.ordinal if counts.get(c, 0) > self.threshold else self.onehot).append(c)
+            self.ord_encoder = OrdinalEncoder(self.ordinal, self.order_by)._take(mapping, rows)
+            self.oh_encoder = OneHotEncoder(self.onehot, self.order_by)._take(
+                *_restricted(mapping, rows, self.onehot)
+            )
         return self
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

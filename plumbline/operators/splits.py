@@ -35,12 +35,14 @@ def kfold(
     shuffle: bool = False,
     seed: int = 0,
     name: str = "fold",
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Add a fold number 0..k-1.
 
     Unshuffled folds are contiguous runs of the key order and the first
     ``n mod k`` of them hold one row more. Only the k-1 boundary keys are looked
-    up; no row moves. Shuffled folds hash the key.
+    up; no row moves. Shuffled folds hash the key. ``n_rows``, if known, saves a
+    count.
     """
     key = as_list(key)
     if shuffle:
@@ -49,7 +51,7 @@ def kfold(
     if not key:
         raise ValueError("contiguous folds need key columns that order the rows")
     ordered = [_orderable(df, c) for c in require(df, key)]
-    n = df.count()
+    n = df.count() if n_rows is None else n_rows
     if n < k:
         raise ValueError(f"{n} rows cannot fill {k} folds")
     sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]

@@ -42,9 +42,11 @@ def split_groups(df: DataFrame, key: Sequence[str], seed: int = 0) -> tuple[Data
     From 1000 rows on: contiguous folds. Below: repeated random holdouts, one
     copy of the small table per repeat.
     """
-    if df.count() >= FOLD_ROWS:
+    n_rows = df.count()
+    if n_rows >= FOLD_ROWS:
         folds = list(range(FOLDS))
-        return kfold(df, key, FOLDS, name="_group"), [([g for g in folds if g != f], [f]) for f in folds]
+        placed = kfold(df, key, FOLDS, name="_group", n_rows=n_rows)
+        return placed, [([g for g in folds if g != f], [f]) for f in folds]
     held = holdouts(df, key, HOLDOUTS, 0.3, seed)
     grouped = held.withColumn("_group", F.col("rep") * 2 + F.col("is_test").cast("int")).drop("rep", "is_test")
     return grouped, [([2 * r], [2 * r + 1]) for r in range(HOLDOUTS)]

@@ -101,3 +101,13 @@ def test_distinct_values_order(spark):
     df = frame(spark, FIT + [(5, None)])
     assert [r[0] for r in pl.distinct_values(df, "k").collect()] == ["a", "b", "c"]
     assert [r[0] for r in pl.distinct_values(df, "k", "id").collect()] == ["b", "a", "c"]
+
+
+def test_preprocessor_with_a_mapping_too_large_to_hold(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "small_rows", lambda df: columns.small_rows(df, 6))
+    rows = [(i, f"t{i % 20:02d}", f"s{i % 2}") for i in range(40)]
+    df = frame(spark, rows, "id int, t string, s string")
+    prep = pl.Preprocessor([], ["t", "s"], order_by="id").fit(df)
+    assert prep.ordinal == ["t"] and prep.onehot == ["s"]
+    out = prep.transform(df, ["id"]).orderBy("id").collect()
+    assert [tuple(r) for r in out[:3]] == [(0, 1, 1, 0), (1, 2, 0, 1), (2, 3, 1, 0)]

@@ -39,7 +39,7 @@ def test_grid_of_many_columns(spark):
     assert len(found) == 6 and found["k", "a", "h2"] == 0 and found["m", "u", "h2"] == 1
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=60), st.integers(1, 12))
 def test_histogram_equals_numpy(spark, values, bins):
     df = spark.createDataFrame([(v,) for v in values], "v double")

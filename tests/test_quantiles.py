@@ -50,7 +50,7 @@ def test_large_whole_numbers_stay_exact(spark, tiny):
     assert [g.value for g in got] == [base + 17, base + 100]
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=80))
 def test_direct_equals_numpy(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import decode_documents, encode_documents
 from .common import read
+from .counts import token_budget
 from .exact import exact_dedup
+from .packing import pack
 from .quality import quality
 from .urls import SITE_RULES, TOPIC_RULES, filter_urls
 
@@ -74,6 +77,17 @@ FROM keyed k LEFT JOIN fits f ON k.host = f.host AND k.path = f.path
 """
 
 
+@query
+def op4_bpe_codec(spark, sf_dir):
+    coded = decode_documents(encode_documents(read(spark, sf_dir, "documents")))
+    return coded.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("token_ids", ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup(read(spark, sf_dir, "documents"), keep="max")
@@ -87,3 +101,13 @@ SELECT doc_id,
   sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 """
+
+
+@query
+def op6_token_counts(spark, sf_dir):
+    return token_budget(read(spark, sf_dir, "documents"), 512)
+
+
+@query
+def op9_best_fit_packing(spark, sf_dir):
+    return pack(read(spark, sf_dir, "documents"), 4096)

@@ -13,6 +13,7 @@ from .counts import token_budget
 from .exact import exact_dedup
 from .packing import pack
 from .quality import quality
+from .simhash import near_duplicates
 from .urls import SITE_RULES, TOPIC_RULES, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,11 @@ def sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+@query
+def op1_simhash(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 @query
 def op2_quality(spark, sf_dir):
     facts = quality(read(spark, sf_dir, "documents"))

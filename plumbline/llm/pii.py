@@ -1,0 +1,364 @@
+"""Personal data: fixed patterns, and candidates judged by weak supervision."""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import boxed, stage, thin, with_text
+from .quality import VoteModel, fit_votes
+
+_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_LOCAL = r"[A-Za-z0-9._%+-]"
+
+
+@dataclass(frozen=True)
+class Kind:
+    """``pattern`` finds matches from the left, ``needs`` is a cheap test of the text."""
+
+    name: str
+    pattern: str
+    needs: str
+
+
+#: Fixed kinds in the order of the contract. Look-behinds and possessive repeats
+#: change no match; they keep long runs of one class linear. ``\G`` lets a match
+#: begin where the one before it ended.
+BASE = (
+    Kind("email", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
+    Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "."),
+    # a whole run of 14 to 19 digits with single separators
+    Kind("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}+(?![ -]?[0-9])", ""),
+    Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
+)
+
+_EDGE, _END = r"(?<![\p{L}\p{N}_-])", r"(?![\p{L}\p{N}_-])"
+#: Further kinds: a match is only a candidate.
+CANDIDATES = (
+    Kind("ssn", rf"{_EDGE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_END}", ""),
+    Kind("iban", rf"{_EDGE}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_END}", ""),
+    Kind("local_phone", rf"{_EDGE}(?:\([0-9]{{2,4}}\)|[0-9]{{2,4}})[ .-][0-9]{{3,4}}[ .-][0-9]{{3,4}}{_END}", ""),
+    Kind("secret", rf"{_EDGE}(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{{16,128}}+{_END}", ""),
+    Kind(
+        "name",
+        r"(?<!\p{L})(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Madame|Monsieur)\.? "
+        r"\p{Lu}\p{Ll}{1,30}(?: \p{Lu}\p{Ll}{1,30})?(?!\p{L})",
+        "",
+    ),
+)
+KINDS = tuple(k.name for k in (*BASE, *CANDIDATES))
+
+#: Words before a value that say it is personal or secret, or that it is not.
+TELLING = (
+    r"(?i)(passw(or)?d|passwort|contraseña|mot de passe|pwd|token|secret|api[_ -]?key|access[_ -]?key|"
+    r"credential|private key|ssn|social security|iban|account|konto|cuenta|compte|phone|tel|mobile|"
+    r"fax|call|telefon|teléfono|téléphone)[\s\"'=:#.>-]{0,6}$"
+)
+INNOCENT = (
+    r"(?i)(sha-?1|sha-?256|md5|commit|checksum|hash|digest|revision|version|build|isbn|issn|doi|"
+    r"page|figure|table|chapter|uuid|article|item|order|invoice)[\s\"'=:#.>-]{0,6}$"
+)
+#: Beginnings of keys that services hand out.
+KEY_STARTS = r"^(AKIA|ASIA|AIza|ghp_|gho_|ghs_|glpat-|xox[bpa]-|sk[-_]|pk_|rk_|eyJ|ya29)"
+GIVEN_NAMES = (
+    "Alice|Ana|Anna|Antonio|Carlos|Carmen|Claire|David|Elena|Emma|Eva|Felix|Hans|Jack|James|Jan|"
+    "Jean|Jose|John|Juan|Julia|Karl|Laura|Lisa|Louis|Lucas|Luis|Marc|Maria|Marie|Mark|Martin|Mary|"
+    "Max|Michael|Miguel|Paul|Peter|Pierre|Robert|Sarah|Sofia|Thomas|William"
+)
+
+#: Regex, gazetteer and context labelers: SQL on a candidate ``c`` (kind, m, before).
+LABELERS = (
+    ("context", f"c.before rlike r'{TELLING}'".replace("\"'", "\"\\x27"),
+     f"c.before rlike r'{INNOCENT}'".replace("\"'", "\"\\x27")),
+    ("gazetteer", f"(c.kind = 'secret' and c.m rlike '{KEY_STARTS}') or "
+     f"(c.kind = 'name' and c.m rlike '(^| )({GIVEN_NAMES})( |$)')", "false"),
+    ("shape",
+     "(c.kind = 'secret' and c.m rlike '^([a-f0-9]{16,}|[A-Z0-9]{16,}|(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9].*[0-9]).{20,})$')"
+     " or (c.kind = 'ssn' and not c.m rlike '^(000|666|9)')"
+     " or (c.kind = 'iban' and c.m rlike '^(AT|BE|CH|DE|ES|FR|GB|IE|IT|LU|NL|PT)')"
+     " or (c.kind = 'local_phone' and c.m rlike '^[(]?0|[)]')",
+     "(c.kind = 'secret' and c.m rlike '^[A-Za-z]+([_-][A-Za-z]+)*[_-]?[0-9]{1,4}$')"
+     " or (c.kind = 'ssn' and c.m rlike '^(000|666)|-00-|-0000$')"),
+    ("variety", "size(array_distinct(split(c.m, ''))) >= 9 and c.kind in ('secret', 'iban')",
+     "size(array_distinct(split(c.m, ''))) <= 4 and c.kind != 'name'"),
+    ("assigned", "c.before rlike '[=:][ \"]{0,3}$'", "false"),
+    ("numbers", "c.kind in ('ssn', 'local_phone') and not c.before rlike '[0-9.,/][ ]?$'",
+     "c.kind in ('ssn', 'local_phone') and c.before rlike '[0-9.,/][ ]?$'"),
+)
+
+#: Features of the span classifier, each a small whole number.
+FEATURES = (
+    "cast(array_position(array('ssn','iban','local_phone','secret','name'), c.kind) as int)",
+    "case when length(c.m) < 18 then 0 when length(c.m) < 24 then 1 when length(c.m) < 48 then 2 else 3 end",
+    "cast(least(3, floor(4 * length(regexp_replace(c.m, '[^0-9]', '')) / length(c.m))) as int)",
+    "case when c.m rlike '[a-z]' then 1 else 0 end + case when c.m rlike '[A-Z]' then 2 else 0 end",
+    "case when c.before rlike '[=:\"]$' then 2 when c.before rlike '[A-Za-z][ =:\"]{1,4}$' then 1 else 0 end",
+)
+#: Words of context kept with a candidate, in code points.
+BEFORE = 32
+
+_SPAN = "struct<s:int,k:int,e:int,kind:string,m:string>"
+
+
+def _none(kind: str = _SPAN) -> Column:
+    return F.expr("array()").cast(f"array<{kind}>")
+
+
+def _matches(rows: DataFrame, kinds: dict[str, Kind]) -> DataFrame:
+    """``rows`` with ``f_<name>``: matches as ``s, e, m`` in code points, from the left.
+
+    The matches and the text between them come from the same pattern; their
+    lengths, added up, are the positions.
+    """
+    text = F.col("text")
+    found = {
+        f"f_{name}": F.when(
+            F.contains(text, F.lit(k.needs)) if k.needs else F.lit(True),
+            F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0)),
+        ).otherwise(F.expr("array()").cast("array<string>"))
+        for name, k in kinds.items()
+    }
+    rows = rows.withColumns(found)
+    gaps = {
+        f"g_{name}": F.when(F.size(f"f_{name}") > 0, F.split(text, k.pattern, -1))
+        for name, k in kinds.items()
+    }
+    rows = rows.withColumns(gaps)
+    placed = {}
+    for name in kinds:
+        m, g = F.col(f"f_{name}"), F.col(f"g_{name}")
+        parts = F.zip_with(m, F.slice(g, 1, F.size(m)), lambda a, b: F.struct(a.alias("m"), F.length(b).alias("gap")))
+        start = F.struct(
+            F.lit(0).alias("at"), F.expr("array()").cast("array<struct<s:int,e:int,m:string>>").alias("out")
+        )
+
+        def step(acc, x):
+            s = acc["at"] + x["gap"]
+            e = s + F.length(x["m"])
+            one = F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"))
+            return F.struct(e.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+        placed[f"f_{name}"] = F.when(
+            F.size(m) > 0, F.aggregate(parts, start, step, lambda acc: acc["out"])
+        ).otherwise(F.expr("array()").cast("array<struct<s:int,e:int,m:string>>"))
+    return rows.withColumns(placed).drop(*gaps)
+
+
+def _luhn(digits: Column) -> Column:
+    back = F.reverse(digits)
+    total = F.aggregate(
+        F.sequence(F.lit(1), F.length(digits)),
+        F.lit(0),
+        lambda acc, i: acc
+        + F.when(i % 2 == 1, F.substr(back, i, F.lit(1)).cast("int")).otherwise(
+            (F.substr(back, i, F.lit(1)).cast("int") * 2) % 10
+            + F.floor(F.substr(back, i, F.lit(1)).cast("int") / 5).cast("int")
+        ),
+    )
+    return total % 10 == 0
+
+
+def _digits(text: Column) -> Column:
+    return F.regexp_replace(text, "[^0-9]", "")
+
+
+_VALID = {
+    "email": lambda m: F.lit(True),
+    "ip": lambda m: m.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$"),
+    "card": lambda m: _luhn(_digits(m)),
+    "phone": lambda m: F.length(_digits(m)).between(10, 15),
+}
+
+
+def _named(spans: Column, name: str) -> Column:
+    return F.transform(
+        spans,
+        lambda x: F.struct(
+            x["s"].alias("s"), F.lit(KINDS.index(name)).alias("k"), x["e"].alias("e"),
+            F.lit(name).alias("kind"), x["m"].alias("m"),
+        ),
+    )
+
+
+def found_spans(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``text``) and ``base``, ``candidates``: sorted arrays of spans.
+
+    Candidates that overlap a base span are left out; each has the text before it.
+    """
+    one = "|".join(f"(?:{k.pattern})" for k in CANDIDATES)
+    kinds = {k.name: k for k in BASE} | {"any": Kind("any", one, "")}
+    others = rows.columns
+    rows = _matches(rows, kinds)
+    base = [
+        _named(F.filter(f"f_{k.name}", lambda x: _VALID[k.name](x["m"])), k.name) for k in BASE
+    ]
+    rows = rows.select(*others, "f_any", F.sort_array(F.flatten(F.array(*base))).alias("base"))
+    apart = F.filter(
+        "f_any", lambda c: ~F.exists("base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]))
+    )
+
+    def kind_of(m):
+        kind = F.lit(CANDIDATES[-1].name)
+        for k in reversed(CANDIDATES[:-1]):
+            kind = F.when(m.rlike(f"^(?:{k.pattern})$"), F.lit(k.name)).otherwise(kind)
+        return kind
+
+    def described(c):
+        start = F.greatest(c["s"] - BEFORE, F.lit(0))
+        return F.struct(
+            c["s"].alias("s"), c["e"].alias("e"), kind_of(c["m"]).alias("kind"), c["m"].alias("m"),
+            F.substr(F.col("text"), start + 1, c["s"] - start).alias("before"),
+        )
+
+    return rows.select(*others, "base", F.transform(apart, described).alias("candidates"))
+
+
+def _votes(c: str = "c") -> list[Column]:
+    return [
+        F.expr(f"cast(case when {bad} then -1 when {good} then 1 else 0 end as int)")
+        for _, good, bad in LABELERS
+    ]
+
+
+@dataclass(frozen=True)
+class SpanModel:
+    """Labeler weights, and the classifier's weight for each value of each feature."""
+
+    votes: VoteModel
+    bias: float
+    weights: tuple[dict[int, float], ...]
+
+    def log_odds(self, features) -> float:
+        return self.bias + sum(w.get(v, 0.0) for w, v in zip(self.weights, features))
+
+
+def fit_spans(patterns: dict[tuple, int], rounds: int = 400) -> SpanModel:
+    """Fit both models on counts of (votes, features).
+
+    Expectation-maximisation over the votes gives each pattern a chance of being
+    personal. A logistic regression on the features learns these chances, by
+    gradient steps from zero with a small penalty. No patterns: no weight, so
+    no candidate is accepted.
+    """
+    n = len(LABELERS)
+    by_votes: dict[tuple, int] = {}
+    for key, count in patterns.items():
+        by_votes[key[:n]] = by_votes.get(key[:n], 0) + count
+    votes = fit_votes(by_votes, n, share=0.5)
+    total = sum(patterns.values())
+    rows = [
+        (key[n:], count / total, 1 / (1 + math.exp(-max(-500.0, votes.log_odds(key[:n])))))
+        for key, count in sorted(patterns.items())
+    ]
+    bias, weights = 0.0, [{} for _ in FEATURES]
+    for _ in range(rounds):
+        slope, slopes = 0.0, [{} for _ in FEATURES]
+        for features, share, target in rows:
+            z = bias + sum(w.get(v, 0.0) for w, v in zip(weights, features))
+            error = share * (1 / (1 + math.exp(-max(-500.0, z))) - target)
+            slope += error
+            for g, v in zip(slopes, features):
+                g[v] = g.get(v, 0.0) + error
+        bias -= 2.0 * slope
+        for w, g in zip(weights, slopes):
+            for v, d in g.items():
+                w[v] = w.get(v, 0.0) * 0.999 - 2.0 * d
+    return SpanModel(votes, bias if rows else -1.0, tuple(weights))
+
+
+def span_model(found: DataFrame) -> SpanModel:
+    """Fit on all candidates. The driver gets one number per pattern of votes and
+    features, of which there are at most ``3 ** labelers * 5 * 4 ** 3 * 3``."""
+    votes, features = _votes(), [F.expr(f).cast("int") for f in FEATURES]
+    names = [f"p{k}" for k in range(len(votes) + len(features))]
+    counted = (
+        found.select(F.explode("candidates").alias("c"))
+        .select(*[x.alias(n) for x, n in zip([*votes, *features], names)])
+        .groupBy(*names).count()
+    )
+    return fit_spans({tuple(r[n] for n in names): r["count"] for r in counted.collect()})
+
+
+def accepted(model: SpanModel) -> Column:
+    """Candidates that the classifier finds more likely personal than not."""
+    parts = [repr(model.bias)]
+    for feature, weights in zip(FEATURES, model.weights):
+        if weights:
+            cases = " ".join(f"when {v} then {w!r}D" for v, w in sorted(weights.items()))
+            parts.append(f"case {feature} {cases} else 0D end")
+    order = ", ".join(f"'{k}'" for k in KINDS)
+    return F.expr(
+        f"transform(filter(candidates, c -> {parts[0]}D + {' + '.join(parts[1:]) or '0D'} > 0D), "
+        f"c -> struct(c.s as s, cast(array_position(array({order}), c.kind) - 1 as int) as k, "
+        f"c.e as e, c.kind as kind, c.m as m))"
+    )
+
+
+def with_spans(found: DataFrame, label: str) -> DataFrame:
+    """Write the rows of ``found_spans``; ``spans`` then has base and accepted ones, sorted."""
+    found = stage(found, label)
+    model = span_model(found)
+    both = F.sort_array(F.concat("base", accepted(model).cast(f"array<{_SPAN}>")))
+    return found.withColumn("spans", both).drop("candidates")
+
+
+def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``doc_id, base, spans``.
+
+    Spans are structs ``s, k, e, kind, m``: start, place of the kind, end
+    (exclusive, code points), kind and text, sorted by start and kind. ``base``
+    has the fixed kinds, ``spans`` also the accepted candidates. A null or empty
+    text has none. Repeated rows stay, an empty table gives an empty result,
+    other columns are ignored.
+    """
+    return with_spans(found_spans(thin(df, id_col, text_col)).drop("text"), "spans")
+
+
+def span_list(spans: Column) -> Column:
+    """``kind:start:end`` joined by commas."""
+    return F.array_join(
+        F.transform(
+            spans, lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))
+        ),
+        ",",
+    )
+
+
+def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows with every span replaced by its kind, such as ``[EMAIL]``.
+
+    A span that begins inside one already replaced adds nothing but its rest,
+    which is removed. A column ``n_chars`` follows the text. A null text becomes
+    empty.
+    """
+    found = with_spans(found_spans(boxed(df, id_col, text_col).select("row", "text")), "redact")
+    text = F.col("text")
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc, x):
+        fresh = x["s"] >= acc["at"]
+        out = F.when(
+            fresh,
+            F.concat(
+                acc["out"],
+                F.substr(text, acc["at"] + 1, x["s"] - acc["at"]),
+                F.lit("["),
+                F.upper(x["kind"]),
+                F.lit("]"),
+            ),
+        ).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), out.alias("out"))
+
+    end = F.length(text)
+    clean = F.when(
+        F.size("spans") > 0,
+        F.aggregate(
+            "spans", start, step,
+            lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.greatest(F.lit(0), end - acc["at"]))),
+        ),
+    ).otherwise(text)
+    found = found.withColumn("clean", clean)
+    return with_text(found, df.columns, text_col, F.col("clean"))

@@ -137,9 +137,13 @@ class VoteModel:
         return 1 / (1 + F.exp(-total))
 
 
-def fit_votes(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = 200) -> VoteModel:
+def fit_votes(
+    patterns: dict[tuple[int, ...], int], n_rules: int, share: float = 0.8, rounds: int = 200
+) -> VoteModel:
     """Expectation-maximisation over vote patterns and their counts.
 
+    ``share`` is the share of good ones that it starts with.
+
     Each round computes the chance of every pattern to be good, then each rule's
     shares of right, missing and wrong votes in both classes. ``START`` keeps
     "good" from turning into "bad" and stands alone where there are no patterns.
@@ -159,7 +163,7 @@ def fit_votes(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int =
 
     total = sum(patterns.values())
     ordered = sorted(patterns.items())
-    model = VoteModel(0.8, weights(fresh("good"), fresh("bad")))
+    model = VoteModel(share, weights(fresh("good"), fresh("bad")))
     for _ in range(rounds):
         good, bad, mass = fresh("good"), fresh("bad"), 0.0
         for votes, count in ordered:
@@ -169,7 +173,7 @@ def fit_votes(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int =
                 good[k][vote] += p * count
                 bad[k][vote] += (1 - p) * count
         before, model = model, VoteModel(
-            (mass + 0.8 * START_WEIGHT) / (total + START_WEIGHT), weights(good, bad)
+            (mass + share * START_WEIGHT) / (total + START_WEIGHT), weights(good, bad)
         )
         if all(abs(a[v] - b[v]) < 1e-9 for a, b in zip(before.weights, model.weights) for v in a):
             break

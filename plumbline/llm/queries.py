@@ -12,6 +12,7 @@ from .common import read
 from .counts import token_budget
 from .exact import exact_dedup
 from .packing import pack
+from .pii import BASE, personal_data, span_list
 from .quality import quality
 from .simhash import near_duplicates
 from .urls import SITE_RULES, TOPIC_RULES, filter_urls
@@ -114,6 +115,21 @@ def op6_token_counts(spark, sf_dir):
     return token_budget(read(spark, sf_dir, "documents"), 512)
 
 
+@query
+def op7_personal_data(spark, sf_dir):
+    found = personal_data(read(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda x: x["kind"] == k.name)).cast("long").alias(f"n_{k.name}")
+        for k in BASE
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(span_list(F.col("base")), 256).alias("base_sha256"),
+        span_list(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op9_best_fit_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"), 4096)

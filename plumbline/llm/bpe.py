@@ -214,7 +214,7 @@ class Encoder:
         self.pattern = regex.compile(PIECES)
         self.odd_space = regex.compile(r"[^\S \n]|\s\s")
         self.cut = regex.compile(r"(?r)(?<=\S) (?=\S)")
-        self.piece = Memo(lambda p: tuple(bpe.merge(p.encode())))
+        self.piece = Memo(lambda p: tuple(bpe.merge(p.encode())), 20_000)
         self.first = Memo(self._packed)
         self.later = Memo(lambda w: self._packed(w if w[:1] == "\n" else " " + w))
 

@@ -11,6 +11,7 @@ from .bpe import decode_documents, encode_documents
 from .common import read
 from .counts import token_budget
 from .exact import exact_dedup
+from .lines import line_report
 from .packing import pack
 from .pii import BASE, personal_data, span_list
 from .quality import quality
@@ -130,6 +131,50 @@ def op7_personal_data(spark, sf_dir):
     )
 
 
+@query
+def op8_line_dedup(spark, sf_dir):
+    found = line_report(read(spark, sf_dir, "documents"), min_words=5, max_edits=1)
+    return found.select(
+        "doc_id",
+        "n_lines",
+        F.size("dropped").cast("long").alias("n_dropped"),
+        F.array_join("dropped", ",").alias("dropped"),
+    )
+
+
+ORACLES["op8_line_dedup"] = r"""
+WITH cut AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+split AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS line_no FROM cut),
+worded AS (
+  SELECT doc_id, line_no, regexp_extract_all(line, '[^ 	-]+') AS w FROM split),
+occ AS (
+  SELECT doc_id, line_no, w, array_to_string(w, ' ') AS line FROM worded WHERE len(w) >= 5),
+texts AS (
+  SELECT line, any_value(w) AS w, min({'d': doc_id, 'n': line_no}) AS first FROM occ GROUP BY line),
+variants AS (
+  SELECT line, first, i AS place,
+    array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS v
+  FROM (SELECT line, first, w, unnest(range(1, len(w) + 1)) AS i FROM texts)),
+near AS (
+  SELECT a.line FROM variants a JOIN variants b
+    ON a.v = b.v AND a.place = b.place AND b.first < a.first
+  UNION SELECT a.line FROM variants a JOIN texts b ON a.v = b.line AND b.first < a.first
+  UNION SELECT b.line FROM variants a JOIN texts b ON a.v = b.line AND a.first < b.first),
+dropped AS (
+  SELECT doc_id, line_no FROM occ JOIN texts USING (line)
+  WHERE {'d': doc_id, 'n': line_no} > first OR line IN (SELECT line FROM near)),
+per_doc AS (
+  SELECT doc_id, count(*) AS n_dropped,
+    string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS dropped
+  FROM dropped GROUP BY doc_id)
+SELECT c.doc_id, len(lines) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+  coalesce(dropped, '') AS dropped
+FROM cut c LEFT JOIN per_doc p ON c.doc_id = p.doc_id
+"""
+
+
 @query
 def op9_best_fit_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"), 4096)

@@ -1,25 +1,58 @@
-"""Corpus cleaning in stages; each reads what the one before it kept."""
+"""Corpus cleaning in stages; each works on all that the one before it kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm.common import read, stage
+from plumbline.llm.lines import dedup_lines
+from plumbline.llm.packing import pack
+from plumbline.llm.pii import redact
 from plumbline.llm.quality import filter_quality
+from plumbline.llm.simhash import drop_near_duplicates
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
     return filter_quality(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that an earlier line repeats."""
+    return dedup_lines(docs, min_words=5, max_edits=1)
 
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return drop_near_duplicates(docs, shingle=4, radius=4)
+
+
+def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind."""
+    return redact(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences of 4096."""
+    return pack(docs, capacity=4096)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", simhash_dedup),
+    ("PII", redaction),
+    ("best-fit packing", packing),
+]
+
+#: The vote model, the fingerprints and the tokens are beyond SQL; tests compare
+#: every stage with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each result written and read again."""
+    """All stages in order; each result is written and read by the next."""
     docs = read(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stage(step(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,6 +11,7 @@ from .bpe import decode_documents, encode_documents
 from .common import read
 from .counts import token_budget
 from .exact import exact_dedup
+from .html import extract
 from .lines import line_report
 from .packing import pack
 from .pii import BASE, personal_data, span_list
@@ -148,7 +149,8 @@ WITH cut AS (
 split AS (
   SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS line_no FROM cut),
 worded AS (
-  SELECT doc_id, line_no, regexp_extract_all(line, '[^ 	-]+') AS w FROM split),
+  SELECT doc_id, line_no, regexp_extract_all(line, '[^ 	-
+]+') AS w FROM split),
 occ AS (
   SELECT doc_id, line_no, w, array_to_string(w, ' ') AS line FROM worded WHERE len(w) >= 5),
 texts AS (
@@ -178,3 +180,9 @@ FROM cut c LEFT JOIN per_doc p ON c.doc_id = p.doc_id
 @query
 def op9_best_fit_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"), 4096)
+
+
+@query
+def op10_html_text(spark, sf_dir):
+    pages = extract(read(spark, sf_dir, "pages"), text_col="text")
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -133,7 +133,7 @@ NAMES = {
     "form": "form search login signin signup register subscribe newsletter",
     "share": "share sharing social follow tags tools print",
     "foot": "footer copyright legal colophon contentinfo imprint",
-    "head": "header masthead logo brand site-title",
+    "head": "header masthead logo brand",
     "main": "article content main post entry story body text prose maincontent articlebody",
 }
 _NAME_OF = {w: k for k, words in NAMES.items() for w in words.split()}

@@ -1,10 +1,9 @@
 """Exact order statistics without a global sort (base of T1, A11, K1).
 
-Small columns go through Spark's ``percentile``, whose buffer holds every
-distinct value in one task. Beyond ``DIRECT_ROWS`` the value at a rank is found
-by narrowing: a sketch brackets it, counting passes shrink the bracket, and only
-a bracket of at most ``GATHER_ROWS`` rows is ever sorted in one place. Each pass
-is a scan of the needed columns with map-side combined counts.
+The value at a rank is found by narrowing: a sketch brackets it, counting passes
+shrink the bracket, and only a bracket of at most ``GATHER_ROWS`` rows is ever
+sorted in one place. Each pass is a scan of the needed columns with map-side
+combined counts.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ from pyspark.sql import types as T
 
 from ..functions.columns import col, number, require
 
-DIRECT_ROWS = 200_000
 GATHER_ROWS = 20_000
 BINS = 2048
 SKETCH_ACCURACY = 10_000
@@ -257,11 +255,7 @@ def exact_quantiles(
         row = nums.agg(*[F.percentile_approx(v, list(probs), SKETCH_ACCURACY).alias(v) for v in names]).first()
         return {c: list(row[v]) if row[v] else [None] * len(probs) for c, v in zip(cols, names)}
     surveys = _survey(nums, [_Target(i, 0, p) for i in range(len(names)) for p in probs])
-    small = [v for v, s in zip(names, surveys) if s.n <= DIRECT_ROWS]
-    found: dict[str, list] = {}
-    if small:
-        row = nums.agg(*[F.percentile(v, list(probs)).alias(v) for v in small]).first()
-        found = {v: list(row[v]) if row[v] else [None] * len(probs) for v in small}
+    found: dict[str, list] = {v: [None] * len(probs) for v, s in zip(names, surveys) if not s.n}
     spots = {
         (i, p): p * (surveys[i].n - 1) for i, v in enumerate(names) if v not in found for p in probs
     }

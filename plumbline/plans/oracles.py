@@ -24,12 +24,17 @@ def union(parts: list[str]) -> str:
 
 ORACLES["csv_roundtrip"] = """
 SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
-       l_extendedprice, l_discount, CASE WHEN l_tax > 0 THEN l_tax END AS l_tax, l_returnflag, l_linestatus
+       l_extendedprice, l_discount, CASE WHEN l_tax > 0 THEN l_tax END AS l_tax, l_returnflag, l_linestatus,
+       strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate,
+       1234567890123456789 + l_orderkey * 1000 + l_linenumber AS long_id,
+       '"' || l_returnflag || '", said' || chr(10) || l_linestatus || chr(10) AS note
 FROM lineitem"""
 
+ORACLES["named_sample"] = "SELECT * FROM part"
+
 ORACLES["parquet_stages"] = """
 SELECT o_orderkey, o_custkey, o_orderstatus, CAST(trunc(o_totalprice) AS BIGINT) AS o_totalprice,
-       o_orderpriority
+       o_orderdate, o_orderpriority
 FROM orders"""
 
 

@@ -12,6 +12,7 @@ import plumbline as pl
 from ..functions.columns import col
 from ..operators.cleaning import failed_casts
 from ..operators.splits import fold_sizes
+from ..sources.tables import load_sample
 from ..staging import new_path
 from ..spec import TableSpec
 
@@ -63,13 +64,29 @@ def planted_spec(**options) -> TableSpec:
 
 @query
 def csv_roundtrip(spark, sf_dir):
-    """Write CSV, read it back with inferred types."""
+    """Write CSV, read it back with inferred types.
+
+    All columns, and with them 19-digit numbers, quotes and line breaks in cells.
+    """
     path = new_path(spark, "lines") + ".csv"
-    lines = table(spark, sf_dir, "lineitem").drop("l_shipdate")
-    pl.write_table(lines.withColumn("l_tax", F.when(col("l_tax") > 0, col("l_tax"))), path)
+    lines = table(spark, sf_dir, "lineitem").withColumns(
+        {
+            "l_tax": F.when(col("l_tax") > 0, col("l_tax")),
+            "l_shipdate": F.date_format("l_shipdate", "yyyy-MM-dd"),
+            "long_id": F.lit(1234567890123456789) + col("l_orderkey") * 1000 + col("l_linenumber"),
+            "note": F.concat(F.lit('"'), "l_returnflag", F.lit('", said\n'), "l_linestatus", F.lit("\n")),
+        }
+    )
+    pl.write_table(lines, path)
     return pl.read_table(spark, path)
 
 
+@query
+def named_sample(spark, sf_dir):
+    """A table by its name."""
+    return load_sample(spark, sf_dir, "part")
+
+
 @query
 def parquet_stages(spark, sf_dir):
     """A table handed from the raw to the clean stage folder."""
@@ -77,7 +94,7 @@ def parquet_stages(spark, sf_dir):
     folders.write(table(spark, sf_dir, "orders"), "raw", "orders")
     raw = folders.read(spark, "raw", "orders")
     folders.write(pl.clean(raw, {"o_totalprice": "bigint"}), "clean", "orders")
-    return folders.read(spark, "clean", "orders").drop("o_orderdate")
+    return folders.read(spark, "clean", "orders")
 
 
 @query

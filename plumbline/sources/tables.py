@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from pathlib import PurePosixPath
@@ -39,23 +40,27 @@ def read_table(
     path: str,
     fmt: str | None = None,
     schema: T.StructType | str | None = None,
-    nan_as_null: bool = True,
+    nan_as_null: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Read a table; missing tokens and NaN become null.
+    """Read a table.
 
-    ``nan_as_null=False`` leaves Parquet columns as they are, so that filters on
-    float columns reach the files; the operators treat NaN as missing anyway.
+    Parquet columns come as they are, so that filters reach the files; the
+    operators treat NaN as missing. ``nan_as_null`` turns NaN into null here.
 
-    CSV types come from the schema or from one pass over the text: whole
-    numbers, then decimals, then true/false, else text. Cells that do not fit a
-    given schema become null.
+    CSV cells with a missing token are null. Types come from the schema or from
+    one pass over the text: whole numbers (of any length up to 38 digits, none
+    rounded), then decimals, then true/false, else text. Cells that do not fit a
+    given schema become null. A row with more or fewer cells than the header is
+    an error. Quoted cells may hold line breaks; with ``multi_line=False`` they
+    may not, and one large file is read by several tasks.
     """
     fmt = format_of(path, fmt)
     if fmt == "parquet":
         reader = spark.read if schema is None else spark.read.schema(schema)
         df = reader.parquet(path)
         return nan_to_null(df) if nan_as_null else df
-    text = _csv_text(spark, path, schema)
+    text = _csv_text(spark, path, schema, multi_line)
     if schema is None:
         schema = infer_schema(text)
     elif isinstance(schema, str):
@@ -64,8 +69,11 @@ def read_table(
     return nan_to_null(typed)
 
 
-def _csv_text(spark: SparkSession, path: str, schema) -> DataFrame:
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", False)
+def _csv_text(spark: SparkSession, path: str, schema, multi_line: bool) -> DataFrame:
+    reader = spark.read.options(
+        header=True, escape='"', multiLine=multi_line, mode="FAILFAST", columnPruning=False,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
     if schema is not None:
         names = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
@@ -84,11 +92,16 @@ def _cast(field: T.StructField):
     return value.try_cast(field.dataType)
 
 
+def _whole(c):
+    return F.trim(c).rlike(r"^[+-]?\d+$")
+
+
 def infer_schema(text: DataFrame) -> T.StructType:
     """Narrowest type that every present cell of a column fits, in one aggregate."""
     tests = {
         "n": lambda c: c.isNotNull(),
-        "long": lambda c: F.trim(c).rlike(r"^[+-]?\d{1,18}$"),
+        "long": lambda c: _whole(c) & F.trim(c).try_cast("bigint").isNotNull(),
+        "whole": lambda c: _whole(c) & F.trim(c).try_cast("decimal(38,0)").isNotNull(),
         "double": lambda c: F.trim(c).try_cast("double").isNotNull() & ~F.trim(c).rlike("[dDfF]$"),
         "boolean": lambda c: c.isin("True", "False", "TRUE", "FALSE", "true", "false"),
     }
@@ -104,7 +117,10 @@ def infer_schema(text: DataFrame) -> T.StructType:
         present = row[f"n{i}"]
         kind = T.StringType()
         if present:
-            for name, candidate in (("long", T.LongType()), ("double", T.DoubleType()), ("boolean", T.BooleanType())):
+            for name, candidate in (
+                ("long", T.LongType()), ("whole", T.DecimalType(38, 0)),
+                ("double", T.DoubleType()), ("boolean", T.BooleanType()),
+            ):
                 if row[f"{name}{i}"] == present:
                     kind = candidate
                     break
@@ -115,12 +131,29 @@ def infer_schema(text: DataFrame) -> T.StructType:
 
 
 def write_table(df: DataFrame, path: str, fmt: str | None = None) -> None:
-    """Replace the table at the path."""
-    writer = df.write.mode("overwrite")
-    if format_of(path, fmt) == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+    """Replace the table at the path.
+
+    The new table is written beside the old one and takes its place by a rename,
+    so a failed or slow write leaves the old one as it was.
+    """
+    fmt, new = format_of(path, fmt), f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    if fmt == "csv":
+        keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        df.write.options(header=True, escape='"', **keep).csv(new)
     else:
-        writer.parquet(path)
+        df.write.parquet(new)
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    target, fresh, old = (jvm.org.apache.hadoop.fs.Path(x) for x in (path, new, f"{new}.old"))
+    files = target.getFileSystem(conf)
+    had = files.exists(target)
+    if had and not files.rename(target, old):
+        raise OSError(f"cannot move the table at {path} away")
+    if not files.rename(fresh, target):
+        if had:
+            files.rename(old, target)
+        raise OSError(f"cannot put the new table at {path}")
+    if had:
+        files.delete(old, True)
 
 
 @dataclass(frozen=True)

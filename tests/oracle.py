@@ -40,7 +40,7 @@ def compare(con, df, sql):
     if wrong:
         return f"{len(wrong)} of {len(a)} rows differ, first {wrong[:3]}"
     kinds = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "HUGEINT": "hugeint",
-             "TIMESTAMP": "timestamp_ntz"}
+             "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "DATE": "date"}
     types = dict(df.dtypes)
     for d in result.description:
         kind = kinds.get(str(d[1]), str(d[1]))

@@ -31,6 +31,5 @@ if __name__ == "__main__":
                 rows = df.collect()
                 verdict = f"no sql, {len(rows)} rows, {[tuple(r) for r in rows[:4]]}"
         except Exception as error:
-            open("/tmp/cause.txt", "a").write(str(error) + "\n=====\n")
             verdict = "ERROR " + "".join(traceback.format_exception_only(error))[:600] + " ".join(l for l in str(error).splitlines() if "Caused" in l or "Serialization" in l or "- " in l[:6])[:3000]
         print(f"{name:28s} {time.time() - start:6.2f}s {verdict}", flush=True)

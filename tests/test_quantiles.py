@@ -12,7 +12,6 @@ from plumbline.operators import quantiles, splits
 @pytest.fixture
 def tiny(monkeypatch):
     """Force the narrowing path on small data."""
-    monkeypatch.setattr(quantiles, "DIRECT_ROWS", 0)
     monkeypatch.setattr(quantiles, "GATHER_ROWS", 5)
     monkeypatch.setattr(splits, "GATHER_ROWS", 5)
     monkeypatch.setattr(quantiles, "BINS", 7)

@@ -27,6 +27,40 @@ def test_csv_with_schema_nulls_bad_cells(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("y", None, None), ("x", 1, 1.5), (None, 3, math.inf)]
 
 
+def test_csv_line_breaks_and_long_numbers(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text(
+        'id,huge,s\n1234567890123456789,12345678901234567890123,"two\nlines, ""quoted"""\n'
+        "1234567890123456788,7,plain\n"
+    )
+    df = pl.read_table(spark, str(path))
+    assert dict(df.dtypes) == {"id": "bigint", "huge": "decimal(38,0)", "s": "string"}
+    rows = [(r["id"], int(r["huge"]), r["s"]) for r in df.orderBy("id").collect()]
+    assert rows == [
+        (1234567890123456788, 7, "plain"),
+        (1234567890123456789, 12345678901234567890123, 'two\nlines, "quoted"'),
+    ]
+
+
+@pytest.mark.parametrize("row", ["3,4,5", "3"])
+@pytest.mark.parametrize("schema", [None, "a int, b int"])
+def test_csv_row_of_another_length_is_an_error(spark, tmp_path, row, schema):
+    path = tmp_path / "raw.csv"
+    path.write_text(f"a,b\n1,2\n{row}\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+        pl.read_table(spark, str(path), schema=schema).select("a").collect()
+
+
+def test_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    pl.write_table(spark.range(3), path)
+    with pytest.raises(Exception):
+        pl.write_table(spark.range(3).selectExpr("raise_error('no') as id"), path)
+    assert pl.read_table(spark, path).count() == 3
+    pl.write_table(pl.read_table(spark, path).filter("id < 1"), path)
+    assert pl.read_table(spark, path).count() == 1
+
+
 def test_unknown_format():
     assert format_of("a/b.csv") == "csv"
     with pytest.raises(ValueError):

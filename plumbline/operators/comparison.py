@@ -86,17 +86,23 @@ def _merge(name: str, power: str) -> Column:
 
 
 def compare_subsets(
-    df: DataFrame, spec: TableSpec, subsets: Mapping[str, Sequence[str]], model: str = "ridge", seed: int = 0
+    df: DataFrame,
+    spec: TableSpec,
+    subsets: Mapping[str, Sequence[str]],
+    model: str = "ridge",
+    seed: int = 0,
+    split: str | None = None,
 ) -> DataFrame:
     """(name, n, score) of named variable lists on the same splits."""
     features = spec.numerics(df) + spec.categories(df)
     coded = encode_categories(df, spec)
+    masks = {name: tuple(int(f in set(require(df, xs))) for f in features) for name, xs in subsets.items()}
+    wanted = list(dict.fromkeys(masks.values()))
     if model == "ridge":
-        scorer = ridge_scorer(coded, spec, features, seed=seed)
+        found = ridge_scorer(coded, spec, features, seed=seed, split=split)(wanted)
     else:
-        scorer = model_scorer(coded, spec, features, MODELS[model], seed=seed)
-    masks = {name: tuple(int(f in set(require(df, xs))) for f in features) for name, xs in subsets.items()}
-    found = scorer(list(dict.fromkeys(masks.values())))
+        with model_scorer(coded, spec, features, MODELS[model], seed=seed, split=split) as scorer:
+            found = scorer(wanted)
     rows = [(name, sum(mask), found[mask]) for name, mask in masks.items()]
     return df.sparkSession.createDataFrame(rows, "name string, n int, score double")
 

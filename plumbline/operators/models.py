@@ -32,8 +32,11 @@ from .metrics import Metric, metric_named, score
 
 FEATURES = "_features"
 LABEL = "_label"
-# Up to this many training rows are dealt evenly over the cores.
-SPREAD_ROWS = 10_000_000
+# Training rows to a partition, and rows to a block that stays together.
+ROWS_PER_PART = 100_000
+BLOCK_ROWS = 8_192
+# Equal rows that are dealt together.
+COPIES = 1_000
 
 
 # ---- search space ------------------------------------------------------------
@@ -106,7 +109,7 @@ class ModelFamily:
     """How to build an estimator from parameters, and how to search them.
 
     ``build(params, n_rows, seed)`` returns a Spark ML estimator, or a Ridge.
-    ``kernel`` families see random Fourier features of their columns; ``binary``
+    ``kernel`` families see ``size`` random Fourier features of their columns; ``binary``
     ones are fitted once per class when there are more than two.
     """
 
@@ -218,11 +221,11 @@ FAMILIES = {
             {"alpha": 1.0}, {"alpha": LogUniform(1e-3, 1e2)}, "mse", 10,
         ),
         ModelFamily(
-            "svr", False, _svr, {"C": 1.0, "epsilon": 0.1, "gamma": 1.0, "max_iter": 100},
+            "svr", False, _svr, {"C": 1.0, "epsilon": 0.1, "gamma": 1.0, "max_iter": 100, "size": 64},
             {**_SVM_SPACE, "epsilon": LogUniform(1e-3, 1e2)}, "mse", 100, kernel=True,
         ),
         ModelFamily(
-            "svc", True, _svc, {"C": 1.0, "gamma": 1.0, "max_iter": 100}, _SVM_SPACE, "matthews", 100,
+            "svc", True, _svc, {"C": 1.0, "gamma": 1.0, "max_iter": 100, "size": 64}, _SVM_SPACE, "matthews", 100,
             kernel=True, binary=True,
         ),
         ModelFamily(
@@ -298,20 +301,34 @@ class FittedModel:
 def with_features(df: DataFrame, family: ModelFamily, params: dict, xs: Sequence[str], seed: int) -> DataFrame:
     """Add the vector column. Missing values raise when a task meets one."""
     if family.kernel:
-        return df.withColumn(FEATURES, FourierFeatures(params["gamma"], seed=seed).vector(xs))
+        return df.withColumn(FEATURES, FourierFeatures(params["gamma"], int(params["size"]), seed).vector(xs))
     names = [f"`{x}`" if "." in x else x for x in xs]
     return VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="error").transform(df)
 
 
-def spread(train: DataFrame, n_rows: int) -> DataFrame:
-    """Even out a small training table, which may sit in a single file split.
+def dealt(df: DataFrame, n_rows: int, seed: int = 0) -> DataFrame:
+    """The rows with a block and a place in a random order that only they decide.
 
-    A large table already has more splits than cores and stays where it is.
+    Equal rows are counted and numbered, so neither the layout of the files nor
+    the number of cores changes where a row comes, and no hot row piles up.
     """
-    if n_rows > SPREAD_ROWS:
-        return train
-    parts = min(train.sparkSession.sparkContext.defaultParallelism, 1 + n_rows // 5_000)
-    return train.repartition(parts)
+    cols = [col(c) for c in df.columns]
+    step = F.lit(COPIES).cast("long")
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    parts = counted.withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, step))
+    ).repartition(*cols, "_from")
+    last = F.least(F.col("_from") + step, F.col("_n")) - 1
+    rows = parts.withColumn("_copy", F.explode(F.sequence(F.col("_from"), last)))
+    place = F.xxhash64(*cols, F.col("_copy"), F.lit(seed))
+    return rows.select(*cols, place.alias("_place")).withColumn(
+        "_block", F.pmod("_place", F.lit(1 + n_rows // BLOCK_ROWS))
+    )
+
+
+def in_place(train: DataFrame, n_rows: int) -> DataFrame:
+    """Dealt rows in partitions and an order that follow from the rows alone."""
+    return train.repartition(1 + n_rows // ROWS_PER_PART, "_block").sortWithinPartitions("_block", "_place")
 
 
 def fit_model(
@@ -324,6 +341,10 @@ def fit_model(
     classes: Sequence | None = None,
     n_rows: int | None = None,
 ) -> FittedModel:
+    """Train on the rows. The model depends on them, not on their layout.
+
+    A frame that already has the columns of ``dealt`` is used in that order.
+    """
     family = family_named(family)
     xs = require(df, xs)
     params = {**family.defaults, **(params or {})}
@@ -335,8 +356,12 @@ def fit_model(
     if isinstance(estimator, Ridge):
         return FittedModel(family, params, xs, y, None, estimator.fit(df, xs, y), seed)
     label = label_index(y, classes) if family.classifier else number(y)
-    train = with_features(df.select(*[col(c) for c in dict.fromkeys([*xs, y])]), family, params, xs, seed)
-    train = spread(train.select(FEATURES, label.alias(LABEL)), n_rows)
+    used = df.select(*[col(c) for c in dict.fromkeys([*xs, y])])
+    if {"_block", "_place"} <= set(df.columns):
+        used = df.select(*[col(c) for c in used.columns], "_block", "_place")
+    else:
+        used = dealt(used, n_rows)
+    train = with_features(in_place(used, n_rows), family, params, xs, seed).select(FEATURES, label.alias(LABEL))
     if family.binary and len(classes) > 2:
         model = OneAgainstRest.fit(estimator, train, len(classes))
     else:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import as_list, col, require
+from ..functions.columns import as_list, col, not_nan, require
 from .quantiles import GATHER_ROWS, values_at_ranks
 
 _HASH_SPAN = 2**62
@@ -39,10 +39,10 @@ def kfold(
 ) -> DataFrame:
     """Add a fold number 0..k-1.
 
-    Unshuffled folds are contiguous runs of the key order and the first
-    ``n mod k`` of them hold one row more. Only the k-1 boundary keys are looked
-    up; no row moves. Shuffled folds hash the key. ``n_rows``, if known, saves a
-    count.
+    Unshuffled folds are contiguous runs of the key order, missing keys first,
+    and the first ``n mod k`` of them hold one row more. Only the k-1 boundary
+    keys are looked up; no row moves. Shuffled folds hash the key, of any type,
+    or the whole row without one. ``n_rows``, if known, saves a count.
     """
     key = as_list(key)
     if shuffle:
@@ -50,8 +50,15 @@ def kfold(
         return df.withColumn(name, fold)
     if not key:
         raise ValueError("contiguous folds need key columns that order the rows")
-    ordered = [_orderable(df, c) for c in require(df, key)]
-    n = df.count() if n_rows is None else n_rows
+    values = [_orderable(df, c) for c in require(df, key)]
+    counted = df.agg(F.count(F.lit(1)), *[F.count(v) for v in values]).first()
+    n = counted[0] if n_rows is None else n_rows
+    ordered = []
+    for value, present in zip(values, counted[1:]):
+        if present < counted[0]:
+            ordered += [value.isNotNull().cast("int"), F.coalesce(value, F.lit(0))]
+        else:
+            ordered.append(value)
     if n < k:
         raise ValueError(f"{n} rows cannot fill {k} folds")
     sizes = [n // k + (1 if i < n % k else 0) for i in range(k)]
@@ -74,11 +81,19 @@ def _orderable(df: DataFrame, name: str) -> Column:
         return F.unix_date(col(name))
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(col(name))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return not_nan(col(name).cast("double"))
     if isinstance(kind, T.NumericType):
         return col(name)
     raise TypeError(f"order key {name} must be numeric, date or timestamp; hash folds take any key")
 
 
+def has_order(df: DataFrame, key: Sequence[str]) -> bool:
+    """Whether contiguous folds can follow the key columns."""
+    kinds = (T.NumericType, T.DateType, T.TimestampType)
+    return bool(key) and all(isinstance(df.schema[c].dataType, kinds) for c in key)
+
+
 def _at_least(key: Sequence[Column], bound: Sequence) -> Column:
     """Lexicographic ``key >= bound`` as plain comparisons."""
     test = key[-1] >= F.lit(bound[-1])

@@ -8,8 +8,9 @@ distinct mask once. The evolution handles a few hundred 0/1 masks on the driver.
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -17,12 +18,12 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, number
 from ..spec import TableSpec
-from ..staging import stage_table
+from ..staging import staged
 from .encoding import encode_categories
 from .gram import column_means, group_moments, scores_from_moments
 from .metrics import score
-from .models import ModelFamily, class_labels, family_named, fit_model
-from .splits import holdouts, kfold
+from .models import ModelFamily, class_labels, dealt, family_named, fit_model, in_place
+from .splits import has_order, holdouts, kfold
 
 Mask = tuple[int, ...]
 Scorer = Callable[[Sequence[Mask]], dict[Mask, float]]
@@ -35,25 +36,40 @@ DISQUALIFIED = (float("inf"), 0.0)
 CONCURRENT_FITS = 4
 
 
-def split_groups(df: DataFrame, key: Sequence[str], seed: int = 0) -> tuple[DataFrame, list[tuple[list[int], list[int]]]]:
+def split_groups(
+    df: DataFrame, key: Sequence[str], seed: int = 0, split: str | None = None
+) -> tuple[DataFrame, list[tuple[list[int], list[int]]]]:
     """Rows with an integer ``_group`` and (train groups, test groups) per split.
 
-    From 1000 rows on: contiguous folds. Below: repeated random holdouts, one
-    copy of the small table per repeat.
+    ``split`` is "folds" (five) or "holdouts" (thirty random ones, one copy of the
+    table per repeat); None takes folds from 1000 rows on. Folds are contiguous
+    where the key columns order the rows, else by a hash of the key, or of the
+    whole row without one.
     """
+    if split not in (None, "folds", "holdouts"):
+        raise ValueError("split is folds, holdouts or None")
     n_rows = df.count()
-    if n_rows >= FOLD_ROWS:
+    if split == "folds" or (split is None and n_rows >= FOLD_ROWS):
         folds = list(range(FOLDS))
-        placed = kfold(df, key, FOLDS, name="_group", n_rows=n_rows)
+        placed = kfold(
+            df, key, FOLDS, shuffle=not has_order(df, key), seed=seed, name="_group", n_rows=n_rows
+        )
         return placed, [([g for g in folds if g != f], [f]) for f in folds]
     held = holdouts(df, key, HOLDOUTS, 0.3, seed)
     grouped = held.withColumn("_group", F.col("rep") * 2 + F.col("is_test").cast("int")).drop("rep", "is_test")
     return grouped, [([2 * r], [2 * r + 1]) for r in range(HOLDOUTS)]
 
 
-def ridge_scorer(df: DataFrame, spec: TableSpec, features: Sequence[str], alpha: float = 1.0, seed: int = 0) -> Scorer:
+def ridge_scorer(
+    df: DataFrame,
+    spec: TableSpec,
+    features: Sequence[str],
+    alpha: float = 1.0,
+    seed: int = 0,
+    split: str | None = None,
+) -> Scorer:
     """Mean r2 over the splits; the data is read once, here."""
-    grouped, splits = split_groups(df, spec.key, seed)
+    grouped, splits = split_groups(df, spec.key, seed, split)
     moments = group_moments(grouped, features, spec.target, F.col("_group"))
     parts = [(moments.total(train), moments.total(test)) for train, test in splits]
 
@@ -69,6 +85,7 @@ def ridge_scorer(df: DataFrame, spec: TableSpec, features: Sequence[str], alpha:
     return scorer
 
 
+@contextmanager
 def model_scorer(
     df: DataFrame,
     spec: TableSpec,
@@ -76,41 +93,50 @@ def model_scorer(
     family: str | ModelFamily,
     params: dict | None = None,
     seed: int = 0,
-) -> Scorer:
-    """Mean score over the splits with Spark ML models, a few fits at a time."""
+    split: str | None = None,
+) -> Iterator[Scorer]:
+    """Mean score over the splits with Spark ML models, a few fits at a time.
+
+    The coded columns are written once, in dealt order, for the time of the
+    block. A mask costs its fits and one job that scores all its splits.
+    """
     family = family_named(family)
     metric = "accuracy" if family.classifier else "r2"
-    grouped, splits = split_groups(df, spec.key, seed)
+    grouped, splits = split_groups(df, spec.key, seed, split)
     label = col(spec.target) if family.classifier else number(spec.target).alias(spec.target)
-    table = stage_table(
-        grouped.select(*[number(f).alias(f) for f in features], label, F.col("_group")), "subset"
-    )
-    column_means(table, features)
-    classes = class_labels(table, spec.target) if family.classifier else None
-
-    def one(job: tuple[Mask, int]) -> tuple[Mask, float | None]:
-        mask, at = job
-        train, test = splits[at]
-        xs = [f for f, keep in zip(features, mask) if keep]
-        fitted = fit_model(
-            table.filter(F.col("_group").isin(train)), xs, spec.target, family, params, seed, classes
-        )
-        row = score(
-            fitted.predict(table.filter(F.col("_group").isin(test))), spec.target, "prediction", metric
-        ).first()
-        return mask, row["score"]
-
-    def scorer(masks: Sequence[Mask]) -> dict[Mask, float]:
-        spark = df.sparkSession
-        jobs = [(mask, at) for mask in masks for at in range(len(splits))]
-        found: dict[Mask, list[float]] = {mask: [] for mask in masks}
-        with ThreadPoolExecutor(CONCURRENT_FITS) as pool:
-            for mask, value in pool.map(inheritable_thread_target(spark)(one), jobs):
-                if value is not None:
-                    found[mask].append(value)
-        return {mask: sum(v) / len(v) if v else 0.0 for mask, v in found.items()}
+    columns = grouped.select(*[number(f).alias(f) for f in features], label, F.col("_group"))
+    column_means(columns, features)
+    sizes = {r["_group"]: r["count"] for r in columns.groupBy("_group").count().collect()}
+    total = sum(sizes.values())
+    classes = class_labels(columns, spec.target) if family.classifier else None
+    spark = df.sparkSession
 
-    return scorer
+    with staged(in_place(dealt(columns, total, seed), total), "subset") as table:
+
+        def one(mask: Mask) -> tuple[Mask, float]:
+            xs = [f for f, keep in zip(features, mask) if keep]
+            tested = None
+            for at, (train, test) in enumerate(splits):
+                n = sum(sizes.get(g, 0) for g in train)
+                if not n or not any(sizes.get(g) for g in test):
+                    continue
+                fitted = fit_model(
+                    table.filter(F.col("_group").isin(train)), xs, spec.target, family, params, seed, classes, n
+                )
+                part = fitted.predict(table.filter(F.col("_group").isin(test)))
+                part = part.select(spec.target, "prediction", F.lit(at).alias("_split"))
+                tested = part if tested is None else tested.unionByName(part)
+            if tested is None:
+                return mask, 0.0
+            rows = score(tested, spec.target, "prediction", metric, ["_split"]).collect()
+            known = [r["score"] for r in rows if r["score"] is not None]
+            return mask, sum(known) / len(known) if known else 0.0
+
+        def scorer(masks: Sequence[Mask]) -> dict[Mask, float]:
+            with ThreadPoolExecutor(CONCURRENT_FITS) as pool:
+                return dict(pool.map(inheritable_thread_target(spark)(one), masks))
+
+        yield scorer
 
 
 def _better(a: tuple[float, float], b: tuple[float, float]) -> bool:
@@ -171,6 +197,7 @@ def _child(population: Sequence[Mask], rng: random.Random, cxpb: float, flip: fl
     return tuple(bit ^ (rng.random() < flip) for bit in rng.choice(population))
 
 
+# Names of the models.
 MODELS = {
     "ridge": "ridge", "DTC": "tree_clf", "DTR": "tree_reg", "RFC": "forest_clf", "RFR": "forest_reg"
 }
@@ -188,10 +215,11 @@ def subset_search(
     max_depth: int = 5,
     seed: int = 0,
     scorer: Scorer | None = None,
+    split: str | None = None,
 ) -> DataFrame:
     """Front of feature subsets: (n, score, selected) by score, best first."""
     front, _ = subset_search_log(
-        df, spec, model, max_features, generations, mu, lam, cxpb, max_depth, seed, scorer
+        df, spec, model, max_features, generations, mu, lam, cxpb, max_depth, seed, scorer, split
     )
     return front
 
@@ -208,23 +236,33 @@ def subset_search_log(
     max_depth: int = 5,
     seed: int = 0,
     scorer: Scorer | None = None,
+    split: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The front, and a log of average, best and worst score per generation.
 
     Folds are fixed, so a mask's score never changes and is computed once.
     Empty masks and masks above ``max_features`` are disqualified. ``scorer``
-    maps masks to scores and replaces the model's own.
+    maps masks to scores and replaces the model's own. ``split`` is that of
+    ``split_groups``.
     """
     if model not in MODELS:
         raise ValueError(f"unknown model {model!r}; have {sorted(MODELS)}")
     features = spec.numerics(df) + spec.categories(df)
-    if scorer is None:
-        coded = encode_categories(df, spec)
-        if model == "ridge":
-            scorer = ridge_scorer(coded, spec, features, seed=seed)
-        else:
-            params = {"max_depth": max_depth if model.startswith("DT") else 5}
-            scorer = model_scorer(coded, spec, features, MODELS[model], params, seed)
+    options = (features, max_features, generations, mu, lam, cxpb, seed)
+    if scorer is not None:
+        return _evolve(df, scorer, *options)
+    coded = encode_categories(df, spec)
+    if model == "ridge":
+        return _evolve(df, ridge_scorer(coded, spec, features, seed=seed, split=split), *options)
+    params = {"max_depth": max_depth if model.startswith("DT") else 5}
+    with model_scorer(coded, spec, features, MODELS[model], params, seed, split) as scorer:
+        return _evolve(df, scorer, *options)
+
+
+def _evolve(
+    df: DataFrame, scorer: Scorer, features: Sequence[str], max_features: int, generations: int,
+    mu: int, lam: int, cxpb: float, seed: int,
+) -> tuple[DataFrame, DataFrame]:
     rng = random.Random(seed)
     rate = min(1.0, max_features / len(features))
     known: dict[Mask, tuple[float, float]] = {}

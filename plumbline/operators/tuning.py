@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -13,11 +14,11 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col
 from ..spec import TableSpec
-from ..staging import stage_table
+from ..staging import staged
 from .encoding import Preprocessor
 from .gram import Moments, group_moments, scores_from_moments
 from .metrics import Metric, metric_named, score
-from .models import FittedModel, ModelFamily, class_labels, family_named, fit_model
+from .models import FittedModel, ModelFamily, class_labels, dealt, family_named, fit_model, in_place
 from .splits import BUCKETS, bucket, dealt_folds, repeat_fold
 
 CONCURRENT_FITS = 4
@@ -89,10 +90,18 @@ def tune(
         trials = draw_params(space or family.space, n_trials or family.n_trials, seed)
     keep = [*spec.key, spec.target]
     prep = Preprocessor.of(df, spec, scaling=scaling, encode=encode, threshold=threshold).fit(df)
+    used = [col(c) for c in dict.fromkeys([*keep, *prep.numeric, *prep.categorical])]
+    # The buckets come from the raw rows, so all families share their folds.
+    dealt_out = df.select(*used, bucket(df, spec.key, seed).alias("_bucket"))
+    how = (dealt_out, spec, prep, family, trials, metric, folds, repeats, seed, fit_on_all)
+    moments = None
     if family.name == "ridge" and metric.name in ("mse", "r2"):
-        rows, moments = _ridge_trials(df, spec, prep, trials, metric, folds, repeats, seed, fit_on_all)
+        if fit_on_all or not (encode and prep.categorical):
+            rows, moments = _ridge_trials(*how)
+        else:
+            rows = _ridge_fold_trials(*how)
     else:
-        rows, moments = _model_trials(df, spec, prep, family, trials, metric, folds, repeats, seed, fit_on_all), None
+        rows = _model_trials(*how)
     sums: dict[int, list[float]] = {}
     for trial, _, _, _, value in rows:
         if value is not None:
@@ -119,28 +128,26 @@ def _as_row(trial: int, params: dict, rep: int, fold: int, value: float | None)
 
 
 def _ridge_trials(
-    df: DataFrame, spec: TableSpec, prep: Preprocessor, trials: Sequence[dict], metric: Metric,
-    folds: int, repeats: int, seed: int, fit_on_all: bool,
+    df: DataFrame, spec: TableSpec, prep: Preprocessor, family: ModelFamily, trials: Sequence[dict],
+    metric: Metric, folds: int, repeats: int, seed: int, fit_on_all: bool,
 ) -> tuple[list[tuple], Moments]:
     """All trials and folds from one pass: products are summed per bucket.
 
-    Scaling by a training fold's own spread is applied to the sums. One-hot
-    columns of categories absent from a training fold get coefficient 0, which
-    is what an unseen category would score.
+    Scaling by a training fold's own spread is applied to the sums.
     """
-    keep = [*spec.key, spec.target]
-    coded = prep.transform(df, keep)
-    xs = [c for c in coded.columns if c not in keep]
-    moments = group_moments(coded, xs, spec.target, bucket(coded, spec.key or coded.columns, seed))
+    keep = [*dict.fromkeys([*spec.key, spec.target])]
+    coded = prep.transform(df, [*keep, "_bucket"])
+    xs = [c for c in coded.columns if c not in (*keep, "_bucket")]
+    moments = group_moments(coded, xs, spec.target, F.col("_bucket"))
     picks = range(1, len(xs) + 1)
     scaled = [] if fit_on_all else [i for i, x in enumerate(xs, 1) if x.startswith("st__")]
     rows = []
     for rep in range(repeats):
-        dealt = dealt_folds(folds, rep, seed)
+        folds_of = dealt_folds(folds, rep, seed)
         parts = [
             (
-                moments.total([b for b in range(BUCKETS) if dealt[b] != f]),
-                moments.total([b for b in range(BUCKETS) if dealt[b] == f]),
+                moments.total([b for b in range(BUCKETS) if folds_of[b] != f]),
+                moments.total([b for b in range(BUCKETS) if folds_of[b] == f]),
             )
             for f in range(folds)
         ]
@@ -151,41 +158,87 @@ def _ridge_trials(
     return rows, moments
 
 
+def _own_prep(prep: Preprocessor, train: DataFrame) -> Preprocessor:
+    """The same preparation fitted on a training fold alone."""
+    return Preprocessor(
+        prep.numeric, prep.categorical, prep.scaling, prep.encode, prep.threshold, prep.order_by
+    ).fit(train)
+
+
+def _each(spark, job, items) -> list:
+    with ThreadPoolExecutor(CONCURRENT_FITS) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(job), items))
+
+
+def _ridge_fold_trials(
+    df: DataFrame, spec: TableSpec, prep: Preprocessor, family: ModelFamily, trials: Sequence[dict],
+    metric: Metric, folds: int, repeats: int, seed: int, fit_on_all: bool,
+) -> list[tuple]:
+    """With categories, codes and routes come from each training fold.
+
+    A fold costs the fit of its preparation and one pass of sums; the penalties
+    are scored from these.
+    """
+    with staged(df, "tune") as table:
+
+        def one(job: tuple[int, int]) -> list[tuple]:
+            rep, f = job
+            held = repeat_fold(F.col("_bucket"), folds, rep, seed) == f
+            own = _own_prep(prep, table.filter(~held))
+            coded = own.transform(table, [spec.target, "_bucket"])
+            xs = [c for c in coded.columns if c not in (spec.target, "_bucket")]
+            sums = group_moments(coded, xs, spec.target, held.cast("int"))
+            train, test = sums.total([0]), sums.total([1])
+            picks = range(1, len(xs) + 1)
+            return [
+                _as_row(at, p, rep, f, scores_from_moments(train, test, picks, p["alpha"])[metric.name])
+                for at, p in enumerate(trials)
+            ]
+
+        jobs = [(rep, f) for rep in range(repeats) for f in range(folds)]
+        return sorted((r for part in _each(df.sparkSession, one, jobs) for r in part), key=lambda r: (r[0], r[2], r[3]))
+
+
 def _model_trials(
     df: DataFrame, spec: TableSpec, prep: Preprocessor, family: ModelFamily, trials: Sequence[dict],
     metric: Metric, folds: int, repeats: int, seed: int, fit_on_all: bool,
 ) -> list[tuple]:
-    used = [*spec.key, spec.target, *prep.numeric, *prep.categorical]
-    table = stage_table(
-        df.select(*[col(c) for c in dict.fromkeys(used)]).withColumn("_bucket", bucket(df, spec.key, seed)),
-        "tune",
-    )
-    classes = class_labels(table, spec.target) if family.classifier else None
-
-    splits: dict[tuple[int, int], tuple[DataFrame, DataFrame, list[str], int]] = {}
-    for rep in range(repeats):
-        fold = repeat_fold(F.col("_bucket"), folds, rep, seed)
-        for f in range(folds):
+    """Each trial costs its fits and one job that scores all its folds."""
+    classes = class_labels(df, spec.target) if family.classifier else None
+    sizes = {r["_bucket"]: r["count"] for r in df.groupBy("_bucket").count().collect()}
+    total = sum(sizes.values())
+
+    with staged(in_place(dealt(df, total, seed), total), "tune") as table:
+        place = ["_block", "_place"]
+
+        def split(job: tuple[int, int]) -> tuple:
+            rep, f = job
+            fold = repeat_fold(F.col("_bucket"), folds, rep, seed)
             train, test = table.filter(fold != f), table.filter(fold == f)
-            if fit_on_all:
-                own = prep
-            else:
-                own = Preprocessor(
-                    prep.numeric, prep.categorical, prep.scaling, prep.encode, prep.threshold, prep.order_by
-                ).fit(train)
-            a = own.transform(train, [spec.target])
-            b = own.transform(test, [spec.target])
-            xs = [c for c in a.columns if c != spec.target]
-            n = train.count()
-            splits[rep, f] = (a, b, xs, n)
-
-    def one(job: tuple[int, int, int]) -> tuple:
-        at, rep, f = job
-        train, test, xs, n = splits[rep, f]
-        fitted = fit_model(train, xs, spec.target, family, trials[at], seed, classes, n)
-        found = score(fitted.predict(test), spec.target, "prediction", metric).first()
-        return _as_row(at, trials[at], rep, f, found["score"] if found else None)
-
-    jobs = [(at, rep, f) for at in range(len(trials)) for rep, f in splits]
-    with ThreadPoolExecutor(CONCURRENT_FITS) as pool:
-        return list(pool.map(inheritable_thread_target(df.sparkSession)(one), jobs))
+            own = prep if fit_on_all else _own_prep(prep, train)
+            a, b = own.transform(train, [spec.target, *place]), own.transform(test, [spec.target])
+            folds_of = dealt_folds(folds, rep, seed)
+            n = sum(count for at, count in sizes.items() if folds_of[at] != f)
+            return a, b, [c for c in b.columns if c != spec.target], n
+
+        jobs = [(rep, f) for rep in range(repeats) for f in range(folds)]
+        splits = dict(zip(jobs, _each(df.sparkSession, split, jobs)))
+
+        def fit(job: tuple[int, int, int]) -> DataFrame:
+            at, rep, f = job
+            train, test, xs, n = splits[rep, f]
+            fitted = fit_model(train, xs, spec.target, family, trials[at], seed, classes, n)
+            return fitted.predict(test).select(
+                spec.target, "prediction", F.lit(rep).alias("_rep"), F.lit(f).alias("_fold")
+            )
+
+        def scored(at: int) -> list[tuple]:
+            parts = _each(df.sparkSession, fit, [(at, *job) for job in jobs])
+            tested = functools.reduce(DataFrame.unionByName, parts)
+            found = {
+                (r["_rep"], r["_fold"]): r["score"]
+                for r in score(tested, spec.target, "prediction", metric, ["_rep", "_fold"]).collect()
+            }
+            return [_as_row(at, trials[at], rep, f, found.get((rep, f))) for rep, f in jobs]
+
+        return [row for at in range(len(trials)) for row in scored(at)]

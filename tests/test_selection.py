@@ -43,14 +43,16 @@ def test_boruta_with_classes_and_text_category(spark):
 
 def test_shadows_are_permutations_unrelated_to_the_originals(spark):
     df = spark.range(60_000).selectExpr("sin(id / 5000) as a", "double(id) as b", "id % 3 as y")
-    mixed = bo.mixed_table(df, ["a", "b", "y"], 0)
+    mixed = bo.in_place(bo.dealt(df, 60_000), 60_000)
     names = ["s0", "s1", "s2"]
-    out = bo.add_shadows(mixed, ["a", "b", "a"], names, 5).toPandas()
+    order = ["_block", "_place"]
+    out = bo.add_shadows(mixed, ["a", "b", "a"], names, 5).toPandas().sort_values(order, ignore_index=True)
     assert np.allclose(np.sort(out["a"]), np.sort(out["s0"])) and np.allclose(np.sort(out["b"]), np.sort(out["s1"]))
     corr = out[["a", "b", "s0", "s1", "s2"]].corr().abs()
     assert corr.loc["a", "s0"] < 0.02 and corr.loc["b", "s1"] < 0.02 and corr.loc["s0", "s2"] < 0.02
     assert corr.loc["s0", "s1"] < 0.02
-    again = bo.add_shadows(mixed, ["a", "b", "a"], names, 5).toPandas()
+    mixed = bo.in_place(bo.dealt(df.repartition(7), 60_000), 60_000)
+    again = bo.add_shadows(mixed, ["a", "b", "a"], names, 5).toPandas().sort_values(order, ignore_index=True)
     assert again.equals(out)
 
 

@@ -65,64 +65,22 @@ class Memo(dict):
         return value
 
 
-class ByteBpe:
-    """Vocabulary and merges of a byte-level tokenizer file."""
+class Merges:
+    """Merge rules of a tokenizer file whose letters stand for bytes."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        vocab = spec["model"]["vocab"]
-        letters = byte_letters()
-        byte_of = {c: b for b, c in enumerate(letters)}
+        self.vocab = vocab = spec["model"]["vocab"]
+        self.letters = byte_letters()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = max([*vocab.values(), *self.special.values()]) + 1
-        self.token_bytes = [b""] * size
-        for token, i in vocab.items():
-            self.token_bytes[i] = bytes(byte_of[c] for c in token)
-        for token, i in self.special.items():
-            self.token_bytes[i] = token.encode()
-        self.byte_ids = [vocab[c] for c in letters]
+        self.byte_ids = [vocab[c] for c in self.letters]
         self.joined = {}
         for rank, (a, b) in enumerate(spec["model"]["merges"]):
             self.joined.setdefault(vocab[a] << BITS | vocab[b], rank << BITS | vocab[a + b])
-        self.special_pattern = regex.compile(
-            "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) or r"(?!)"
-        )
-        self.special_hold = max(map(len, self.special), default=1) - 1
-        self.lookahead = self.sufficient_lookahead()
-
-    def sufficient_lookahead(self) -> int:
-        """Bytes after which no continuation of the text changes a token.
-
-        Compare the merging of one text with two continuations. The tokens that
-        both share end at some border; it moves left only when a rule joins the
-        last shared token ``u`` with what begins at the border, and then by
-        ``u``. What begins at the border has the token of the move before (or
-        its ``u``) at its left edge, and rules apply in rank order. So the moves
-        form a chain of rules of rising rank in which each right part has the
-        previous left part on its left edge; the longest chain in bytes bounds
-        how far the border can move, and one more token covers the border itself.
-        """
-        rules = [(pair >> BITS, pair & LOW, made & LOW) for pair, made in
-                 sorted(self.joined.items(), key=lambda x: x[1])]
-        parts = {new: a for a, _, new in rules}
-        reach = [0] * len(self.token_bytes)  # longest chain whose last left part is this token
-        longest = 0
-        for a, b, _ in rules:
-            best, edge = 0, b
-            while True:
-                best = max(best, reach[edge])
-                if edge not in parts:
-                    break
-                edge = parts[edge]
-            best += len(self.token_bytes[a])
-            reach[a] = max(reach[a], best)
-            longest = max(longest, best)
-        return longest + max(map(len, self.token_bytes))
 
-    def merge(self, data: bytes) -> list[int]:
-        """Tokens of one piece: the lowest rule first, from the left."""
-        ids = [self.byte_ids[b] for b in data]
+    def merge_ids(self, ids: list[int]) -> list[int]:
+        """Tokens that the rules make of a piece's tokens: the lowest rule first, from the left."""
         if len(ids) > SHORT:
             return self._merge_long(ids)
         made_by = self.joined.get
@@ -167,6 +125,58 @@ class ByteBpe:
         return [t for t in ids if t >= 0]
 
 
+class ByteBpe(Merges):
+    """A byte-level vocabulary: any text is a sequence of its tokens."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        byte_of = {c: b for b, c in enumerate(self.letters)}
+        size = max([*self.vocab.values(), *self.special.values()]) + 1
+        self.token_bytes = [b""] * size
+        for token, i in self.vocab.items():
+            self.token_bytes[i] = bytes(byte_of[c] for c in token)
+        for token, i in self.special.items():
+            self.token_bytes[i] = token.encode()
+        self.special_pattern = regex.compile(
+            "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) or r"(?!)"
+        )
+        self.special_hold = max(map(len, self.special), default=1) - 1
+        self.lookahead = self.sufficient_lookahead()
+
+    def merge(self, data: bytes) -> list[int]:
+        """Tokens of one piece."""
+        return self.merge_ids([self.byte_ids[b] for b in data])
+
+    def sufficient_lookahead(self) -> int:
+        """Bytes after which no continuation of the text changes a token.
+
+        Compare the merging of one text with two continuations. The tokens that
+        both share end at some border; it moves left only when a rule joins the
+        last shared token ``u`` with what begins at the border, and then by
+        ``u``. What begins at the border has the token of the move before (or
+        its ``u``) at its left edge, and rules apply in rank order. So the moves
+        form a chain of rules of rising rank in which each right part has the
+        previous left part on its left edge; the longest chain in bytes bounds
+        how far the border can move, and one more token covers the border itself.
+        """
+        rules = [(pair >> BITS, pair & LOW, made & LOW) for pair, made in
+                 sorted(self.joined.items(), key=lambda x: x[1])]
+        parts = {new: a for a, _, new in rules}
+        reach = [0] * len(self.token_bytes)  # longest chain whose last left part is this token
+        longest = 0
+        for a, b, _ in rules:
+            best, edge = 0, b
+            while True:
+                best = max(best, reach[edge])
+                if edge not in parts:
+                    break
+                edge = parts[edge]
+            best += len(self.token_bytes[a])
+            reach[a] = max(reach[a], best)
+            longest = max(longest, best)
+        return longest + max(map(len, self.token_bytes))
+
+
 @lru_cache(maxsize=4)
 def load(path: str) -> ByteBpe:
     return ByteBpe(path)
@@ -214,13 +224,17 @@ class Encoder:
         self.pattern = regex.compile(PIECES)
         self.odd_space = regex.compile(r"[^\S \n]|\s\s")
         self.cut = regex.compile(r"(?r)(?<=\S) (?=\S)")
-        self.piece = Memo(lambda p: tuple(bpe.merge(p.encode())), 20_000)
+        self.piece = Memo(lambda p: array("I", bpe.merge(p.encode())).tobytes(), 20_000)
         self.first = Memo(self._packed)
         self.later = Memo(lambda w: self._packed(w if w[:1] == "\n" else " " + w))
 
     def _packed(self, text: str) -> bytes:
-        ids = [i for p in self.pattern.findall(text) for i in self.piece[p]]
-        return array("I", ids).tobytes()
+        pieces = self.pattern.findall(text)
+        if len(pieces) < 2:
+            return array("I", self.bpe.merge(text.encode())).tobytes()
+        return b"".join(
+            [self.later[p[1:]] if p[0] == " " and not p[1:2].isspace() and p[1:] else self.piece[p] for p in pieces]
+        )
 
     def _block(self, text: str) -> bytes:
         """A text whose ends are borders of pieces, without special strings."""
@@ -298,7 +312,7 @@ class _PieceRun:
             for found in encoder.pattern.finditer(text, at):
                 if found.end() > safe:
                     break
-                out += encoder.piece[found[0]]
+                out += np.frombuffer(encoder.piece[found[0]], "<u4").tolist()
                 at = found.end()
             if len(text) - at >= BLOCK // 2:  # one piece fills the buffer
                 probe = text[at + 1] if text[at] == " " and not text[at + 1].isspace() else text[at]

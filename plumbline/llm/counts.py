@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from array import array
+
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -12,6 +15,8 @@ from .common import id_type, thin
 
 #: Pieces that a shorter cut parts in two.
 CONTRACTIONS = ("'re", "'ve", "'ll")
+#: Words whose counts are remembered, in each of two generations.
+WORDS = 350_000
 #: Pairs of tokens whose compatibility is remembered.
 PAIRS = 400_000
 
@@ -34,79 +39,92 @@ class PrefixCounter:
         self.odd_space = regex.compile(r"[^\S \n]|\s\s")
         self.gap = regex.compile(r"\s\s+(?=\S)")
         self.cut = regex.compile(r"(?r)(?<=\S) (?=\S)")
-        self.number = {t: i for i, t in enumerate(bpe.token_bytes) if i not in bpe.special.values()}
-        self.longest = max(map(len, self.number))
-        self.whole = {i: bpe.merge(t) == [i] for t, i in self.number.items()}
+        self.ends = ahocorasick.Automaton()
+        for i, t in enumerate(bpe.token_bytes):
+            if t and i not in bpe.special.values() and bpe.merge(t) == [i]:
+                self.ends.add_word(t.decode("latin-1"), (len(t), i))
+        self.ends.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.first = Memo(self._entry)
-        self.later = Memo(lambda w: self._entry(w if w[:1] == "\n" else " " + w))
-        self.piece = Memo(lambda p: np.frombuffer(self._entry(p)[0], "<i4"))
+        self.later = Memo(lambda w: self._entry(w if w[:1] == "\n" else " " + w), WORDS)
+        self.piece = Memo(self._one, 20_000)
 
     def _follows(self, a: int, b: int) -> bool:
-        key = a << 20 | b
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            tokens = self.bpe.token_bytes
-            known = self.pairs[key] = self.bpe.merge(tokens[a] + tokens[b]) == [a, b]
-        return known
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        tokens = self.bpe.token_bytes
+        fits = self.pairs[a << 20 | b] = self.bpe.merge(tokens[a] + tokens[b]) == [a, b]
+        return fits
 
     def piece_counts(self, data: bytes) -> list[int]:
-        """Counts after each byte of one piece."""
-        number, whole, counts, last = self.number.get, self.whole, [0], [-1]
-        for end in range(1, len(data) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = number(data[start:end])
-                if token is None or not whole[token]:
+        """Counts after each byte of one piece.
+
+        The automaton names the tokens that end at each byte, the longest first.
+        """
+        counts, last, known, solved = [0], [-1], self.pairs.get, 0
+        for at, (length, token) in self.ends.iter(data.decode("latin-1")):
+            if at < solved:
+                continue
+            start = at + 1 - length
+            if start:
+                before = last[start]
+                fits = known(before << 20 | token)
+                if fits is None:
+                    fits = self._follows(before, token)
+                if not fits:
                     continue
-                if start == 0 or self._follows(last[start], token):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
+            counts.append(counts[start] + 1)
+            last.append(token)
+            solved = at + 1
         return counts[1:]
 
-    def _cut_counts(self, text: str) -> list[int]:
+    def _entry(self, text: str) -> bytes:
         """Counts after each character of a text that may fall into several pieces."""
+        pieces = self.pattern.findall(text)
+        if len(pieces) < 2:
+            return self._one(text) if text else b""
         out, before = [], 0
-        for piece in self.pattern.findall(text):
-            data = piece.encode()
-            own = self.piece_counts(data)
-            total = own[-1]
-            if len(data) > len(piece):
-                ends = np.cumsum([len(c.encode()) for c in piece])
-                own = [own[e - 1] for e in ends]
-            if piece in CONTRACTIONS:  # a shorter cut is an apostrophe and a letter
-                own[1] = sum(self.piece_counts(p.encode())[-1] for p in piece[:2])
-            out += [before + c for c in own]
-            before += total
-        return out
-
-    def _entry(self, text: str) -> tuple[bytes, int, int]:
-        """Counts after each character, the last count, the number of characters."""
-        if not text:
-            return b"", 0, 0
-        counts = self._cut_counts(text)
-        return np.array(counts, "<i4").tobytes(), counts[-1], len(counts)
+        for piece in pieces:
+            spaced = piece[0] == " " and not piece[1:2].isspace() and len(piece) > 1
+            own = self.later[piece[1:]] if spaced else self.piece[piece]
+            own = np.frombuffer(own, "<i4") + before
+            out.append(own)
+            before = own[-1]
+        return np.concatenate(out).astype("<i4").tobytes()
+
+    def _one(self, piece: str) -> bytes:
+        data = piece.encode()
+        own = self.piece_counts(data)
+        if len(data) > len(piece):
+            at, ends = 0, []
+            for c in piece:
+                at += len(c.encode())
+                ends.append(own[at - 1])
+            own = ends
+        if piece in CONTRACTIONS:  # a shorter cut is an apostrophe and a letter
+            own[1] = sum(self.piece_counts(p.encode())[-1] for p in piece[:2])
+        return array("i", own).tobytes()
 
     def _block(self, text: str) -> np.ndarray:
         """Counts after each character; the ends of the text are borders of pieces."""
         if self.odd_space.search(text):
             out, before = np.empty(len(text), "<i4"), 0
             for found in self.pattern.finditer(text):
-                own = self.piece[found[0]]
+                own = np.frombuffer(self.piece[found[0]], "<i4")
                 out[found.start() : found.end()] = own + before
                 before += own[-1]
             for found in self.gap.finditer(text):
                 start = found.start()
                 base = out[start - 1] if start else 0
-                out[found.end() - 1] = base + self.piece[found[0]][-1]
+                out[found.end() - 1] = base + np.frombuffer(self.piece[found[0]], "<i4")[-1]
             return out
         words = text.replace("\n", " \n").split(" ")
-        entries = [self.first[words[0]], *[self.later[w] for w in words[1:]]]
-        tables, totals, lengths = zip(*entries)
-        starts = np.cumsum(totals) - totals
-        return np.frombuffer(b"".join(tables), "<i4") + np.repeat(starts, lengths).astype("<i4")
+        tables = [self.first[words[0]], *[self.later[w] for w in words[1:]]]
+        lengths = np.fromiter(map(len, tables), np.int64, len(tables)) >> 2
+        joined = np.frombuffer(b"".join(tables), "<i4")
+        ends = np.cumsum(lengths)
+        totals = np.where(lengths, joined[ends - 1], 0)
+        return joined + np.repeat((np.cumsum(totals) - totals).astype("<i4"), lengths)
 
     def _segment(self, text: str) -> np.ndarray:
         """Counts after each character of a text without special strings."""

@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import os
+from array import array
 from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import arrow_type, batches
+from .bpe import Memo, arrow_type, batches, byte_letters
 from .common import id_type, shuffle_width, stage, thin
 
 #: Words whose tokens a task remembers, in each of two generations.
-MEMO = 150_000
+WORDS = 450_000
+#: How such a vocabulary cuts a word before merging.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words that normalisation only turns to lower case.
+PLAIN = r"[!-~\u00c0-\u00ff]+"
 
 
 def default_path() -> str:
@@ -39,31 +45,42 @@ class WordTokens:
     """Token numbers of texts whose vocabulary drops white space.
 
     No piece of such a vocabulary reaches over a space or a line break, so the
-    text between them is encoded once by the library and remembered.
+    text between them is encoded by itself and remembered. Plain words go straight
+    to the library's merges, piece by piece; any other goes through all of the
+    library, with its normalisation and its special strings.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.young: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
+        self.merges = self.tokenizer.model.tokenize
+        self.letters = dict(enumerate(byte_letters()))
+        self.pattern, self.plain = regex.compile(PIECES), regex.compile(PLAIN)
+        self.words = Memo(self._word, WORDS)
+
+    def _word(self, word: str) -> bytes:
+        if word.isascii():
+            if word.isalpha():
+                low = word.lower()
+                return self._piece(word) if low == word else self.words[low]
+            if word[-1] in ".,!" and word[:-1].isalpha():
+                return self.words[word[:-1]] + self.words[word[-1]]
+        if not self.plain.fullmatch(word) or "<|" in word:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            return array("I", ids).tobytes()
+        low = word.lower()
+        pieces = self.pattern.findall(low)
+        if len(pieces) > 1:
+            return b"".join([self.words[p] for p in pieces])
+        return self._piece(word) if low == word else self.words[low]
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.merges(piece)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit numbers."""
-        words = text.replace("\n", " ").split(" ")
-        young, old = self.young, self.old
-        absent = list({w for w in words if w not in young})
-        if absent:
-            new = [w for w in absent if w not in old]
-            if len(young) + len(absent) > MEMO and len(young) > 1:
-                self.old = old = {**young, **{w: old[w] for w in absent if w in old}}
-                self.young = young = {"": b""}
-                absent = list({w for w in words if w not in young})
-            made = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, made)}
-            for w in absent:
-                found = fresh.get(w)
-                young[w] = old[w] if found is None else found
-        return b"".join([young[w] for w in words])
+        return b"".join([self.words[w] for w in text.replace("\n", " ").split(" ") if w])
 
 
 def token_pieces(

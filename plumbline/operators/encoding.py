@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder as VectorEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -189,7 +190,11 @@ class OrdinalEncoder:
 
 
 class OneHotEncoder(OrdinalEncoder):
-    """Columns ``c_1 .. c_k`` in code order; an unseen category is all zero."""
+    """Columns ``c_1 .. c_k`` in code order; an unseen category is all zero.
+
+    A column with more than ``SMALL_ROWS`` categories becomes one sparse vector
+    of that many places instead.
+    """
 
     def names(self, name: str) -> list[str]:
         return [f"{name}_{i}" for i in range(1, len(self._known[name]) + 1)]
@@ -202,11 +207,26 @@ class OneHotEncoder(OrdinalEncoder):
         ]
 
     def apply(self, df: DataFrame) -> DataFrame:
+        if self._known is None:
+            return self._vectors(df)
         out = []
         for c in df.columns:
             out += self.indicators(c) if c in self.cols else [col(c)]
         return df.select(*out)
 
+    def _vectors(self, df: DataFrame) -> DataFrame:
+        """Codes by join, then vectors; the place after the last one is left out."""
+        tops = self.mapping.groupBy("column").agg(F.max("code").alias("top")).collect()
+        sizes = {r["column"]: r["top"] for r in tops}
+        coded, order = super().apply(df), df.columns
+        for c in self.cols:
+            place = F.when(col(c) > 0, col(c) - 1).otherwise(sizes[c]).cast("double")
+            ends = df.sparkSession.createDataFrame([(0.0,), (float(sizes[c]),)], "_place double")
+            model = VectorEncoder(inputCol="_place", outputCol="_vector", dropLast=True).fit(ends)
+            coded = model.transform(coded.withColumn("_place", place))
+            coded = coded.withColumn(c, col("_vector")).drop("_place", "_vector")
+        return coded.select(*[col(c) for c in order])
+
 
 class BaseNEncoder(OrdinalEncoder):
     """The ordinal code in base n, most significant digit first; unseen is all zero."""

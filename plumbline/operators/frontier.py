@@ -2,56 +2,89 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import attach, number, require
 from ..staging import stage_table
 
-# Local fronts are taken in this many hash groups before the final one.
-GROUPS = 64
-SLICES = 64
+#: Cuts of the first objective in one pass, a power of two less one.
+CUTS = 63
+#: Passes stop once one leaves more than this share of the rows.
+SHARE = 0.5
+#: Rows of the last step's slices.
+SLICE_ROWS = 100_000
 
 
 def pareto_front(df: DataFrame, minimize: str, maximize: str) -> DataFrame:
     """Front rows, ties kept.
 
-    Rows first shrink to the best value per distinct first objective, combined
-    map-side; hash groups then drop what they can prove dominated. The running
-    best is taken within slices of the first objective, each compared with the
-    best of the slices before it, so no single task sees the whole order.
+    A sketch cuts the first objective into slices; one map-side aggregate gives
+    the best second objective of each, and a second scan keeps the rows above the
+    best of all earlier slices. Nothing is shuffled until the passes have left
+    few rows. The exact front of those is taken in slices, each compared with the
+    best of the slices before it, so no task sees the whole order.
     """
     require(df, [minimize, maximize])
-    best = (
-        df.select(number(minimize).alias("_a"), number(maximize).alias("_b"))
-        .dropna()
-        .groupBy("_a")
-        .agg(F.max("_b").alias("_b"))
-    )
-    local = Window.partitionBy("_g").orderBy("_a").rowsBetween(Window.unboundedPreceding, -1)
-    survivors = (
-        best.withColumn("_g", F.pmod(F.xxhash64("_a"), F.lit(GROUPS)))
-        .withColumn("_best", F.max("_b").over(local))
-        .filter(F.col("_best").isNull() | (F.col("_b") > F.col("_best")))
-        .select("_a", "_b")
-    )
-    front = _strict_front(stage_table(survivors, "front")).select("_a", "_b")
+    points = df.select(number(minimize).alias("_a"), number(maximize).alias("_b")).dropna()
+    while True:
+        kept, rows = _above_earlier(points)
+        if kept is None:
+            break
+        points = stage_table(kept, "front")
+        if points.count() > SHARE * rows:
+            break
+    best = points.groupBy("_a").agg(F.max("_b").alias("_b"))
+    front = _strict_front(stage_table(best, "front")).select("_a", "_b")
     return attach(
         df.withColumns({"_a": number(minimize), "_b": number(maximize)}), front, ["_a", "_b"]
     ).select(*df.columns)
 
 
+def _cuts(points: DataFrame, count: int) -> list[float]:
+    shares = [i / (count + 1) for i in range(1, count + 1)]
+    found = points.agg(F.percentile_approx("_a", shares, 10_000).alias("cuts")).first()["cuts"]
+    return sorted(set(found or []))
+
+
+def _slice(value: Column, cuts: list[float], first: int = 0) -> Column:
+    """Number of cuts below the value, as a balanced tree of comparisons."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(value <= F.lit(cuts[middle]), _slice(value, cuts[:middle], first)).otherwise(
+        _slice(value, cuts[middle + 1 :], first + middle + 1)
+    )
+
+
+def _above_earlier(points: DataFrame) -> tuple[DataFrame | None, int]:
+    """Rows above the best of earlier slices, and how many rows there were."""
+    cuts = _cuts(points, CUTS)
+    if len(cuts) < 2:
+        return None, 0
+    at = _slice(F.col("_a"), cuts)
+    tops = {
+        r["s"]: (r["top"], r["n"])
+        for r in points.groupBy(at.alias("s")).agg(F.max("_b").alias("top"), F.count("*").alias("n")).collect()
+    }
+    before, bars = None, []
+    for s in range(len(cuts) + 1):
+        bars.append(before)
+        top = tops.get(s, (None, 0))[0]
+        if top is not None and (before is None or top > before):
+            before = top
+    bar = F.element_at(F.array(*[F.lit(b).cast("double") for b in bars]), at + 1)
+    return points.filter(bar.isNull() | (F.col("_b") > bar)), sum(n for _, n in tops.values())
+
+
 def _strict_front(points: DataFrame) -> DataFrame:
-    cuts = points.agg(
-        F.percentile_approx("_a", [i / SLICES for i in range(1, SLICES)], 1000).alias("cuts")
-    ).first()["cuts"]
+    cuts = _cuts(points, points.count() // SLICE_ROWS + CUTS)
     if not cuts:
         return points
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-    sliced = points.withColumn("_s", F.size(F.filter(bounds, lambda b: b < F.col("_a"))))
+    sliced = points.withColumn("_s", _slice(F.col("_a"), cuts))
     tops = sliced.groupBy("_s").agg(F.max("_b").alias("_top"))
     before = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slice, at most SLICES of them.
+    # One row per slice.
     tops = tops.withColumn("_prev", F.max("_top").over(before)).select("_s", "_prev")
     inside = Window.partitionBy("_s").orderBy("_a").rowsBetween(Window.unboundedPreceding, -1)
     lowest = F.lit(float("-inf"))

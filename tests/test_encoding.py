@@ -111,3 +111,20 @@ def test_preprocessor_with_a_mapping_too_large_to_hold(spark, monkeypatch):
     assert prep.ordinal == ["t"] and prep.onehot == ["s"]
     out = prep.transform(df, ["id"]).orderBy("id").collect()
     assert [tuple(r) for r in out[:3]] == [(0, 1, 1, 0), (1, 2, 0, 1), (2, 3, 1, 0)]
+
+
+def test_onehot_of_many_categories_is_a_vector(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    n = 12_000
+    df = spark.range(n).selectExpr("id", "concat('c', id) as k")
+    out = pl.onehot_encode(df, "k")
+    assert out.columns == ["id", "k"]
+    rows = out.select("id", vector_to_array("k").alias("v")).filter("id % 4000 = 0").collect()
+    order = sorted(f"c{i}" for i in range(n))
+    for r in rows:
+        assert len(r["v"]) == n and [i for i, x in enumerate(r["v"]) if x] == [order.index(f"c{r['id']}")]
+    from plumbline.operators.encoding import OneHotEncoder
+
+    unseen = OneHotEncoder("k").fit(df).apply(spark.createDataFrame([(1, "new")], "id long, k string"))
+    assert sum(unseen.select(vector_to_array("k").alias("v")).first()["v"]) == 0

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -39,26 +38,20 @@ class Node:
         return [n.leaf for n in self.walk() if n.leaf is not None]
 
 
-_SPLIT = re.compile(r"If \(feature (\d+) <= (\S+)\)")
-
-
 def read_tree(model: FittedModel) -> Node:
-    """Node structure from the model's printed form; leaves in print order."""
-    lines = iter(line.strip() for line in model.model.toDebugString.splitlines()[1:] if line.strip())
+    """The fitted model's nodes; leaves are numbered from the left."""
     count = iter(range(1 << 30))
 
-    def read(id: int) -> Node:
-        line = next(lines)
-        split = _SPLIT.match(line)
-        if not split:
+    def read(found, id: int) -> Node:
+        if found.subtreeDepth() == 0:
             return Node(id, leaf=next(count))
-        node = Node(id, model.xs[int(split[1])], float(split[2]))
-        node.left = read(2 * id)
-        next(lines)
-        node.right = read(2 * id + 1)
+        split = found.split()
+        node = Node(id, model.xs[split.featureIndex()], split.threshold())
+        node.left = read(found.leftChild(), 2 * id)
+        node.right = read(found.rightChild(), 2 * id + 1)
         return node
 
-    return read(1)
+    return read(model.model._java_obj.rootNode(), 1)
 
 
 def leaf_rules(root: Node) -> dict[int, str]:

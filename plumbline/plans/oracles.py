@@ -631,6 +631,153 @@ halves AS (SELECT {_goes_right("first_split")} AS side, l_discount, l_linenumber
 SELECT CAST(2 * halves.side + {_goes_right("second_split")} AS INTEGER) AS leaf, count(*) AS n, round(avg(y), 6) AS mean
 FROM halves JOIN second_split ON halves.side = second_split.side GROUP BY 1"""
 
+
+def _grown(depth: int, table: str, weights: dict[str, str], gain: str) -> str:
+    """CTEs of a greedy tree: ``split_k`` has the split of each node of level k,
+    ``level_k`` the cells of both columns with the node (1, then 2i and 2i + 1).
+
+    ``weights`` are what a cell adds up; ``gain`` compares the left part (``_1``)
+    with the rest and the whole.
+    """
+    names = list(weights)
+    sums = ", ".join(f"{e} AS {n}" for n, e in weights.items())
+    out = [f"level_0 AS (SELECT 1 AS node, l_discount, l_linenumber, {sums} FROM {table} GROUP BY ALL)"]
+    goes = "CASE WHEN f = 'l_discount' THEN l_discount ELSE l_linenumber END > t"
+    for k in range(depth):
+        added = ", ".join(f"sum({n}) AS {n}" for n in names)
+        both = union(
+            [
+                f"SELECT node, {i} AS spot, '{c}' AS f, CAST({c} AS DOUBLE) AS x, {added} FROM level_{k} GROUP BY node, {c}"
+                for i, c in enumerate(("l_discount", "l_linenumber"))
+            ]
+        )
+        left = ", ".join(f"sum({n}) OVER w AS {n}_1, sum({n}) OVER (PARTITION BY node, f) AS {n}" for n in names)
+        kept = ", ".join(f"l.{n}" for n in names)
+        out.append(f"""steps_{k} AS (SELECT node, spot, f, x, lead(x) OVER w AS nx, {left}
+  FROM ({both}) WINDOW w AS (PARTITION BY node, f ORDER BY x)),
+split_{k} AS (SELECT node, f, (x + nx) / 2 AS t, {gain} AS gain FROM steps_{k} WHERE nx IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, spot, x) = 1),
+level_{k + 1} AS (SELECT 2 * l.node + CAST({goes} AS INTEGER) AS node, l_discount, l_linenumber, {kept}
+  FROM level_{k} l JOIN split_{k} s ON l.node = s.node)""")
+    return ",\n".join(out)
+
+
+_SQUARES = {"n": "count(*)", "s": "sum(y)"}
+_LESS_ERROR = "s_1 * s_1 / n_1 + (s - s_1) * (s - s_1) / (n - n_1) - s * s / n"
+ORACLES["tree_rules"] = f"""
+WITH {_PLANTED},
+{_grown(3, "planted", _SQUARES, _LESS_ERROR)}
+SELECT CAST(row_number() OVER (ORDER BY node) - 1 AS INTEGER) AS leaf, CAST(sum(n) AS BIGINT) AS n,
+  round(sum(n) / (SELECT count(*) FROM planted), 6) AS share, round(sum(s) / sum(n), 6) AS mean
+FROM level_3 GROUP BY node"""
+
+ORACLES["feature_importance"] = f"""
+WITH {_PLANTED},
+{_grown(3, "planted", _SQUARES, _LESS_ERROR)},
+gains AS (SELECT f, sum(gain) AS gain FROM (SELECT f, gain FROM split_0 UNION ALL SELECT f, gain FROM split_1
+  UNION ALL SELECT f, gain FROM split_2 UNION ALL SELECT 'l_discount', 0 UNION ALL SELECT 'l_linenumber', 0) GROUP BY f)
+SELECT f AS feature, round(gain / sum(gain) OVER (), 6) AS importance,
+  CAST(row_number() OVER (ORDER BY gain DESC) AS INTEGER) AS rank FROM gains"""
+
+ORACLES["tree_nodes"] = f"""
+WITH {_PLANTED},
+{_grown(2, "planted", _SQUARES, _LESS_ERROR)},
+sizes AS (SELECT node, sum(n) AS n FROM level_0 GROUP BY node UNION ALL SELECT node, sum(n) FROM level_1 GROUP BY node
+  UNION ALL SELECT node, sum(n) FROM level_2 GROUP BY node),
+splits AS (SELECT * FROM split_0 UNION ALL SELECT * FROM split_1)
+SELECT CAST(z.node AS INTEGER) AS node, f AS feature, round(t, 6) AS threshold, CAST(n AS BIGINT) AS n, CAST(n AS BIGINT) AS in_bins
+FROM sizes z LEFT JOIN splits p ON z.node = p.node"""
+
+_CLASSES = {"n": "count(*)"} | {f"c{i}": f"count_if(y = '{b}')" for i, b in enumerate(("q25", "q25-75", "q75"))}
+_PURER = " + ".join(f"c{i}_1 * c{i}_1 / n_1 + (c{i} - c{i}_1) * (c{i} - c{i}_1) / (n - n_1)" for i in range(3))
+ORACLES["tree_rules_classes"] = f"""
+WITH summed AS (SELECT *, 10 * l_linenumber + l_quantity AS z FROM lineitem),
+cuts AS (SELECT quantile_cont(z, 0.25) AS a, quantile_cont(z, 0.75) AS b FROM summed),
+banded AS (SELECT l_discount, l_linenumber,
+  CASE WHEN z >= b THEN 'q75' WHEN z >= a THEN 'q25-75' ELSE 'q25' END AS y FROM summed, cuts),
+{_grown(2, "banded", _CLASSES, _PURER)},
+ends AS (SELECT node, sum(n) AS n, sum(c0) AS c0, sum(c1) AS c1, sum(c2) AS c2,
+  CASE WHEN sum(c0) >= greatest(sum(c1), sum(c2)) THEN 0 WHEN sum(c1) >= sum(c2) THEN 1 ELSE 2 END AS says FROM level_2 GROUP BY node),
+-- branches that say the same are one leaf
+same AS (SELECT *, min(says) OVER (PARTITION BY node // 2) = max(says) OVER (PARTITION BY node // 2) AS half,
+  min(says) OVER () = max(says) OVER () AS whole FROM ends),
+pruned AS (SELECT CASE WHEN whole THEN 1 WHEN half THEN 2 * (node // 2) ELSE node END AS node, n, c0, c1, c2 FROM same),
+leaves AS (SELECT CAST(row_number() OVER (ORDER BY node) - 1 AS INTEGER) AS leaf, sum(n) AS n, sum(c0) AS c0, sum(c1) AS c1,
+  sum(c2) AS c2 FROM pruned GROUP BY node),
+counts AS (SELECT leaf, n, 'q25' AS class, c0 AS class_n FROM leaves UNION ALL SELECT leaf, n, 'q25-75', c1 FROM leaves
+  UNION ALL SELECT leaf, n, 'q75', c2 FROM leaves)
+SELECT leaf, CAST(n AS BIGINT) AS n, class, CAST(class_n AS BIGINT) AS class_n FROM counts WHERE class_n > 0"""
+
+
+def _decided(family: str, value: str) -> str:
+    return f"""SELECT l_linenumber, CAST({value} AS VARCHAR) AS prediction, count(*) AS n, '{family}' AS family
+FROM lineitem GROUP BY l_linenumber"""
+
+
+_SQUARE = "CAST(l_linenumber * l_linenumber AS DOUBLE)"
+_NAME = "['one', 'two', 'three'][l_linenumber % 3 + 1]"
+ORACLES["forest_fit"] = union([_decided("forest_reg", _SQUARE), _decided("forest_clf", _NAME)])
+ORACLES["gbt_reg"] = _decided("gbt_reg", _SQUARE)
+ORACLES["gbt_clf"] = _decided("gbt_clf", _NAME)
+
+# The score of the rule that made the class, on each hashed fold.
+ORACLES["tune_boosted_trees"] = """
+WITH halves AS (SELECT CAST(l_linenumber >= 4 AS INTEGER) AS made, CAST(l_linenumber > 3.5 AS INTEGER) AS said FROM lineitem)
+SELECT CAST(t AS INTEGER) AS trial, CAST(0 AS INTEGER) AS rep, CAST(f AS INTEGER) AS fold,
+  round((SELECT corr(made, said) FROM halves), 6) AS score
+FROM range(2) a(t), range(3) b(f)"""
+
+# The columns explain next to nothing, whatever the penalty: their own fits say so.
+ORACLES["tune_ridge"] = """
+SELECT CAST(i AS INTEGER) AS trial,
+  round(1 - (SELECT regr_r2(l_extendedprice, l_quantity) + regr_r2(l_extendedprice, l_discount)
+             + regr_r2(l_extendedprice, l_tax) + regr_r2(l_extendedprice, l_linenumber) FROM lineitem), 1) AS left_over
+FROM range(10) r(i)"""
+
+# The strongest columns by squared correlation.
+ORACLES["subset_search_tree"] = f"""
+WITH {_PLANTED},
+strength AS (
+  SELECT 'l_quantity' AS f, 0 AS spot, corr(l_quantity, y) ** 2 AS r FROM planted
+  UNION ALL SELECT 'l_discount', 1, corr(l_discount, y) ** 2 FROM planted
+  UNION ALL SELECT 'l_tax', 2, corr(l_tax, y) ** 2 FROM planted),
+ranked AS (SELECT *, row_number() OVER (ORDER BY r DESC) AS place FROM strength)
+SELECT CAST(i AS INTEGER) AS n, string_agg(f, ',' ORDER BY spot) AS selected
+FROM range(1, 3) r(i) JOIN ranked ON place <= i GROUP BY i"""
+
+ORACLES["subset_search_log"] = f"""{_subsets()}
+SELECT CAST(501 AS BIGINT) AS n, round(max(score), 6) AS best, CAST(max_by(n, score) AS INTEGER) AS max_n,
+  CAST(0 AS BIGINT) AS falls FROM scored"""
+
+ORACLES["cluster_profile"] = union(
+    [
+        f"""SELECT '{c}' AS variable, count(*) AS n, CAST(3 AS BIGINT) AS clusters, round(avg({c}), 3) AS mean FROM lineitem"""
+        for c in ("l_quantity", "l_extendedprice")
+    ]
+)
+
+# A linear target leaves ridge no error; one split leaves the spread within its halves.
+ORACLES["leaderboard"] = f"""
+WITH {_PLANTED},
+g AS (SELECT l_quantity AS x, count(*) AS n, sum(y) AS s, sum(y * y) AS q FROM planted GROUP BY 1),
+c AS (SELECT sum(n) OVER w AS n1, sum(s) OVER w AS s1, sum(n) OVER () AS n, sum(s) OVER () AS s, sum(q) OVER () AS q
+      FROM g WINDOW w AS (ORDER BY x)),
+best AS (SELECT min(q - s1 * s1 / n1 - (s - s1) * (s - s1) / (n - n1)) / any_value(n) AS mse FROM c WHERE n > n1)
+SELECT 'ridge' AS family, round(sqrt((SELECT 1 - regr_r2(y, 3 * l_quantity + 400 * l_discount) FROM planted)), 0) AS error
+UNION ALL SELECT 'tree_reg', round(sqrt(mse), 0) FROM best"""
+
+# The target is made of the two columns, so their sum of squares explains it.
+ORACLES["svr_kernel"] = f"""
+WITH {_PLANTED}
+SELECT round(corr(y, l_quantity) ** 2 + corr(y, l_discount) ** 2, 1) AS explained FROM planted"""
+
+ORACLES["svc_kernel"] = f"""
+WITH {_PLANTED},
+cuts AS (SELECT quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.75) AS b, avg(l_quantity) AS m, stddev_pop(l_quantity) AS d FROM planted),
+banded AS (SELECT CASE WHEN y >= b THEN 'q75' WHEN y >= a THEN 'q25-75' ELSE 'q25' END AS band,
+  abs((l_quantity - m) / d) AS far FROM planted, cuts)
+SELECT band, count(*) AS n, CAST(1 AS DOUBLE) AS "right" FROM banded WHERE far > 1.6 OR far < 0.1 GROUP BY band"""
+
 # y is made of the columns it is correlated with; the others must be rejected.
 ORACLES["boruta"] = f"WITH {_PLANTED}\n" + union(
     [

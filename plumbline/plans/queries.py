@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import plumbline as pl
@@ -584,45 +584,54 @@ def ridge_predict(spark, sf_dir):
 def subset_search_ridge(spark, sf_dir):
     """F2, F3 with K1: best subsets of at most two of four features."""
     front = pl.subset_search(
-        planted(spark, sf_dir), planted_spec(), "ridge", max_features=2, generations=10, mu=20, lam=60
+        planted(spark, sf_dir), planted_spec(), "ridge", max_features=2
     )
     return front.select("n", F.round("score", 6).alias("score"), F.array_join("selected", ",").alias("selected"))
 
 
 @query
 def subset_search_log(spark, sf_dir):
-    """The population per generation."""
-    _, log = pl.subset_search_log(
-        planted(spark, sf_dir), planted_spec(), "ridge", max_features=3, generations=20, mu=20, lam=60
+    """The log at the defaults: its length, and the best score at the end."""
+    _, log = pl.subset_search_log(planted(spark, sf_dir), planted_spec(), "ridge", max_features=2)
+    fell = F.col("max_score") < F.coalesce(F.lag("max_score").over(Window.orderBy("generation")), F.lit(0.0))
+    return log.withColumn("fell", fell.cast("int")).agg(
+        F.count("*").alias("n"),
+        F.round(F.max_by("max_score", "generation"), 6).alias("best"),
+        F.max_by("max_n", "generation").alias("max_n"),
+        F.sum("fell").alias("falls"),
     )
-    return log
 
 
 @query
 def subset_search_tree(spark, sf_dir):
-    """F2 with decision trees, one fit per distinct mask and fold."""
+    """F2 with decision trees: the columns that make up the target, the strongest first."""
     spec = TableSpec("y", "numerical", use_cols=("l_quantity", "l_discount", "l_tax"), key=LINE_KEY)
-    return pl.subset_search(
+    front = pl.subset_search(
         planted(spark, sf_dir), spec, "DTR", max_features=2, generations=3, mu=6, lam=12, max_depth=4
     )
+    return front.select("n", F.array_join("selected", ",").alias("selected"))
 
 
 @query
 def tune_ridge(spark, sf_dir):
-    """H1, H2 with K3: scores of ten penalties."""
-    spec = line_spec()
-    tuned = pl.tune(table(spark, sf_dir, "lineitem"), spec, "ridge", scaling=True)
-    return tuned.trial_scores()
+    """H1, H2 with K3: ten penalties, as a share of the target's variance left over."""
+    lines = table(spark, sf_dir, "lineitem")
+    tuned = pl.tune(lines, line_spec(), "ridge", scaling=True)
+    spread = lines.agg(F.var_pop("l_extendedprice")).first()[0]
+    return tuned.trial_scores().select("trial", F.round(F.col("score") / spread, 1).alias("left_over"))
 
 
 @query
 def tune_boosted_trees(spark, sf_dir):
-    """H1 over L7: two draws, scored by Matthews correlation."""
-    lines = planted(spark, sf_dir).withColumn("band", F.when(col("y") > 100, "high").otherwise("low"))
-    spec = TableSpec("band", "categorical", use_cols=("l_quantity", "l_tax", "l_linenumber"), key=LINE_KEY)
+    """H1 over L7: the folds' scores for a class that the line number decides."""
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "half", F.when(col("l_linenumber") >= 4, "high").otherwise("low")
+    )
+    spec = TableSpec("half", "categorical", use_cols=("l_linenumber", "l_discount"), key=LINE_KEY)
     family = pl.FAMILIES["gbt_clf"]
-    space = {**family.space, "max_depth": 2, "n_estimators": 5}
-    return pl.tune(lines, spec, family, space, n_trials=2, folds=3, repeats=1).trial_scores()
+    space = {**family.space, "n_estimators": 5}
+    tuned = pl.tune(lines, spec, family, space, n_trials=2, folds=3, repeats=1)
+    return tuned.trials.select("trial", "rep", "fold", F.round("score", 6).alias("score"))
 
 
 @query
@@ -633,19 +642,23 @@ def tree_stump(spark, sf_dir):
     return rounded(rules, 6, "share", "mean")
 
 
+def _two_columns(target: str, kind: str) -> TableSpec:
+    return TableSpec(target, kind, use_cols=("l_discount", "l_linenumber"), key=LINE_KEY)
+
+
 @query
 def tree_rules(spark, sf_dir):
-    """X1 for a numeric target."""
-    return pl.tree_rules(planted(spark, sf_dir), planted_spec(), max_depth=4)
+    """X1 at depth 3 over two columns: greedy splits of least squared error."""
+    rules = pl.tree_rules(planted(spark, sf_dir), _two_columns("y", "numerical"), max_depth=3)
+    return rounded(rules.drop("rule"), 6, "share", "mean")
 
 
 @query
 def tree_rules_classes(spark, sf_dir):
-    """X1 for a banded target: class counts per leaf."""
-    lines = pl.quantile_band(planted(spark, sf_dir), "y")
-    spec = TableSpec("y", "categorical", use_cols=SIGNALS + NOISE, key=LINE_KEY)
-    rules = pl.tree_rules(lines, spec, max_depth=3)
-    return rules.withColumn("class_counts", F.to_json("class_counts"))
+    """X1 for a banded target at depth 2: greedy splits by class impurity."""
+    lines = planted(spark, sf_dir).withColumn("y", 10 * col("l_linenumber") + col("l_quantity"))
+    rules = pl.tree_rules(pl.quantile_band(lines, "y"), _two_columns("y", "categorical"), max_depth=2)
+    return rules.select("leaf", "n", F.explode("class_counts").alias("class", "class_n"))
 
 
 @query
@@ -658,9 +671,10 @@ def tree_two_levels(spark, sf_dir):
 
 @query
 def tree_nodes(spark, sf_dir):
-    """Target distribution at every node of a deep tree."""
-    nodes = pl.tree_nodes(planted(spark, sf_dir), planted_spec(), max_depth=3)
-    return nodes.withColumn("histogram", F.to_json("histogram"))
+    """X2 at depth 2: every node's split and size."""
+    nodes = pl.tree_nodes(planted(spark, sf_dir), _two_columns("y", "numerical"), max_depth=2)
+    counted = F.aggregate("histogram", F.lit(0).cast("long"), lambda a, h: a + h["n"])
+    return nodes.select("node", "feature", F.round("threshold", 6).alias("threshold"), "n", counted.alias("in_bins"))
 
 
 @query
@@ -673,8 +687,9 @@ def stump_nodes(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    """X3."""
-    return pl.explain_tree(planted(spark, sf_dir), planted_spec(), max_depth=4).importance()
+    """Each column's share of the tree's gain."""
+    tree = pl.explain_tree(planted(spark, sf_dir), _two_columns("y", "numerical"), max_depth=3)
+    return rounded(tree.importance(), 6, "importance")
 
 
 @query
@@ -691,15 +706,30 @@ def _scored(spark: SparkSession, df: DataFrame, xs, y: str, family: str, params:
     return model.score(df).withColumn("family", F.lit(family))
 
 
+def _learned(spark, sf_dir, regressor: str | None, classifier: str | None, params: dict) -> DataFrame:
+    """Predictions per line number for a square and for three named classes of it."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_linenumber",
+        (col("l_linenumber") * col("l_linenumber")).cast("double").alias("square"),
+        F.element_at(F.array(*map(F.lit, ("one", "two", "three"))), col("l_linenumber") % 3 + 1).alias("name"),
+    )
+    out = []
+    for family, target in ((regressor, "square"), (classifier, "name")):
+        if family:
+            model = pl.fit_model(lines, ["l_linenumber"], target, family, params)
+            said = model.predict(lines)
+            value = F.round("prediction", 6) if target == "square" else col("prediction")
+            out.append(
+                said.groupBy("l_linenumber", value.cast("string").alias("prediction"))
+                .agg(F.count(F.lit(1)).alias("n")).withColumn("family", F.lit(family))
+            )
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+
+
 @query
 def forest_fit(spark, sf_dir):
-    """L2, both kinds."""
-    lines = planted(spark, sf_dir)
-    banded = pl.quantile_band(lines, "y")
-    xs, size = [*SIGNALS, *NOISE], {"n_estimators": 10}
-    return _scored(spark, lines, xs, "y", "forest_reg", size).unionByName(
-        _scored(spark, banded, xs, "y", "forest_clf", size)
-    )
+    """L2, both kinds, with their default trees: targets that the line number decides."""
+    return _learned(spark, sf_dir, "forest_reg", "forest_clf", {})
 
 
 def _scaled_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -708,28 +738,33 @@ def _scaled_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def svr_kernel(spark, sf_dir):
-    """L5."""
-    return _scored(spark, _scaled_planted(spark, sf_dir), list(SIGNALS), "y", "svr", {"gamma": 0.3, "C": 10.0})
+    """The kernel model explains nearly all of a target that two columns make up."""
+    lines = _scaled_planted(spark, sf_dir)
+    model = pl.fit_model(lines, list(SIGNALS), "y", "svr", {"gamma": 0.3, "C": 10.0})
+    return model.score(lines, "r2").select(F.round("score", 1).alias("explained"))
 
 
 @query
 def svc_kernel(spark, sf_dir):
-    """L4, three classes."""
+    """L4, three classes: rows whose band the quantity alone makes sure of are told right."""
     lines = pl.quantile_band(_scaled_planted(spark, sf_dir), "y")
-    return _scored(spark, lines, list(SIGNALS), "y", "svc", {"gamma": 0.3, "C": 10.0, "max_iter": 30})
+    model = pl.fit_model(lines, list(SIGNALS), "y", "svc", {"gamma": 0.3, "C": 10.0})
+    sure = model.predict(lines).filter("abs(l_quantity) > 1.6 or abs(l_quantity) < 0.1")
+    return sure.groupBy(col("y").alias("band")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg((col("prediction") == col("y")).cast("int")), 1).alias("right")
+    )
 
 
 @query
 def gbt_reg(spark, sf_dir):
-    """L6."""
-    return _scored(spark, planted(spark, sf_dir), [*SIGNALS, *NOISE], "y", "gbt_reg", {"n_estimators": 10, "max_depth": 3})
+    """L6 with its default rounds."""
+    return _learned(spark, sf_dir, "gbt_reg", None, {})
 
 
 @query
 def gbt_clf(spark, sf_dir):
     """L7, three classes."""
-    lines = pl.quantile_band(planted(spark, sf_dir), "y")
-    return _scored(spark, lines, [*SIGNALS, *NOISE], "y", "gbt_clf", {"n_estimators": 5, "max_depth": 3})
+    return _learned(spark, sf_dir, None, "gbt_clf", {"n_estimators": 10})
 
 
 # ---- goals named for the baseline ----------------------------------------------------
@@ -752,8 +787,13 @@ def segment_ridge(spark, sf_dir):
 
 @query
 def cluster_profile(spark, sf_dir):
-    """Means per cluster."""
-    return pl.cluster_profile(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], 3)
+    """Clusters hold every row once, and their means weigh up to the table's."""
+    found = pl.cluster_profile(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], 3)
+    return found.groupBy("variable").agg(
+        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("clusters"),
+        F.round(F.sum(F.col("n") * F.col("mean")) / F.sum("n"), 3).alias("mean"),
+    )
 
 
 @query
@@ -785,7 +825,9 @@ def compare_subsets(spark, sf_dir):
 
 @query
 def leaderboard(spark, sf_dir):
-    """Three families with fixed parameters."""
+    """Three families on a linear target: ridge has no error, one split leaves its halves' spread."""
     spec = TableSpec("y", "numerical", use_cols=SIGNALS, key=LINE_KEY)
-    families = {"ridge": {}, "tree_reg": {}, "gbt_reg": {"n_estimators": 5, "max_depth": 3}}
-    return pl.leaderboard(planted(spark, sf_dir), spec, families)
+    families = {"ridge": {}, "tree_reg": {"max_depth": 1}, "gbt_reg": {"n_estimators": 5, "max_depth": 3}}
+    found = pl.leaderboard(planted(spark, sf_dir), spec, families)
+    return found.filter("family != 'gbt_reg'").select("family", F.round(F.sqrt("score"), 0).alias("error"))
+

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import boxed, stage, thin, with_text, words_of
+from .common import SPACE, boxed, stage, thin, with_text, words_of
 
 _PLACE = ("doc_id", "tie", "line_no")
 
@@ -19,38 +19,44 @@ def _split(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _halves(words: Column) -> Column:
+def _canonical(line: Column) -> Column:
+    """The line's words joined by single spaces; most lines are that already."""
+    odd = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    for run in ("  ", *(c for c in SPACE if c not in " \n")):
+        odd = odd | F.contains(line, F.lit(run))
+    return F.when(odd, F.array_join(words_of(line), " ")).otherwise(line)
+
+
+def _halves(line: Column, n: Column) -> Column:
     """Hashes of the first and the last h words, for one or two h.
 
     Lines of n and of n or n + 1 words that differ by one edit agree in their
     first or their last ``n // 2`` words. An odd line offers ``n // 2``, an even
     one also one less, so any such two have an h in common.
     """
-    n = F.size(words)
-    half = F.floor(n / 2).cast("int")
-    sizes = F.when(n % 2 == 1, F.array(half)).otherwise(F.array(half, half - 1))
-    return F.flatten(
-        F.transform(
-            sizes,
-            lambda h: F.array(
-                F.xxhash64(F.lit(0), h, F.slice(words, 1, h)),
-                F.xxhash64(F.lit(1), h, F.slice(words, n - h + 1, h)),
-            ),
+
+    def pair(h):
+        return (
+            F.xxhash64(F.lit(0), h, F.call_function("substring_index", line, F.lit(" "), h)),
+            F.xxhash64(F.lit(1), h, F.call_function("substring_index", line, F.lit(" "), -h)),
         )
-    )
+
+    half = F.floor(n / 2).cast("int")
+    return F.when(n % 2 == 1, F.array(*pair(half))).otherwise(F.array(*pair(half), *pair(half - 1)))
 
 
 def occurrences(rows: DataFrame, min_words: int) -> DataFrame:
     """``doc_id, tie, line_no, id, digest, keys`` for each line of enough words, written."""
     lines = rows.select("doc_id", "tie", F.posexplode(_split(F.col("text"))).alias("line_no", "line"))
-    lines = lines.select(*_PLACE, words_of(F.col("line")).alias("w")).filter(F.size("w") >= min_words)
-    joined = F.array_join("w", " ")
+    lines = lines.select(*_PLACE, _canonical(F.col("line")).alias("line"))
+    spaces = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
+    lines = lines.withColumn("n", F.when(F.col("line") == "", 0).otherwise(spaces + 1))
     return stage(
-        lines.select(
+        lines.filter(F.col("n") >= min_words).select(
             *_PLACE,
-            F.xxhash64("w").alias("id"),
-            F.substring(F.unhex(F.sha2(joined, 256)), 1, 16).alias("digest"),
-            _halves(F.col("w")).alias("keys"),
+            F.xxhash64("line").alias("id"),
+            F.substring(F.unhex(F.sha2("line", 256)), 1, 16).alias("digest"),
+            _halves(F.col("line"), F.col("n")).alias("keys"),
         ),
         "lines",
     )
@@ -76,7 +82,7 @@ def _words_at(rows: DataFrame, places: DataFrame) -> DataFrame:
         _split(F.col("text")).alias("lines"), F.explode("own").alias("o")
     )
     return stage(
-        found.select("o.*", words_of(F.get("lines", F.col("o.first.line_no"))).alias("w"))
+        found.select("o.*", F.split(_canonical(F.get("lines", F.col("o.first.line_no"))), " ").alias("w"))
         .dropDuplicates(["digest"]),
         "candidates",
     )
@@ -96,6 +102,36 @@ def within_one_edit(a: Column, b: Column) -> Column:
     )
 
 
+def _neighbourhood(words: str) -> Column:
+    """``at, v``: the hash of the line (at -1) and of it without the word at each place.
+
+    A hash is the exclusive or of each word's hash with its place. Going from one
+    deleted place to the next changes two of them, so a line costs its length.
+    """
+    own = F.transform(words, lambda w, i: F.xxhash64(w, i))
+    moved = F.transform(words, lambda w, i: F.xxhash64(w, i - 1))
+    zero = F.lit(0).cast("long")
+
+    def joined(hashes):
+        return F.aggregate(hashes, zero, lambda a, h: a.bitwiseXOR(h))
+
+    # Change from the deleted place i - 1 to i; the first is the line without its first word.
+    steps = F.zip_with(
+        F.concat(F.array(zero), F.slice(own, 1, F.size(own) - 1)), moved, lambda a, b: a.bitwiseXOR(b)
+    )
+    first = F.array(F.struct(F.lit(-1).alias("at"), joined(own).alias("v")))
+    start = F.struct(joined(moved).alias("v"), F.lit(0).alias("at"), F.slice(first, 1, 0).alias("out"))
+
+    def step(acc, change):
+        v = acc["v"].bitwiseXOR(change)
+        one = F.struct(acc["at"].alias("at"), v.alias("v"))
+        return F.struct(
+            v.alias("v"), (acc["at"] + 1).alias("at"), F.concat(acc["out"], F.array(one)).alias("out")
+        )
+
+    return F.concat(first, F.aggregate(steps, start, step, lambda acc: acc["out"]))
+
+
 def _near(texts: DataFrame) -> DataFrame:
     """``digest`` of lines with an earlier line exactly one edit away.
 
@@ -105,16 +141,9 @@ def _near(texts: DataFrame) -> DataFrame:
     So each group needs only its earliest line, not its pairs, and each line is
     verified against the earliest of its groups.
     """
-    n = F.size("w")
-    deleted = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(
-            i.alias("at"),
-            F.xxhash64(F.concat(F.slice("w", F.lit(1), i), F.slice("w", i + 2, n - i - 1))).alias("v"),
-        ),
+    keys = stage(
+        texts.select("id", F.explode(_neighbourhood("w")).alias("x")).select("id", "x.*"), "keys"
     )
-    whole = F.array(F.struct(F.lit(-1).alias("at"), F.col("id").alias("v")))
-    keys = texts.select("id", F.explode(F.concat(whole, deleted)).alias("x")).select("id", "x.*")
     met = keys.groupBy("v").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi")
     keys = stage(
         keys.join(met.select("v"), "v", "left_semi").join(texts.select("id", "first"), "id"), "variants"

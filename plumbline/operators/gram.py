@@ -85,7 +85,10 @@ def _native_sums(rows: DataFrame) -> DataFrame:
 
 
 def _matrix_sums(rows: DataFrame) -> DataFrame:
-    """Matrix products per Arrow batch, added up per partition, then per group."""
+    """Matrix products per Arrow batch, added up per partition, then per group.
+
+    A task sends one array per group, not a row per cell.
+    """
     width = len(rows.columns) - 1
     upper = np.triu_indices(width)
 
@@ -99,24 +102,25 @@ def _matrix_sums(rows: DataFrame) -> DataFrame:
             for g in np.unique(groups):
                 part = z[groups == g]
                 sums[int(g)] = sums.get(int(g), 0.0) + (part.T @ part)[upper]
-        for g, flat in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(flat), g), pa.int32()),
-                    pa.array(np.arange(len(flat)), pa.int32()),
-                    pa.array(flat, pa.float64()),
-                ],
-                names=["g", "at", "v"],
-            )
+        yield from _sums_batch(sums)
 
-    return (
-        rows.mapInArrow(products, "g int, at int, v double")
-        .groupBy("g", "at")
-        .agg(F.sum("v").alias("v"))
-        .groupBy("g")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "v"))).alias("cells"))
-        .select("g", F.transform("cells", lambda c: c["v"]).alias("sums"))
-    )
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for g, flat in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[g] = sums.get(g, 0.0) + flat.values.to_numpy()
+        yield from _sums_batch(sums)
+
+    schema = "g int, sums array<double>"
+    return rows.mapInArrow(products, schema).repartition("g").mapInArrow(added, schema)
+
+
+def _sums_batch(sums: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """One row per group; groups are few and their matrices small next to the rows."""
+    for g, flat in sums.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([g], pa.int32()), pa.array([flat], pa.list_(pa.float64()))], names=["g", "sums"]
+        )
 
 
 def solve(

@@ -484,6 +484,13 @@ ORACLES["holdout_sizes"] = """
 SELECT CAST(i AS INTEGER) AS rep, (SELECT count(*) FROM labels) AS n_rows, CAST(1 AS INTEGER) AS is_near
 FROM range(30) r(i)"""
 
+ORACLES["repeated_kfold_rows"] = f"""
+SELECT {ROW_ORDER}, CAST(10 AS BIGINT) AS tests, CAST(10 AS BIGINT) AS reps, CAST(10 AS BIGINT) AS in_range,
+  CAST(1 AS INTEGER) AS varies FROM lineitem"""
+
+ORACLES["holdout_rows"] = """
+SELECT doc_id, CAST(30 AS BIGINT) AS rows, CAST(30 AS BIGINT) AS reps, CAST(1 AS INTEGER) AS both FROM labels"""
+
 ORACLES["score_metrics"] = """
 WITH d AS (SELECT l_returnflag AS g, l_linenumber AS y, CAST(floor(l_quantity / 8) AS INTEGER) AS p FROM lineitem),
 m AS (SELECT g, avg(y) AS ym FROM d GROUP BY g),
@@ -573,6 +580,27 @@ ORACLES["compare_subsets"] = f"""{_subsets()}
 SELECT CASE WHEN n = 1 THEN 'reduced' ELSE 'both' END AS name, CAST(n AS INTEGER) AS n, round(score, 6) AS score
 FROM scored WHERE selected IN ('l_quantity', 'l_quantity,l_discount')"""
 
+_MADE = """d AS (SELECT n_chars, quality, 2 * n_chars + 100 * quality AS y FROM documents JOIN labels USING (doc_id)),
+r AS (SELECT round(corr(y, 2 * n_chars + 100 * quality) ** 2, 4) AS score FROM d)"""
+ORACLES["subset_splits"] = f"WITH {_MADE}\n" + union(
+    [f"SELECT '{name}' AS splits, CAST(2 AS INTEGER) AS n, score FROM r" for name in ("text key", "no key", "holdouts")]
+)
+
+
+def _wide(width: int) -> str:
+    """Products of centred places, as the operator centres them."""
+    cast = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(width))
+    centred = ", ".join(f"e{i} - avg(e{i}) OVER () AS e{i}" for i in range(width))
+    pairs = [(i, j) for i in range(width) for j in range(i, width)]
+    sums = ", ".join(f"{{'i': {i}, 'j': {j}, 'p': sum(e{i} * e{j})}}" for i, j in pairs)
+    return f"""
+WITH raw AS (SELECT label, {cast} FROM embeddings), c AS (SELECT label, {centred} FROM raw),
+s AS (SELECT label, unnest([{sums}]) AS x FROM c GROUP BY label)
+SELECT label, CAST(x.i AS INTEGER) AS i, CAST(x.j AS INTEGER) AS j, round(x.p, 4) AS product FROM s"""
+
+
+ORACLES["wide_products"] = _wide(16)
+
 # ---- trees ---------------------------------------------------------------------------
 
 
@@ -756,6 +784,15 @@ ORACLES["cluster_profile"] = union(
     ]
 )
 
+ORACLES["custom_family"] = f"""
+WITH {_PLANTED},
+g AS (SELECT l_linenumber AS x, count(*) AS n, sum(l_linenumber) AS s, sum(l_linenumber ** 2) AS q FROM planted GROUP BY 1),
+c AS (SELECT sum(n) OVER w AS n1, sum(s) OVER w AS s1, sum(n) OVER () AS n, sum(s) OVER () AS s, sum(q) OVER () AS q
+      FROM g WINDOW w AS (ORDER BY x))
+SELECT 'stump' AS name, round(max((s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) - s * s / n) / (q - s * s / n)), 6) AS score
+FROM c WHERE n > n1
+UNION ALL SELECT 'l_quantity', round(greatest(corr(l_quantity, y) ** 2, corr(l_discount, y) ** 2), 6) FROM planted"""
+
 # A linear target leaves ridge no error; one split leaves the spread within its halves.
 ORACLES["leaderboard"] = f"""
 WITH {_PLANTED},

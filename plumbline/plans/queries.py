@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ import plumbline as pl
 
 from ..functions.columns import col
 from ..operators.cleaning import failed_casts
+from ..operators.gram import group_moments
 from ..operators.splits import fold_sizes
 from ..sources.tables import load_sample
 from ..staging import new_path
@@ -498,9 +500,22 @@ def kfold_sizes(spark, sf_dir):
     return fold_sizes(pl.kfold(table(spark, sf_dir, "lineitem"), LINE_KEY, k=7))
 
 
+@query
+def repeated_kfold_rows(spark, sf_dir):
+    """K3: every row is tested once in each of ten repeats, and not always in the same fold."""
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY)
+    dealt = pl.repeated_kfold(lines, LINE_KEY)
+    return dealt.groupBy(*LINE_KEY).agg(
+        F.count(F.lit(1)).alias("tests"),
+        F.count_distinct("rep").alias("reps"),
+        F.count_if(col("fold").between(0, 2)).alias("in_range"),
+        (F.count_distinct("fold") > 1).cast("int").alias("varies"),
+    )
+
+
 @query
 def repeated_kfold_sizes(spark, sf_dir):
-    """K3: every row in one fold per repeat, folds of near equal size."""
+    """K3: the folds of each repeat hold all rows, in near equal parts."""
     lines = table(spark, sf_dir, "lineitem").select(*LINE_KEY)
     sizes = fold_sizes(pl.repeated_kfold(lines, LINE_KEY), ["rep", "fold"])
     even = F.max("n_rows") - F.min("n_rows") < F.sum("n_rows") / 20
@@ -511,6 +526,17 @@ def repeated_kfold_sizes(spark, sf_dir):
     )
 
 
+@query
+def holdout_rows(spark, sf_dir):
+    """K2: every row once in each of thirty repeats, held out in some and not in others."""
+    held = pl.holdouts(table(spark, sf_dir, "labels"), "doc_id")
+    return held.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("rep").alias("reps"),
+        (F.count_if("is_test").between(1, 29)).cast("int").alias("both"),
+    )
+
+
 @query
 def holdout_sizes(spark, sf_dir):
     """K2: thirty repeats with about 30 % test rows each."""
@@ -696,8 +722,7 @@ def feature_importance(spark, sf_dir):
 def boruta(spark, sf_dir):
     """Selection written and read back; the columns that make up y are confirmed."""
     path = new_path(spark, "selection")
-    found = pl.boruta(planted(spark, sf_dir), planted_spec(), max_iter=8, params={"n_estimators": 10})
-    pl.write_selection(found, path, "parquet")
+    pl.write_selection(pl.boruta(planted(spark, sf_dir), planted_spec()), path, "parquet")
     return spark.read.parquet(path).select("feature", "decision")
 
 
@@ -823,6 +848,49 @@ def compare_subsets(spark, sf_dir):
     return rounded(found, 6, "score")
 
 
+@query
+def subset_splits(spark, sf_dir):
+    """F2, E6 on documents: folds by a text key, by the whole row, and holdouts."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    docs = docs.select("source", "doc_id", "n_chars", "quality", (2 * col("n_chars") + 100 * col("quality")).alias("y"))
+    out = None
+    for name, key, split in (("text key", ("source",), "folds"), ("no key", (), "folds"), ("holdouts", ("doc_id",), "holdouts")):
+        spec = TableSpec("y", "numerical", use_cols=("n_chars", "quality"), key=key)
+        part = pl.compare_subsets(docs, spec, {"both": ["n_chars", "quality"]}, split=split)
+        part = part.select(F.lit(name).alias("splits"), "n", F.round("score", 4).alias("score"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def custom_family(spark, sf_dir):
+    """A family and a scorer of one's own: a mask's score is its columns' squared correlation."""
+    lines = planted(spark, sf_dir)
+    family = pl.ModelFamily("stump", False, lambda p, n, seed: DecisionTreeRegressor(
+        maxDepth=1, featuresCol="_features", labelCol="_label"), metric="r2")
+    model = pl.fit_model(lines, ["l_linenumber"], "l_linenumber", family)
+    own = model.score(lines).select(F.lit("stump").alias("name"), F.round("score", 6).alias("score"))
+    row = lines.agg(*[F.pow(F.corr(c, "y"), F.lit(2)).alias(c) for c in (*SIGNALS, *NOISE)]).first()
+    names = planted_spec().numerics(lines)
+    best = pl.subset_search(
+        lines, planted_spec(), max_features=1, generations=5, mu=10, lam=30,
+        scorer=lambda masks: {m: sum(row[c] for c, keep in zip(names, m) if keep) for m in masks},
+    )
+    return own.unionByName(best.select(F.array_join("selected", ",").alias("name"), F.round("score", 6).alias("score")))
+
+
+@query
+def wide_products(spark, sf_dir):
+    """L3 on wide rows: sums of products of sixteen places of the vectors, per label."""
+    rows = table(spark, sf_dir, "embeddings")
+    names = [f"e{i}" for i in range(16)]
+    rows = rows.select("label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    found = group_moments(rows, names[:-1], names[-1], F.col("label"))
+    at = [(g, i, j, float(m[i + 1, j + 1])) for g, m in sorted(found.groups.items()) for i in range(16) for j in range(i, 16)]
+    made = spark.createDataFrame(at, "label int, i int, j int, product double")
+    return made.select("label", "i", "j", F.round("product", 4).alias("product"))
+
+
 @query
 def leaderboard(spark, sf_dir):
     """Three families on a linear target: ridge has no error, one split leaves its halves' spread."""

@@ -145,3 +145,37 @@ def test_models_work_after_an_observed_job(spark):
     df = spark.createDataFrame([(float(i), "ab"[i // 10]) for i in range(20)], "x double, y string")
     model = pl.fit_model(df, ["x"], "y", "svc", {"C": 10.0, "max_iter": 5})
     assert model.predict(df).count() == 20
+
+
+def test_models_do_not_depend_on_the_layout(spark):
+    """The same rows in one, two or eight partitions give the same trees and forests."""
+    lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    lines = lines.withColumn("y", 3 * lines.l_quantity + 400 * lines.l_discount)
+    spec = pl.TableSpec("y", "numerical", use_cols=("l_quantity", "l_discount", "l_tax"), key=("l_orderkey",))
+    seen = []
+    for parts in (1, 2, 8):
+        df = lines.repartition(parts)
+        rules = [tuple(r) for r in pl.tree_rules(df, spec, max_depth=3).collect()]
+        forest = pl.fit_model(df, spec.use_cols, "y", "forest_reg", {"n_estimators": 5})
+        seen.append(([r[:3] for r in rules], {k: round(v, 9) for k, v in forest.importances.items()}))
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_dealt_rows_are_all_there(spark):
+    from plumbline.operators.models import dealt
+
+    df = spark.range(5_000).selectExpr("if(id < 3500, 0, id) as a", "cast(null as double) as b")
+    out = dealt(df, 5_000)
+    assert out.count() == 5_000 and out.filter("a = 0").count() == 3500
+    assert out.select("_place").distinct().count() == 5_000
+
+
+def test_ridge_codes_come_from_the_training_fold(spark):
+    """With an ordinal column the fast path scores like the path that fits each fold."""
+    rows = [(i, f"k{i % 37}", float(i % 11), float((i * 7919) % 101)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, k string, x double, y double")
+    spec = pl.TableSpec("y", "numerical", ("k",), key=("id",))
+    fast = pl.tune(df, spec, "ridge", trials=[{"alpha": 3.0}], folds=3, repeats=1, seed=2, scaling=True)
+    own = pl.Metric("own", False, lambda y, p: F.avg((y - p) * (y - p)))
+    slow = pl.tune(df, spec, "ridge", trials=[{"alpha": 3.0}], folds=3, repeats=1, seed=2, scaling=True, metric=own)
+    assert fast.trial_scores().first()["score"] == pytest.approx(slow.trial_scores().first()["score"], rel=1e-9)

@@ -45,3 +45,12 @@ def test_histogram_rows_stay_in_one_stage(spark):
 def test_top_values_cut_before_the_shuffle(spark):
     parts = pl.read_table(spark, f"{SF_DIR}/part.parquet")
     assert plan_of(pl.top_values(parts, ["p_brand"], 5)).count("WindowGroupLimit") >= 2
+
+
+def test_pareto_passes_do_not_shuffle_the_rows(spark):
+    from plumbline.operators import frontier
+
+    lines = pl.read_table(spark, f"{SF_DIR}/lineitem.parquet")
+    points = lines.selectExpr("l_extendedprice as _a", "l_quantity as _b")
+    kept, rows = frontier._above_earlier(points)
+    assert "Exchange" not in plan_of(kept, "simple") and kept.count() < rows / 5

@@ -127,3 +127,10 @@ def test_holdouts_share(spark):
     rows = pl.holdouts(spark.range(500), "id", n=10, test=0.3, seed=2).collect()
     assert len(rows) == 5000
     assert 0.25 < sum(r["is_test"] for r in rows) / 5000 < 0.35
+
+
+def test_folds_lose_no_row_with_missing_keys(spark):
+    df = spark.range(2_000).selectExpr("if(id % 100 = 0, null, id) as a", "if(id % 7 = 0, double('NaN'), id) as b", "id")
+    for key in (["a", "id"], ["b", "id"]):
+        sizes = {r["fold"]: r["n_rows"] for r in splits.fold_sizes(pl.kfold(df, key, 5)).collect()}
+        assert sizes == {f: 400 for f in range(5)}

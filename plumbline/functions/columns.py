@@ -80,7 +80,7 @@ def small_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
     a result with a longer one does not count as small.
     """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    share = SMALL_BYTES // (limit * max(1, len(texts)))
+    share = SMALL_BYTES // max(1, limit * len(texts))
     cut = df.withColumns({t: F.substring(col(t), 1, share + 1) for t in texts})
     rows = cut.limit(limit + 1).collect()
     if len(rows) > limit or any(len(r[t] or "") > share for r in rows for t in texts):

@@ -15,7 +15,7 @@ from .cleaning import unpivot_one_row
 from .encoding import cardinality
 from .groups import counts_by, long_categories, means_by
 from .histograms import histograms, pair_bins, pairwise_stats
-from .quantiles import exact_quantiles, quantile_band
+from .quantiles import quantile_band, quantiles_and
 
 QUARTILES = (0.25, 0.5, 0.75)
 NUMBER_FIELDS = ("n", "n_missing", "mean", "sd", "min", "q25", "q50", "q75", "max", "skew", "kurtosis")
@@ -46,16 +46,17 @@ def _moments(values: dict[str, Column]) -> list[Column]:
 
 
 def _summary_rows(df: DataFrame, values: dict[str, Column], approx: bool = False) -> DataFrame:
-    """(label, fields...) for each expression: one moment pass, one quantile search.
+    """(label, fields...) for each expression: moments come with the quantile search.
 
     The frame must hold the expressions' columns; ``values`` maps label to
     expression. The report has one row per label, so it is built on the driver.
     """
     labels = list(values)
     frame = df.select(*[values[label].alias(f"c{i}") for i, label in enumerate(labels)])
-    short = {f"c{i}": F.col(f"c{i}") for i in range(len(labels))}
-    row = frame.agg(F.count(F.lit(1)).alias("rows"), *_moments(short)).first()
-    cuts = exact_quantiles(frame, list(short), QUARTILES, approx)
+    moments = _moments({f"c{i}": F.col(f"v{i}") for i in range(len(labels))})
+    cuts, row = quantiles_and(
+        frame, frame.columns, QUARTILES, approx, [F.count(F.lit(1)).alias("rows"), *moments]
+    )
     out = []
     for i, label in enumerate(labels):
         get = lambda field: row[f"{field}|c{i}"]
@@ -68,11 +69,21 @@ def _summary_rows(df: DataFrame, values: dict[str, Column], approx: bool = False
     return df.sparkSession.createDataFrame(out, f"label string, n bigint, n_missing bigint, {doubles}")
 
 
-def profile_numeric(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """Count, missing, moments, quartiles, extremes and distinct count per numeric column."""
+def profile_numeric(
+    df: DataFrame,
+    cols: Sequence[str] | None = None,
+    approx: bool = False,
+    approx_distinct: bool | None = None,
+) -> DataFrame:
+    """Count, missing, moments, quartiles, extremes and distinct count per numeric column.
+
+    An exact distinct count shuffles every value of a continuous column;
+    ``approx_distinct`` estimates it alone, by default with ``approx``.
+    """
     cols = [c for c in df.columns if is_numeric(df, c)] if cols is None else require(df, cols)
     rows = _summary_rows(df, {c: number(c) for c in cols}, approx).withColumnRenamed("label", "variable")
-    distinct = cardinality(df, cols, approx).withColumnRenamed("column", "variable")
+    rough = approx if approx_distinct is None else approx_distinct
+    distinct = cardinality(df, cols, rough).withColumnRenamed("column", "variable")
     return rows.join(F.broadcast(distinct), "variable", "left")
 
 

@@ -13,7 +13,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,7 +60,7 @@ def values_at_ranks(
     nums = df.select(*[col(c).alias(f"v{i}") for i, c in enumerate(names)])
     n_rows = df.count() if n_rows is None else n_rows
     wanted = [_Target(names.index(c), r, min(1.0, r / max(1, n_rows))) for c, r in targets]
-    return _search(nums, _survey(nums, wanted), wanted)
+    return _search(nums, _survey(nums, wanted)[0], wanted)
 
 
 @dataclass(frozen=True)
@@ -82,8 +82,13 @@ class _Survey:
     around: dict[float, tuple]  # share -> sketched values a little before and after
 
 
-def _survey(nums: DataFrame, targets: Sequence[_Target]) -> list[_Survey]:
-    """One pass over all columns, each sketched a little around every share."""
+def _survey(
+    nums: DataFrame, targets: Sequence[_Target], also: Sequence[Column] = ()
+) -> tuple[list[_Survey], Row]:
+    """One pass over all columns, each sketched a little around every share.
+
+    ``also`` are further aggregates of the same columns; the row has them.
+    """
     slack = 2.0 / SKETCH_ACCURACY
     aggregates, shares = [], []
     for i in range(len(nums.columns)):
@@ -91,13 +96,13 @@ def _survey(nums: DataFrame, targets: Sequence[_Target]) -> list[_Survey]:
         around = [min(1.0, max(0.0, s + d)) for s in shares[i] for d in (-slack, slack)]
         aggregates += _extent(nums, f"v{i}", i)
         aggregates.append(F.percentile_approx(f"v{i}", around, SKETCH_ACCURACY).alias(f"p{i}"))
-    row = nums.agg(*aggregates).first()
+    row = nums.agg(*aggregates, *also).first()
     out = []
     for i in range(len(nums.columns)):
         points = row[f"p{i}"] or [None] * (2 * len(shares[i]))
         pairs = dict(zip(shares[i], zip(points[::2], points[1::2])))
         out.append(_Survey(*(row[f"{name}{i}"] for name in ("n", "low", "high", "a", "b")), pairs))
-    return out
+    return out, row
 
 
 def _search(
@@ -248,13 +253,24 @@ def exact_quantiles(
 
     ``approx`` answers from one sketch pass instead.
     """
+    return quantiles_and(df, cols, probs, approx)[0]
+
+
+def quantiles_and(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], approx: bool = False, also: Sequence[Column] = ()
+) -> tuple[dict[str, list[float | None]], Row]:
+    """The quantiles, and a row of further aggregates taken in the same first pass.
+
+    ``also`` may use the columns as ``v0``, ``v1`` and so on.
+    """
     cols = require(df, cols)
     nums = df.select(*[number(c).alias(f"v{i}") for i, c in enumerate(cols)])
     names = nums.columns
     if approx:
-        row = nums.agg(*[F.percentile_approx(v, list(probs), SKETCH_ACCURACY).alias(v) for v in names]).first()
-        return {c: list(row[v]) if row[v] else [None] * len(probs) for c, v in zip(cols, names)}
-    surveys = _survey(nums, [_Target(i, 0, p) for i in range(len(names)) for p in probs])
+        sketches = [F.percentile_approx(v, list(probs), SKETCH_ACCURACY).alias(v) for v in names]
+        row = nums.agg(*sketches, *also).first()
+        return {c: list(row[v]) if row[v] else [None] * len(probs) for c, v in zip(cols, names)}, row
+    surveys, first = _survey(nums, [_Target(i, 0, p) for i in range(len(names)) for p in probs], also)
     found: dict[str, list] = {v: [None] * len(probs) for v, s in zip(names, surveys) if not s.n}
     spots = {
         (i, p): p * (surveys[i].n - 1) for i, v in enumerate(names) if v not in found for p in probs
@@ -268,7 +284,7 @@ def exact_quantiles(
     for i, v in enumerate(names):
         if v not in found:
             found[v] = [_between(value, i, spots[i, p]) for p in probs]
-    return {c: found[v] for c, v in zip(cols, names)}
+    return {c: found[v] for c, v in zip(cols, names)}, first
 
 
 def _between(value: dict, column: int, spot: float) -> float:

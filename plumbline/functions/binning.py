@@ -20,7 +20,8 @@ def edge(i: Column, lo: Column, hi: Column, bins: int) -> Column:
 def bin_guess(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Bin by quotient, the closed end folded into the last bin; missing stays missing."""
     raw = F.floor((value - lo) / (hi - lo) * F.lit(float(bins))).cast("int")
-    return raw - (value >= hi).cast("int")
+    # A value just below the end can round up to it as well.
+    return raw - (raw >= bins).cast("int")
 
 
 def bin_settled(value: Column, guess: Column, lo: Column, hi: Column, bins: int) -> Column:

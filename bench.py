@@ -49,6 +49,15 @@ HEADLINE = (
     "tree_rules",
     "forest_fit",
     "boruta",
+    "pareto_front",
+    "tune_boosted_trees",
+    "subset_search_tree",
+    "svr_kernel",
+    "svc_kernel",
+    "gbt_reg",
+    "gbt_clf",
+    "leaderboard",
+    "wide_products",
 )
 
 

@@ -18,28 +18,32 @@ GRID_BUCKETS = 256
 LITERAL_LABELS = 500
 
 
-def mean_by(df: DataFrame, x: str, y: str, hue: str | None = None) -> DataFrame:
-    """Mean of y per x, or per (x, hue) with 0 for pairs that do not occur."""
+def mean_by(df: DataFrame, x: str, y: str, hue: str | None = None, dense: bool = True) -> DataFrame:
+    """Mean of y per x, or per (x, hue) with 0 for pairs that do not occur.
+
+    ``dense=False`` leaves such pairs out: two long label lists have as many
+    pairs as their product.
+    """
     keys = require(df, [x] if hue is None else [x, hue])
     rows = present(df, keys).select(*[col(k) for k in keys], number(y).alias("_y"))
     found = rows.groupBy(*[col(k) for k in keys]).agg(
         F.sum("_y").alias("_s"), F.count("_y").alias("_c"), F.count(F.lit(1)).alias("_n")
     )
-    if hue is not None:
+    if hue is not None and dense:
         found = fill_grid(found, [x], hue, ["_s", "_c", "_n"])
     mean = F.when(F.col("_n") == 0, F.lit(0.0)).otherwise(F.try_divide("_s", "_c"))
     return found.select(*[col(k) for k in keys], mean.alias("mean"))
 
 
-def count_by(df: DataFrame, x: str, hue: str | None = None) -> DataFrame:
-    """Rows per x, or per (x, hue) with 0 for pairs that do not occur."""
+def count_by(df: DataFrame, x: str, hue: str | None = None, dense: bool = True) -> DataFrame:
+    """Rows per x, or per (x, hue) with 0 for pairs that do not occur, unless not ``dense``."""
     keys = require(df, [x] if hue is None else [x, hue])
     found = (
         present(df, keys)
         .groupBy(*[col(k) for k in keys])
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return found if hue is None else fill_grid(found, [x], hue, ["n"])
+    return fill_grid(found, [x], hue, ["n"]) if hue is not None and dense else found
 
 
 def fill_grid(found: DataFrame, left: Sequence[str], hue: str, values: Sequence[str]) -> DataFrame:
@@ -114,8 +118,8 @@ def means_by(df: DataFrame, cats: Sequence[str], y: str) -> DataFrame:
     )
 
 
-def counts_by(df: DataFrame, cats: Sequence[str], hue: str) -> DataFrame:
-    """``count_by`` with hue for many columns: (variable, category, hue, n), dense."""
+def counts_by(df: DataFrame, cats: Sequence[str], hue: str, dense: bool = True) -> DataFrame:
+    """``count_by`` with hue for many columns: (variable, category, hue, n)."""
     rows = present(long_categories(present(df, [hue]), cats, col(hue).alias("hue")), ["category"])
     found = rows.groupBy("variable", "category", "hue").agg(F.count(F.lit(1)).alias("n"))
-    return fill_grid(found, ["variable", "category"], "hue", ["n"])
+    return fill_grid(found, ["variable", "category"], "hue", ["n"]) if dense else found

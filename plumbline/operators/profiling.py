@@ -284,12 +284,15 @@ def _profile_shape(part: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def univariate_profile(df: DataFrame, spec: TableSpec, bins: int = 30, cells: int = 20) -> DataFrame:
+def univariate_profile(
+    df: DataFrame, spec: TableSpec, bins: int = 30, cells: int = 20, dense: bool = True
+) -> DataFrame:
     """Every predictor against the target in one long table.
 
     Numeric target: ``scatter`` cells for numeric predictors and ``mean`` per
     category. Any target (a numeric one banded at its quartiles): ``hist`` per
-    target group for numeric predictors, ``count`` per (category, group).
+    target group for numeric predictors, ``count`` per (category, group), with
+    zeros for absent pairs unless ``dense`` is false.
     """
     numeric, cats = spec.numerics(df), spec.categories(df)
     parts = []
@@ -313,7 +316,7 @@ def univariate_profile(df: DataFrame, spec: TableSpec, bins: int = 30, cells: in
             )
         )
     if cats:
-        parts.append(_profile_shape(counts_by(df, cats, spec.target), "count"))
+        parts.append(_profile_shape(counts_by(df, cats, spec.target, dense), "count"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

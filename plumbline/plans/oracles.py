@@ -214,6 +214,22 @@ b AS (SELECT {banded("l_extendedprice")} AS l_extendedprice, l_returnflag FROM l
 )
 
 
+ORACLES["count_by_many"] = """
+WITH x AS (SELECT DISTINCT l_orderkey FROM lineitem), h AS (SELECT DISTINCT l_returnflag FROM lineitem),
+n AS (SELECT l_orderkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT x.l_orderkey, h.l_returnflag, coalesce(n.n, 0) AS n
+FROM x CROSS JOIN h LEFT JOIN n ON x.l_orderkey = n.l_orderkey AND h.l_returnflag = n.l_returnflag"""
+
+ORACLES["mean_by_sparse"] = """
+SELECT l_partkey, l_linenumber, round(avg(l_quantity), 6) AS mean FROM lineitem GROUP BY ALL"""
+
+ORACLES["ordinal_many"] = f"""
+SELECT {ROW_ID}, CAST(dense_rank() OVER (ORDER BY strftime(l_shipdate, '%Y-%m-%d')) AS INTEGER) AS day,
+  CAST(dense_rank() OVER (ORDER BY l_orderkey || '/' || l_linenumber) AS INTEGER) AS line,
+  CAST(dense_rank() OVER (ORDER BY l_returnflag) AS INTEGER) AS l_returnflag
+FROM lineitem"""
+
+
 def edge(i: str, bins: int, lo: str = "lo", hi: str = "hi") -> str:
     return f"(CASE WHEN {i} >= {bins} THEN {hi} ELSE {i} * (({hi} - {lo}) / {float(bins)}) + {lo} END)"
 

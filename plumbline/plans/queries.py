@@ -349,6 +349,32 @@ def count_by_hue(spark, sf_dir):
     return pl.count_by(located_customers(spark, sf_dir), "n_name", "n_regionkey")
 
 
+@query
+def count_by_many(spark, sf_dir):
+    """A4 where the labels are more than the driver holds: every order and flag."""
+    return pl.count_by(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_returnflag")
+
+
+@query
+def mean_by_sparse(spark, sf_dir):
+    """A3 without the absent pairs."""
+    return rounded(
+        pl.mean_by(table(spark, sf_dir, "lineitem"), "l_partkey", "l_quantity", "l_linenumber", dense=False), 6, "mean"
+    )
+
+
+@query
+def ordinal_many(spark, sf_dir):
+    """T2 over a few, thousands and tens of thousands of categories, each with its own kind of lookup."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        *LINE_ID,
+        col("l_shipdate").cast("date").cast("string").alias("day"),
+        F.concat_ws("/", "l_orderkey", "l_linenumber").alias("line"),
+        "l_returnflag",
+    )
+    return pl.ordinal_encode(pl.ordinal_encode(lines, ["day", "l_returnflag"]), "line")
+
+
 @query
 def band_count_dense(spark, sf_dir):
     """T1 then A4: return flags per price band."""

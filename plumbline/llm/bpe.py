@@ -324,6 +324,12 @@ class _PieceRun:
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One for all tasks of a worker, so that its memos outlive a task."""
+    return Encoder(load(path))
+
+
 class Decoder:
     """Token numbers in parts to text; bytes of an unfinished character wait."""
 
@@ -378,7 +384,7 @@ def encode_documents(
     path = path or default_path()
 
     def run(source):
-        encoder = Encoder(load(path))
+        encoder = encoder_of(path)
         for batch in source:
             rows = (
                 (i.as_py(), np.concatenate([np.empty(0, "<u4"), *encoder.encode([t.as_py()])]).astype("i4"))

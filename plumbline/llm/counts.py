@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from array import array
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -16,7 +17,7 @@ from .common import id_type, thin
 #: Pieces that a shorter cut parts in two.
 CONTRACTIONS = ("'re", "'ve", "'ll")
 #: Words whose counts are remembered, in each of two generations.
-WORDS = 350_000
+WORDS = 500_000
 #: Pairs of tokens whose compatibility is remembered.
 PAIRS = 400_000
 
@@ -158,6 +159,12 @@ class PrefixCounter:
         return np.concatenate(out)
 
 
+@lru_cache(maxsize=1)
+def prefix_counter(path: str) -> PrefixCounter:
+    """One for all tasks of a worker, so that its memos outlive a task."""
+    return PrefixCounter(load(path))
+
+
 def fitting_prefix(counts: np.ndarray, limit: int) -> int:
     """Characters of the longest prefix with at most ``limit`` tokens."""
     return int(np.flatnonzero(counts <= limit)[-1])
@@ -174,7 +181,7 @@ def prefix_counts(
     path = path or default_path()
 
     def run(source):
-        counter = PrefixCounter(load(path))
+        counter = prefix_counter(path)
         for batch in source:
             rows = ((i.as_py(), counter.counts(t.as_py())) for i, t in zip(batch["doc_id"], batch["text"]))
             yield from batches(rows, schema, lambda row: row[1].nbytes)
@@ -201,7 +208,7 @@ def token_budget(
     path = path or default_path()
 
     def run(source):
-        counter = PrefixCounter(load(path))
+        counter = prefix_counter(path)
         for batch in source:
             n_bytes, n_tokens, fitting = [], [], []
             for text in batch["text"]:

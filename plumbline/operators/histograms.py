@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.binning import bin_guess, bin_settled, edge, widen
 from ..functions.columns import attach, col, number, present, require, safe_ratio, settle
@@ -249,10 +252,16 @@ PAIRS_PER_PASS = 20
 
 
 def pairwise_stats(df: DataFrame, cols: Sequence[str], hue: str | None = None) -> DataFrame:
-    """(col1, col2, [hue,] n, corr) of every pair of numeric columns."""
+    """(col1, col2, [hue,] n, corr) of every pair of numeric columns.
+
+    Few pairs share one aggregate. More come from matrix products per Arrow
+    batch, in two scans whatever the number of columns.
+    """
     cols = require(df, cols)
     keys = [] if hue is None else [col(hue)]
     pairs = list(combinations(cols, 2))
+    if len(pairs) > PAIRS_PER_PASS:
+        return _matrix_stats(df, cols, hue)
     out = None
     for i in range(0, len(pairs), PAIRS_PER_PASS):
         some = pairs[i : i + PAIRS_PER_PASS]
@@ -271,6 +280,83 @@ def pairwise_stats(df: DataFrame, cols: Sequence[str], hue: str | None = None) -
     return out
 
 
+def _matrix_stats(df: DataFrame, cols: Sequence[str], hue: str | None) -> DataFrame:
+    """Pair counts and correlations from products of values and presence marks.
+
+    Values are shifted by their column's mean. A task sends one array per hue
+    value: rows in common, sums, sums of squares and of products of each pair.
+    """
+    width = len(cols)
+    means = df.agg(*[F.avg(number(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    shifted = [(number(c) - F.lit(means[i] or 0.0)).alias(f"x{i}") for i, c in enumerate(cols)]
+    key = F.lit(0).alias("_h") if hue is None else col(hue).alias("_h")
+    rows = df.select(key, *shifted)
+    kind = rows.schema["_h"]
+    floor = np.array([1e-14 * max(1.0, abs(means[i] or 0.0)) for i in range(width)]) ** 2
+    first, second = np.triu_indices(width, 1)
+
+    def whole(sums: dict, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for h, flat in sums.items():
+            columns = [pa.array([h], schema.field(0).type), pa.array([flat], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["_h", "sums"])
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        batch = None
+        for batch in batches:
+            coded = batch.column(0).dictionary_encode(null_encoding="encode")
+            names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            x = np.column_stack([batch.column(i + 1).to_numpy(zero_copy_only=False) for i in range(width)])
+            seen = ~np.isnan(x)
+            x = np.where(seen, x, 0.0)
+            for k, h in enumerate(names):
+                own, marks = x[codes == k], seen[codes == k].astype(float)
+                parts = (marks.T @ marks, own.T @ marks, (own * own).T @ marks, own.T @ own)
+                sums[h] = sums.get(h, 0.0) + np.concatenate([p.ravel() for p in parts])
+        if sums:
+            yield from whole(sums, batch.schema)
+
+    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        batch = None
+        for batch in batches:
+            for h, flat in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[h] = sums.get(h, 0.0) + flat.values.to_numpy()
+        for h, flat in sums.items():
+            n, s, q, p = flat.reshape(4, width, width)
+            with np.errstate(all="ignore"):
+                mean = s / n
+                spread = q / n - mean * mean
+                corr = (p / n - mean * mean.T) / np.sqrt(spread * spread.T)
+            flat_one = ~(spread > floor[:, None])
+            corr[flat_one | flat_one.T] = np.nan
+            value = corr[first, second]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([h] * len(first), batch.schema.field(0).type),
+                    pa.array(first, pa.int32()),
+                    pa.array(second, pa.int32()),
+                    pa.array(n[first, second].astype(np.int64)),
+                    pa.array(value, pa.float64(), mask=np.isnan(value)),
+                ],
+                names=["_h", "a", "b", "n", "corr"],
+            )
+
+    def typed(*fields: tuple[str, T.DataType]) -> T.StructType:
+        return T.StructType([T.StructField("_h", kind.dataType), *[T.StructField(n, t) for n, t in fields]])
+
+    summed = rows.mapInArrow(products, typed(("sums", T.ArrayType(T.DoubleType()))))
+    found = summed.repartition("_h").mapInArrow(
+        finished, typed(("a", T.IntegerType()), ("b", T.IntegerType()), ("n", T.LongType()), ("corr", T.DoubleType()))
+    )
+    names = F.array(*[F.lit(c) for c in cols])
+    keys = [] if hue is None else [F.col("_h").alias(hue)]
+    return found.select(
+        F.element_at(names, F.col("a") + 1).alias("col1"), F.element_at(names, F.col("b") + 1).alias("col2"),
+        *keys, "n", "corr",
+    )
+
+
 def pairwise_scatter(
     df: DataFrame, cols: Sequence[str], hue: str | None = None, bins: int = 20
 ) -> DataFrame:

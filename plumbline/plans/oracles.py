@@ -617,6 +617,24 @@ SELECT label, CAST(x.i AS INTEGER) AS i, CAST(x.j AS INTEGER) AS j, round(x.p, 4
 
 ORACLES["wide_products"] = _wide(16)
 
+
+def _wide_pairs(width: int) -> str:
+    def place(i):
+        value = f"CAST(embedding[{i + 1}] AS DOUBLE)"
+        return f"CASE WHEN {value} > -0.1 THEN {value} END AS e{i:02d}" if i == 3 else f"{value} AS e{i:02d}"
+
+    names = [f"e{i:02d}" for i in range(width)]
+    sums = ", ".join(
+        f"{{'a': '{a}', 'b': '{b}', 'n': count({a} + {b}), 'r': corr({a}, {b})}}" for a, b in combinations(names, 2)
+    )
+    return f"""
+WITH r AS (SELECT label % 2 AS half, {", ".join(map(place, range(width)))} FROM embeddings),
+s AS (SELECT half, unnest([{sums}]) AS x FROM r GROUP BY half)
+SELECT x.a AS col1, x.b AS col2, half, x.n AS n, round(x.r, 6) AS corr FROM s"""
+
+
+ORACLES["pairwise_wide"] = _wide_pairs(16)
+
 # ---- trees ---------------------------------------------------------------------------
 
 

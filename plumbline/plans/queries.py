@@ -905,6 +905,16 @@ def custom_family(spark, sf_dir):
     return own.unionByName(best.select(F.array_join("selected", ",").alias("name"), F.round("score", 6).alias("score")))
 
 
+@query
+def pairwise_wide(spark, sf_dir):
+    """A8, A12 on wide rows: 120 pairs of vector places per half of the labels, with gaps."""
+    rows = table(spark, sf_dir, "embeddings")
+    places = [F.col("embedding")[i].cast("double").alias(f"e{i:02d}") for i in range(16)]
+    rows = rows.select((col("label") % 2).alias("half"), *places)
+    rows = rows.withColumn("e03", F.when(F.col("e03") > -0.1, F.col("e03")))
+    return rounded(pl.pairwise_stats(rows, [f"e{i:02d}" for i in range(16)], "half"), 6, "corr")
+
+
 @query
 def wide_products(spark, sf_dir):
     """L3 on wide rows: sums of products of sixteen places of the vectors, per label."""

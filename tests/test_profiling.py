@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -127,3 +129,25 @@ def test_univariate_kinds(spark):
     assert kinds == {"scatter", "mean", "hist", "count"}
     kinds = {r["kind"] for r in pl.univariate_profile(df, pl.TableSpec("k", "categorical")).collect()}
     assert kinds == {"hist"}
+
+
+def test_many_pairs_equal_few_pairs(spark):
+    """Matrix products and plain aggregates agree, with gaps, flat columns and an absent group."""
+    rng = np.random.default_rng(4)
+    rows = [
+        (None if i % 50 == 0 else "ab"[i % 2], *[
+            None if (i + j) % 7 == 0 else math.nan if (i + j) % 11 == 0 else 5.0 if j == 2 else float(rng.normal()) * 10**j
+            for j in range(7)
+        ]) for i in range(400)
+    ]
+    names = [f"c{j}" for j in range(7)]
+    df = spark.createDataFrame(rows, "h string, " + ", ".join(f"{n} double" for n in names)).repartition(3)
+    for hue in (None, "h"):
+        many = {tuple(r)[:-1]: r["corr"] for r in pl.pairwise_stats(df, names, hue).collect()}
+        few = {}
+        for a in range(7):
+            for b in range(a + 1, 7):
+                few |= {tuple(r)[:-1]: r["corr"] for r in pl.pairwise_stats(df, [names[a], names[b]], hue).collect()}
+        assert many.keys() == few.keys()
+        assert all((many[k] is None) == (few[k] is None) for k in few)
+        assert all(few[k] is None or many[k] == pytest.approx(few[k], abs=1e-9) for k in few)

@@ -57,6 +57,11 @@ class _Blocks(HTMLParser):
         self.parts: list[str] = []
         self.linked, self.hidden, self.links = 0, 0, 0
 
+    def parse_marked_section(self, i, report=1):
+        """``<![`` is a comment up to the next ``>`` in HTML, whatever it says."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def flush(self):
         text = " ".join("".join(self.parts).split())
         if text:

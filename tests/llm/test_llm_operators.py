@@ -513,6 +513,20 @@ def test_blocks():
     assert html.leaf_blocks("") == []
 
 
+def test_broken_markup_is_read_anyway():
+    rng = random.Random(0)
+    bits = [
+        "<", "<![", ">", "<!", "--", "<!--", "-->", "<![CDATA[", "]]>", "<![x", "<?", "?>", "</", "p", "div", "a href='", '"', "'",
+        "&", "&amp", "&#x", "&#0;", "&#99999999;", "&#xD800;", "<script>", "</script", "<style", "<title>", "<textarea>", "<br/",
+        "<table><tr><td>", "</ul>", "<!DOCTYPE", "\x00", "é", " ",
+    ]
+    field = html.default_field()
+    for _ in range(20_000):
+        html.main_text("".join(rng.choice(bits) for _ in range(rng.randint(0, 14))), field).encode()
+    page = "<!--[if IE]><p>no</p><![endif]--><article><p>yes</p><![if x]><p>too</p><![endif]></article>"
+    assert html.main_text(page, field) == "yes\ntoo"
+
+
 def test_pages(spark):
     import re
     from html import unescape

@@ -549,3 +549,39 @@ def test_pages(spark):
     assert found.columns == ["page_id", "row", "main_text"] and found.count() == 5
     assert {r.main_text for r in found.filter("page_id < 4").collect()} == {""}
     assert html.extract(empty_of(odd)).count() == 0
+
+
+# ---- shared helpers ----
+
+
+def test_join_groups_takes_hot_and_cold_keys(spark):
+    from plumbline.llm.common import join_groups, stage
+
+    rows = stage(spark.range(6000).selectExpr("if(id < 2500, 0, id) as k", "id"), "rows")
+    groups = stage(rows.groupBy("k").agg(F.count("*").alias("size"), F.min("id").alias("least")), "groups")
+    got = join_groups(rows, groups.filter("k != 5999"), ["k"], rows.count())
+    assert got.count() == 5999 and got.filter("least = 0 and size = 2500").count() == 2500
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
+
+
+def test_scratch_tables_go(spark):
+    from pathlib import Path
+
+    from plumbline.llm.common import Scratch
+
+    with Scratch(spark) as scratch:
+        assert scratch.stage(spark.range(5), "x").count() == 5
+        kept = [Path(p.removeprefix("file:")) for p in scratch.paths]
+        assert all(p.exists() for p in kept)
+    assert not any(p.exists() for p in kept)
+
+
+def test_hot_text_and_line(spark):
+    """A third of all rows share one text and one line."""
+    texts = [(i, "the same line in very many documents" if i % 3 == 0 else f"line number {i} of its own here\nx") for i in range(3300)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    found = exact.exact_dedup(df, keep="max").filter("group_size > 1")
+    assert found.count() == 1100 and found.filter("kept").collect()[0].doc_id == 3297
+    dropped = lines.line_report(df, max_edits=0).filter("size(dropped) > 0")
+    assert dropped.count() == 1099 and dropped.filter("doc_id = 0").count() == 0

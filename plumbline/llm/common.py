@@ -61,11 +61,50 @@ def words_of(text: Column) -> Column:
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame to the shared folder once and scan the files from then on."""
-    path = new_path(df.sparkSession, label)
+    return _written(df, new_path(df.sparkSession, label))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables that go at the end of a ``with`` block."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(new_path(self.spark, label))
+        return _written(df, self.paths[-1])
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+#: A key with more than one of this many parts of all rows is hot.
+HOT_PARTS = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], n_rows: int) -> DataFrame:
+    """Inner join of rows with one line per key, whose column ``size`` counts its rows.
+
+    Keys with over a thousandth of the rows number fewer than a thousand, so
+    their lines are broadcast and their rows stay where they are; all other rows
+    are shuffled. Both inputs are read twice and should be written tables.
+    """
+    hot = F.broadcast(groups.filter(F.col("size") * HOT_PARTS > n_rows))
+    cold = groups.filter(F.col("size") * HOT_PARTS <= n_rows)
+    rest = rows.join(hot.select(*on), on, "left_anti").join(cold, on)
+    return rows.join(hot, on).unionByName(rest)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_width, stage, thin
+from .common import join_groups, shuffle_width, stage, thin
 
 
 def digest_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -79,12 +79,11 @@ def exact_dedup(
     * An empty table gives an empty result. Other columns are ignored, whatever
       their names.
 
-    The last join is on the digest with both sides shuffled, so adaptive
-    execution can split the partition of a hot text.
+    The rows of hot texts are not moved for the last join.
     """
     runs = digest_runs(df, id_col, text_col)
-    merged = tree_merge(runs, keep, fan_in)
-    return runs.join(merged, ["sha", "n_bytes"]).select(
+    merged = stage(tree_merge(runs, keep, fan_in), "merged")
+    return join_groups(runs, merged, ["sha", "n_bytes"], runs.count()).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         F.col("size").alias("group_size"),

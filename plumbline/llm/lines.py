@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, boxed, stage, thin, with_text, words_of
+from .common import SPACE, Scratch, boxed, join_groups, stage, thin, with_text, words_of
 
 _PLACE = ("doc_id", "tie", "line_no")
 
@@ -81,11 +81,8 @@ def _words_at(rows: DataFrame, places: DataFrame) -> DataFrame:
     found = rows.join(wanted, _same_place(rows, wanted)).select(
         _split(F.col("text")).alias("lines"), F.explode("own").alias("o")
     )
-    return stage(
-        found.select("o.*", F.split(_canonical(F.get("lines", F.col("o.first.line_no"))), " ").alias("w"))
-        .dropDuplicates(["digest"]),
-        "candidates",
-    )
+    line = _canonical(F.get("lines", F.col("o.first.line_no")))
+    return found.select("o.*", F.split(line, " ").alias("w")).dropDuplicates(["digest"])
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -132,7 +129,7 @@ def _neighbourhood(words: str) -> Column:
     return F.concat(first, F.aggregate(steps, start, step, lambda acc: acc["out"]))
 
 
-def _near(texts: DataFrame) -> DataFrame:
+def _near(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """``digest`` of lines with an earlier line exactly one edit away.
 
     Every line emits itself and all variants with one word deleted, as hashed
@@ -141,11 +138,11 @@ def _near(texts: DataFrame) -> DataFrame:
     So each group needs only its earliest line, not its pairs, and each line is
     verified against the earliest of its groups.
     """
-    keys = stage(
+    keys = scratch.stage(
         texts.select("id", F.explode(_neighbourhood("w")).alias("x")).select("id", "x.*"), "keys"
     )
     met = keys.groupBy("v").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo != hi")
-    keys = stage(
+    keys = scratch.stage(
         keys.join(met.select("v"), "v", "left_semi").join(texts.select("id", "first"), "id"), "variants"
     )
     by_place = keys.groupBy("v", "at").agg(F.min(F.struct("first", "id")).alias("least"))
@@ -180,21 +177,21 @@ def repeated_lines(rows: DataFrame, min_words: int = 5, max_edits: int = 1) -> D
         raise ValueError("max_edits is 0 or 1")
     lines = occurrences(rows, min_words)
     texts = lines.groupBy("digest", "id").agg(
-        F.min(F.struct(*_PLACE)).alias("first"), F.count("*").alias("n")
+        F.min(F.struct(*_PLACE)).alias("first"), F.count("*").alias("size")
     )
-    if max_edits:
-        near_by = _candidates(lines).withColumn("close", F.lit(True))
-        texts = stage(
-            texts.join(near_by, "id", "left").filter("n > 1 or close"), "texts"
-        )
-        near = _near(_words_at(rows, texts.filter("close"))).withColumn("near", F.lit(True))
-        texts = texts.join(near, "digest", "left").filter("n > 1 or near")
-    else:
-        texts = texts.filter("n > 1").withColumn("near", F.lit(None).cast("boolean"))
+    with Scratch(rows.sparkSession) as scratch:
+        if max_edits:
+            near_by = _candidates(lines).withColumn("close", F.lit(True))
+            texts = scratch.stage(texts.join(near_by, "id", "left").filter("size > 1 or close"), "texts")
+            words = scratch.stage(_words_at(rows, texts.filter("close")), "candidates")
+            near = _near(words, scratch).withColumn("near", F.lit(True))
+            texts = texts.join(near, "digest", "left").filter("size > 1 or near")
+        else:
+            texts = texts.filter("size > 1").withColumn("near", F.lit(False))
+        texts = stage(texts.select("digest", "size", "first", "near"), "repeated")
     later = F.struct(*_PLACE) > F.col("first")
     return (
-        lines.select(*_PLACE, "digest")
-        .join(texts.select("digest", "first", "near"), "digest")
+        join_groups(lines.select(*_PLACE, "digest"), texts, ["digest"], lines.count())
         .filter(F.coalesce("near", F.lit(False)) | later)
         .groupBy("doc_id", "tie")
         .agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))

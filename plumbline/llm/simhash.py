@@ -10,8 +10,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import boxed, shuffle_width, stage, thin
+from ..functions.columns import col, require
+from .common import join_groups, shuffle_width, stage, thin
 from .components import components
 
 BITS = 64
@@ -55,18 +57,18 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(rows: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id`` and ``fp``, a long with the fingerprint's bits, for ``doc_id, text``."""
+    """The rows with ``fp``, a long with the fingerprint's bits, after their ``text``."""
+    names = rows.columns
 
     def run(source):
         for batch in source:
-            found = [fingerprint(t.as_py(), shingle) for t in batch["text"]]
+            found = [fingerprint(t.as_py() or "", shingle) for t in batch["text"]]
             values = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(values, pa.int64())], names=["doc_id", "fp"]
+                [*batch.columns, pa.array(values, pa.int64())], names=[*names, "fp"]
             )
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, fp long")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("fp", T.LongType())]))
 
 
 # ---- bit-sliced comparison -----------------------------------------------------
@@ -336,16 +338,18 @@ def near_links(fps: DataFrame, radius: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, radius: int) -> DataFrame:
-    """``fp, root, component_id`` for each distinct ``fp`` of ``doc_id, fp`` rows.
+    """``fp, size, root, component_id`` for each distinct ``fp`` of ``doc_id, fp`` rows, written.
 
     ``root`` is the class's smallest fingerprint, ``component_id`` its smallest
     ``doc_id``. Equal fingerprints become one before they are compared.
     """
-    fps = stage(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
+    sizes = docs.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("size"))
+    fps = stage(sizes, "fingerprints")
     found = components(near_links(fps, radius)).withColumnRenamed("node", "fp")
     fps = fps.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = fps.groupBy("root").agg(F.min("first").alias("component_id"))
-    return fps.join(least, "root").select("fp", "root", "component_id")
+    found = fps.join(least, "root").select("fp", "size", "root", "component_id")
+    return stage(found, "classes")
 
 
 def near_duplicates(
@@ -365,8 +369,9 @@ def near_duplicates(
     are not chosen unless there is no other. Repeated rows share their class. An
     empty table gives an empty result. Other columns are ignored.
     """
-    docs = stage(fingerprints(thin(df, id_col, text_col), shingle), "simhash")
-    return docs.join(classes(docs, radius), "fp").select(
+    found = fingerprints(thin(df, id_col, text_col), shingle)
+    docs = stage(found.select("doc_id", "fp"), "simhash")
+    return join_groups(docs, classes(docs, radius), ["fp"], docs.count()).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -382,14 +387,22 @@ def drop_near_duplicates(
 
     One row of each class stays: the one with the smallest identifier, a null one
     last; of rows that share it, the one with the smallest fingerprint, and of
-    equal ones any single one.
+    equal ones any single one. Decisions are made on a thin table; the rows
+    themselves are shuffled once.
     """
-    rows = boxed(df, id_col, text_col)
-    texts = rows.select(F.struct("row", "doc_id").alias("doc_id"), "text")
-    docs = stage(fingerprints(texts, shingle), "simhash")
-    slim = docs.select(F.col("doc_id.doc_id").alias("doc_id"), "fp")
-    found = classes(slim, radius)
-    own = docs.join(found, "fp").filter(F.col("doc_id.doc_id").eqNullSafe(F.col("component_id")))
-    least = own.groupBy("root").agg(F.min("fp").alias("fp"))
-    single = own.join(least, ["root", "fp"]).dropDuplicates(["root"])
-    return single.select(*[F.col("doc_id.row").getField(c).alias(c) for c in df.columns])
+    require(df, [id_col, text_col])
+    other = [col(c) for c in df.columns if c != text_col]
+    rows = df.select(
+        F.struct(*other).alias("row"), col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text")
+    )
+    rows = stage(
+        fingerprints(rows, shingle).withColumn("at", F.monotonically_increasing_id()), "simhash"
+    )
+    slim = rows.select("doc_id", "fp", "at")
+    own = join_groups(slim, classes(slim, radius), ["fp"], rows.count())
+    own = own.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = own.groupBy("root").agg(F.min(F.struct("fp", "at")).alias("pick")).select("pick.at")
+    box = F.col("row")
+    return rows.join(kept, "at", "left_semi").select(
+        *[F.col("text").alias(c) if c == text_col else box.getField(c).alias(c) for c in df.columns]
+    )

@@ -83,6 +83,12 @@ class WordTokens:
         return b"".join([self.words[w] for w in text.replace("\n", " ").split(" ") if w])
 
 
+@lru_cache(maxsize=1)
+def word_tokens(path: str) -> WordTokens:
+    """One for all tasks of a worker, so that its memo outlives a task."""
+    return WordTokens(path)
+
+
 def token_pieces(
     df: DataFrame,
     capacity: int = 4096,
@@ -99,7 +105,7 @@ def token_pieces(
     path, size = path or default_path(), 4 * capacity
 
     def run(source):
-        words = WordTokens(path)
+        words = word_tokens(path)
         end = np.array([end_id], "<u4").tobytes()
 
         def pieces(batch):

@@ -53,7 +53,6 @@ HEADLINE = (
     "tune_boosted_trees",
     "subset_search_tree",
     "svr_kernel",
-    "svc_kernel",
     "gbt_reg",
     "gbt_clf",
     "leaderboard",

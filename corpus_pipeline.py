@@ -33,7 +33,7 @@ def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences of 4096."""
+    """Token pieces, with their tokens, and their places in sequences of 4096."""
     return pack(docs, capacity=4096)
 
 

@@ -234,12 +234,14 @@ def pack(
     text_col: str = "text",
     path: str | None = None,
 ) -> DataFrame:
-    """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
+    """One row per piece: ``doc_id, piece, start, length, tokens, sequence_id, offset, ids_crc32``.
 
-    A null or empty text is one piece with only the end mark. Repeated rows are
+    ``tokens`` holds the piece's numbers as ``token_pieces`` gives them; those of
+    one ``sequence_id`` in the order of ``offset`` are a packed sequence.
+    ``ids_crc32`` is their checksum. A null or empty text is one piece with only the end mark. Repeated rows are
     packed each. An empty table gives an empty result. Other columns are ignored.
 
-    The texts are read and encoded once, into a thin written table. Best fit
+    The texts are read and encoded once, into a written table. Best fit
     needs only the number of pieces of each length, at most ``capacity`` numbers;
     its plan is sent to the tasks, which look up each piece by its rank among
     those of its length. Ranks are counted in hashed parts of a length, so that
@@ -254,7 +256,7 @@ def pack(
             "piece",
             "start",
             (F.octet_length("tokens") / 4).cast("long").alias("length"),
-            F.crc32("tokens").alias("ids_crc32"),
+            "tokens",
             F.pmod(F.xxhash64("row", "piece"), F.lit(parts)).alias("part"),
         ),
         "pieces",
@@ -269,10 +271,11 @@ def pack(
         pieces.withColumn("rank", F.row_number().over(inside))
         .join(counted, ["length", "part"])
         .withColumn("rank", F.col("rank") + F.col("before") - 1)
-        .select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
+        .select("doc_id", "piece", "start", "length", "tokens", "rank")
     )
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    return placed(ranked, best_fit_decreasing(counts, capacity), spark)
+    found = placed(ranked, best_fit_decreasing(counts, capacity), spark)
+    return found.withColumn("ids_crc32", F.crc32("tokens"))
 
 
 def placed(ranked: DataFrame, plan: Plan, spark) -> DataFrame:

@@ -179,7 +179,10 @@ FROM cut c LEFT JOIN per_doc p ON c.doc_id = p.doc_id
 
 @query
 def op9_best_fit_packing(spark, sf_dir):
-    return pack(read(spark, sf_dir, "documents"), 4096)
+    found = pack(read(spark, sf_dir, "documents"), 4096)
+    return found.select(
+        "doc_id", "piece", "start", "length", F.crc32("tokens").alias("ids_crc32"), "sequence_id", "offset"
+    )
 
 
 @query

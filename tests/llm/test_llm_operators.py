@@ -455,6 +455,30 @@ def test_packing(docs, odd, capacity):
         check_packing(rows, capacity)
 
 
+@pytest.mark.parametrize("capacity", [64, 4096])
+def test_packed_sequences_hold_the_tokens(docs, odd, capacity):
+    tok = brute.tokenizer("word_bpe_49k.json")
+    for df in (docs, odd):
+        texts, made = {}, {}
+        for r in packing.pack(df, capacity).collect():
+            own = np.frombuffer(r.tokens, "<u4").tolist()
+            assert len(own) == r.length
+            made.setdefault(r.sequence_id, []).append((r.offset, own))
+            texts.setdefault(r.doc_id, []).append((r.start, own))
+        for own in made.values():
+            ids = [i for _, part in sorted(own) for i in part]
+            assert len(ids) <= capacity and ids[-1] == 1 or len(ids) == capacity
+        want = {}
+        for r in df.collect():
+            want.setdefault(r.doc_id, []).append(tok.encode(r.text or "", add_special_tokens=False).ids + [1])
+        assert {i: sorted(t for _, own in x for t in own) for i, x in texts.items()} == {
+            i: sorted(t for own in x for t in own) for i, x in want.items()
+        }
+        for i, x in texts.items():
+            if len(want[i]) == 1:
+                assert [t for _, own in sorted(x) for t in own] == want[i][0]
+
+
 def test_best_fit_plan():
     rng = random.Random(2)
     for _ in range(200):

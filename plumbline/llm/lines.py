@@ -45,18 +45,23 @@ def _halves(line: Column, n: Column) -> Column:
     return F.when(n % 2 == 1, F.array(*pair(half))).otherwise(F.array(*pair(half), *pair(half - 1)))
 
 
-def occurrences(rows: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, tie, line_no, id, digest, keys`` for each line of enough words, written."""
+def occurrences(rows: DataFrame, min_words: int, exact_words: int | None = None) -> DataFrame:
+    """``doc_id, tie, line_no, id, digest, keys`` for each line of enough words, written.
+
+    Lines of fewer than ``min_words`` words have no ``keys``.
+    """
+    least = min_words if exact_words is None else min(min_words, exact_words)
+    none = F.expr("array()").cast("array<long>")
     lines = rows.select("doc_id", "tie", F.posexplode(_split(F.col("text"))).alias("line_no", "line"))
     lines = lines.select(*_PLACE, _canonical(F.col("line")).alias("line"))
     spaces = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
     lines = lines.withColumn("n", F.when(F.col("line") == "", 0).otherwise(spaces + 1))
     return stage(
-        lines.filter(F.col("n") >= min_words).select(
+        lines.filter(F.col("n") >= least).select(
             *_PLACE,
             F.xxhash64("line").alias("id"),
             F.substring(F.unhex(F.sha2("line", 256)), 1, 16).alias("digest"),
-            _halves(F.col("line"), F.col("n")).alias("keys"),
+            F.when(F.col("n") >= min_words, _halves(F.col("line"), F.col("n"))).otherwise(none).alias("keys"),
         ),
         "lines",
     )
@@ -171,11 +176,13 @@ def _near(texts: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
 
-def repeated_lines(rows: DataFrame, min_words: int = 5, max_edits: int = 1) -> DataFrame:
+def repeated_lines(
+    rows: DataFrame, min_words: int = 5, max_edits: int = 1, exact_words: int | None = None
+) -> DataFrame:
     """``doc_id, tie, dropped`` (line numbers from 0) for rows with ``tie`` and ``text``."""
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
-    lines = occurrences(rows, min_words)
+    lines = occurrences(rows, min_words, exact_words)
     texts = lines.groupBy("digest", "id").agg(
         F.min(F.struct(*_PLACE)).alias("first"), F.count("*").alias("size")
     )
@@ -204,6 +211,7 @@ def line_report(
     text_col: str = "text",
     min_words: int = 5,
     max_edits: int = 1,
+    exact_words: int | None = None,
 ) -> DataFrame:
     """One row per input row: ``doc_id, n_lines, dropped``.
 
@@ -211,7 +219,9 @@ def line_report(
     earlier line of the corpus has the same words or, with ``max_edits`` 1, is one
     word inserted, deleted or replaced away, whether or not that one goes itself.
     Lines are what line breaks separate, words what white space separates; lines
-    of fewer than ``min_words`` words are neither compared nor dropped.
+    of fewer than ``min_words`` words are neither compared nor dropped, unless
+    ``exact_words`` is less: lines from that many words on then go if an earlier
+    line has the same words. With 1 every line that is not empty counts.
 
     Earlier means by identifier (null first), then, for different texts of one
     identifier, by a hash of the text, then by line number. Repeated rows are one
@@ -222,7 +232,7 @@ def line_report(
     variants; two lines one edit apart always do.
     """
     rows = _keyed(thin(df, id_col, text_col))
-    drops = repeated_lines(rows, min_words, max_edits)
+    drops = repeated_lines(rows, min_words, max_edits, exact_words)
     slim = rows.select("doc_id", "tie", F.size(_split(F.col("text"))).cast("long").alias("n_lines"))
     none = F.expr("array()").cast("array<int>")
     return slim.join(drops, _same_place(slim, drops), "left").select(
@@ -236,13 +246,14 @@ def dedup_lines(
     text_col: str = "text",
     min_words: int = 5,
     max_edits: int = 1,
+    exact_words: int | None = None,
 ) -> DataFrame:
     """The input rows without the lines that ``line_report`` drops.
 
     All rows stay; a text may become empty. A column ``n_chars`` follows the text.
     """
     rows = _keyed(boxed(df, id_col, text_col))
-    drops = repeated_lines(rows.drop("row"), min_words, max_edits)
+    drops = repeated_lines(rows.drop("row"), min_words, max_edits, exact_words)
     kept = F.array_join(
         F.filter(_split(F.col("text")), lambda x, i: ~F.array_contains(F.col("dropped"), i)), "\n"
     )

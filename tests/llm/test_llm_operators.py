@@ -405,6 +405,19 @@ def test_line_report_small(spark):
             assert got == brute.dropped_lines(texts, edits=edits), trial
 
 
+def test_short_lines_go_when_exact(spark):
+    rng = random.Random(4)
+    texts = [(i, "\n".join(" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 8))) for _ in range(5))) for i in range(60)]
+    texts.append((60, "Thnd stheed.\n\nThnd  stheed.\nThnd stheed\n"))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: list(r.dropped) for r in lines.line_report(df, exact_words=1).collect()}
+    near, same = brute.dropped_lines(texts), brute.dropped_lines(texts, min_words=1, edits=0)
+    assert found == {i: sorted({*near[i], *same[i]}) for i, _ in texts}
+    assert found[60] == [2] and near[60] == []
+    kept = {r.doc_id: r.text for r in lines.dedup_lines(df, exact_words=1).collect()}
+    assert kept[60] == "Thnd stheed.\n\nThnd stheed\n"
+
+
 def test_line_dedup_odd(odd, spark):
     found = lines.line_report(odd).collect()
     assert len(found) == len(ODD)

@@ -35,17 +35,23 @@ BASE = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
 )
 
+GIVEN_NAMES = (
+    "Alice|Ana|Anna|Antonio|Carlos|Carmen|Claire|David|Elena|Emma|Eva|Felix|Hans|Jack|James|Jan|"
+    "Jean|Jose|John|Juan|Julia|Karl|Laura|Lisa|Louis|Lucas|Luis|Marc|Maria|Marie|Mark|Martin|Mary|"
+    "Max|Michael|Miguel|Paul|Peter|Pierre|Robert|Sarah|Sofia|Thomas|William"
+)
+
 _EDGE, _END = r"(?<![\p{L}\p{N}_-])", r"(?![\p{L}\p{N}_-])"
 #: Further kinds: a match is only a candidate.
 CANDIDATES = (
     Kind("ssn", rf"{_EDGE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_END}", ""),
-    Kind("iban", rf"{_EDGE}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_END}", ""),
+    Kind("iban", rf"{_EDGE}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_END}", ""),
     Kind("local_phone", rf"{_EDGE}(?:\([0-9]{{2,4}}\)|[0-9]{{2,4}})[ .-][0-9]{{3,4}}[ .-][0-9]{{3,4}}{_END}", ""),
-    Kind("secret", rf"{_EDGE}(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{{16,128}}+{_END}", ""),
+    Kind("secret", rf"{_EDGE}(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{{16,}}+{_END}", ""),
     Kind(
         "name",
-        r"(?<!\p{L})(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Madame|Monsieur)\.? "
-        r"\p{Lu}\p{Ll}{1,30}(?: \p{Lu}\p{Ll}{1,30})?(?!\p{L})",
+        r"(?<!\p{L})(?=\p{Lu})(?:(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Madame|Monsieur)\.? "
+        rf"\p{{Lu}}\p{{Ll}}{{1,30}}|(?:{GIVEN_NAMES})(?!\p{{L}}))(?: \p{{Lu}}\p{{Ll}}{{1,30}})?(?!\p{{L}})",
         "",
     ),
 )
@@ -63,11 +69,6 @@ INNOCENT = (
 )
 #: Beginnings of keys that services hand out.
 KEY_STARTS = r"^(AKIA|ASIA|AIza|ghp_|gho_|ghs_|glpat-|xox[bpa]-|sk[-_]|pk_|rk_|eyJ|ya29)"
-GIVEN_NAMES = (
-    "Alice|Ana|Anna|Antonio|Carlos|Carmen|Claire|David|Elena|Emma|Eva|Felix|Hans|Jack|James|Jan|"
-    "Jean|Jose|John|Juan|Julia|Karl|Laura|Lisa|Louis|Lucas|Luis|Marc|Maria|Marie|Mark|Martin|Mary|"
-    "Max|Michael|Miguel|Paul|Peter|Pierre|Robert|Sarah|Sofia|Thomas|William"
-)
 
 #: Regex, gazetteer and context labelers: SQL on a candidate ``c`` (kind, m, before).
 LABELERS = (
@@ -80,7 +81,7 @@ LABELERS = (
      " or (c.kind = 'ssn' and not c.m rlike '^(000|666|9)')"
      " or (c.kind = 'iban' and c.m rlike '^(AT|BE|CH|DE|ES|FR|GB|IE|IT|LU|NL|PT)')"
      " or (c.kind = 'local_phone' and c.m rlike '^[(]?0|[)]')",
-     "(c.kind = 'secret' and c.m rlike '^[A-Za-z]+([_-][A-Za-z]+)*[_-]?[0-9]{1,4}$')"
+     "(c.kind = 'secret' and c.m rlike '^[A-Za-z]+([_-][A-Za-z]++)*+[_-]?[0-9]{1,4}$')"
      " or (c.kind = 'ssn' and c.m rlike '^(000|666)|-00-|-0000$')"),
     ("variety", "size(array_distinct(split(c.m, ''))) >= 9 and c.kind in ('secret', 'iban')",
      "size(array_distinct(split(c.m, ''))) <= 4 and c.kind != 'name'"),

@@ -377,6 +377,24 @@ def test_added_spans_are_secrets_only(spark):
         assert len(r.spans) - len(r.base) == want[r.doc_id]
 
 
+def test_long_keys_names_and_short_ibans_are_candidates(spark):
+    key = "sk-proj-" + "aB3dE6gH9k" * 16
+    slug = "a-b_" * 5000 + "c1"
+    texts = [
+        f"token = {key} end", "we met Maria Lopez there", "Frau Lopez, Anna.", "to NO93 8601 1117 947 now",
+        "to NO9386011117947 now", slug, "Marias Annabel", "é" + "x" * 200_000 + "1",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(c.kind, c.m) for c in r.candidates] for r in pii.found_spans(df).collect()}
+    assert got[0] == [("secret", key)] and got[1] == [("name", "Maria Lopez")]
+    assert got[2] == [("name", "Frau Lopez"), ("name", "Anna")]
+    assert got[3] == [("iban", "NO93 8601 1117 947")] and got[4] == [("iban", "NO9386011117947")]
+    assert got[5] == [("secret", slug)] and got[6] == [] and got[7] == []
+    pii.personal_data(df).collect()
+    known = spark.createDataFrame([(i, f"token = {key}{i} end") for i in range(30)], "doc_id long, text string")
+    assert {r.text for r in pii.redact(known).collect()} == {"token = [SECRET] end"}
+
+
 def test_redaction(spark, odd):
     df = spark.createDataFrame(
         [(1, "é x@y.de, 1.2.3.4 end", 9), (2, "a@1.2.3.4 z", 0), (3, None, 5), (4, "plain", 5)],

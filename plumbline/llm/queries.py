@@ -7,17 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .audit import ORDERS, filter_audit
 from .bpe import decode_documents, encode_documents
 from .common import read
 from .counts import token_budget
 from .exact import exact_dedup
 from .html import extract
+from .lexical import ranked_search
 from .lines import line_report
 from .packing import pack
 from .pii import BASE, personal_data, span_list
 from .quality import quality
 from .simhash import near_duplicates
 from .urls import SITE_RULES, TOPIC_RULES, filter_urls
+from .vectors import exact_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -149,8 +152,7 @@ WITH cut AS (
 split AS (
   SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS line_no FROM cut),
 worded AS (
-  SELECT doc_id, line_no, regexp_extract_all(line, '[^ 	-
-]+') AS w FROM split),
+  SELECT doc_id, line_no, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM split),
 occ AS (
   SELECT doc_id, line_no, w, array_to_string(w, ' ') AS line FROM worded WHERE len(w) >= 5),
 texts AS (
@@ -189,3 +191,104 @@ def op9_best_fit_packing(spark, sf_dir):
 def op10_html_text(spark, sf_dir):
     pages = extract(read(spark, sf_dir, "pages"), text_col="text")
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_top_k_search(spark, sf_dir):
+    return exact_top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+ORACLES["op11_top_k_search"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding))
+SELECT q.vec_id AS query_id,
+  row_number() OVER (PARTITION BY q.r ORDER BY list_dot_product(q.e, c.e) DESC, c.vec_id)::INTEGER AS rank,
+  c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+FROM v q JOIN v c ON q.r <> c.r
+WHERE q.vec_id % 20 = 0
+QUALIFY rank <= 20
+"""
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = rf"""
+WITH orders(filter_order) AS (VALUES {", ".join(f"('{o}')" for o in ORDERS)}),
+docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+worded AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+    min(doc_id) OVER (PARTITION BY text) AS first
+  FROM docs),
+flags AS (
+  SELECT doc_id, part,
+    concat(
+      CASE WHEN len(w) < 100 THEN 'A' ELSE '' END,
+      CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END,
+      CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * len(text) THEN 'C' ELSE '' END,
+      CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END,
+      CASE WHEN first < doc_id THEN 'E' ELSE '' END) AS fails
+  FROM worded),
+judged AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+sets AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM flags LEFT JOIN judged USING (doc_id) GROUP BY part, fails),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+  FROM orders, (SELECT unnest(range(1, 6))::INTEGER AS step)),
+met AS (
+  SELECT part, filter_order, step, f, n, good, toxic, contains(fails, f) AS hit,
+    before <> '' AND regexp_matches(fails, '[' || before || '_]') AS gone, fails = f AS only_this
+  FROM sets, steps),
+summed AS (
+  SELECT part, filter_order, step, f,
+    coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (only_this), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM summed
+"""
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLES["op13_lexical_search"] = r"""
+WITH occ AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+post AS (SELECT doc_id, term, count(*) AS tf FROM occ GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM post GROUP BY doc_id),
+corpus AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+norms AS (SELECT doc_id, 100 - 90 + (90 * n * n_docs) // n_terms AS m FROM sizes, corpus),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM post, corpus GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN post USING (term) JOIN norms USING (doc_id)
+  GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+  doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""

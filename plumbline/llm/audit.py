@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, require
 from .common import Scratch, join_groups, stage, text_of
-from .terms import dictionary, global_shards, row_sums, term_shards
+from .terms import global_shards, numbered_words, row_sums, term_shards
 
 LETTERS = "ABCDE"
 ORDERS = tuple("".join(p) for p in permutations(LETTERS))
@@ -65,7 +65,7 @@ def failures(
     )
     with Scratch(df.sparkSession) as scratch:
         shards = scratch.stage(term_shards(rows, bytes.split, FACTS), "shards")
-        matrix = global_shards(shards, dictionary(shards, scratch))
+        matrix = global_shards(shards, numbered_words(shards, scratch))
         flagged = scratch.stage(
             row_sums(matrix).select("doc_id", "part", "digest", _own_mask().alias("mask")), "flags"
         )

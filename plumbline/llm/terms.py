@@ -5,6 +5,7 @@ from __future__ import annotations
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Callable, Sequence
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .common import Scratch, shuffle_width
+
 #: Non-zero cells after which a shard ends.
-SHARD_CELLS = 1 << 21
+SHARD_CELLS = 1 << 22
 
 Words = Callable[[bytes], list[bytes]]
 #: A name, an Arrow type and a function of the text's bytes.
@@ -80,18 +83,18 @@ def term_shards(
             )
 
         for batch in source:
-            start = 0
+            start, slim = 0, batch.select(["shard", *[f.name for f in keep]])
             for i, text in enumerate(batch["text"]):
                 data = text.as_py()
                 rows.add(words(data))
                 for (_, _, of), values in zip(facts, extra):
                     values.append(of(data))
                 if len(rows.ids) >= cells:
-                    held.append(batch.slice(start, i + 1 - start))
+                    held.append(slim.slice(start, i + 1 - start))
                     yield shard()
                     rows, held, extra, start = _Rows(), [], [[] for _ in facts], i + 1
             if start < batch.num_rows:
-                held.append(batch.slice(start))
+                held.append(slim.slice(start))
         if held:
             yield shard()
 
@@ -111,49 +114,99 @@ def term_shards(
     )
 
 
-def dictionary(shards: DataFrame, scratch) -> DataFrame:
-    """``term_id, word`` of all shards, numbered 0, 1, 2, ... without a gap.
+def numbered_words(shards: DataFrame, scratch: Scratch) -> DataFrame:
+    """``part, shard, places, numbers, first, words``: the dictionary, written.
 
-    Words are numbered within their hash partition; partitions start where the
-    ones before them end.
+    A word belongs to one part, by a hash. Each part meets the words of all shards,
+    block by block, and numbers them as they come: the words at ``places`` of the
+    shard have these ``numbers``; ``words`` are those not met before, numbered from
+    ``first``. A block of words is one row, so nothing is shuffled word by word.
     """
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    words = scratch.stage(words.withColumn("place", F.monotonically_increasing_id()), "dictionary")
-    part = F.shiftright("place", 33)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = words.groupBy(part.alias("part")).count().select(
-        "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")
-    )  # a row for each shuffle partition
-    inside = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
-    return words.join(F.broadcast(starts), part == F.col("part")).select(
-        (F.col("start") + inside).alias("term_id"), "word"
+    parts = 2 * shuffle_width(shards.sparkSession)
+
+    def blocks(source):
+        for batch in source:
+            for shard, words in zip(batch["shard"], batch["words"]):
+                words = words.values
+                part = np.fromiter(map(crc32, words.to_pylist()), "i8", len(words)) % parts
+                order = np.argsort(part, kind="stable")
+                own, starts = np.unique(part[order], return_index=True)
+                ends = np.r_[starts, len(order)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(own, pa.int64()),
+                        pa.array([shard.as_py()] * len(own), pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.take(pa.array(order))),
+                        pa.array([packed(order[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()),
+                    ],
+                    names=["part", "shard", "words", "places"],
+                )
+
+    def number(source):
+        known: dict[int, dict[bytes, int]] = {}
+        for batch in source:
+            numbers, firsts, fresh = [], [], []
+            for part, words in zip(batch["part"].to_pylist(), batch["words"]):
+                if part not in known:
+                    known[part] = defaultdict()
+                    known[part].default_factory = known[part].__len__
+                held = known[part]
+                firsts.append(len(held))
+                words = words.as_py()
+                found = [held[w] for w in words]
+                numbers.append(packed(found))
+                fresh.append([w for w, n in zip(words, found) if n >= firsts[-1]])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["part"], batch["shard"], batch["places"], pa.array(numbers, pa.binary()),
+                    pa.array(firsts, pa.int64()), pa.array(fresh, pa.list_(pa.binary())),
+                ],
+                names=["part", "shard", "places", "numbers", "first", "words"],
+            )
+
+    own = shards.select("shard", "words").mapInArrow(
+        blocks, "part long, shard long, words array<binary>, places binary"
+    )
+    return scratch.stage(
+        own.repartition(parts, "part").mapInArrow(
+            number, "part long, shard long, places binary, numbers binary, first long, words array<binary>"
+        ),
+        "dictionary",
     )
 
 
-def global_shards(shards: DataFrame, terms: DataFrame) -> DataFrame:
-    """``shard, docs, ends, ids, counts`` with the numbers of ``terms``, rising within a row.
+def _with_starts(numbered: DataFrame) -> DataFrame:
+    """``numbered`` and the first number of each part, so that the whole has no gap."""
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = numbered.groupBy("part").agg(F.sum(F.size("words")).alias("n"))
+    starts = starts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return numbered.join(F.broadcast(starts), "part")  # as many rows as parts
 
-    Only the words of each shard are joined with the dictionary; the cells follow
-    from one lookup each.
-    """
-    own = shards.select("shard", F.posexplode("words").alias("place", "word"))
-    numbers = own.join(terms, "word").select("shard", "place", "term_id")
-    numbers = numbers.toDF(*numbers.columns)  # names of its own beside those of the cells
+
+def dictionary(numbered: DataFrame) -> DataFrame:
+    """``term_id, word`` of all shards, numbered 0, 1, 2, ... without a gap."""
+    words = _with_starts(numbered).select("start", "first", F.posexplode("words").alias("place", "word"))
+    return words.select((F.col("start") + F.col("first") + F.col("place")).alias("term_id"), "word")
+
+
+def global_shards(shards: DataFrame, numbered: DataFrame) -> DataFrame:
+    """``shard, docs, ends, ids, counts`` with the numbers of the dictionary."""
     names = ["shard", "docs", "ends", "ids", "counts"]
-    cells = shards.select(*names)
+    numbers = _with_starts(numbered).select("shard", "places", "numbers", "start")
+    numbers = numbers.toDF(*numbers.columns)  # names of its own beside those of the cells
 
     def renumber(left: pa.Table, right: pa.Table) -> pa.Table:
-        term = np.empty(right.num_rows, "i8")
-        term[right["place"].to_numpy()] = right["term_id"].to_numpy()
-        rows = []
-        for ends, ids, counts in zip(*[left[c].to_pylist() for c in ("ends", "ids", "counts")]):
-            sizes = np.diff(unpacked(ends), prepend=0)
-            ids = term[unpacked(ids)]
-            order = np.lexsort((ids, np.repeat(np.arange(len(sizes)), sizes)))
-            rows.append((ends, packed(ids[order]), packed(unpacked(counts)[order])))
-        found = [pa.array(c, pa.binary()) for c in zip(*rows)] if rows else [pa.array([], pa.binary())] * 3
-        return pa.Table.from_arrays([left["shard"], left["docs"], *found], names=names)
+        own = [
+            (unpacked(p.as_py()), unpacked(n.as_py()) + start.as_py())
+            for p, n, start in zip(right["places"], right["numbers"], right["start"])
+        ]
+        term = np.empty(sum(len(p) for p, _ in own), "i8")
+        for places, found in own:
+            term[places] = found
+        ids = pa.array([packed(term[unpacked(x.as_py())]) for x in left["ids"]], pa.binary())
+        return pa.Table.from_arrays([left[c] if c != "ids" else ids for c in names], names=names)
 
+    cells = shards.select(*names)
     return cells.groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(renumber, cells.schema)
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +62,94 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE_RUN), lambda w: w != "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+#: Steps of a running result that are walked as a whole; more are cut into blocks of so many.
+BLOCK = 256
+
+
+def running(values: Column, kind: str, add: Callable[[Column, Column], Column], zero: int = 0) -> Column:
+    """``add`` of the first 1, 2, ... values; ``zero`` changes nothing.
+
+    Each step copies what it made so far, so only short arrays are walked as a whole.
+    Longer ones are walked block by block, then the ends of the blocks, which
+    are added to what follows: ``n * BLOCK / 2`` copies and those of the ends.
+    """
+    none = F.lit(zero).cast(kind)
+
+    def walk(part):
+        start = F.struct(none.alias("v"), F.expr("array()").cast(f"array<{kind}>").alias("out"))
+
+        def step(acc, x):
+            v = add(acc["v"], x)
+            return F.struct(v.alias("v"), F.concat(acc["out"], F.array(v)).alias("out"))
+
+        return F.aggregate(part, start, step, lambda acc: acc["out"])
+
+    def blocked(whole):
+        starts = F.sequence(F.lit(1), F.size(whole), F.lit(BLOCK))
+        blocks = F.transform(starts, lambda s: walk(F.slice(whole, s, BLOCK)))
+        return let(
+            blocks,
+            lambda own: let(
+                walk(F.transform(own, lambda block: F.element_at(block, -1))),
+                lambda ends: F.flatten(
+                    F.transform(
+                        own,
+                        lambda block, i: let(
+                            F.coalesce(F.get(ends, i - 1), none),
+                            lambda end: F.transform(block, lambda v: add(end, v)),
+                        ),
+                    )
+                ),
+            ),
+        )
+
+    return let(values, lambda v: F.when(F.size(v) <= BLOCK, walk(v)).otherwise(blocked(v)))
+
+
+_RECORDS: ContextVar[list[str] | None] = ContextVar("records", default=None)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders of the tables that ``stage`` writes in the block."""
+    paths: list[str] = []
+    token = _RECORDS.set(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS.reset(token)
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folders_read(df: DataFrame) -> set[str]:
+    """Names of the folders whose files the frame scans."""
+    names, leaves = set(), df._jdf.queryExecution().analyzed().collectLeaves().iterator()
+    while leaves.hasNext():
+        leaf = leaves.next()
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            roots = leaf.relation().location().rootPaths().iterator()
+            while roots.hasNext():
+                names.add(roots.next().getName())
+    return names
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame to the shared folder once and scan the files from then on."""
-    return _written(df, new_path(df.sparkSession, label))
+    path = new_path(df.sparkSession, label)
+    records = _RECORDS.get()
+    if records is not None:
+        records.append(path)
+    return _written(df, path)
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
@@ -83,9 +171,7 @@ class Scratch:
         return self
 
     def __exit__(self, *_) -> None:
-        for path in self.paths:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(self.spark, self.paths)
 
 
 #: A key with more than one of this many parts of all rows is hot.

@@ -20,11 +20,15 @@ from .common import text_of
 #: Elements that do not part one block from the next.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt "
-    "ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "ruby s samp small span strike strong sub sup time tt u var wbr iframe noscript object svg text tspan "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded msub msup msubsup munder mover "
+    "munderover".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose text is never shown.
-HIDDEN = frozenset("head title script style template noscript iframe object svg math textarea select".split())
+#: Elements whose text is no text of the page: what is never shown, and form controls.
+HIDDEN = frozenset("title script style template textarea select".split())
+#: Elements that may stand in a head; any other one ends it.
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 #: An element that begins ends an open one of these.
 ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -37,7 +41,7 @@ _CLOSES_P = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-_OPEN_TAG = re.compile(r"<(?:!--(?:(?!-->).)*|[A-Za-z/!?][^>]*)\Z", re.S)
+_TAG_START = re.compile("<[A-Za-z/!?]")
 
 
 @dataclass
@@ -49,6 +53,14 @@ class Block:
     linked: int
 
 
+def _finished(html: str) -> str:
+    """The page without a comment or a tag that its end leaves open."""
+    comment = html.find("<!--", max(0, html.rfind("-->") - 3))
+    tag = _TAG_START.search(html, html.rfind(">") + 1)
+    ends = [at for at in (comment, tag.start() if tag else -1) if at >= 0]
+    return html[: min(ends)] if ends else html
+
+
 class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -83,7 +95,15 @@ class _Blocks(HTMLParser):
             if tag in WALLS:
                 return
 
+    def _end_head(self):
+        for k, (tag, _) in enumerate(self.stack):
+            if tag == "head":
+                self._pop(k)
+                return
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD and not self.hidden:
+            self._end_head()
         if tag == "br":
             self.parts.append(" ")
             return
@@ -112,6 +132,8 @@ class _Blocks(HTMLParser):
 
     def handle_data(self, data):
         if not self.hidden:
+            if self.stack and self.stack[-1][0] == "head" and not data.isspace():
+                self._end_head()
             self.parts.append(data)
             if self.links:
                 self.linked += len(data)
@@ -120,7 +142,7 @@ class _Blocks(HTMLParser):
 def leaf_blocks(html: str) -> list[Block]:
     """Text between block borders, white space as one space, references decoded."""
     parser = _Blocks()
-    parser.feed(_OPEN_TAG.sub("", html))
+    parser.feed(_finished(html))
     parser.close()
     parser.flush()
     return parser.blocks
@@ -302,6 +324,7 @@ class _PageWriter:
 
     def __init__(self, seed: int):
         self.random = random.Random(seed)
+        self.plain = False
 
     def pick(self, *options):
         return self.random.choice(options)
@@ -320,6 +343,8 @@ class _PageWriter:
         tag = self.pick(*tags)
         if self.random.random() < bare and tag not in ("div", "section"):
             return f"<{tag}>{body}</{tag}>"
+        if self.plain:
+            return self.pick(f"<div>{body}</div>", f'<div class="{self.words(1, 1)}">{body}</div>')
         attr = self.pick("class", "class", "id")
         name = self.pick(*names)
         name = self.pick(name, name, name + "-" + self.words(1, 1), self.words(1, 1) + "-" + name)
@@ -335,6 +360,29 @@ class _PageWriter:
         )
         return self.wrap(body, ("nav", "nav", "div", "ul"), NAMES["menu"].split())
 
+    def bare_links(self):
+        """Links without a word that says what they are."""
+        items = [self.link(self.words(1, 3)) for _ in range(self.random.randint(1, 8))]
+        return self.pick(
+            "<div>" + self.pick(" ", " | ", "").join(items) + "</div>",
+            "<ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul>",
+            "<table><tr>" + "".join(f"<td>{i}</td>" for i in items) + "</tr></table>",
+            "<p>" + " ".join(items) + "</p>",
+        )
+
+    def bare_notice(self):
+        return f"<div>{self.pick('&copy;', '©')} {self.sentence(1, 12)}</div>"
+
+    def bare_page(self) -> str:
+        """A page whose classes tell nothing: only its links, forms and form of text do."""
+        self.plain = True
+        before = "".join(self.pick(self.bare_links, self.form)() for _ in range(self.random.randint(0, 2)))
+        after = "".join(self.pick(self.bare_links, self.form, self.bare_notice)() for _ in range(self.random.randint(0, 3)))
+        body = "".join(self.main_block() for _ in range(self.random.randint(1, 12)))
+        body = self.pick(body, self.wrap(body, ("div",), ()), f"<article>{body}</article>", f"<table><tr><td>{body}</td></tr></table>")
+        self.plain = False
+        return f"<html><head><title>{self.words(1, 9)}</title><body>{before}{body}{after}"
+
     def advert(self):
         body = self.pick(self.sentence(2, 25), f"<p>{self.sentence(2, 25)}</p>", self.link(self.sentence(2, 12)))
         return self.wrap(body, ("div", "div", "aside", "section"), NAMES["ad"].split(), 0.1)
@@ -399,6 +447,8 @@ class _PageWriter:
         return self.wrap("".join(parts), ("article", "article", "article", "main", "div"), NAMES["main"].split(), 0.5)
 
     def page(self) -> str:
+        if self.random.random() < 0.2:
+            return self.bare_page()
         before = [self.menu, self.header, self.advert, self.notice, self.form, self.sidebar]
         after = [self.footer, self.talk, self.sidebar, self.advert, self.share, self.form, self.menu, self.notice]
         self.random.shuffle(before)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, Scratch, boxed, join_groups, stage, thin, with_text, words_of
+from .common import SPACE, Scratch, boxed, join_groups, let, running, stage, thin, with_text, words_of
 
 _PLACE = ("doc_id", "tie", "line_no")
 
@@ -108,30 +108,33 @@ def _neighbourhood(words: str) -> Column:
     """``at, v``: the hash of the line (at -1) and of it without the word at each place.
 
     A hash is the exclusive or of each word's hash with its place. Going from one
-    deleted place to the next changes two of them, so a line costs its length.
+    deleted place to the next changes two of them, so all follow from running sums.
     """
-    own = F.transform(words, lambda w, i: F.xxhash64(w, i))
-    moved = F.transform(words, lambda w, i: F.xxhash64(w, i - 1))
     zero = F.lit(0).cast("long")
 
     def joined(hashes):
         return F.aggregate(hashes, zero, lambda a, h: a.bitwiseXOR(h))
 
-    # Change from the deleted place i - 1 to i; the first is the line without its first word.
-    steps = F.zip_with(
-        F.concat(F.array(zero), F.slice(own, 1, F.size(own) - 1)), moved, lambda a, b: a.bitwiseXOR(b)
-    )
-    first = F.array(F.struct(F.lit(-1).alias("at"), joined(own).alias("v")))
-    start = F.struct(joined(moved).alias("v"), F.lit(0).alias("at"), F.slice(first, 1, 0).alias("out"))
-
-    def step(acc, change):
-        v = acc["v"].bitwiseXOR(change)
-        one = F.struct(acc["at"].alias("at"), v.alias("v"))
-        return F.struct(
-            v.alias("v"), (acc["at"] + 1).alias("at"), F.concat(acc["out"], F.array(one)).alias("out")
+    def variants(own, moved):
+        # Change from the deleted place i - 1 to i; the first is the line without its first word.
+        steps = F.zip_with(
+            F.concat(F.array(zero), F.slice(own, 1, F.size(own) - 1)), moved, lambda a, b: a.bitwiseXOR(b)
+        )
+        deleted = let(
+            joined(moved),
+            lambda whole: F.transform(
+                running(steps, "long", lambda a, b: a.bitwiseXOR(b)),
+                lambda x, i: F.struct(i.alias("at"), x.bitwiseXOR(whole).alias("v")),
+            ),
         )
+        return F.concat(F.array(F.struct(F.lit(-1).alias("at"), joined(own).alias("v"))), deleted)
 
-    return F.concat(first, F.aggregate(steps, start, step, lambda acc: acc["out"]))
+    return let(
+        F.transform(words, lambda w, i: F.xxhash64(w, i)),
+        lambda own: let(
+            F.transform(words, lambda w, i: F.xxhash64(w, i - 1)), lambda moved: variants(own, moved)
+        ),
+    )
 
 
 def _near(texts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -254,9 +257,18 @@ def dedup_lines(
     """
     rows = _keyed(boxed(df, id_col, text_col))
     drops = repeated_lines(rows.drop("row"), min_words, max_edits, exact_words)
-    kept = F.array_join(
-        F.filter(_split(F.col("text")), lambda x, i: ~F.array_contains(F.col("dropped"), i)), "\n"
+    # What lies between two dropped lines, or an end of the text, stays.
+    kept = let(
+        _split(F.col("text")),
+        lambda lines: F.flatten(
+            F.zip_with(
+                F.concat(F.array(F.lit(-1)), "dropped"),
+                F.concat("dropped", F.array(F.size(lines))),
+                lambda a, b: F.slice(lines, a + 2, b - a - 1),
+            )
+        ),
     )
+    kept = F.array_join(kept, "\n")
     found = rows.join(drops, _same_place(rows, drops), "left").select(
         "row", F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept).alias("clean")
     )

@@ -6,6 +6,7 @@ import os
 from array import array
 from dataclasses import dataclass, field
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import Memo, arrow_type, batches, byte_letters
-from .common import id_type, shuffle_width, stage, thin
+from .common import id_type, stage, thin
 
+#: Rows of the plan, or of the starts of its tasks, that are sent to all tasks at once.
+SENT_ROWS = 1 << 18
 #: Words whose tokens a task remembers, in each of two generations.
 WORDS = 450_000
 #: How such a vocabulary cuts a word before merging.
@@ -102,29 +105,61 @@ def token_pieces(
     Only a document of more than ``capacity`` tokens is cut. ``tokens`` holds
     little-endian unsigned 32-bit numbers. ``row`` tells repeated rows apart.
     """
-    path, size = path or default_path(), 4 * capacity
+    found = _narrow_pieces(df, capacity, end_id, id_col, text_col, path)
+    names = ["doc_id", "row", "piece", "start", "tokens"]
+
+    def widen(source):
+        for batch in source:
+            tokens = pa.array([_wide(t.as_py(), n.as_py()) for t, n in zip(batch["tokens"], batch["length"])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names[:-1]], tokens], names=names)
+
+    kind = id_type(found, "doc_id").simpleString()
+    return found.mapInArrow(widen, f"doc_id {kind}, row long, piece int, start long, tokens binary")
+
+
+def _wide(data: bytes, length: int) -> bytes:
+    """``length`` numbers of 16 or 32 bits as 32-bit ones."""
+    return data if len(data) == 4 * length else np.frombuffer(data, "<u2").astype("<u4").tobytes()
+
+
+def _narrow_pieces(
+    df: DataFrame, capacity: int, end_id: int, id_col: str, text_col: str, path: str | None
+) -> DataFrame:
+    """The pieces with ``length``, ``task`` and ``seq``, the place among those of its length in its task.
+
+    Numbers that all fit into 16 bits are kept so.
+    """
+    path = path or default_path()
 
     def run(source):
         words = word_tokens(path)
         end = np.array([end_id], "<u4").tobytes()
+        met: dict[int, int] = {}
 
         def pieces(batch):
             for i, row, text in zip(batch["doc_id"], batch["row"], batch["text"]):
-                data = words.encode(text.as_py()) + end
-                for k in range(0, len(data), size):
-                    yield i.as_py(), row.as_py(), k // size, k // 4, data[k : k + size]
+                ids = np.frombuffer(words.encode(text.as_py()) + end, "<u4")
+                if ids.max() < 1 << 16:
+                    ids = ids.astype("<u2")
+                doc, row = i.as_py(), row.as_py()
+                for at in range(0, len(ids), capacity):
+                    own = ids[at : at + capacity]
+                    seq = met.get(len(own), 0)
+                    met[len(own)] = seq + 1
+                    yield doc, row, at // capacity, at, len(own), row >> 33, seq, own.tobytes()
 
         for batch in source:
-            yield from batches(pieces(batch), schema, lambda row: len(row[4]))
+            yield from batches(pieces(batch), schema, lambda row: len(row[-1]))
 
     rows = thin(df, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     schema = pa.schema(
-        [("doc_id", arrow_type(rows)), ("row", pa.int64()), ("piece", pa.int32()),
-         ("start", pa.int64()), ("tokens", pa.binary())]
+        [("doc_id", arrow_type(rows)), ("row", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
+         ("length", pa.int64()), ("task", pa.int64()), ("seq", pa.int64()), ("tokens", pa.binary())]
     )
     kind = id_type(rows, "doc_id").simpleString()
     return rows.mapInArrow(
-        run, f"doc_id {kind}, row long, piece int, start long, tokens binary"
+        run,
+        f"doc_id {kind}, row long, piece int, start long, length long, task long, seq long, tokens binary",
     )
 
 
@@ -242,49 +277,58 @@ def pack(
     packed each. An empty table gives an empty result. Other columns are ignored.
 
     The texts are read and encoded once, into a written table. Best fit
-    needs only the number of pieces of each length, at most ``capacity`` numbers;
-    its plan is sent to the tasks, which look up each piece by its rank among
-    those of its length. Ranks are counted in hashed parts of a length, so that
-    even one length for all documents is no single group.
+    needs only the number of pieces of each length, at most ``capacity`` numbers.
+    Its plan is sent to the tasks, which look up each piece by its rank among those of its
+    length: the number of its task's pieces before it, and of those of all tasks before.
+    So no token is shuffled while there are at most ``SENT_ROWS`` pairs of a task and a
+    length; beyond that these are joined by both. A plan of more rows than that is sent in bands of
+    lengths, one scan of the pieces each.
     """
     spark = df.sparkSession
-    parts = 4 * shuffle_width(spark)
-    pieces = stage(
-        token_pieces(df, capacity, end_id, id_col, text_col, path).select(
-            "doc_id",
-            "row",
-            "piece",
-            "start",
-            (F.octet_length("tokens") / 4).cast("long").alias("length"),
-            "tokens",
-            F.pmod(F.xxhash64("row", "piece"), F.lit(parts)).alias("part"),
-        ),
-        "pieces",
-    )
-    counted = pieces.groupBy("length", "part").count()
-    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counted = counted.select(
-        "length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before")
+    pieces = stage(_narrow_pieces(df, capacity, end_id, id_col, text_col, path), "pieces")
+    counted = pieces.groupBy("length", "task").count()
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stage(
+        counted.select("length", "task", "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before")),
+        "starts",
     )
-    inside = Window.partitionBy("length", "part").orderBy("row", "piece")
-    ranked = (
-        pieces.withColumn("rank", F.row_number().over(inside))
-        .join(counted, ["length", "part"])
-        .withColumn("rank", F.col("rank") + F.col("before") - 1)
-        .select("doc_id", "piece", "start", "length", "tokens", "rank")
+    counts = {r["length"]: r["n"] for r in starts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
+    starts = starts.drop("count")
+    if starts.count() <= SENT_ROWS:
+        starts = F.broadcast(starts)
+    ranked = pieces.join(starts, ["length", "task"]).select(
+        "doc_id", "piece", "start", "length", "tokens", (F.col("before") + F.col("seq")).alias("rank")
     )
-    counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    found = placed(ranked, best_fit_decreasing(counts, capacity), spark)
-    return found.withColumn("ids_crc32", F.crc32("tokens"))
+    return placed(ranked, best_fit_decreasing(counts, capacity), spark)
+
+
+def _bands(lengths: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Ranges of sorted lengths with at most ``limit`` rows each, or a single length."""
+    own, starts = np.unique(lengths, return_index=True)
+    bands, first, begin = [], None, 0
+    for length, start, end in zip(own, starts, [*starts[1:], len(lengths)]):
+        if first is None or end - begin > limit:
+            first, begin = int(length), start
+            bands.append([first, first])
+        bands[-1][1] = int(length)
+    return [tuple(b) for b in bands] or [(0, 0)]
 
 
-def placed(ranked: DataFrame, plan: Plan, spark) -> DataFrame:
-    """``ranked`` with ``sequence_id`` and ``offset`` in place of ``rank``."""
+def placed(ranked: DataFrame, plan: Plan, spark, limit: int | None = None) -> DataFrame:
+    """``ranked`` with ``sequence_id``, ``offset`` and the tokens' checksum in place of ``rank``."""
     order = np.lexsort((plan.rank, plan.length))
-    shared = spark.sparkContext.broadcast(
-        [np.array(x, "i8")[order] for x in (plan.length, plan.rank, plan.first, plan.offset)]
-    )
-    names = [c for c in ranked.columns if c != "rank"]
+    rows = [np.array(x, "i8")[order] for x in (plan.length, plan.rank, plan.first, plan.offset)]
+    found = None
+    for low, high in _bands(rows[0], limit or SENT_ROWS):
+        inside = (rows[0] >= low) & (rows[0] <= high)
+        shared = spark.sparkContext.broadcast([x[inside] for x in rows])
+        part = _placed(ranked.filter(F.col("length").between(low, high)), shared)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _placed(ranked: DataFrame, shared) -> DataFrame:
+    names = [c for c in ranked.columns if c not in ("rank", "tokens")]
 
     def run(source):
         lengths, ranks, firsts, offsets = shared.value
@@ -297,15 +341,18 @@ def placed(ranked: DataFrame, plan: Plan, spark) -> DataFrame:
                 here = length == one
                 s, e = span[int(one)]
                 row[here] = s + np.searchsorted(ranks[s:e], rank[here], "right") - 1
+            tokens = [_wide(t.as_py(), n) for t, n in zip(batch["tokens"], length.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch[c] for c in names],
+                    pa.array(tokens, pa.binary()),
                     pa.array(firsts[row] + rank - ranks[row], pa.int64()),
                     pa.array(offsets[row], pa.int64()),
+                    pa.array([crc32(t) for t in tokens], pa.int64()),
                 ],
-                names=[*names, "sequence_id", "offset"],
+                names=[*names, "tokens", "sequence_id", "offset", "ids_crc32"],
             )
 
     kinds = dict(ranked.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in names) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(run, schema)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in names)
+    return ranked.mapInArrow(run, f"{schema}, tokens binary, sequence_id long, offset long, ids_crc32 long")

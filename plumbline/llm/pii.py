@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import boxed, stage, thin, with_text
+from .common import boxed, let, running, stage, thin, with_text
 from .quality import VoteModel, fit_votes
 
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -35,11 +35,28 @@ BASE = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
 )
 
+#: Given names that are hardly ever another word.
 GIVEN_NAMES = (
-    "Alice|Ana|Anna|Antonio|Carlos|Carmen|Claire|David|Elena|Emma|Eva|Felix|Hans|Jack|James|Jan|"
-    "Jean|Jose|John|Juan|Julia|Karl|Laura|Lisa|Louis|Lucas|Luis|Marc|Maria|Marie|Mark|Martin|Mary|"
-    "Max|Michael|Miguel|Paul|Peter|Pierre|Robert|Sarah|Sofia|Thomas|William"
+    "Adam|Alan|Albert|Alejandro|Alexander|Alfred|Alice|Alicia|Amelia|Ana|Andrea|Andreas|Andrew|Angela|Anja|"
+    "Anna|Anne|Antoine|Antonio|Barbara|Beatriz|Benjamin|Bernard|Birgit|Brigitte|Camille|Carla|Carlos|Carmen|"
+    "Caroline|Catherine|Charles|Charlotte|Christian|Christine|Christopher|Claire|Claudia|Cristina|Daniel|"
+    "David|Deborah|Diego|Dieter|Dorothy|Edward|Elena|Elisabeth|Elizabeth|Emily|Emma|Enrique|Eric|Esther|Eva|"
+    "Felix|Fernando|Francisco|Franz|Gabriel|Georg|George|Gerhard|Hannah|Hans|Heinrich|Helen|Helga|Henri|Henry|"
+    "Ingrid|Isabel|Isabelle|James|Janet|Javier|Jean|Jennifer|Jessica|Johann|John|Jonathan|Jorge|Jose|Joseph|"
+    "Juan|Julia|Julien|Karin|Karl|Katharina|Katherine|Kevin|Klaus|Laura|Laurent|Linda|Lisa|Louis|Louise|Lucas|"
+    "Lucia|Luis|Manuel|Marcel|Margaret|Maria|Marie|Marta|Martin|Martina|Mary|Mathieu|Matthew|Michael|Michel|"
+    "Miguel|Monika|Nancy|Nathalie|Nicolas|Olivier|Pablo|Patricia|Paul|Pedro|Peter|Philippe|Pierre|Rachel|Raquel|"
+    "Rebecca|Renate|Richard|Robert|Rosa|Ruth|Sabine|Samuel|Sandra|Sarah|Sergio|Simon|Sofia|Stefan|Stephen|"
+    "Susan|Susanne|Teresa|Thomas|Ursula|Valerie|Victor|Virginia|Walter|Werner|William|Wolfgang|Yvonne"
 )
+#: Given names that are months, verbs or common words as well.
+DOUBTFUL_NAMES = (
+    "April|Art|August|Bill|Bob|Chase|Claude|Dawn|Drew|Frank|Grace|Grant|Hope|Jack|Jan|Jose|Joy|June|Lance|Marc|"
+    "Mark|Max|May|Pat|Rob|Rose|Sue|Summer|Will"
+)
+_TITLE = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Madame|Monsieur)"
+#: A word with a capital, or several with hyphens.
+_CAPITAL = r"\p{Lu}\p{Ll}++(?:-\p{Lu}\p{Ll}++)*+"
 
 _EDGE, _END = r"(?<![\p{L}\p{N}_-])", r"(?![\p{L}\p{N}_-])"
 #: Further kinds: a match is only a candidate.
@@ -50,8 +67,8 @@ CANDIDATES = (
     Kind("secret", rf"{_EDGE}(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{{16,}}+{_END}", ""),
     Kind(
         "name",
-        r"(?<!\p{L})(?=\p{Lu})(?:(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Madame|Monsieur)\.? "
-        rf"\p{{Lu}}\p{{Ll}}{{1,30}}|(?:{GIVEN_NAMES})(?!\p{{L}}))(?: \p{{Lu}}\p{{Ll}}{{1,30}})?(?!\p{{L}})",
+        rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{_TITLE}\.? {_CAPITAL}|(?:{GIVEN_NAMES}|{DOUBTFUL_NAMES})(?!\p{{L}})(?:-\p{{Lu}}\p{{Ll}}++)*+)"
+        rf"(?: {_CAPITAL})?(?!\p{{L}})",
         "",
     ),
 )
@@ -70,18 +87,34 @@ INNOCENT = (
 #: Beginnings of keys that services hand out.
 KEY_STARTS = r"^(AKIA|ASIA|AIza|ghp_|gho_|ghs_|glpat-|xox[bpa]-|sk[-_]|pk_|rk_|eyJ|ya29)"
 
-#: Regex, gazetteer and context labelers: SQL on a candidate ``c`` (kind, m, before).
+#: What makes of a capitalised word a person, and what does not.
+_ANNOUNCED = r"(?i)\b(name|contact|dear|attn|from|by|sir|madam|signed|liebe[r]?|hola|bonjour|cher|chère|author)[\s:,]{1,3}$"
+_FOLLOWS = r"^(?:'s\b| ?[0-9%$€]|[/_=(]| (?:the|a|an|is|it|to|of|up|down|out|all|your|this|that|these|those|not|be|have)\b)"
+_TITLED, _PAIR = rf"c.m rlike '^{_TITLE}[.]? '", f"c.m rlike '^({GIVEN_NAMES}|{DOUBTFUL_NAMES})(-[^ ]+)? '"
+_SURE = f"c.m rlike '^({GIVEN_NAMES})($|[ -])'"
+_WORD = "c.kind = 'name' and not (c.m rlike ' ')"
+#: A name by its form: 1 a title, 2 a sure and 3 a doubtful given name and another word, 4 and 5 such a given name alone.
+_FORM = (
+    f"case when c.kind != 'name' then 0 when {_TITLED} then 1 when {_PAIR} and {_SURE} then 2 when {_PAIR} then 3 "
+    f"when {_SURE} then 4 else 5 end"
+)
+_OPENS = "c.before rlike '(^|[.!?\\n])[\"»”)]?[ \\n]*$'"
+_SAID, _DENIED = f"c.before rlike r'{_ANNOUNCED}'", f"c.after rlike r\"{_FOLLOWS}\""
+
+#: Regex, gazetteer and context labelers: SQL on a candidate ``c`` (kind, m, before, after, lower).
 LABELERS = (
-    ("context", f"c.before rlike r'{TELLING}'".replace("\"'", "\"\\x27"),
-     f"c.before rlike r'{INNOCENT}'".replace("\"'", "\"\\x27")),
-    ("gazetteer", f"(c.kind = 'secret' and c.m rlike '{KEY_STARTS}') or "
-     f"(c.kind = 'name' and c.m rlike '(^| )({GIVEN_NAMES})( |$)')", "false"),
+    ("context", f"c.before rlike r'{TELLING}' or (c.kind = 'name' and {_SAID})".replace("\"'", "\"\\x27"),
+     f"c.before rlike r'{INNOCENT}' or (c.kind = 'name' and {_DENIED})".replace("\"'", "\"\\x27")),
+    ("gazetteer", f"(c.kind = 'secret' and c.m rlike '{KEY_STARTS}') or (c.kind = 'name' and ({_TITLED} or ({_PAIR} and {_SURE})))",
+     # a given name alone, or one that the text has in lower case too, may be any word
+     f"{_WORD} or (c.kind = 'name' and c.lower and not {_TITLED})"),
     ("shape",
      "(c.kind = 'secret' and c.m rlike '^([a-f0-9]{16,}|[A-Z0-9]{16,}|(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9].*[0-9]).{20,})$')"
      " or (c.kind = 'ssn' and not c.m rlike '^(000|666|9)')"
      " or (c.kind = 'iban' and c.m rlike '^(AT|BE|CH|DE|ES|FR|GB|IE|IT|LU|NL|PT)')"
      " or (c.kind = 'local_phone' and c.m rlike '^[(]?0|[)]')",
-     "(c.kind = 'secret' and c.m rlike '^[A-Za-z]+([_-][A-Za-z]++)*+[_-]?[0-9]{1,4}$')"
+     f"({_WORD} and {_OPENS}) or ({_FORM} in (3, 5) and {_OPENS})"
+     " or (c.kind = 'secret' and c.m rlike '^[A-Za-z]+([_-][A-Za-z]++)*+[_-]?[0-9]{1,4}$')"
      " or (c.kind = 'ssn' and c.m rlike '^(000|666)|-00-|-0000$')"),
     ("variety", "size(array_distinct(split(c.m, ''))) >= 9 and c.kind in ('secret', 'iban')",
      "size(array_distinct(split(c.m, ''))) <= 4 and c.kind != 'name'"),
@@ -90,6 +123,9 @@ LABELERS = (
      "c.kind in ('ssn', 'local_phone') and c.before rlike '[0-9.,/][ ]?$'"),
 )
 
+#: So many of them, the first ones, vote on names.
+NAME_LABELERS = 3
+
 #: Features of the span classifier, each a small whole number.
 FEATURES = (
     "cast(array_position(array('ssn','iban','local_phone','secret','name'), c.kind) as int)",
@@ -97,9 +133,13 @@ FEATURES = (
     "cast(least(3, floor(4 * length(regexp_replace(c.m, '[^0-9]', '')) / length(c.m))) as int)",
     "case when c.m rlike '[a-z]' then 1 else 0 end + case when c.m rlike '[A-Z]' then 2 else 0 end",
     "case when c.before rlike '[=:\"]$' then 2 when c.before rlike '[A-Za-z][ =:\"]{1,4}$' then 1 else 0 end",
+    _FORM,
+    f"case when c.kind != 'name' then 0 when c.lower or {_DENIED} then 1 when {_SAID} then 2 when {_OPENS} then 3 else 4 end",
 )
-#: Words of context kept with a candidate, in code points.
-BEFORE = 32
+#: Context kept with a candidate, in code points.
+BEFORE, AFTER = 32, 16
+#: Code points from which on a text is cut into blocks of so many, to find places in it.
+CUT = 8192
 
 _SPAN = "struct<s:int,k:int,e:int,kind:string,m:string>"
 
@@ -131,21 +171,42 @@ def _matches(rows: DataFrame, kinds: dict[str, Kind]) -> DataFrame:
     placed = {}
     for name in kinds:
         m, g = F.col(f"f_{name}"), F.col(f"g_{name}")
-        parts = F.zip_with(m, F.slice(g, 1, F.size(m)), lambda a, b: F.struct(a.alias("m"), F.length(b).alias("gap")))
-        start = F.struct(
-            F.lit(0).alias("at"), F.expr("array()").cast("array<struct<s:int,e:int,m:string>>").alias("out")
+        parts = F.zip_with(
+            m, F.slice(g, 1, F.size(m)),
+            lambda a, b: F.struct(a.alias("m"), F.length(a).alias("n"), (F.length(a) + F.length(b)).alias("step")),
+        )
+        found = let(
+            parts,
+            lambda p: F.zip_with(
+                p,
+                running(F.transform(p, lambda x: x["step"]), "int", lambda a, b: a + b),
+                lambda x, e: F.struct((e - x["n"]).alias("s"), e.alias("e"), x["m"].alias("m")),
+            ),
         )
+        placed[f"f_{name}"] = F.when(F.size(m) > 0, found).otherwise(
+            F.expr("array()").cast("array<struct<s:int,e:int,m:string>>")
+        )
+    return rows.withColumns(placed).drop(*gaps)
 
-        def step(acc, x):
-            s = acc["at"] + x["gap"]
-            e = s + F.length(x["m"])
-            one = F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"))
-            return F.struct(e.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-        placed[f"f_{name}"] = F.when(
-            F.size(m) > 0, F.aggregate(parts, start, step, lambda acc: acc["out"])
-        ).otherwise(F.expr("array()").cast("array<struct<s:int,e:int,m:string>>"))
-    return rows.withColumns(placed).drop(*gaps)
+def _blocks(text: Column) -> Column:
+    """The text in blocks of ``CUT`` code points; one that is short or long alike."""
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+    return F.when(F.length(text) <= CUT, F.array(text)).otherwise(cut)
+
+
+def _between(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points from ``start`` to before ``end``, read in the blocks that hold them only."""
+    first, last = F.floor(start / CUT).cast("int"), F.floor((end - 1) / CUT).cast("int")
+    parts = F.transform(
+        F.sequence(first, F.greatest(first, last)),
+        lambda k: F.substr(
+            F.get(blocks, k),
+            F.greatest(start - k * CUT, F.lit(0)) + 1,
+            F.least(end - k * CUT, F.lit(CUT)) - F.greatest(start - k * CUT, F.lit(0)),
+        ),
+    )
+    return F.when(end > start, F.array_join(parts, "")).otherwise("")
 
 
 def _luhn(digits: Column) -> Column:
@@ -197,9 +258,6 @@ def found_spans(rows: DataFrame) -> DataFrame:
         _named(F.filter(f"f_{k.name}", lambda x: _VALID[k.name](x["m"])), k.name) for k in BASE
     ]
     rows = rows.select(*others, "f_any", F.sort_array(F.flatten(F.array(*base))).alias("base"))
-    apart = F.filter(
-        "f_any", lambda c: ~F.exists("base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]))
-    )
 
     def kind_of(m):
         kind = F.lit(CANDIDATES[-1].name)
@@ -207,14 +265,73 @@ def found_spans(rows: DataFrame) -> DataFrame:
             kind = F.when(m.rlike(f"^(?:{k.pattern})$"), F.lit(k.name)).otherwise(kind)
         return kind
 
-    def described(c):
-        start = F.greatest(c["s"] - BEFORE, F.lit(0))
+    def described(c, text):
+        start, end = F.greatest(c["s"] - BEFORE, F.lit(0)), F.least(c["e"] + AFTER, text["n"])
         return F.struct(
             c["s"].alias("s"), c["e"].alias("e"), kind_of(c["m"]).alias("kind"), c["m"].alias("m"),
-            F.substr(F.col("text"), start + 1, c["s"] - start).alias("before"),
+            _between(text["blocks"], start, c["s"]).alias("before"),
+            _between(text["blocks"], c["e"], end).alias("after"),
+            F.array_contains(text["lower"], F.lower(F.element_at(F.split(c["m"], " "), 1))).alias("lower"),
         )
 
-    return rows.select(*others, "base", F.transform(apart, described).alias("candidates"))
+    text = F.struct(
+        _blocks(F.col("text")).alias("blocks"), F.length("text").alias("n"), _lone_words(F.col("text")).alias("lower")
+    )
+    found = F.when(
+        F.size("f_any") > 0,
+        let(text, lambda t: F.transform(_apart("f_any", "base"), lambda c: described(c, t))),
+    )
+    none = F.expr("array()").cast(
+        "array<struct<s:int,e:int,kind:string,m:string,before:string,after:string,lower:boolean>>"
+    )
+    return rows.select(*others, "base", F.coalesce(found, none).alias("candidates"))
+
+
+_LONE = rf"(?<!\p{{L}})(?:{GIVEN_NAMES}|{DOUBTFUL_NAMES})(?!\p{{L}})".lower().replace("\\p{l}", "\\p{L}")
+
+
+def _lone_words(text: Column) -> Column:
+    """Given names of the gazetteer that the text has in lower case."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(_LONE), F.lit(0)))
+
+
+def _apart(found: str, base: str) -> Column:
+    """The matches that no base span overlaps.
+
+    Few are compared with each other. Else both are sorted by start: a match is apart if no
+    base span before it ends behind its start and the next one starts behind its end.
+    """
+    few = F.filter(found, lambda c: ~F.exists(base, lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
+    never = (1 << 31) - 1
+
+    def event(x, is_base):
+        return F.struct(x["s"].alias("s"), F.lit(is_base).alias("k"), x["e"].alias("e"), x["m"].alias("m"))
+
+    both = F.sort_array(
+        F.concat(F.transform(base, lambda b: event(b, 0)), F.transform(found, lambda c: event(c, 1)))
+    )
+
+    def scanned(x):
+        ends = running(
+            F.transform(x, lambda y: F.when(y["k"] == 0, y["e"]).otherwise(0)), "int", lambda a, b: F.greatest(a, b)
+        )
+        starts = F.reverse(
+            running(
+                F.transform(F.reverse(x), lambda y: F.when(y["k"] == 0, y["s"]).otherwise(never)),
+                "int", lambda a, b: F.least(a, b), never,
+            )
+        )
+        kept = F.zip_with(
+            F.zip_with(x, ends, lambda y, e: F.struct(y.alias("y"), e.alias("end"))),
+            starts,
+            lambda p, s: F.when(
+                (p["y"]["k"] == 1) & (p["end"] <= p["y"]["s"]) & (s >= p["y"]["e"]),
+                F.struct(p["y"]["s"].alias("s"), p["y"]["e"].alias("e"), p["y"]["m"].alias("m")),
+            ),
+        )
+        return F.filter(kept, lambda y: y.isNotNull())
+
+    return F.when(F.greatest(F.size(found), F.size(base)) <= 64, few).otherwise(let(both, scanned))
 
 
 def _votes(c: str = "c") -> list[Column]:
@@ -236,15 +353,14 @@ class SpanModel:
         return self.bias + sum(w.get(v, 0.0) for w, v in zip(self.weights, features))
 
 
-def fit_spans(patterns: dict[tuple, int], rounds: int = 400) -> SpanModel:
-    """Fit both models on counts of (votes, features).
+def fit_spans(patterns: dict[tuple, int], n: int = len(LABELERS), rounds: int = 400) -> SpanModel:
+    """Fit both models on counts of (``n`` votes, features).
 
     Expectation-maximisation over the votes gives each pattern a chance of being
     personal. A logistic regression on the features learns these chances, by
     gradient steps from zero with a small penalty. No patterns: no weight, so
     no candidate is accepted.
     """
-    n = len(LABELERS)
     by_votes: dict[tuple, int] = {}
     for key, count in patterns.items():
         by_votes[key[:n]] = by_votes.get(key[:n], 0) + count
@@ -270,9 +386,13 @@ def fit_spans(patterns: dict[tuple, int], rounds: int = 400) -> SpanModel:
     return SpanModel(votes, bias if rows else -1.0, tuple(weights))
 
 
-def span_model(found: DataFrame) -> SpanModel:
-    """Fit on all candidates. The driver gets one number per pattern of votes and
-    features, of which there are at most ``3 ** labelers * 5 * 4 ** 3 * 3``."""
+def span_models(found: DataFrame) -> tuple[SpanModel, SpanModel]:
+    """Models of names and of all other kinds, fitted on all candidates.
+
+    Hardly a labeler votes on both alike, so each has reliabilities of its own. The driver gets one
+    number per pattern of votes and features, of which there are at most
+    ``3 ** labelers * 5 * 4 ** 3 * 3 * 6 * 5``.
+    """
     votes, features = _votes(), [F.expr(f).cast("int") for f in FEATURES]
     names = [f"p{k}" for k in range(len(votes) + len(features))]
     counted = (
@@ -280,19 +400,33 @@ def span_model(found: DataFrame) -> SpanModel:
         .select(*[x.alias(n) for x, n in zip([*votes, *features], names)])
         .groupBy(*names).count()
     )
-    return fit_spans({tuple(r[n] for n in names): r["count"] for r in counted.collect()})
+    of_names: dict[tuple, int] = {}
+    others: dict[tuple, int] = {}
+    for r in counted.collect():
+        key = tuple(r[n] for n in names)
+        if key[len(votes)] == len(CANDIDATES):  # a name
+            key = key[:NAME_LABELERS] + key[len(votes) :]
+            of_names[key] = of_names.get(key, 0) + r["count"]
+        else:
+            others[key] = r["count"]
+    return fit_spans(of_names, NAME_LABELERS), fit_spans(others)
+
+
+def accepted(models: tuple[SpanModel, SpanModel]) -> Column:
+    """Candidates that their classifier finds more likely personal than not."""
+
+    def odds(model):
+        parts = [f"{model.bias!r}D"]
+        for feature, weights in zip(FEATURES, model.weights):
+            if weights:
+                cases = " ".join(f"when {v} then {w!r}D" for v, w in sorted(weights.items()))
+                parts.append(f"case {feature} {cases} else 0D end")
+        return " + ".join(parts)
 
-
-def accepted(model: SpanModel) -> Column:
-    """Candidates that the classifier finds more likely personal than not."""
-    parts = [repr(model.bias)]
-    for feature, weights in zip(FEATURES, model.weights):
-        if weights:
-            cases = " ".join(f"when {v} then {w!r}D" for v, w in sorted(weights.items()))
-            parts.append(f"case {feature} {cases} else 0D end")
     order = ", ".join(f"'{k}'" for k in KINDS)
+    names, others = models
     return F.expr(
-        f"transform(filter(candidates, c -> {parts[0]}D + {' + '.join(parts[1:]) or '0D'} > 0D), "
+        f"transform(filter(candidates, c -> case when c.kind = 'name' then {odds(names)} else {odds(others)} end > 0D), "
         f"c -> struct(c.s as s, cast(array_position(array({order}), c.kind) - 1 as int) as k, "
         f"c.e as e, c.kind as kind, c.m as m))"
     )
@@ -301,8 +435,8 @@ def accepted(model: SpanModel) -> Column:
 def with_spans(found: DataFrame, label: str) -> DataFrame:
     """Write the rows of ``found_spans``; ``spans`` then has base and accepted ones, sorted."""
     found = stage(found, label)
-    model = span_model(found)
-    both = F.sort_array(F.concat("base", accepted(model).cast(f"array<{_SPAN}>")))
+    models = span_models(found)
+    both = F.sort_array(F.concat("base", accepted(models).cast(f"array<{_SPAN}>")))
     return found.withColumn("spans", both).drop("candidates")
 
 
@@ -337,29 +471,27 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     found = with_spans(found_spans(boxed(df, id_col, text_col).select("row", "text")), "redact")
     text = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, x):
-        fresh = x["s"] >= acc["at"]
-        out = F.when(
-            fresh,
-            F.concat(
-                acc["out"],
-                F.substr(text, acc["at"] + 1, x["s"] - acc["at"]),
-                F.lit("["),
-                F.upper(x["kind"]),
-                F.lit("]"),
+
+    def cleaned(blocks):
+        reached = running(F.transform("spans", lambda x: x["e"]), "int", lambda a, b: F.greatest(a, b))
+        parts = let(
+            reached,
+            lambda ends: F.concat(
+                F.transform(
+                    "spans",
+                    lambda x, i: let(
+                        F.coalesce(F.get(ends, i - 1), F.lit(0)),
+                        lambda at: F.when(
+                            x["s"] >= at,
+                            F.concat(_between(blocks, at, x["s"]), F.lit("["), F.upper(x["kind"]), F.lit("]")),
+                        ).otherwise(""),
+                    ),
+                ),
+                F.array(_between(blocks, F.element_at(ends, -1), F.length(text))),
             ),
-        ).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), out.alias("out"))
-
-    end = F.length(text)
-    clean = F.when(
-        F.size("spans") > 0,
-        F.aggregate(
-            "spans", start, step,
-            lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.greatest(F.lit(0), end - acc["at"]))),
-        ),
-    ).otherwise(text)
+        )
+        return F.array_join(parts, "")
+
+    clean = F.when(F.size("spans") > 0, let(_blocks(text), cleaned)).otherwise(text)
     found = found.withColumn("clean", clean)
     return with_text(found, df.columns, text_col, F.col("clean"))

@@ -137,7 +137,7 @@ def op7_personal_data(spark, sf_dir):
 
 @query
 def op8_line_dedup(spark, sf_dir):
-    found = line_report(read(spark, sf_dir, "documents"), min_words=5, max_edits=1)
+    found = line_report(read(spark, sf_dir, "documents"), min_words=5, max_edits=1, exact_words=1)
     return found.select(
         "doc_id",
         "n_lines",
@@ -154,18 +154,19 @@ split AS (
 worded AS (
   SELECT doc_id, line_no, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM split),
 occ AS (
-  SELECT doc_id, line_no, w, array_to_string(w, ' ') AS line FROM worded WHERE len(w) >= 5),
+  SELECT doc_id, line_no, w, array_to_string(w, ' ') AS line FROM worded WHERE len(w) >= 1),
 texts AS (
   SELECT line, any_value(w) AS w, min({'d': doc_id, 'n': line_no}) AS first FROM occ GROUP BY line),
+long AS (SELECT * FROM texts WHERE len(w) >= 5),
 variants AS (
   SELECT line, first, i AS place,
     array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS v
-  FROM (SELECT line, first, w, unnest(range(1, len(w) + 1)) AS i FROM texts)),
+  FROM (SELECT line, first, w, unnest(range(1, len(w) + 1)) AS i FROM long)),
 near AS (
   SELECT a.line FROM variants a JOIN variants b
     ON a.v = b.v AND a.place = b.place AND b.first < a.first
-  UNION SELECT a.line FROM variants a JOIN texts b ON a.v = b.line AND b.first < a.first
-  UNION SELECT b.line FROM variants a JOIN texts b ON a.v = b.line AND a.first < b.first),
+  UNION SELECT a.line FROM variants a JOIN long b ON a.v = b.line AND b.first < a.first
+  UNION SELECT b.line FROM variants a JOIN long b ON a.v = b.line AND a.first < b.first),
 dropped AS (
   SELECT doc_id, line_no FROM occ JOIN texts USING (line)
   WHERE {'d': doc_id, 'n': line_no} > first OR line IN (SELECT line FROM near)),
@@ -183,7 +184,7 @@ FROM cut c LEFT JOIN per_doc p ON c.doc_id = p.doc_id
 def op9_best_fit_packing(spark, sf_dir):
     found = pack(read(spark, sf_dir, "documents"), 4096)
     return found.select(
-        "doc_id", "piece", "start", "length", F.crc32("tokens").alias("ids_crc32"), "sequence_id", "offset"
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
 
 

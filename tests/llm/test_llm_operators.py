@@ -395,6 +395,37 @@ def test_long_keys_names_and_short_ibans_are_candidates(spark):
     assert {r.text for r in pii.redact(known).collect()} == {"token = [SECRET] end"}
 
 
+def test_names_need_evidence(spark):
+    texts = [
+        "Max 5 items were sold. Jan 2024 was cold. Mark the box.", "We met Maria Lopez and Dr. Weber there.",
+        "Frau Müller-Lüdenscheidt und Herr Schmidt", "Will it rain in May? April is over.", "Paul said so.",
+        "We saw Thomas" + "o" * 40 + " and Anna Mei" + "e" * 40 + ".",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert [got[i] for i in range(5)] == [
+        texts[0], "We met [NAME] and [NAME] there.", "[NAME] und [NAME]", texts[3], texts[4]
+    ]
+    assert got[5] == "We saw Thomas" + "o" * 40 + " and [NAME]."
+
+
+def test_very_many_matches_in_one_text(spark):
+    n = 6_000
+    text = " ".join(f"é x{i}@a.b 10.0.0.1 maria" for i in range(n))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = pii.personal_data(df).first()
+    assert brute.base_spans(text) == ",".join(f"{x.kind}:{x.s}:{x.e}" for x in row.base)
+    assert pii.redact(df).first().text == " ".join("é [EMAIL] [IP] maria" for _ in range(n))
+
+
+def test_candidates_apart_from_many_base_spans(spark):
+    key = "aB3dE6gH9kaB3dE6gH9k"
+    text = " ".join(f"{key}@a.b {key}{i}" for i in range(100))
+    df = spark.createDataFrame([(1, text), (2, f"{key}@a.b {key}0")], "doc_id long, text string")
+    found = {r.doc_id: [c.m for c in r.candidates] for r in pii.found_spans(df).collect()}
+    assert found == {1: [f"{key}{i}" for i in range(100)], 2: [f"{key}0"]}
+
+
 def test_redaction(spark, odd):
     df = spark.createDataFrame(
         [(1, "é x@y.de, 1.2.3.4 end", 9), (2, "a@1.2.3.4 z", 0), (3, None, 5), (4, "plain", 5)],
@@ -436,6 +467,42 @@ def test_short_lines_go_when_exact(spark):
     assert kept[60] == "Thnd stheed.\n\nThnd stheed\n"
 
 
+def test_very_long_lines(spark):
+    rng = random.Random(8)
+    base = [rng.choice("abcdefgh") + str(rng.randint(0, 50)) for _ in range(3_000)]
+    edits = [base[:at] + new + base[at + 1 :] for at, new in ((0, ["x"]), (1_500, []), (2_999, ["y", "z"]))]
+    texts = [(0, " ".join(base)), *((i, " ".join(e)) for i, e in enumerate(edits, 1)), (9, "\x0ba\x0bb c d e\n" + "a b c d e\n" * 900)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    near, same = brute.dropped_lines(texts), brute.dropped_lines(texts, min_words=1, edits=0)
+    found = {r.doc_id: list(r.dropped) for r in lines.line_report(df, exact_words=1).collect()}
+    assert found == {i: sorted({*near[i], *same[i]}) for i, _ in texts} and found[3] == []
+    kept = {r.doc_id: r.text for r in lines.dedup_lines(df, exact_words=1).collect()}
+    assert kept[9] == "\x0ba\x0bb c d e\n" and kept[1] == kept[2] == ""
+
+
+def test_running_results(spark):
+    from plumbline.llm.common import running
+
+    values = [list(range(n)) for n in (0, 1, 255, 256, 257, 1000)]
+    df = spark.createDataFrame([(v,) for v in values], "v array<int>")
+    got = [r[0] for r in df.select(running(F.col("v"), "long", lambda a, b: a + b)).collect()]
+    assert got == [[sum(v[: i + 1]) for i in range(len(v))] for v in values]
+
+
+def test_line_sql_cuts_words_at_every_space(spark, tmp_path):
+    import duckdb
+
+    from plumbline.llm.queries import ORACLES, QUERIES
+
+    rows = [(1, "a b\x0bc\td\x0ce f", "en"), (2, "a b c d e f", "en"), (3, "x\ny\r z \nx", "en"), (4, None, "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = QUERIES["op8_line_dedup"](spark, str(tmp_path)).select("doc_id", "n_lines", "n_dropped", "dropped")
+    assert sorted(map(tuple, got.collect())) == sorted(con.execute(ORACLES["op8_line_dedup"]).fetchall())
+    assert got.filter("n_dropped > 0").count() == 2
+
+
 def test_line_dedup_odd(odd, spark):
     found = lines.line_report(odd).collect()
     assert len(found) == len(ODD)
@@ -487,6 +554,13 @@ def test_packing(docs, odd, capacity):
 
 
 @pytest.mark.parametrize("capacity", [64, 4096])
+def test_plan_in_bands(docs, monkeypatch):
+    whole = sorted(map(tuple, packing.pack(docs, 512).drop("tokens").collect()))
+    monkeypatch.setattr(packing, "SENT_ROWS", 20)  # the plan goes in bands, the starts by join
+    assert sorted(map(tuple, packing.pack(docs, 512).drop("tokens").collect())) == whole
+    assert packing._bands(np.array([1, 1, 2, 5, 5, 5, 9]), 3) == [(1, 2), (5, 5), (9, 9)]
+
+
 def test_packed_sequences_hold_the_tokens(docs, odd, capacity):
     tok = brute.tokenizer("word_bpe_49k.json")
     for df in (docs, odd):
@@ -582,6 +656,41 @@ def test_broken_markup_is_read_anyway():
     assert html.main_text(page, field) == "yes\ntoo"
 
 
+#: Pages written by hand, whose classes say nothing, and their main text.
+BY_HAND = [
+    ("<html><head><title>x</title><p>One two three four.</p><p>Five six seven.</p>", "One two three four.\nFive six seven."),
+    ("<html><head><meta charset=a>Loose words to begin with, and more.<p>Then a paragraph follows here.</p>",
+     "Loose words to begin with, and more.\nThen a paragraph follows here."),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p><p>See <noscript>this</noscript> and "
+     "<object>that</object>.</p></article>", "Let x=1 hold.\nSee this and that."),
+    ("<body><div><a href=1>Home</a> <a href=2>News</a></div><p>The council met on Tuesday to discuss the bridge.</p>"
+     "<p>It will be closed for repairs until the end of the year.</p><ul><li><a href=3>Imprint</a></li><li><a href=4>"
+     "Contact</a></li></ul><div>&copy; 2020 Example Press</div></body>",
+     "The council met on Tuesday to discuss the bridge.\nIt will be closed for repairs until the end of the year."),
+    ("<table><tr><td><a href=1>Home</a></td><td><a href=2>Shop</a></td></tr></table><div class=q7><h1>On bread</h1><p>Bread "
+     "needs flour, water, salt and a long night of rest.</p></div><form><label>Name</label><input></form>",
+     "On bread\nBread needs flour, water, salt and a long night of rest."),
+    ("<p>A text without any frame around it, as old pages have it.<p>And a second part of the same.",
+     "A text without any frame around it, as old pages have it.\nAnd a second part of the same."),
+]
+
+
+def test_pages_written_by_hand():
+    field = html.default_field()
+    assert [html.main_text(page, field) for page, _ in BY_HAND] == [text for _, text in BY_HAND]
+
+
+def test_open_ends_of_pages():
+    import time
+
+    for page, want in (("a<!-- b", "a"), ("a<!-- b --> c", "a<!-- b --> c"), ("a<!-->b", "a"), ("a <b", "a "), ("a < b", "a < b"),
+                       ("a<b>c</", "a<b>c"), ("a>b<!-- <i", "a>b"), ("", "")):
+        assert html._finished(page) == want, page
+    start = time.time()
+    html.leaf_blocks("<a" * 100_000 + ">" + "<" * 100_000)
+    assert time.time() - start < 10
+
+
 def test_pages(spark):
     import re
     from html import unescape

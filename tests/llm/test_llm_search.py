@@ -261,3 +261,22 @@ def test_search_empty_tables(spark):
     assert searched(spark, [], ITEMS, 5) == []
     assert searched(spark, SEARCHED, [], 5) == []
     assert searched(spark, [(1, None), (2, "..")], ITEMS, 5) == []
+
+
+QUERY_COLUMNS = {
+    "op11_top_k_search": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
+    "op12_filter_audit": {
+        "part": "string", "filter_order": "string", "step": "int",
+        **dict.fromkeys(
+            ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"), "bigint"
+        ),
+    },
+    "op13_lexical_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+}
+
+
+@pytest.mark.parametrize("name", QUERY_COLUMNS)
+def test_query_columns(spark, name):
+    from plumbline.llm.queries import QUERIES
+
+    assert dict(QUERIES[name](spark, "/root/testdata/sf0.001").dtypes) == QUERY_COLUMNS[name]

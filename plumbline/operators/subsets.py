@@ -1,8 +1,8 @@
 """Two-objective subset search: fewest features, best score.
 
 Scoring is the Spark work. Ridge masks are scored from fold sums of products,
-gathered in one pass over the data; tree masks are fitted by Spark ML, each
-distinct mask once. The evolution handles a few hundred 0/1 masks on the driver.
+gathered in one pass over the data; trees of all masks and folds grow together from
+shared histograms; forests are fitted by Spark ML, each distinct mask once. The evolution handles a few hundred 0/1 masks on the driver.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +20,11 @@ from pyspark.sql import functions as F
 from ..functions.columns import col, number
 from ..spec import TableSpec
 from ..staging import staged
+from .binned import Binned, bin_cuts, bin_rows, tree_scores
 from .encoding import encode_categories
 from .gram import column_means, group_moments, scores_from_moments
 from .metrics import score
-from .models import ModelFamily, class_labels, dealt, family_named, fit_model, in_place
+from .models import ModelFamily, class_labels, dealt, family_named, fit_model, in_place, label_index
 from .splits import has_order, holdouts, kfold
 
 Mask = tuple[int, ...]
@@ -139,6 +141,46 @@ def model_scorer(
         yield scorer
 
 
+@contextmanager
+def tree_scorer(
+    df: DataFrame,
+    spec: TableSpec,
+    features: Sequence[str],
+    classifier: bool,
+    max_depth: int = 5,
+    seed: int = 0,
+    split: str | None = None,
+) -> Iterator[Scorer]:
+    """Mean accuracy or r2 of decision trees, all masks and splits in one scan per level.
+
+    The columns are binned and written once. A call costs at most ``max_depth`` scans, however
+    many masks it scores; nodes that an earlier call met cost none.
+    """
+    grouped, splits = split_groups(df, spec.key, seed, split)
+    label = col(spec.target) if classifier else number(spec.target)
+    columns = grouped.select(
+        *[number(f).alias(f) for f in features], label.alias(spec.target), F.col("_group")
+    )
+    if classifier:
+        column_means(columns, features)
+        classes = class_labels(columns, spec.target)
+        target, shift = label_index(spec.target, classes), 0.0
+    else:
+        classes, shift = [], float(column_means(columns, [*features, spec.target])[-1])
+        target = col(spec.target) - F.lit(shift)
+    columns = columns.filter(target.isNotNull())
+    per_group = columns.groupBy("_group").agg(F.count(F.lit(1)).alias("n"), F.sum(target * target).alias("s")).collect()
+    n_groups = 1 + max(r["_group"] for r in per_group)
+    squares = np.zeros(n_groups)
+    for r in per_group:
+        squares[r["_group"]] = r["s"]
+    n_rows = sum(r["n"] for r in per_group)
+    cuts = bin_cuts(grouped, features, n_rows)
+    with staged(bin_rows(columns, features, cuts, target, F.col("_group")), "bins") as rows:
+        binned = Binned(rows, len(features), n_groups, len(classes))
+        yield lambda masks: tree_scores(binned, masks, splits, squares, max_depth)
+
+
 def _better(a: tuple[float, float], b: tuple[float, float]) -> bool:
     """a dominates b: no more features, no worse score, and one strictly so."""
     return a[0] <= b[0] and a[1] >= b[1] and a != b
@@ -254,8 +296,10 @@ def subset_search_log(
     coded = encode_categories(df, spec)
     if model == "ridge":
         return _evolve(df, ridge_scorer(coded, spec, features, seed=seed, split=split), *options)
-    params = {"max_depth": max_depth if model.startswith("DT") else 5}
-    with model_scorer(coded, spec, features, MODELS[model], params, seed, split) as scorer:
+    if model.startswith("DT"):
+        with tree_scorer(coded, spec, features, model == "DTC", max_depth, seed, split) as scorer:
+            return _evolve(df, scorer, *options)
+    with model_scorer(coded, spec, features, MODELS[model], {"max_depth": 5}, seed, split) as scorer:
         return _evolve(df, scorer, *options)
 
 

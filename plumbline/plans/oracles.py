@@ -802,7 +802,11 @@ WITH {_PLANTED},
 strength AS (
   SELECT 'l_quantity' AS f, 0 AS spot, corr(l_quantity, y) ** 2 AS r FROM planted
   UNION ALL SELECT 'l_discount', 1, corr(l_discount, y) ** 2 FROM planted
-  UNION ALL SELECT 'l_tax', 2, corr(l_tax, y) ** 2 FROM planted),
+  UNION ALL SELECT 'l_tax', 2, corr(l_tax, y) ** 2 FROM planted
+  UNION ALL SELECT 'l_linenumber', 3, corr(l_linenumber, y) ** 2 FROM planted
+  UNION ALL SELECT 'l_partkey', 4, corr(l_partkey, y) ** 2 FROM planted
+  UNION ALL SELECT 'l_suppkey', 5, corr(l_suppkey, y) ** 2 FROM planted
+  UNION ALL SELECT 'l_extendedprice', 6, corr(l_extendedprice, y) ** 2 FROM planted),
 ranked AS (SELECT *, row_number() OVER (ORDER BY r DESC) AS place FROM strength)
 SELECT CAST(i AS INTEGER) AS n, string_agg(f, ',' ORDER BY spot) AS selected
 FROM range(1, 3) r(i) JOIN ranked ON place <= i GROUP BY i"""

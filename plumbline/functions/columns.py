@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,15 +78,20 @@ def safe_ratio(top: Column, bottom: Column) -> Column:
 def small_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
     """All rows of a small result, or None once it exceeds the stated bounds.
 
-    Texts are cut to their even share of the bytes before they leave the tasks;
-    a result with a longer one does not count as small.
+    Texts are cut to their even share of the bytes before they leave the tasks. Only if
+    one is longer are the bytes added up; the rows come whole if all together fit.
     """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     share = SMALL_BYTES // max(1, limit * len(texts))
     cut = df.withColumns({t: F.substring(col(t), 1, share + 1) for t in texts})
     rows = cut.limit(limit + 1).collect()
-    if len(rows) > limit or any(len(r[t] or "") > share for r in rows for t in texts):
+    if len(rows) > limit:
         return None
+    if any(len(r[t] or "") > share for r in rows for t in texts):
+        size = functools.reduce(operator.add, [F.coalesce(F.octet_length(col(t)), F.lit(0)) for t in texts])
+        if df.agg(F.sum(size)).first()[0] > SMALL_BYTES:
+            return None
+        return df.collect()
     return rows
 
 

@@ -124,7 +124,8 @@ class OrdinalEncoder:
         self.cols = as_list(cols)
         self.order_by = as_list(order_by)
         self.mapping: DataFrame | None = None
-        self._known: dict[str, list[tuple[str | None, int]]] | None = None
+        #: The codes of each column that has at most ``SMALL_ROWS`` categories.
+        self._known: dict[str, list[tuple[str | None, int]]] = {}
 
     def fit(self, df: DataFrame) -> OrdinalEncoder:
         return self._take(*_fit_mapping(df, self.cols, self.order_by))
@@ -135,17 +136,30 @@ class OrdinalEncoder:
 
     def _take(self, mapping: DataFrame, rows: list | None) -> OrdinalEncoder:
         self.mapping = mapping
-        self._known = None
-        if rows is not None:
-            self._known = {c: [] for c in self.cols}
-            for column, category, code in sorted(rows, key=lambda r: r[2]):
-                if column in self._known:
-                    self._known[column].append((category, code))
+        if rows is None:
+            rows = self._short_columns()
+            counted = {r[0] for r in rows}
+        else:
+            counted = set(self.cols)
+        self._known = {c: [] for c in self.cols if c in counted}
+        for column, category, code in sorted(rows, key=lambda r: r[2]):
+            if column in self._known:
+                self._known[column].append((category, code))
         return self
 
+    def _short_columns(self) -> list:
+        """The mapping of the columns that are short by themselves, whatever the others are."""
+        mine = self.mapping.filter(F.col("column").isin(self.cols))
+        counts = {r["column"]: r["count"] for r in mine.groupBy("column").count().collect()}
+        rows: list = []
+        for c in self.cols:
+            if counts.get(c, 0) <= SMALL_ROWS:
+                rows += small_rows(mine.filter(F.col("column") == c).select("column", "category", "code")) or []
+        return rows
+
     def categories(self, name: str) -> list[str | None]:
-        if self._known is None:
-            raise ValueError(f"more than {SMALL_ROWS} categories; read the mapping table instead")
+        if name not in self._known:
+            raise ValueError(f"{name} has more than {SMALL_ROWS} categories; read the mapping table instead")
         return [category for category, _ in self._known[name]]
 
     def code(self, name: str) -> Column:
@@ -162,17 +176,19 @@ class OrdinalEncoder:
 
     def apply(self, df: DataFrame, into: dict[str, str] | None = None) -> DataFrame:
         """Replace the columns by codes, or add them under the names in ``into``."""
-        into = into or {}
+        return self._coded(df, self.cols, into or {})
+
+    def _coded(self, df: DataFrame, cols: Sequence[str], into: dict[str, str]) -> DataFrame:
         order = df.columns + [v for v in into.values() if v not in df.columns]
-        for name in require(df, self.cols):
+        for name in require(df, cols):
             target = into.get(name, name)
-            if self._known is not None and len(self._known[name]) <= LITERAL_CODES:
+            if len(self._known.get(name, range(SMALL_ROWS))) <= LITERAL_CODES:
                 df = df.withColumn(target, self.code(name))
                 continue
             table = self.mapping.filter(F.col("column") == name).select(
                 F.col("category").alias("_category"), F.col("code").alias("_code")
             )
-            if self._known is not None:
+            if name in self._known:
                 table = F.broadcast(table)
             value = col(name).cast("string")
             df = (
@@ -207,19 +223,20 @@ class OneHotEncoder(OrdinalEncoder):
         ]
 
     def apply(self, df: DataFrame) -> DataFrame:
-        if self._known is None:
-            return self._vectors(df)
+        long = [c for c in self.cols if c not in self._known]
+        if long:
+            df = self._vectors(df, long)
         out = []
         for c in df.columns:
-            out += self.indicators(c) if c in self.cols else [col(c)]
+            out += self.indicators(c) if c in self._known else [col(c)]
         return df.select(*out)
 
-    def _vectors(self, df: DataFrame) -> DataFrame:
+    def _vectors(self, df: DataFrame, cols: Sequence[str]) -> DataFrame:
         """Codes by join, then vectors; the place after the last one is left out."""
         tops = self.mapping.groupBy("column").agg(F.max("code").alias("top")).collect()
         sizes = {r["column"]: r["top"] for r in tops}
-        coded, order = super().apply(df), df.columns
-        for c in self.cols:
+        coded, order = self._coded(df, cols, {}), df.columns
+        for c in cols:
             place = F.when(col(c) > 0, col(c) - 1).otherwise(sizes[c]).cast("double")
             ends = df.sparkSession.createDataFrame([(0.0,), (float(sizes[c]),)], "_place double")
             model = VectorEncoder(inputCol="_place", outputCol="_vector", dropLast=True).fit(ends)
@@ -238,11 +255,10 @@ class BaseNEncoder(OrdinalEncoder):
         self.base = base
 
     def places(self) -> dict[str, int]:
-        if self._known is not None:
-            tops = {c: len(pairs) for c, pairs in self._known.items()}
-        else:
+        tops = {c: len(pairs) for c, pairs in self._known.items()}
+        if len(tops) < len(self.cols):
             rows = self.mapping.groupBy("column").agg(F.max("code").alias("top")).collect()
-            tops = {r["column"]: r["top"] for r in rows}
+            tops |= {r["column"]: r["top"] for r in rows}
         out = {}
         for c in self.cols:
             out[c] = 1

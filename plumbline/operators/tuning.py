@@ -8,14 +8,15 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col
+from ..functions.columns import col, small_rows
 from ..spec import TableSpec
 from ..staging import staged
-from .encoding import Preprocessor
+from .encoding import MISSING, UNSEEN, Preprocessor
 from .gram import Moments, group_moments, scores_from_moments
 from .metrics import Metric, metric_named, score
 from .models import FittedModel, ModelFamily, class_labels, dealt, family_named, fit_model, in_place
@@ -170,15 +171,97 @@ def _each(spark, job, items) -> list:
         return list(pool.map(inheritable_thread_target(spark)(job), items))
 
 
+#: Categories of all columns up to which their indicators enter the sums of products.
+INDICATORS = 128
+
+
 def _ridge_fold_trials(
     df: DataFrame, spec: TableSpec, prep: Preprocessor, family: ModelFamily, trials: Sequence[dict],
     metric: Metric, folds: int, repeats: int, seed: int, fit_on_all: bool,
 ) -> list[tuple]:
-    """With categories, codes and routes come from each training fold.
+    """With categories, whose codes and routes come from each training fold alone.
+
+    Products of the numbers and of an indicator for each category are summed per bucket in one
+    pass; another finds where each category first appears in each bucket. A fold's ordinal code or
+    one-hot columns are a linear map of the indicators, so all folds follow from these sums.
+    More than ``INDICATORS`` categories cost passes of their own for each fold.
+    """
+    seen = _first_places(df, prep)
+    if seen is None:
+        return _ridge_fold_scans(df, spec, prep, family, trials, metric, folds, repeats, seed)
+    labels = sorted({(c, k) for _, c, k in seen}, key=lambda x: (x[0], x[1] is None, x[1] or ""))
+    d = len(prep.numeric)
+    names = [f"_x{i}" for i in range(d + len(labels))]
+    shown = [col(c).alias(n) for c, n in zip(prep.numeric, names)]
+    shown += [col(c).cast("string").eqNullSafe(F.lit(k)).cast("double").alias(n) for (c, k), n in zip(labels, names[d:])]
+    wide = df.select(*shown, col(spec.target).alias("_y"), "_bucket")
+    moments = group_moments(wide, names, "_y", F.col("_bucket"))
+    scaled = range(1, d + 1) if prep.scaling else ()
+    rows = []
+    for rep in range(repeats):
+        folds_of = dealt_folds(folds, rep, seed)
+        for f in range(folds):
+            inside = [b for b in range(BUCKETS) if folds_of[b] != f]
+            own = _fold_map(seen, labels, prep, set(inside), d)
+            train = own.T @ moments.total(inside) @ own
+            test = own.T @ moments.total([b for b in range(BUCKETS) if folds_of[b] == f]) @ own
+            picks = range(1, own.shape[1] - 1)
+            rows += [
+                _as_row(at, p, rep, f, scores_from_moments(train, test, picks, p["alpha"], scaled)[metric.name])
+                for at, p in enumerate(trials)
+            ]
+    return sorted(rows, key=lambda r: (r[0], r[2], r[3]))
+
+
+def _first_places(df: DataFrame, prep: Preprocessor) -> dict[tuple, tuple] | None:
+    """The smallest order key of each category in each bucket, by (bucket, column, category)."""
+    cells = [F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("category")) for c in prep.categorical]
+    key = F.struct(*[col(c) for c in prep.order_by]) if prep.order_by else F.struct(F.lit(0))
+    found = (
+        df.select("_bucket", key.alias("seen"), F.explode(F.array(*cells)).alias("cell"))
+        .groupBy("_bucket", "cell.column", "cell.category").agg(F.min("seen").alias("seen"))
+    )
+    rows = small_rows(found, BUCKETS * INDICATORS)
+    if rows is None or len({(r["column"], r["category"]) for r in rows}) > INDICATORS:
+        return None
+    return {(r["_bucket"], r["column"], r["category"]): tuple(r["seen"]) for r in rows}
+
 
-    A fold costs the fit of its preparation and one pass of sums; the penalties
-    are scored from these.
+def _fold_map(seen: dict[tuple, tuple], labels: list[tuple], prep: Preprocessor, train: set[int], d: int) -> np.ndarray:
+    """What turns [1, numbers, indicators, target] into a training fold's own columns.
+
+    Codes are those of ``OrdinalEncoder``: from 1 by first appearance, -1 and -2 for a category
+    and a missing value that the training rows do not have. Constants are left to the intercept.
     """
+    first: dict[tuple, tuple] = {}
+    for (b, c, k), key in seen.items():
+        if b in train:
+            first[c, k] = min(key, first.get((c, k), key))
+    columns = []
+    for c in prep.categorical:
+        own = [k for column, k in labels if column == c]
+        met = sorted((k for k in own if (c, k) in first), key=lambda k: (first[c, k], k is None, (k or "").encode()))
+        at = {k: d + 1 + labels.index((c, k)) for k in own}
+        if len([k for k in met if k is not None]) > prep.threshold:
+            code = {k: i for i, k in enumerate(met, 1)}
+            columns.append({at[k]: float(code.get(k, MISSING if k is None else UNSEEN)) for k in own})
+        else:
+            columns += [{at[k]: 1.0} for k in met]
+    size = 2 + d + len(labels)
+    out = np.zeros((size, 2 + d + len(columns)))
+    out[np.arange(d + 1), np.arange(d + 1)] = 1.0
+    for j, cells in enumerate(columns, d + 1):
+        for i, value in cells.items():
+            out[i, j] = value
+    out[-1, -1] = 1.0
+    return out
+
+
+def _ridge_fold_scans(
+    df: DataFrame, spec: TableSpec, prep: Preprocessor, family: ModelFamily, trials: Sequence[dict],
+    metric: Metric, folds: int, repeats: int, seed: int,
+) -> list[tuple]:
+    """A fold costs the fit of its preparation and one pass of sums; the penalties are scored from these."""
     with staged(df, "tune") as table:
 
         def one(job: tuple[int, int]) -> list[tuple]:

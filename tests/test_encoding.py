@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import plumbline as pl
 from plumbline.functions import columns
@@ -128,3 +129,21 @@ def test_onehot_of_many_categories_is_a_vector(spark):
 
     unseen = OneHotEncoder("k").fit(df).apply(spark.createDataFrame([(1, "new")], "id long, k string"))
     assert sum(unseen.select(vector_to_array("k").alias("v")).first()["v"]) == 0
+
+
+def test_columns_do_not_depend_on_other_columns(spark):
+    df = spark.range(10_500).select(
+        F.col("id").cast("string").alias("many"), F.element_at(F.array(*map(F.lit, "xyz")), (F.col("id") % 3 + 1).cast("int")).alias("few")
+    )
+    coded = pl.onehot_encode(df, ["few", "many"])
+    assert coded.columns == ["many", "few_1", "few_2", "few_3"] and dict(coded.dtypes)["many"] == "vector"
+    assert coded.agg(F.sum("few_1"), F.sum("few_2"), F.sum("few_3")).first() == (3500, 3500, 3500)
+    assert [r[0] for r in pl.ordinal_encode(df, ["few", "many"]).filter("many = 1").select("few").collect()] == [1]
+
+
+def test_long_labels_are_labels(spark):
+    df = spark.createDataFrame([("a" * 2000, 1.0), ("b", 2.0), ("b", 3.0)], "k string, v double")
+    assert pl.onehot_encode(df, ["k"]).columns == ["k_1", "k_2", "v"]
+    from plumbline.operators.models import class_labels
+
+    assert class_labels(df, "k") == ["a" * 2000, "b"]

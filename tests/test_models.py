@@ -179,3 +179,26 @@ def test_ridge_codes_come_from_the_training_fold(spark):
     own = pl.Metric("own", False, lambda y, p: F.avg((y - p) * (y - p)))
     slow = pl.tune(df, spec, "ridge", trials=[{"alpha": 3.0}], folds=3, repeats=1, seed=2, scaling=True, metric=own)
     assert fast.trial_scores().first()["score"] == pytest.approx(slow.trial_scores().first()["score"], rel=1e-9)
+
+
+@pytest.mark.parametrize("threshold,scaling", [(10, False), (2, True), (0, False)])
+def test_ridge_folds_from_one_pass_equal_a_pass_per_fold(spark, monkeypatch, threshold, scaling):
+    import random
+
+    from plumbline.operators import tuning
+
+    rng = random.Random(2)
+    kinds = ["a", "b", "c", "d", None, "rare"]
+    rows = [
+        (i, rng.random(), float(rng.randint(0, 9)), rng.choices(kinds, [9, 9, 5, 3, 3, 0.1])[0], rng.choice("uv"), rng.random() + (i % 7))
+        for i in range(700)
+    ]
+    df = spark.createDataFrame(rows, "id int, p double, q double, k string, h string, y double")
+    spec = pl.TableSpec("y", "numerical", categorical=("k", "h"), key=("id",))
+    options = {"n_trials": 3, "folds": 3, "repeats": 2, "threshold": threshold, "scaling": scaling}
+    one = pl.tune(df, spec, "ridge", **options).trials.orderBy("trial", "rep", "fold").collect()
+    monkeypatch.setattr(tuning, "INDICATORS", 1)
+    many = pl.tune(df, spec, "ridge", **options).trials.orderBy("trial", "rep", "fold").collect()
+    assert len(one) == 18
+    for a, b in zip(one, many):
+        assert (a.trial, a.rep, a.fold) == (b.trial, b.rep, b.fold) and a.score == pytest.approx(b.score, rel=1e-9)

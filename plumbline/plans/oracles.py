@@ -793,7 +793,7 @@ FROM range(2) a(t), range(3) b(f)"""
 ORACLES["tune_ridge"] = """
 SELECT CAST(i AS INTEGER) AS trial,
   round(1 - (SELECT regr_r2(l_extendedprice, l_quantity) + regr_r2(l_extendedprice, l_discount)
-             + regr_r2(l_extendedprice, l_tax) + regr_r2(l_extendedprice, l_linenumber) FROM lineitem), 1) AS left_over
+             + regr_r2(l_extendedprice, l_tax) + regr_r2(l_extendedprice, l_linenumber) FROM lineitem), 2) AS left_over
 FROM range(10) r(i)"""
 
 # The strongest columns by squared correlation.
@@ -838,20 +838,38 @@ g AS (SELECT l_quantity AS x, count(*) AS n, sum(y) AS s, sum(y * y) AS q FROM p
 c AS (SELECT sum(n) OVER w AS n1, sum(s) OVER w AS s1, sum(n) OVER () AS n, sum(s) OVER () AS s, sum(q) OVER () AS q
       FROM g WINDOW w AS (ORDER BY x)),
 best AS (SELECT min(q - s1 * s1 / n1 - (s - s1) * (s - s1) / (n - n1)) / any_value(n) AS mse FROM c WHERE n > n1)
-SELECT 'ridge' AS family, round(sqrt((SELECT 1 - regr_r2(y, 3 * l_quantity + 400 * l_discount) FROM planted)), 0) AS error
-UNION ALL SELECT 'tree_reg', round(sqrt(mse), 0) FROM best"""
+SELECT 'ridge' AS family, round(sqrt((SELECT 1 - regr_r2(y, 3 * l_quantity + 400 * l_discount) FROM planted)), 0) AS error, true AS below_one_split
+UNION ALL SELECT 'tree_reg', round(sqrt(mse), 0), false FROM best
+UNION ALL SELECT 'gbt_reg', NULL, true"""
 
 # The target is made of the two columns, so their sum of squares explains it.
 ORACLES["svr_kernel"] = f"""
 WITH {_PLANTED}
-SELECT round(corr(y, l_quantity) ** 2 + corr(y, l_discount) ** 2, 1) AS explained FROM planted"""
+SELECT round(corr(y, l_quantity) ** 2 + corr(y, l_discount) ** 2, 1) AS explained,
+  corr(y, l_quantity) ** 2 + corr(y, l_discount) ** 2 > greatest(corr(y, l_quantity) ** 2, corr(y, l_discount) ** 2) AS above_one_column
+FROM planted"""
 
 ORACLES["svc_kernel"] = f"""
 WITH {_PLANTED},
-cuts AS (SELECT quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.75) AS b, avg(l_quantity) AS m, stddev_pop(l_quantity) AS d FROM planted),
-banded AS (SELECT CASE WHEN y >= b THEN 'q75' WHEN y >= a THEN 'q25-75' ELSE 'q25' END AS band,
-  abs((l_quantity - m) / d) AS far FROM planted, cuts)
-SELECT band, count(*) AS n, CAST(1 AS DOUBLE) AS "right" FROM banded WHERE far > 1.6 OR far < 0.1 GROUP BY band"""
+cuts AS (SELECT quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.75) AS b FROM planted),
+banded AS (SELECT CASE WHEN y >= b THEN 'q75' WHEN y >= a THEN 'q25-75' ELSE 'q25' END AS band FROM planted, cuts)
+SELECT band, count(*) AS n, true AS better_than_share FROM banded GROUP BY band"""
+
+
+def _signals(*families: str) -> str:
+    """Two columns are correlated with the target, the others are not; both are needed to tell it."""
+    return f"WITH {_PLANTED}\n" + union(
+        [
+            f"""SELECT '{f}' AS family, corr(y, l_discount) ** 2 > 0.01 AS above_one_split,
+  least(abs(corr(y, l_quantity)), abs(corr(y, l_discount))) > greatest(abs(corr(y, l_tax)), abs(corr(y, l_linenumber))) AS signals_first
+FROM planted"""
+            for f in families
+        ]
+    )
+
+
+ORACLES["forest_signals"] = _signals("forest_reg", "forest_clf")
+ORACLES["gbt_signals"] = _signals("gbt_reg", "gbt_clf")
 
 # y is made of the columns it is correlated with; the others must be rejected.
 ORACLES["boruta"] = f"WITH {_PLANTED}\n" + union(

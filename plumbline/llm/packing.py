@@ -56,20 +56,22 @@ class WordTokens:
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.merges = self.tokenizer.model.tokenize
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.size = array(self.code).itemsize
         self.letters = dict(enumerate(byte_letters()))
         self.pattern, self.plain = regex.compile(PIECES), regex.compile(PLAIN)
         self.words = Memo(self._word, WORDS)
 
     def _word(self, word: str) -> bytes:
-        if word.isascii():
-            if word.isalpha():
+        if word.isalpha():  # one piece
+            if word.isascii() or self.plain.fullmatch(word):
                 low = word.lower()
                 return self._piece(word) if low == word else self.words[low]
-            if word[-1] in ".,!" and word[:-1].isalpha():
-                return self.words[word[:-1]] + self.words[word[-1]]
+        elif word[-1] in ".,!?;:" and word[:-1].isalpha():
+            return self.words[word[:-1]] + self.words[word[-1]]
         if not self.plain.fullmatch(word) or "<|" in word:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            return array("I", ids).tobytes()
+            return array(self.code, ids).tobytes()
         low = word.lower()
         pieces = self.pattern.findall(low)
         if len(pieces) > 1:
@@ -79,11 +81,16 @@ class WordTokens:
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
             piece = piece.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.merges(piece)]).tobytes()
+        return array(self.code, [t.id for t in self.merges(piece)]).tobytes()
+
+    def narrow(self, text: str) -> bytes:
+        """Little-endian unsigned numbers of ``size`` bytes."""
+        return b"".join([self.words[w] for w in text.replace("\n", " ").split(" ") if w])
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit numbers."""
-        return b"".join([self.words[w] for w in text.replace("\n", " ").split(" ") if w])
+        data = self.narrow(text)
+        return data if self.size == 4 else np.frombuffer(data, "<u2").astype("<u4").tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -127,26 +134,27 @@ def _narrow_pieces(
 ) -> DataFrame:
     """The pieces with ``length``, ``task`` and ``seq``, the place among those of its length in its task.
 
-    Numbers that all fit into 16 bits are kept so.
+    Numbers have 16 bits if the vocabulary and the end mark allow it.
     """
     path = path or default_path()
 
     def run(source):
         words = word_tokens(path)
-        end = np.array([end_id], "<u4").tobytes()
+        size = words.size if end_id < 1 << 16 else 4
+        encode = words.narrow if size == words.size else words.encode
+        end, step = end_id.to_bytes(size, "little"), size * capacity
         met: dict[int, int] = {}
 
         def pieces(batch):
             for i, row, text in zip(batch["doc_id"], batch["row"], batch["text"]):
-                ids = np.frombuffer(words.encode(text.as_py()) + end, "<u4")
-                if ids.max() < 1 << 16:
-                    ids = ids.astype("<u2")
+                data = encode(text.as_py()) + end
                 doc, row = i.as_py(), row.as_py()
-                for at in range(0, len(ids), capacity):
-                    own = ids[at : at + capacity]
-                    seq = met.get(len(own), 0)
-                    met[len(own)] = seq + 1
-                    yield doc, row, at // capacity, at, len(own), row >> 33, seq, own.tobytes()
+                for at in range(0, len(data), step):
+                    own = data[at : at + step]
+                    n = len(own) // size
+                    seq = met.get(n, 0)
+                    met[n] = seq + 1
+                    yield doc, row, at // step, at // size, n, row >> 33, seq, own
 
         for batch in source:
             yield from batches(pieces(batch), schema, lambda row: len(row[-1]))

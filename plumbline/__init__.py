@@ -31,7 +31,7 @@ from .operators.encoding import (
     standardize,
 )
 from .operators.explain import explain_tree, tree_nodes, tree_rules
-from .operators.frontier import pareto_front
+from .operators.frontier import pareto_front, pareto_front_of
 from .operators.gram import Ridge
 from .operators.groups import count_by, mean_by
 from .operators.histograms import (

@@ -1,7 +1,12 @@
-"""Rows not dominated under one minimized and one maximized objective (O2)."""
+"""Rows not dominated under one minimized and one maximized objective, or under several (O2)."""
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,3 +100,108 @@ def _strict_front(points: DataFrame) -> DataFrame:
             F.col("_b") > F.greatest(F.coalesce(F.col("_prev"), lowest), F.coalesce(F.col("_in"), lowest))
         )
     )
+
+
+# ---- several objectives --------------------------------------------------------------
+
+#: Cells of the grid that prunes dominated rows, at most.
+CELLS = 4_096
+#: Local fronts that one task merges in a round.
+MERGED = 8
+#: Points of a front that one task may compare with each other; larger ones go tile by tile.
+TILE_POINTS = 50_000
+
+
+def pareto_front_of(df: DataFrame, minimize: Sequence[str] = (), maximize: Sequence[str] = ()) -> DataFrame:
+    """Front rows under any number of objectives, ties kept.
+
+    A row is dominated if another is no worse in every objective and better in one. Rows with a
+    missing objective take no part. Sketched cuts make a grid: rows whose cell lies behind a
+    non-empty one in every objective go in a scan without a shuffle. Each task keeps the front of its
+    rows; fronts are merged a few at a time in rounds. A front too large for one task is cut
+    into blocks, and every block is compared with every other, tile by tile.
+    """
+    names = require(df, [*minimize, *maximize])
+    if not names:
+        raise ValueError("name at least one objective")
+    signed = [number(c) for c in minimize] + [-number(c) for c in maximize]
+    keys = [f"_o{i}" for i in range(len(signed))]
+    points = df.select(*[(v + F.lit(0.0)).alias(k) for v, k in zip(signed, keys)]).dropna()
+    points = _in_open_cells(points)
+    schema = ", ".join(f"{k} double" for k in keys)
+    parts = max(1, points.rdd.getNumPartitions())
+    found = stage_table(points.mapInArrow(_local_front, schema), "front")
+    while True:
+        count = found.count()
+        if parts == 1 or count > TILE_POINTS:
+            break
+        parts = -(-parts // MERGED)
+        found = stage_table(found.repartition(parts, *keys).mapInArrow(_local_front, schema), "front")
+    if count > TILE_POINTS:
+        found = stage_table(_front_by_tiles(found.distinct(), keys, count), "front")
+    objectives = {k: v + F.lit(0.0) for k, v in zip(keys, signed)}
+    return attach(df.withColumns(objectives), found, keys).select(*df.columns)
+
+
+def _in_open_cells(points: DataFrame) -> DataFrame:
+    """Points in cells that no non-empty cell dominates with room to spare."""
+    keys = points.columns
+    per = max(1, int(CELLS ** (1 / len(keys)) + 1e-9) - 1)
+    shares = [i / (per + 1) for i in range(1, per + 1)]
+    row = points.agg(*[F.percentile_approx(k, shares, 10_000).alias(k) for k in keys]).first()
+    cuts = [sorted(set(row[k] or [])) for k in keys]
+    at = [_slice(F.col(k), c) for k, c in zip(keys, cuts)]
+    place = functools.reduce(lambda a, b: a * F.lit(per + 1) + b, at)
+    full = np.zeros((per + 1,) * len(keys), bool)
+    for r in points.select(place.alias("cell")).distinct().collect():
+        full.flat[r["cell"]] = True
+    behind = full
+    for axis in range(full.ndim):  # a full cell before this one in every objective
+        behind = np.logical_or.accumulate(behind, axis=axis)
+        behind = np.roll(behind, 1, axis=axis)
+        behind[(slice(None),) * axis + (0,)] = False
+    closed = np.flatnonzero((behind & full).reshape(-1)).tolist()
+    return points.filter(~place.isin(closed)) if closed else points
+
+
+def front_of(points: np.ndarray) -> np.ndarray:
+    """The distinct rows that no other row dominates; smaller is better."""
+    left = np.unique(points, axis=0)
+    left = left[np.argsort(left.sum(axis=1), kind="stable")]
+    front = []
+    while len(left):
+        best = left[0]  # nothing with a larger sum dominates it, and what did is gone
+        front.append(best)
+        left = left[~(left >= best).all(axis=1)]
+    return np.array(front).reshape(-1, points.shape[1])
+
+
+def _local_front(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, names = None, None
+    for batch in source:
+        names = batch.schema.names
+        own = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        held = front_of(own if held is None else np.vstack([held, own]))
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.T], names=names)
+
+
+def _front_by_tiles(points: DataFrame, keys: list[str], count: int) -> DataFrame:
+    """The front of distinct points, each block compared with every block."""
+    blocks = -(-count // TILE_POINTS)
+    block = F.pmod(F.xxhash64(*keys), F.lit(blocks)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    own = points.select(*keys, block.alias("a"), every.alias("b"))
+    other = points.select(*keys, every.alias("a"), block.alias("b"))
+    other = other.toDF(*other.columns)
+
+    def beaten(left: pa.Table, right: pa.Table) -> pa.Table:
+        mine, theirs = (np.column_stack([t[k].to_numpy() for k in keys]).reshape(-1, len(keys)) for t in (left, right))
+        out = np.zeros(len(mine), bool)
+        for q in front_of(theirs):
+            out |= (q <= mine).all(axis=1) & (q < mine).any(axis=1)
+        return left.select(keys).filter(pa.array(out))
+
+    schema = ", ".join(f"{k} double" for k in keys)
+    lost = own.groupBy("a", "b").cogroup(other.groupBy("a", "b")).applyInArrow(beaten, schema)
+    return points.join(lost.distinct(), keys, "left_anti")

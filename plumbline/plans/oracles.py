@@ -539,6 +539,15 @@ r AS (SELECT *, max(gain) OVER (ORDER BY l_extendedprice RANGE BETWEEN UNBOUNDED
              min(l_extendedprice) OVER (PARTITION BY gain) AS cheapest FROM l)
 SELECT {ROW_ID}, l_extendedprice, gain FROM r WHERE gain = best AND l_extendedprice = cheapest"""
 
+# The best price of each pair of the other two is compared with the pairs that are as good.
+ORACLES["pareto_front_three"] = f"""
+WITH least AS (SELECT l_quantity AS q, l_discount AS d, min(l_extendedprice) AS p FROM lineitem GROUP BY ALL),
+front AS (
+  SELECT q, d, p FROM least a WHERE NOT EXISTS (
+    SELECT 1 FROM least b WHERE b.q >= a.q AND b.d >= a.d AND b.p <= a.p AND (b.q > a.q OR b.d > a.d OR b.p < a.p)))
+SELECT {ROW_ID}, l_extendedprice, l_quantity, l_discount
+FROM lineitem JOIN front ON l_quantity = q AND l_discount = d AND l_extendedprice = p"""
+
 # ---- ridge ---------------------------------------------------------------------------
 
 _TWO = """c AS (SELECT l_quantity - avg(l_quantity) OVER () AS a, l_discount - avg(l_discount) OVER () AS b,

@@ -612,6 +612,14 @@ def pareto_front_lines(spark, sf_dir):
     return pl.pareto_front(lines, "l_extendedprice", "gain").select(*LINE_ID, "l_extendedprice", "gain")
 
 
+@query
+def pareto_front_three(spark, sf_dir):
+    """O2 under three objectives over lineitem: cheap, many and with a large discount."""
+    lines = table(spark, sf_dir, "lineitem")
+    front = pl.pareto_front_of(lines, ["l_extendedprice"], ["l_quantity", "l_discount"])
+    return front.select(*LINE_ID, "l_extendedprice", "l_quantity", "l_discount")
+
+
 # ---- models, selection, search, explanation -----------------------------------------
 
 

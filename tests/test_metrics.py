@@ -78,3 +78,46 @@ def test_front_where_nothing_is_dominated(spark):
 def test_front_of_nothing(spark):
     df = spark.createDataFrame([(None, 1.0)], "n int, s double")
     assert pl.pareto_front(df, "n", "s").count() == 0
+
+
+def brute_front_of(rows, low, high):
+    def value(r):
+        return tuple(r[i] for i in low) + tuple(-r[i] for i in high)
+
+    ok = [r for r in rows if all(x is not None and x == x for x in value_or_none(r, low + high))]
+    return sorted(
+        r for r in ok
+        if not any(all(a <= b for a, b in zip(value(o), value(r))) and value(o) != value(r) for o in ok)
+    )
+
+
+def value_or_none(r, places):
+    return [r[i] for i in places]
+
+
+@pytest.mark.parametrize("tile", [50_000, 10])
+def test_front_of_three_objectives(spark, monkeypatch, tile):
+    import random
+
+    from plumbline.operators import frontier
+
+    monkeypatch.setattr(frontier, "TILE_POINTS", tile)
+    rng = random.Random(tile)
+    rows = [(i, *(float(rng.randint(0, 12)) for _ in range(3))) for i in range(400)]
+    rows += [(900, None, 1.0, 2.0), (901, 0.0, float("nan"), 50.0), (902, 0.0, -1.0, 12.0), (903, -0.0, -1.0, 12.0)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double").repartition(20)
+    got = sorted(map(tuple, pl.pareto_front_of(df, ["a", "b"], ["c"]).collect()))
+    assert got == brute_front_of(rows, [1, 2], [3]) and {902, 903} <= {r[0] for r in got}
+    one = {r.id for r in pl.pareto_front_of(df, ["a"]).collect()}
+    assert one == {r[0] for r in rows if r[1] is not None and r[1] == 0.0}
+
+
+def test_front_of_a_large_antichain_and_of_nothing(spark, monkeypatch):
+    from plumbline.operators import frontier
+
+    monkeypatch.setattr(frontier, "TILE_POINTS", 50)
+    df = spark.range(300).selectExpr("id", "cast(id as double) a", "cast(300 - id as double) b", "cast(0 as double) c")
+    assert pl.pareto_front_of(df, ["a", "b", "c"]).count() == 300
+    assert pl.pareto_front_of(df.filter("false"), ["a", "b"], ["c"]).count() == 0
+    with pytest.raises(ValueError):
+        pl.pareto_front_of(df)

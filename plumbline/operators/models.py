@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import SMALL_ROWS, col, number, require, small_rows
+from .boosting import Booster, LeafBoost
 from .gram import Ridge
 from .metrics import Metric, metric_named, score
 
@@ -108,7 +109,7 @@ class FourierFeatures:
 class ModelFamily:
     """How to build an estimator from parameters, and how to search them.
 
-    ``build(params, n_rows, seed)`` returns a Spark ML estimator, or a Ridge.
+    ``build(params, n_rows, seed)`` returns a Spark ML estimator, a Ridge or a LeafBoost.
     ``kernel`` families see ``size`` random Fourier features of their columns; ``binary``
     ones are fitted once per class when there are more than two.
     """
@@ -212,6 +213,14 @@ _GBT_SPACE = {
 _GBT_DEFAULTS = {
     "max_depth": 5, "min_child_samples": 20, "subsample": 1.0, "n_estimators": 100, "learning_rate": 0.1
 }
+_LEAF_SPACE = {
+    "num_leaves": Integer(2, 256),
+    **_GBT_SPACE,
+    "extra_trees": True,
+    "reg_alpha": LogUniform(1e-8, 10.0),
+    "reg_lambda": LogUniform(1e-8, 10.0),
+}
+_LEAF_DEFAULTS = {**_GBT_DEFAULTS, "num_leaves": 31, "extra_trees": False, "reg_alpha": 0.0, "reg_lambda": 0.0}
 
 FAMILIES = {
     f.name: f
@@ -236,6 +245,12 @@ FAMILIES = {
             "gbt_clf", True, lambda p, n, seed: GBTClassifier(**_boosted(p, seed)),
             _GBT_DEFAULTS, _GBT_SPACE, "matthews", 150, binary=True,
         ),
+        ModelFamily(
+            "leaf_reg", False, lambda p, n, seed: LeafBoost(p, seed), _LEAF_DEFAULTS, _LEAF_SPACE, "mse", 150,
+        ),
+        ModelFamily(
+            "leaf_clf", True, lambda p, n, seed: LeafBoost(p, seed), _LEAF_DEFAULTS, _LEAF_SPACE, "matthews", 150,
+        ),
         ModelFamily("tree_reg", False, _tree(DecisionTreeRegressor), {"max_depth": 5}, metric="r2"),
         ModelFamily("tree_clf", True, _tree(DecisionTreeClassifier), {"max_depth": 5}, metric="accuracy"),
         ModelFamily(
@@ -285,7 +300,10 @@ class FittedModel:
     def predict(self, df: DataFrame) -> DataFrame:
         if isinstance(self.model, Ridge):
             return self.model.predict(df)
-        out = self.model.transform(with_features(df, self.family, self.params, self.xs, self.seed))
+        if isinstance(self.model, Booster):
+            out = self.model.transform(df, self.xs)
+        else:
+            out = self.model.transform(with_features(df, self.family, self.params, self.xs, self.seed))
         if self.classes is not None:
             out = out.withColumn("prediction", class_of(F.col("prediction"), self.classes))
         return out.select(*[col(c) for c in df.columns], "prediction")
@@ -357,6 +375,9 @@ def fit_model(
         return FittedModel(family, params, xs, y, None, estimator.fit(df, xs, y), seed)
     label = label_index(y, classes) if family.classifier else number(y)
     used = df.select(*[col(c) for c in dict.fromkeys([*xs, y])])
+    if isinstance(estimator, LeafBoost):
+        model = _fit_leaves(df, used, xs, label, estimator, len(classes or ()), n_rows)
+        return FittedModel(family, params, xs, y, list(classes) if family.classifier else None, model, seed)
     if {"_block", "_place"} <= set(df.columns):
         used = df.select(*[col(c) for c in used.columns], "_block", "_place")
     else:
@@ -369,5 +390,15 @@ def fit_model(
     return FittedModel(family, params, xs, y, list(classes) if family.classifier else None, model, seed)
 
 
+def _fit_leaves(
+    df: DataFrame, used: DataFrame, xs: list[str], label: Column, estimator: LeafBoost, n_classes: int, n_rows: int
+) -> Booster:
+    """Sums of gradients do not ask for an order, so only a subsample has its rows dealt."""
+    if estimator.params["subsample"] >= 1.0:
+        return estimator.fit(used, xs, label, n_classes, n_rows, F.lit(0))
+    placed = df if "_place" in df.columns else dealt(used, n_rows, estimator.seed)
+    return estimator.fit(placed, xs, label, n_classes, n_rows, F.col("_place"))
+
+
 def predict(model: FittedModel, df: DataFrame) -> DataFrame:
     return model.predict(df)

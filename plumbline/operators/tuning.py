@@ -13,13 +13,25 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, small_rows
+from ..functions.columns import col, number, small_rows
 from ..spec import TableSpec
 from ..staging import staged
+from .binned import bin_cuts
+from .boosting import BINS, SIDE_BY_SIDE, Booster, LeafBoost, binned_rows, boost, held_out, spread_out
 from .encoding import MISSING, UNSEEN, Preprocessor
 from .gram import Moments, group_moments, scores_from_moments
 from .metrics import Metric, metric_named, score
-from .models import FittedModel, ModelFamily, class_labels, dealt, family_named, fit_model, in_place
+from .models import (
+    FittedModel,
+    ModelFamily,
+    class_labels,
+    class_of,
+    dealt,
+    family_named,
+    fit_model,
+    in_place,
+    label_index,
+)
 from .splits import BUCKETS, bucket, dealt_folds, repeat_fold
 
 CONCURRENT_FITS = 4
@@ -101,6 +113,10 @@ def tune(
             rows, moments = _ridge_trials(*how)
         else:
             rows = _ridge_fold_trials(*how)
+    elif isinstance(family.build({**family.defaults, **trials[0]}, 1, seed), LeafBoost) and (
+        fit_on_all or not (encode and prep.categorical)
+    ):
+        rows = _boost_trials(*how)
     else:
         rows = _model_trials(*how)
     sums: dict[int, list[float]] = {}
@@ -325,3 +341,44 @@ def _model_trials(
             return [_as_row(at, trials[at], rep, f, found.get((rep, f))) for rep, f in jobs]
 
         return [row for at in range(len(trials)) for row in scored(at)]
+
+
+def _boost_trials(
+    df: DataFrame, spec: TableSpec, prep: Preprocessor, family: ModelFamily, trials: Sequence[dict],
+    metric: Metric, folds: int, repeats: int, seed: int, fit_on_all: bool,
+) -> list[tuple]:
+    """Trees of many trials and folds from the same scans of one binned table.
+
+    Trees do not see a fold's scaling, so the rows are prepared once. The bins' cuts
+    come from all rows, without their target.
+    """
+    classes = class_labels(df, spec.target) if family.classifier else None
+    coded = prep.transform(df, [spec.target, "_bucket"])
+    xs = [c for c in coded.columns if c not in (spec.target, "_bucket")]
+    params = [{**family.defaults, **p} for p in trials]
+    n_rows, place = coded.count(), F.lit(0)
+    cuts = bin_cuts(coded.select(*[col(x) for x in xs]), xs, n_rows, BINS)
+    if any(p["subsample"] < 1.0 for p in params):
+        coded, place = dealt(coded, n_rows, seed), F.col("_place")
+    label = label_index(spec.target, classes) if classes is not None else number(spec.target)
+    jobs = [(at, rep, f) for at in range(len(trials)) for rep in range(repeats) for f in range(folds)]
+    outputs = len(classes) if classes is not None and len(classes) > 2 else 1
+    step, rows = max(1, SIDE_BY_SIDE // outputs), []
+    binned = spread_out(binned_rows(coded, xs, label, F.col("_bucket"), place, cuts), n_rows)
+    with staged(binned, "tune") as table:
+        for first in range(0, len(jobs), step):
+            part = jobs[first : first + step]
+            models = [
+                Booster(params[at], seed, cuts, len(classes or ()), _training(rep, f, folds, seed)) for at, rep, f in part
+            ]
+            tested = held_out(table, boost(table, models))
+            if classes is not None:
+                tested = tested.withColumns({c: class_of(F.col(c), classes) for c in ("y", "prediction")})
+            found = {r["model"]: r["score"] for r in score(tested, "y", "prediction", metric, ["model"]).collect()}
+            rows += [_as_row(at, trials[at], rep, f, found.get(i)) for i, (at, rep, f) in enumerate(part)]
+    return rows
+
+
+def _training(rep: int, f: int, folds: int, seed: int) -> frozenset[int]:
+    folds_of = dealt_folds(folds, rep, seed)
+    return frozenset(b for b in range(BUCKETS) if folds_of[b] != f)

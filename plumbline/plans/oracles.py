@@ -879,6 +879,44 @@ FROM planted"""
 
 ORACLES["forest_signals"] = _signals("forest_reg", "forest_clf")
 ORACLES["gbt_signals"] = _signals("gbt_reg", "gbt_clf")
+ORACLES["leaf_signals"] = _signals("leaf_reg", "leaf_clf")
+
+
+def _leaf_round(at: int, rate: float, alpha: float, ridge: float) -> str:
+    """One stump on the sums of gradients per cell: thresholded sums over penalised counts."""
+
+    def pull(g: str) -> str:
+        return f"sign({g}) * greatest(abs({g}) - {alpha}, 0)"
+
+    return f"""
+sides{at} AS (SELECT 'q' AS f, q AS x, sum(n) AS n, sum(g) AS g FROM cells{at} GROUP BY q
+              UNION ALL SELECT 'd', d, sum(n), sum(g) FROM cells{at} GROUP BY d),
+sums{at} AS (SELECT f, x, sum(n) OVER w AS n1, sum(g) OVER w AS g1,
+               sum(n) OVER (PARTITION BY f) AS n, sum(g) OVER (PARTITION BY f) AS g
+             FROM sides{at} WINDOW w AS (PARTITION BY f ORDER BY x)),
+stump{at} AS (SELECT f, x, -{rate} * {pull("g1")} / (n1 + {ridge}) AS a, -{rate} * {pull("(g - g1)")} / (n - n1 + {ridge}) AS b
+              FROM sums{at} WHERE n > n1
+              ORDER BY ({pull("g1")}) ** 2 / (n1 + {ridge}) + ({pull("(g - g1)")}) ** 2 / (n - n1 + {ridge}) DESC LIMIT 1),
+moved{at} AS (SELECT cells{at}.q, cells{at}.d, cells{at}.n, cells{at}.g, said,
+                CASE WHEN CASE f WHEN 'q' THEN q ELSE d END <= x THEN a ELSE b END AS v FROM cells{at}, stump{at}),
+cells{at + 1} AS (SELECT q, d, n, g + n * v AS g, said + v AS said FROM moved{at})"""
+
+
+ORACLES["leaf_rounds"] = f"""
+WITH {_PLANTED},
+m AS (SELECT avg(y) AS m FROM planted),
+cells0 AS (SELECT l_quantity AS q, l_discount AS d, count(*) AS n, sum(m - y) AS g, any_value(m) AS said
+           FROM planted, m GROUP BY 1, 2),{_leaf_round(0, 0.5, 5000.0, 1000.0)},{_leaf_round(1, 0.5, 5000.0, 1000.0)}
+SELECT q AS l_quantity, d AS l_discount, n, round(said, 4) AS prediction FROM cells2"""
+
+ORACLES["leaf_classes"] = _decided("leaf_clf", _NAME)
+
+# Each of the four trials meets the rule on each of the thirty folds.
+ORACLES["tune_leaf_trees"] = """
+WITH halves AS (SELECT CAST(l_linenumber >= 4 AS INTEGER) AS made, CAST(l_linenumber > 3.5 AS INTEGER) AS said FROM lineitem)
+SELECT CAST(t AS INTEGER) AS trial, CAST(r AS INTEGER) AS rep, CAST(f AS INTEGER) AS fold,
+  round((SELECT corr(made, said) FROM halves), 6) AS score
+FROM range(4) a(t), range(10) c(r), range(3) b(f)"""
 
 # y is made of the columns it is correlated with; the others must be rejected.
 ORACLES["boruta"] = f"WITH {_PLANTED}\n" + union(

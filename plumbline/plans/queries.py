@@ -860,6 +860,47 @@ def gbt_clf(spark, sf_dir):
     return _learned(spark, sf_dir, None, "gbt_clf", {"n_estimators": 10})
 
 
+#: Two stumps whose gains and leaves both penalties change.
+LEAF_ROUNDS = {
+    "n_estimators": 2, "num_leaves": 2, "learning_rate": 0.5, "reg_alpha": 5000.0, "reg_lambda": 1000.0,
+    "min_child_samples": 1,
+}
+
+
+@query
+def leaf_rounds(spark, sf_dir):
+    """L6 grown by leaves: two penalised rounds, each on the gradients the one before leaves."""
+    lines = planted(spark, sf_dir)
+    model = pl.fit_model(lines, list(SIGNALS), "y", "leaf_reg", LEAF_ROUNDS)
+    return model.predict(lines).groupBy(*SIGNALS).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.max("prediction"), 4).alias("prediction")
+    )
+
+
+@query
+def leaf_signals(spark, sf_dir):
+    """L6, L7 grown by leaves, with their default rounds on four predictors and all rows."""
+    return _signal_facts(spark, sf_dir, "leaf_reg", "leaf_clf")
+
+
+@query
+def leaf_classes(spark, sf_dir):
+    """L7 grown by leaves, three classes under one softmax."""
+    return _learned(spark, sf_dir, None, "leaf_clf", {"n_estimators": 10})
+
+
+@query
+def tune_leaf_trees(spark, sf_dir):
+    """H1 over L7 grown by leaves, with all its parameters and all thirty folds: scores of a class that the line number decides."""
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "half", F.when(col("l_linenumber") >= 4, "high").otherwise("low")
+    )
+    spec = TableSpec("half", "categorical", use_cols=("l_linenumber",), key=LINE_KEY)
+    space = {**pl.FAMILIES["leaf_clf"].space, "n_estimators": 20, "extra_trees": False}
+    tuned = pl.tune(lines, spec, "leaf_clf", space, n_trials=4)
+    return tuned.trials.select("trial", "rep", "fold", F.round("score", 6).alias("score"))
+
+
 # ---- goals named for the baseline ----------------------------------------------------
 
 

@@ -20,7 +20,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
-    LinearRegression,
     RandomForestRegressor,
 )
 from pyspark.sql import Column, DataFrame
@@ -30,6 +29,7 @@ from ..functions.columns import SMALL_ROWS, col, number, require, small_rows
 from .boosting import Booster, LeafBoost
 from .gram import Ridge
 from .metrics import Metric, metric_named, score
+from .tube import EpsilonTube
 
 FEATURES = "_features"
 LABEL = "_label"
@@ -85,11 +85,15 @@ class FourierFeatures:
     size: int = 64
     seed: int = 0
 
-    def columns(self, xs: Sequence[str]) -> list[Column]:
+    def weights(self, d: int) -> tuple[np.ndarray, np.ndarray, float]:
+        """The ``w`` and ``b`` of each feature of ``d`` columns, and the common factor."""
         rng = np.random.default_rng(self.seed)
-        w = rng.normal(0.0, math.sqrt(2.0 * self.gamma), (self.size, len(xs)))
+        w = rng.normal(0.0, math.sqrt(2.0 * self.gamma), (self.size, d))
         b = rng.uniform(0.0, 2.0 * math.pi, self.size)
-        scale = math.sqrt(2.0 / self.size)
+        return w, b, math.sqrt(2.0 / self.size)
+
+    def columns(self, xs: Sequence[str]) -> list[Column]:
+        w, b, scale = self.weights(len(xs))
         out = []
         for weights, shift in zip(w, b):
             angle = F.lit(float(shift))
@@ -109,7 +113,7 @@ class FourierFeatures:
 class ModelFamily:
     """How to build an estimator from parameters, and how to search them.
 
-    ``build(params, n_rows, seed)`` returns a Spark ML estimator, a Ridge or a LeafBoost.
+    ``build(params, n_rows, seed)`` returns a Spark ML estimator, a Ridge, a LeafBoost or an EpsilonTube.
     ``kernel`` families see ``size`` random Fourier features of their columns; ``binary``
     ones are fitted once per class when there are more than two.
     """
@@ -179,18 +183,6 @@ def _svc(p: dict, n: int, seed: int):
     return LinearSVC(regParam=1.0 / (p["C"] * n), maxIter=int(p["max_iter"]), tol=1e-4, **_columns())
 
 
-def _svr(p: dict, n: int, seed: int):
-    # Spark has no epsilon tube; the Huber loss also flattens large residuals.
-    return LinearRegression(
-        loss="huber",
-        epsilon=1.0 + p["epsilon"],
-        regParam=1.0 / (p["C"] * n),
-        maxIter=int(p["max_iter"]),
-        tol=1e-4,
-        **_columns(),
-    )
-
-
 def _boosted(p: dict, seed: int) -> dict:
     return {
         "maxDepth": int(p["max_depth"]),
@@ -230,7 +222,7 @@ FAMILIES = {
             {"alpha": 1.0}, {"alpha": LogUniform(1e-3, 1e2)}, "mse", 10,
         ),
         ModelFamily(
-            "svr", False, _svr, {"C": 1.0, "epsilon": 0.1, "gamma": 1.0, "max_iter": 100, "size": 64},
+            "svr", False, lambda p, n, seed: EpsilonTube(p), {"C": 1.0, "epsilon": 0.1, "gamma": 1.0, "max_iter": 100, "size": 64},
             {**_SVM_SPACE, "epsilon": LogUniform(1e-3, 1e2)}, "mse", 100, kernel=True,
         ),
         ModelFamily(
@@ -378,6 +370,9 @@ def fit_model(
     if isinstance(estimator, LeafBoost):
         model = _fit_leaves(df, used, xs, label, estimator, len(classes or ()), n_rows)
         return FittedModel(family, params, xs, y, list(classes) if family.classifier else None, model, seed)
+    if isinstance(estimator, EpsilonTube):
+        features = FourierFeatures(params["gamma"], int(params["size"]), seed).weights(len(xs))
+        return FittedModel(family, params, xs, y, None, estimator.fit(used, xs, label, n_rows, features), seed)
     if {"_block", "_place"} <= set(df.columns):
         used = df.select(*[col(c) for c in used.columns], "_block", "_place")
     else:

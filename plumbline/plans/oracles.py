@@ -858,6 +858,14 @@ SELECT round(corr(y, l_quantity) ** 2 + corr(y, l_discount) ** 2, 1) AS explaine
   corr(y, l_quantity) ** 2 + corr(y, l_discount) ** 2 > greatest(corr(y, l_quantity) ** 2, corr(y, l_discount) ** 2) AS above_one_column
 FROM planted"""
 
+# The target is a function of the two columns, so a curve through it leaves nothing beyond the band.
+ORACLES["svr_tube"] = f"""
+WITH {_PLANTED},
+scaled AS (SELECT (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS y FROM planted)
+SELECT epsilon, count(*) AS n, round(1 - (SELECT regr_r2(y, 3 * l_quantity + 400 * l_discount) FROM planted), 2) AS beyond,
+  avg(greatest(abs(y) - epsilon, 0)) > 0 AS below_constant
+FROM scaled, (SELECT CAST(unnest([0.2, 0.8]) AS DOUBLE) AS epsilon) GROUP BY epsilon"""
+
 ORACLES["svc_kernel"] = f"""
 WITH {_PLANTED},
 cuts AS (SELECT quantile_cont(y, 0.25) AS a, quantile_cont(y, 0.75) AS b FROM planted),

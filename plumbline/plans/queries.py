@@ -803,6 +803,25 @@ def svr_kernel(spark, sf_dir):
     )
 
 
+@query
+def svr_tube(spark, sf_dir):
+    """L5 for a narrow and a wide band: rows, their mean distance beyond the band, and whether no constant comes as near."""
+    lines = _scaled_planted(spark, sf_dir)
+    middle = lines.agg(F.avg("y")).first()[0]
+    out = None
+    for epsilon in (0.2, 0.8):
+        beyond = [F.avg(F.greatest(F.abs(col("y") - p) - epsilon, F.lit(0.0))) for p in (col("prediction"), F.lit(middle))]
+        model = pl.fit_model(lines, list(SIGNALS), "y", "svr", {"gamma": 0.3, "C": 10.0, "epsilon": epsilon})
+        part = model.predict(lines).agg(
+            F.lit(epsilon).alias("epsilon"),
+            F.count(F.lit(1)).alias("n"),
+            F.round(beyond[0], 2).alias("beyond"),
+            (beyond[0] < 0.1 * beyond[1]).alias("below_constant"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def svc_kernel(spark, sf_dir):
     """L4, three classes, all rows: each band is told right more often than by its share of the rows."""

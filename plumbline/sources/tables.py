@@ -16,6 +16,7 @@ from ..operators.cleaning import apply_featurizers, assemble_columns, drop_colum
 from ..operators.encoding import Preprocessor
 from ..operators.polynomial import full_terms, interaction_terms
 from ..spec import TableSpec
+from .split_csv import records
 
 FORMATS = ("csv", "parquet")
 STAGES = ("raw", "clean", "processed", "product")
@@ -41,7 +42,7 @@ def read_table(
     fmt: str | None = None,
     schema: T.StructType | str | None = None,
     nan_as_null: bool = False,
-    multi_line: bool = True,
+    multi_line: bool | str = True,
 ) -> DataFrame:
     """Read a table.
 
@@ -53,7 +54,8 @@ def read_table(
     rounded), then decimals, then true/false, else text. Cells that do not fit a
     given schema become null. A row with more or fewer cells than the header is
     an error. Quoted cells may hold line breaks; with ``multi_line=False`` they
-    may not, and one large file is read by several tasks.
+    may not, and one large file is read by several tasks. ``"split"`` allows both,
+    if quotes stand only around cells and, doubled, inside them.
     """
     fmt = format_of(path, fmt)
     if fmt == "parquet":
@@ -69,15 +71,23 @@ def read_table(
     return nan_to_null(typed)
 
 
-def _csv_text(spark: SparkSession, path: str, schema, multi_line: bool) -> DataFrame:
-    reader = spark.read.options(
-        header=True, escape='"', multiLine=multi_line, mode="FAILFAST", columnPruning=False,
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
+#: How CSV cells are read, whatever cuts the text into records.
+_CELLS = {
+    "escape": '"', "mode": "FAILFAST", "columnPruning": False,
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _csv_text(spark: SparkSession, path: str, schema, multi_line: bool | str) -> DataFrame:
+    reader = spark.read.options(header=True, multiLine=bool(multi_line), **_CELLS)
     if schema is not None:
         names = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
     raw = reader.csv(path)
+    if multi_line == "split":
+        options = {k: str(v).lower() for k, v in {**_CELLS, "multiLine": True}.items()}
+        cells = F.from_csv("text", ", ".join(f"`{c.replace('`', '``')}` string" for c in raw.columns), options)
+        raw = records(spark, path).select(cells.alias("cells")).select("cells.*")
     return raw.select(
         *[F.when(~col(c).isin(*MISSING_TOKENS), col(c)).alias(c) for c in raw.columns]
     )

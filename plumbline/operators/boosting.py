@@ -29,6 +29,8 @@ from .binned import CHUNK_ROWS, SCAN_BYTES, bin_cuts
 BINS = 255
 #: Rounds whose trees are applied again in each scan before the margins are written.
 ROUNDS_HELD = 8
+#: Rows for which a task of its own pays.
+TASK_ROWS = 8_192
 #: Least sum of second derivatives on either side of a split.
 MIN_HESSIAN = 1e-3
 #: Trees that one call of ``boost`` grows side by side; callers with more take several.
@@ -161,9 +163,9 @@ def binned_rows(
 
 
 def spread_out(rows: DataFrame, n_rows: int) -> DataFrame:
-    """Few rows are dealt to all cores; the parts of a large table stay as they are."""
+    """Few rows are dealt to as many cores as they are worth; the parts of a large table stay as they are."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if n_rows < cores * CHUNK_ROWS else rows
+    return rows.repartition(min(cores, 1 + n_rows // TASK_ROWS)) if n_rows < cores * CHUNK_ROWS else rows
 
 
 def _lists(table: np.ndarray, kind: pa.DataType) -> pa.ListArray:

@@ -30,6 +30,8 @@ SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linen
        '"' || l_returnflag || '", said' || chr(10) || l_linestatus || chr(10) AS note
 FROM lineitem"""
 
+ORACLES["csv_split"] = "SELECT doc_id, lang, source, n_chars, md5(text) AS text_md5 FROM documents"
+
 ORACLES["named_sample"] = "SELECT * FROM part"
 
 ORACLES["parquet_stages"] = """

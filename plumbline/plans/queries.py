@@ -83,6 +83,15 @@ def csv_roundtrip(spark, sf_dir):
     return pl.read_table(spark, path)
 
 
+@query
+def csv_split(spark, sf_dir):
+    """Texts with quotes and line breaks, written to CSV and read back by block."""
+    path = new_path(spark, "texts") + ".csv"
+    pl.write_table(table(spark, sf_dir, "documents"), path)
+    texts = pl.read_table(spark, path, schema="doc_id bigint, text string, lang string, source string, n_chars bigint", multi_line="split")
+    return texts.select("doc_id", "lang", "source", "n_chars", F.md5(col("text").cast("binary")).alias("text_md5"))
+
+
 @query
 def named_sample(spark, sf_dir):
     """A table by its name."""

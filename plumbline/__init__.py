@@ -44,6 +44,7 @@ from .operators.histograms import (
     scatter_points,
     scatter_stats,
 )
+from .operators.information import drop_uninformative, maximal_information
 from .operators.metrics import METRICS, Metric, mean_score, score
 from .operators.models import FAMILIES, ModelFamily, fit_model
 from .operators.polynomial import poly_full, poly_interactions

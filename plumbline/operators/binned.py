@@ -46,6 +46,7 @@ def bin_cuts(df: DataFrame, features: Sequence[str], n_rows: int, bins: int = BI
     cuts = []
     for column in table.columns:
         values = np.sort(column.to_numpy())
+        values = values[~np.isnan(values)]
         own = np.unique(values)
         if len(own) > bins:
             own = np.unique(np.quantile(values, np.arange(1, bins + 1) / bins, method="inverted_cdf"))

@@ -30,6 +30,7 @@ from .operators.encoding import (
     ordinal_encode,
     standardize,
 )
+from .operators.exact_tree import exact_tree
 from .operators.explain import explain_tree, tree_nodes, tree_rules
 from .operators.frontier import pareto_front, pareto_front_of
 from .operators.gram import Ridge

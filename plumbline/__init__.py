@@ -60,7 +60,7 @@ from .operators.profiling import (
     univariate_profile,
 )
 from .operators.quantiles import QuantileBand, exact_quantiles, quantile_band
-from .operators.segments import cluster_profile, segment_ridge, useful_segments
+from .operators.segments import cluster_profile, ridge_tree, segment_ridge, useful_segments
 from .operators.splits import fold_sizes, holdouts, kfold, repeated_kfold
 from .operators.subsets import subset_search, subset_search_log
 from .operators.tuning import tune

@@ -1,4 +1,4 @@
-"""Segments of a table: ridge per tree leaf, ranked leaves, clusters."""
+"""Segments of a table: ridge per tree leaf, model trees, ranked leaves, clusters."""
 
 from __future__ import annotations
 
@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, number
 from ..spec import TableSpec
-from .encoding import Standardizer
-from .explain import explain_tree, leaf_of, leaf_rules
+from .encoding import Standardizer, encode_categories
+from .explain import Node, explain_tree, leaf_of, leaf_rules
 from .gram import column_means, group_moments, scores_from_moments, solve
+from .model_tree import grow
 from .models import FEATURES, FAMILIES, with_features
 
 
@@ -25,16 +26,52 @@ def segment_ridge(
     products of one pass grouped by leaf; r2 is on the leaf's own rows.
     """
     tree = explain_tree(df, spec, max_depth=max_depth, seed=seed)
-    xs = tree.model.xs
-    moments = group_moments(tree.frame, xs, spec.target, leaf_of(tree.root))
-    picks, rules, rows = range(1, len(xs) + 1), leaf_rules(tree.root), []
+    return _leaf_models(tree.frame, tree.root, tree.model.xs, spec.target, alpha)
+
+
+def ridge_tree(
+    df: DataFrame,
+    spec: TableSpec,
+    max_depth: int = 2,
+    alpha: float = 1.0,
+    split_on: Sequence[str] | None = None,
+    regressors: Sequence[str] | None = None,
+    min_rows: int = 50,
+    min_gain: float = 0.001,
+    bins: int = 64,
+) -> DataFrame:
+    """A tree grown for the ridge models in its leaves: same columns as ``segment_ridge``.
+
+    A split is the one after which the two sides' ridge models leave the least squared error
+    together, so slopes that differ are found even where the means do not. Splits are taken
+    on ``split_on``, models use ``regressors``; both are all predictors by default, with
+    categories as ordinal codes. Sides keep ``min_rows`` rows, and a split must take away a
+    share ``min_gain`` of the table's squared deviation. Errors equal to one part in 10^9 go to
+    the earlier column, then the smaller cut. Cuts are all values of a column with up to
+    ``bins`` of them, else quantiles of at most about 100,000 rows; the two bins that meet at the
+    best one are then cut once more into ``bins`` parts.
+
+    A level sums, in two scans as far as memory allows, the products of the regressors per
+    node, column and bin. Missing values are an error.
+    """
+    coded = encode_categories(df, spec)
+    every = spec.numerics(df) + spec.categories(df)
+    split_on, xs = list(split_on or every), list(regressors or every)
+    root = grow(coded, split_on, xs, spec.target, max_depth, alpha, min_rows, min_gain, bins)
+    return _leaf_models(coded, root, xs, spec.target, alpha)
+
+
+def _leaf_models(frame: DataFrame, root: Node, xs: Sequence[str], target: str, alpha: float) -> DataFrame:
+    """Ridge in every leaf, from sums of products of one pass grouped by leaf."""
+    moments = group_moments(frame, xs, target, leaf_of(root))
+    picks, rules, rows = range(1, len(xs) + 1), leaf_rules(root), []
     for leaf, block in sorted(moments.groups.items()):
         b = solve(block, picks, alpha)
         intercept = b[0] + moments.centre[-1] - moments.centre[:-1] @ b[1:]
         r2 = scores_from_moments(block, block, picks, alpha)["r2"]
         coef = {x: float(v) for x, v in zip(xs, b[1:])}
         rows.append((leaf, rules[leaf], int(round(block[0, 0])), r2, float(intercept), coef))
-    return df.sparkSession.createDataFrame(
+    return frame.sparkSession.createDataFrame(
         rows, "leaf int, rule string, n bigint, r2 double, intercept double, coef map<string,double>"
     )
 

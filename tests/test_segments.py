@@ -60,3 +60,58 @@ def test_leaderboard_order(spark):
     rows = pl.leaderboard(halves(spark), SPEC, {"ridge": {}, "tree_reg": {"max_depth": 3}}).collect()
     assert [r["rank"] for r in rows] == [1, 2] and rows[0]["score"] <= rows[1]["score"]
     assert rows[0]["family"] == "tree_reg"
+
+
+def slopes(spark, n=1500):
+    """Slope +4 or -4 by ``a`` alone: both halves have the same mean."""
+    rng = np.random.default_rng(5)
+    a, x, z = rng.uniform(size=n), rng.uniform(-1, 1, n), rng.normal(size=n)
+    y = np.where(a > 0.37, 4 * x, -4 * x) + 0.05 * rng.normal(size=n)
+    rows = [(i, *map(float, r)) for i, r in enumerate(zip(a, x, z, y))]
+    return spark.createDataFrame(rows, "id int, a double, x double, z double, y double"), (a, x, z, y)
+
+
+def test_model_tree_finds_slopes_that_means_hide(spark):
+    df, (a, *_) = slopes(spark)
+    found = pl.ridge_tree(df, SPEC, max_depth=1, alpha=0.1).collect()
+    plain = pl.segment_ridge(df, SPEC, max_depth=1, alpha=0.1).collect()
+    assert [round(r["coef"]["x"]) for r in found] == [-4, 4] and min(r["r2"] for r in found) > 0.99
+    assert max(r["r2"] for r in plain) < 0.6
+    assert found[0]["rule"].startswith("a <= 0.3") and abs(found[0]["n"] - (a <= 0.37).sum()) < 40
+
+
+def test_model_tree_takes_the_best_of_all_cuts(spark):
+    df, (a, x, z, y) = slopes(spark, 90)
+    found = pl.ridge_tree(df, SPEC, max_depth=1, alpha=2.0, min_rows=9, bins=200).collect()
+
+    def error(rows):
+        m = np.column_stack([a, x, z])[rows]
+        m, t = m - m.mean(0), y[rows] - y[rows].mean()
+        b = np.linalg.solve(m.T @ m + 2.0 * np.eye(3), m.T @ t)
+        return ((t - m @ b) ** 2).sum()
+
+    cuts = [(v, t) for v in (a, x, z) for t in np.sort(v)[8:-9]]
+    best = min(error(v <= t) + error(v > t) for v, t in cuts)
+    mine = sum((1 - r["r2"]) * _deviation(y, a, x, z, r["rule"]) for r in found)
+    assert mine == pytest.approx(best, rel=1e-4)
+
+
+def _deviation(y, a, x, z, rule):
+    name, sign, bound = rule.split()
+    v = {"a": a, "x": x, "z": z}[name]
+    inside = v <= float(bound) + 1e-6 if sign == "<=" else v > float(bound) + 1e-6
+    return ((y[inside] - y[inside].mean()) ** 2).sum()
+
+
+def test_model_tree_stops_without_gain_and_ignores_layout(spark):
+    df, _ = slopes(spark, 300)
+    line = df.withColumn("y", 3 * df.x - df.z)
+    assert [r["rule"] for r in pl.ridge_tree(line, SPEC).collect()] == ["all rows"]
+    one, eight = (
+        [(r["rule"], r["n"]) for r in pl.ridge_tree(df.repartition(k), SPEC, max_depth=2, min_rows=20).collect()] for k in (1, 8)
+    )
+    assert one == eight and len(one) >= 2
+    with pytest.raises(ValueError, match="missing"):
+        pl.ridge_tree(df.withColumn("a", df.a * float("nan")), SPEC)
+    only = pl.ridge_tree(df, SPEC, max_depth=1, split_on=["a"], regressors=["x"]).collect()
+    assert set(only[0]["coef"]) == {"x"} and len(only) == 2

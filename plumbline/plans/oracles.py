@@ -674,12 +674,12 @@ SELECT CAST(leaf + 2 AS INTEGER) AS node, bin, count(*) AS n FROM placed GROUP B
 UNION ALL SELECT CAST(1 AS INTEGER), bin, count(*) FROM placed GROUP BY bin"""
 
 
-def _best_split(name: str, rows: str) -> str:
+def _best_split(name: str, rows: str, columns: tuple[str, str] = ("l_discount", "l_linenumber")) -> str:
     """CTE: per side, the column and threshold of least squared error."""
     sides = union(
         [
             f"SELECT side, '{c}' AS f, CAST({c} AS DOUBLE) AS x, count(*) AS n, sum(y) AS s FROM {rows} GROUP BY side, {c}"
-            for c in ("l_discount", "l_linenumber")
+            for c in columns
         ]
     )
     return f"""{name}_steps AS (
@@ -690,8 +690,9 @@ def _best_split(name: str, rows: str) -> str:
   QUALIFY row_number() OVER (PARTITION BY side ORDER BY s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) DESC) = 1)"""
 
 
-def _goes_right(split: str) -> str:
-    return f"CAST(CASE WHEN {split}.f = 'l_discount' THEN l_discount ELSE l_linenumber END > {split}.t AS INTEGER)"
+def _goes_right(split: str, columns: tuple[str, str] = ("l_discount", "l_linenumber")) -> str:
+    one, other = columns
+    return f"CAST(CASE WHEN {split}.f = '{one}' THEN {one} ELSE {other} END > {split}.t AS INTEGER)"
 
 
 ORACLES["tree_two_levels"] = f"""
@@ -704,6 +705,17 @@ halves AS (SELECT {_goes_right("first_split")} AS side, l_discount, l_linenumber
 SELECT CAST(2 * halves.side + {_goes_right("second_split")} AS INTEGER) AS leaf, count(*) AS n, round(avg(y), 6) AS mean
 FROM halves JOIN second_split ON halves.side = second_split.side GROUP BY 1"""
 
+_PRICE_TAX = ("l_extendedprice", "l_tax")
+ORACLES["exact_tree"] = f"""
+WITH whole AS (SELECT 0 AS side, l_quantity AS y, * FROM lineitem),
+{_best_split("first_split", "whole", _PRICE_TAX)},
+halves AS (SELECT {_goes_right("first_split", _PRICE_TAX)} AS side, l_extendedprice, l_tax, y
+           FROM whole JOIN first_split ON whole.side = first_split.side),
+{_best_split("second_split", "halves", _PRICE_TAX)}
+SELECT CAST(2 * halves.side + {_goes_right("second_split", _PRICE_TAX)} AS INTEGER) AS leaf, count(*) AS n,
+       round(avg(y), 6) AS mean
+FROM halves JOIN second_split ON halves.side = second_split.side GROUP BY 1"""
+
 
 def _grown(depth: int, table: str, weights: dict[str, str], gain: str) -> str:
     """CTEs of a greedy tree: ``split_k`` has the split of each node of level k,
@@ -952,6 +964,24 @@ s AS (SELECT leaf, count(*) AS n, avg(y) AS mean FROM leaves GROUP BY leaf)
 SELECT CAST(leaf AS INTEGER) AS leaf, n, round((mean - m) / d, 6) AS lift, round(abs(mean - m) / d * n / k, 6) AS weight
 FROM s, w"""
 
+# Errors of a ridge on one column from sums of products, on both sides of every cut.
+ORACLES["ridge_tree"] = """
+WITH bent AS (SELECT l_tax AS t, CAST(l_quantity AS DOUBLE) AS x,
+                     CASE WHEN l_tax > 0.035 THEN 7 * l_quantity ELSE 180 - 7 * l_quantity END + 100 * l_discount AS y
+              FROM lineitem),
+g AS (SELECT t, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS xx, sum(x * y) AS xy, sum(y * y) AS yy
+      FROM bent GROUP BY t),
+sides AS (SELECT c.t AS cut, CAST(g.t > c.t AS INTEGER) AS leaf, sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy,
+                 sum(xx) AS xx, sum(xy) AS xy, sum(yy) AS yy
+          FROM g CROSS JOIN (SELECT t FROM g) c GROUP BY ALL),
+spread AS (SELECT cut, leaf, n, sx / n AS mx, sy / n AS my, xx - sx * sx / n AS sxx, xy - sx * sy / n AS sxy,
+                  yy - sy * sy / n AS syy FROM sides),
+fits AS (SELECT *, sxy / (sxx + 1) AS slope FROM spread),
+errors AS (SELECT *, syy - 2 * slope * sxy + slope * slope * sxx AS error FROM fits),
+best AS (SELECT cut FROM errors GROUP BY cut HAVING count(*) = 2 ORDER BY sum(error), cut LIMIT 1)
+SELECT leaf, CAST(n AS BIGINT) AS n, round(slope, 3) AS slope, round(my - slope * mx, 3) AS intercept, round(1 - error / syy, 6) AS r2
+FROM errors JOIN best USING (cut)"""
+
 ORACLES["product_stage"] = ORACLES["preprocess"].replace("SELECT p_partkey,", "SELECT p_partkey, p_retailprice,")
 
 
@@ -985,3 +1015,13 @@ scores AS (SELECT variable, gx, gz, round(sum(n / t * ln(CAST(n AS DOUBLE) * t /
 ranked AS (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY score DESC, gx, gz) AS place FROM scores)
 SELECT variable, round(score, 6) AS score, CAST(gx AS INTEGER) AS bins_x, CAST(gz AS INTEGER) AS bins_y
 FROM ranked WHERE place = 1"""
+
+# Two classes of target: the finest cut of a column with few values holds all it can say.
+ORACLES["maximal_information"] = f"WITH {_PLANTED},\nrows_of AS (" + union(
+    [f"SELECT '{c}' AS variable, CAST({c} AS DOUBLE) AS x, y > 93 AS big FROM planted" for c in _FEATURES]
+) + """),
+cells AS (SELECT variable, x, big, CAST(count(*) AS DOUBLE) AS n FROM rows_of GROUP BY ALL),
+parts AS (SELECT *, sum(n) OVER (PARTITION BY variable) AS t, sum(n) OVER (PARTITION BY variable, x) AS nx,
+                 sum(n) OVER (PARTITION BY variable, big) AS nb FROM cells)
+SELECT variable, CAST(any_value(t) AS BIGINT) AS n, round(sum(n / t * ln(n * t / (nx * nb))) / ln(2), 6) AS score
+FROM parts GROUP BY variable"""

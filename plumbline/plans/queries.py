@@ -732,6 +732,14 @@ def tree_rules_classes(spark, sf_dir):
     return rules.select("leaf", "n", F.explode("class_counts").alias("class", "class_n"))
 
 
+@query
+def exact_tree(spark, sf_dir):
+    """L1 with exact split points: two levels over a column of almost as many values as rows."""
+    spec = TableSpec("l_quantity", "numerical", use_cols=("l_extendedprice", "l_tax"), key=LINE_ID)
+    rules = pl.exact_tree(table(spark, sf_dir, "lineitem"), spec, max_depth=2).rules()
+    return rules.select("leaf", "n", F.round("mean", 6).alias("mean"))
+
+
 @query
 def tree_two_levels(spark, sf_dir):
     """X1 at depth 2 over two columns: the best split of each half."""
@@ -939,6 +947,26 @@ def binned_mi(spark, sf_dir):
     return rounded(found, 6, "score")
 
 
+@query
+def maximal_information(spark, sf_dir):
+    """The best unequal grid of each column against two classes of the target."""
+    lines = planted(spark, sf_dir).withColumn("big", (col("y") > 93).cast("int"))
+    found = pl.maximal_information(lines, [*SIGNALS, *NOISE], "big", power=0.55)
+    return found.select("variable", "n", F.round("score", 6).alias("score"))
+
+
+@query
+def ridge_tree(spark, sf_dir):
+    """The cut of the tax after which a ridge on the quantity fits best on both sides."""
+    steep = F.when(col("l_tax") > 0.035, 7 * col("l_quantity")).otherwise(180 - 7 * col("l_quantity"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("y", steep + 100 * col("l_discount"))
+    spec = TableSpec("y", "numerical", use_cols=("l_tax", "l_quantity"), key=LINE_KEY)
+    found = pl.ridge_tree(lines, spec, max_depth=1, split_on=["l_tax"], regressors=["l_quantity"])
+    return found.select(
+        "leaf", "n", F.round(F.col("coef")["l_quantity"], 3).alias("slope"), F.round("intercept", 3).alias("intercept"), F.round("r2", 6).alias("r2")
+    )
+
+
 @query
 def segment_ridge(spark, sf_dir):
     """A split on the discount, then ridge on it in each half."""

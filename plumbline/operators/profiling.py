@@ -13,6 +13,7 @@ from ..functions.stats import pair_corr
 from ..spec import TableSpec
 from .cleaning import unpivot_one_row
 from .encoding import cardinality
+from .frequent import frequent_values
 from .groups import counts_by, long_categories, means_by
 from .histograms import histograms, pair_bins, pairwise_stats
 from .quantiles import quantile_band, quantiles_and
@@ -102,13 +103,10 @@ def profile_categorical(df: DataFrame, cats: Sequence[str], approx: bool = False
 def top_values(df: DataFrame, cats: Sequence[str], k: int = 10) -> DataFrame:
     """The k most frequent values per column: (variable, category, n, rank).
 
-    Ranks above k are cut before the shuffle as well as after it.
+    Equal counts are ranked by category. Bounded summaries find the values to count;
+    ranks above k are cut before the shuffle as well as after it.
     """
-    counts = (
-        present(long_categories(df, cats), ["category"])
-        .groupBy("variable", "category")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = frequent_values(df, cats, k)
     order = Window.partitionBy("variable").orderBy(F.col("n").desc(), "category")
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 

@@ -48,8 +48,9 @@ def _first_seen(df: DataFrame, cols: Sequence[str], order_by: Sequence[str]) ->
 def number_rows(df: DataFrame, group: str, order: Sequence[Column], name: str) -> DataFrame:
     """Dense numbers from 1 inside each group, without one task per group.
 
-    The frame is range-sorted and written; the sizes of the written parts (one
-    row per part and group) give each part its offset.
+    The frame is range-sorted by group and written; the sizes of the written parts give each
+    part its offset. A group lies in neighbouring parts, so there are fewer sizes than parts
+    and groups together.
     """
     placed = stage_table(
         df.orderBy(col(group), *order).withColumn("_at", F.monotonically_increasing_id()), "numbered"

@@ -117,10 +117,10 @@ def best_grid(x: np.ndarray, y: np.ndarray, n: np.ndarray, size: int, fineness:
     """(score, bins of x, bins of y) of the best grid of at most ``size`` cells."""
     found = [(0.0, 1, 1)]
     for even, free, turned in ((y, x, False), (x, y, True)):
-        for q in range(2, size // 2 + 1):
+        for q in range(2, min(size // 2, len(np.unique(even))) + 1):
             rows = _even_bins(even, n, q)
             n_rows = int(rows.max()) + 1
-            if n_rows < 2:
+            if n_rows < 2:  # one value holds nearly all rows
                 continue
             clumps = _even_bins(free, n, fineness * (size // q))
             table = np.zeros((int(clumps.max()) + 1, n_rows))

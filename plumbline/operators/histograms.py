@@ -15,6 +15,10 @@ from ..functions.binning import bin_guess, bin_settled, edge, widen
 from ..functions.columns import attach, col, number, present, require, safe_ratio, settle
 from ..functions.stats import pair_corr, pair_count
 
+# More pairs of columns than this are counted in blocks, not by a row per pair.
+WIDE_PAIRS = 15
+BLOCK_ROWS = 1 << 16
+
 
 def _extents(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Widened (lo_i, hi_i) and count n_i of each column per key, from one aggregate."""
@@ -58,6 +62,48 @@ def _count_cells(binned: DataFrame, group: Sequence[Column], cells: Sequence[Col
     )
 
 
+def _count_pairs(binned: DataFrame, key: str | None, pairs: Sequence[tuple[int, int]], bins: int) -> DataFrame:
+    """Rows per ([key,] cell number) as ``_count_cells`` has them, for many pairs.
+
+    Tasks count the cells of a block of rows pair by pair, so no row is repeated per pair.
+    """
+    square = bins * bins
+    width = 1 + max(i for pair in pairs for i in pair)
+    head = [] if key is None else [col(key).alias("_k")]
+    rows = binned.select(*head, *[F.coalesce(F.col(f"_b{i}").cast("int"), F.lit(-1)).alias(f"_b{i}") for i in range(width)])
+
+    def counted(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        places = [table.column(f"_b{i}").to_numpy().astype("i8") for i in range(width)]
+        code, labels = np.zeros(table.num_rows, "i8"), None
+        if key is not None:
+            coded = pa.concat_arrays(table.column("_k").chunks).dictionary_encode("encode")
+            code, labels = coded.indices.to_numpy().astype("i8"), coded.dictionary
+        for p, (a, b) in enumerate(pairs):
+            both = (places[a] >= 0) & (places[b] >= 0)
+            found, n = np.unique(code[both] * square + places[a][both] * bins + places[b][both], return_counts=True)
+            cells = [pa.array(p * square + found % square), pa.array(n.astype("i8"))]
+            if labels is not None:
+                cells.insert(0, labels.take(pa.array(found // square)))
+            yield pa.RecordBatch.from_arrays(cells, names=[*(["_k"] if key else []), "cell", "n"])
+
+    def scan(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in source:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= BLOCK_ROWS:
+                yield from counted(pa.Table.from_batches(held))
+                held = []
+        if held:
+            yield from counted(pa.Table.from_batches(held))
+
+    fields = [T.StructField("cell", T.LongType()), T.StructField("n", T.LongType())]
+    if key is not None:
+        fields.insert(0, T.StructField("_k", rows.schema["_k"].dataType))
+    parts = rows.mapInArrow(scan, T.StructType(fields))
+    summed = parts.groupBy(*parts.columns[:-1]).agg(F.sum("n").alias("n"))
+    return summed if key is None else summed.withColumnRenamed("_k", key)
+
+
 def histograms(
     df: DataFrame,
     cols: Sequence[str],
@@ -163,11 +209,16 @@ def pair_bins(
     at = {c: F.col(f"_b{i}") for i, c in enumerate(cols)}
     group = [col(k) for k in names]
     square = bins * bins
-    cells = [
-        F.lit(p * square).cast("bigint") + at[a] * bins + at[b] for p, (a, b) in enumerate(pairs)
-    ]
+    if len(pairs) > WIDE_PAIRS and len(names) <= 1:
+        places = [(cols.index(a), cols.index(b)) for a, b in pairs]
+        counts = _count_pairs(binned, names[0] if names else None, places, bins)
+    else:
+        cells = [
+            F.lit(p * square).cast("bigint") + at[a] * bins + at[b] for p, (a, b) in enumerate(pairs)
+        ]
+        counts = _count_cells(binned, group, cells)
     pair = F.floor(F.col("cell") / square).cast("int") + 1
-    return _count_cells(binned, group, cells).select(
+    return counts.select(
         F.element_at(F.array(*[F.lit(a) for a, _ in pairs]), pair).alias("col1"),
         F.element_at(F.array(*[F.lit(b) for _, b in pairs]), pair).alias("col2"),
         *group,

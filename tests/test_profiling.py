@@ -151,3 +151,19 @@ def test_many_pairs_equal_few_pairs(spark):
         assert many.keys() == few.keys()
         assert all((many[k] is None) == (few[k] is None) for k in few)
         assert all(few[k] is None or many[k] == pytest.approx(few[k], abs=1e-9) for k in few)
+
+
+@pytest.mark.parametrize("hue", [None, "h", "d"])
+def test_pairs_counted_in_blocks_equal_those_counted_by_rows(spark, monkeypatch, hue):
+    values = [(float(i % 7), float(i * i % 11), None if i % 5 == 0 else float(i), i % 3, None if i % 4 == 0 else f"h{i % 2}") for i in range(500)]
+    df = spark.createDataFrame(values, "a double, b double, c double, d int, h string").repartition(3)
+    cols = [c for c in "abcd" if c != hue]
+
+    def cells():
+        return sorted((tuple(r) for r in pl.pairwise_scatter(df, cols, hue, bins=5).collect()), key=str)
+
+    by_rows = cells()
+    monkeypatch.setattr(histograms, "WIDE_PAIRS", 0)
+    assert cells() == by_rows
+    monkeypatch.setattr(histograms, "BLOCK_ROWS", 40)
+    assert cells() == by_rows and pl.pairwise_scatter(df.limit(0), cols, hue).count() == 0

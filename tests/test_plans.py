@@ -54,3 +54,11 @@ def test_pareto_passes_do_not_shuffle_the_rows(spark):
     points = lines.selectExpr("l_extendedprice as _a", "l_quantity as _b")
     kept, rows = frontier._above_earlier(points)
     assert "Exchange" not in plan_of(kept, "simple") and kept.count() < rows / 5
+
+
+@pytest.mark.parametrize("name", ["repeated_kfold_rows", "holdout_rows"])
+def test_repeats_of_a_row_are_not_shuffled(spark, name):
+    """Rows meet by their key before they are repeated: one shuffle, and no copy per distinct count."""
+    plan = plan_of(entry.queries()[name](spark, SF_DIR), "simple")
+    assert "Expand" not in plan and plan.count("Exchange") == 1
+    assert plan.index("Generate") < plan.index("Exchange")  # the shuffle is below, so it comes first

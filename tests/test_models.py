@@ -170,6 +170,16 @@ def test_dealt_rows_are_all_there(spark):
     assert out.select("_place").distinct().count() == 5_000
 
 
+def test_hot_rows_are_dealt_by_several_tasks(spark, monkeypatch):
+    """Counted rows are few and small; the tasks that write them out follow from the number of rows."""
+    from plumbline.operators import models
+
+    monkeypatch.setattr(models, "DEALT_ROWS", 4_000)
+    df = spark.range(40_000).selectExpr("id % 2 as a")
+    sizes = models.dealt(df, 40_000).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 40_000 and len(sizes) == 11 and max(sizes) < 20_000
+
+
 def test_ridge_codes_come_from_the_training_fold(spark):
     """With an ordinal column the fast path scores like the path that fits each fold."""
     rows = [(i, f"k{i % 37}", float(i % 11), float((i * 7919) % 101)) for i in range(900)]

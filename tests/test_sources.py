@@ -20,6 +20,31 @@ def test_csv_tokens_and_types(spark, tmp_path):
     ]
 
 
+def test_csv_types_of_mixed_cells(spark):
+    """A column has the type of its widest cell; the cells are tested one by one, not per column."""
+    from plumbline.sources.tables import infer_schema, kinds_of_columns
+
+    columns = {
+        "long": ["1", " 2 ", None], "whole": ["1", "1" * 30, "-7"], "double": ["1", "9" * 50, "Infinity"],
+        "wide": ["9" * 50, "1", None], "suffix": ["1", "2d", "3"], "boolean": ["true", None, "FALSE"],
+        "mixed": ["true", "1", None], "yes": ["1.5", "true", "2"], "text": ["x", "1", "2"], "none": [None, None, None],
+        "special": ["-Infinity", "NaN", " 1e5"], "f": ["-inf", "1", "2"], "hex": ["0x1p3", "1", "2"],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"`{c}` string" for c in columns))
+    kinds = {f.name: f.dataType.simpleString() for f in infer_schema(df).fields}
+    assert kinds == {
+        "long": "bigint", "whole": "decimal(38,0)", "double": "double", "wide": "double", "suffix": "string",
+        "boolean": "boolean", "mixed": "string", "yes": "string", "text": "string", "none": "double",
+        "special": "double", "f": "string", "hex": "double",
+    }
+    assert {f.dataType.simpleString() for f in infer_schema(df.limit(0)).fields} == {"double"}
+    patterns = [
+        spark._jvm.PythonSQLUtils.explainString(kinds_of_columns(d)._jdf.queryExecution(), "simple").count("RLIKE")
+        for d in (df, df.select("long"))
+    ]
+    assert patterns[0] == patterns[1] > 0
+
+
 def test_csv_with_schema_nulls_bad_cells(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text("k,a,b\nx,1,1.5\ny,oops,NaN\nN/A,3,inf\n")

@@ -90,6 +90,32 @@ def test_nodes_are_counted_once(spark):
     assert narrowed(((0, 2, 5),), 0, 4, 9) == ((0, 4, 5),)
 
 
+def test_only_the_asked_features_are_counted(spark):
+    """A later call adds what an earlier one left out, and nothing twice."""
+    df = made(spark)
+    cuts = bin_cuts(df, ["a", "b"], 1200)
+    rows = bin_rows(df, ["a", "b"], cuts, F.col("y"), F.col("id") % 2)
+    binned, whole = Binned(rows, 2, 2), Binned(rows, 2, 2)
+    paths = [(), ((0, 0, 3),), ((0, 0, 3), (1, 2, 64)), ((1, 2, 64),)]
+    full = whole.histograms(paths)
+    first = {p: h.copy() for p, h in binned.histograms(paths, {p: {1} for p in paths}).items()}
+    assert all((h[:, 0] == 0).all() and np.allclose(h[:, 1], full[p][:, 1]) for p, h in first.items())
+    assert all(np.allclose(h, full[p]) for p, h in binned.histograms(paths).items()) and binned.scans == 2
+    assert binned.histograms(paths, {p: {0} for p in paths}) and binned.scans == 2
+
+
+def test_bins_share_columns(spark):
+    """Nine features take two columns, and are counted as each alone."""
+    df = made(spark)
+    df = df.select("*", *[F.col(c).alias(f"{c}{k}") for k in (1, 2) for c in "abc"])
+    names, cuts = [f"{c}{k}" for k in ("", 1, 2) for c in "abc"], bin_cuts(df, ["a", "b", "c"], 1200) * 3
+    rows = bin_rows(df, names, cuts, F.col("y"), F.col("id") % 2)
+    assert rows.columns == ["g", "y", "p0", "p1"]
+    found = Binned(rows, 9, 2).histograms([((8, 1, 64),)])[((8, 1, 64),)]
+    alone = Binned(bin_rows(df, names[:3], cuts[:3], F.col("y"), F.col("id") % 2), 3, 2).histograms([((2, 1, 64),)])
+    assert np.allclose(found, np.tile(alone[((2, 1, 64),)], (1, 3, 1, 1))) and found.any()
+
+
 def test_splits_of_one_sided_nodes():
     hist = np.zeros((2, 2, 4))
     hist[0, 0, 2], hist[1, 0, 2] = 5, 10  # all rows in one bin

@@ -137,3 +137,26 @@ def test_search_with_trees_over_all_generations(spark):
     spec = TableSpec("y", "numerical", use_cols=("a", "b", "c"), key=("id",))
     rows = pl.subset_search(made(spark), spec, "DTR", max_features=2).collect()
     assert [r.selected for r in rows if r.n <= 2] == [["a", "b"], ["a"]]
+
+
+def test_cuts_of_a_large_table_come_from_all_rows(spark, monkeypatch):
+    from plumbline.operators import binned
+
+    rng = np.random.default_rng(5)
+    n = 6000
+    x = {
+        "few": rng.integers(1, 8, n).astype(float),
+        "many": rng.normal(size=n) ** 5,
+        "hot": np.where(rng.random(n) < 0.7, 3.0, rng.normal(size=n)),
+        "ends": np.where(rng.random(n) < 0.3, -np.inf, np.where(rng.random(n) < 0.3, np.inf, rng.normal(size=n))),
+    }
+    rows = [tuple(float(v[i]) for v in x.values()) + (None if i % 3 else float(i),) for i in range(n)]
+    df = spark.createDataFrame(rows, "few double, many double, hot double, ends double, gaps double").repartition(5)
+    x["gaps"] = np.arange(0, n, 3).astype(float)
+    whole = [np.unique(v) if k == "few" else np.unique(np.quantile(v, np.arange(1, 64) / 63, method="inverted_cdf")) for k, v in x.items()]
+    monkeypatch.setattr(binned, "CUT_ROWS", 300)
+    for gather, accuracy in ((20_000, 10_000), (5, 20)):
+        monkeypatch.setattr(binned, "GATHER_ROWS", gather)
+        monkeypatch.setattr(binned, "SKETCH_ACCURACY", accuracy)
+        found = bin_cuts(df, list(x), n, 63)
+        assert all(len(a) == len(b) - 1 and (a == b[:-1]).all() for a, b in zip(found, whole))

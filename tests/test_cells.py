@@ -119,3 +119,55 @@ def test_scores_of_cells_equal_those_of_rows(spark):
             slow = pl.tune(df, spec, "tree_clf", trials=[{"max_depth": 2}], metric=named, folds=3, repeats=1)
             assert own.trial_scores().first()["score"] == pytest.approx(slow.trial_scores().first()["score"])
         assert 0.5 < own.trial_scores().first()["score"] <= 1.0
+
+
+def rings(spark, n=2400):
+    rng = np.random.default_rng(8)
+    u, v = rng.integers(-6, 7, n) / 3.0, rng.integers(-6, 7, n) / 3.0
+    rows = [(float(a), float(b), float(np.sin(2 * a) + b), "pqr"[int(a * a + b * b > 1.5) + int(a * a + b * b > 4)]) for a, b in zip(u, v)]
+    return spark.createDataFrame(rows, "u double, v double, y double, k string").repartition(3)
+
+
+def test_the_band_of_equal_rows_costs_no_scan_a_pass(spark, monkeypatch):
+    from plumbline.operators import tube
+
+    df = rings(spark)
+    given = {"gamma": 0.5, "C": 5.0, "epsilon": 0.05}
+    seen = [jobs_of(spark, f"svr{k}", lambda: pl.fit_model(df, ["u", "v"], "y", "svr", {**given, "max_iter": k})) for k in (3, 12)]
+    assert seen[0] == seen[1]
+    own = pl.fit_model(df, ["u", "v"], "y", "svr", given).model
+    monkeypatch.setattr(tube, "counted", lambda *a: None)
+    monkeypatch.setattr(tube, "HERE_ROWS", 0)
+    rows = pl.fit_model(df, ["u", "v"], "y", "svr", given).model
+    z = np.random.default_rng(0).normal(size=(50, 64)) / 6
+    assert z @ own.weights + own.intercept == pytest.approx(z @ rows.weights + rows.intercept, abs=1e-2)
+
+
+def test_kernel_classes_are_fitted_on_distinct_rows(spark, monkeypatch):
+    df, seen = rings(spark), []
+    given = {"gamma": 0.7, "C": 20.0, "max_iter": 60}
+    fit = models.OneAgainstRest.fit.__func__
+
+    def watched(cls, estimator, train, n_classes):
+        seen.append(train.count())
+        return fit(cls, estimator, train, n_classes)
+
+    monkeypatch.setattr(models.OneAgainstRest, "fit", classmethod(watched))
+    own = pl.fit_model(df, ["u", "v"], "k", "svc", given)
+    monkeypatch.setattr(models, "_takes_weights", lambda estimator: False)
+    rows = pl.fit_model(df, ["u", "v"], "k", "svc", given)
+    assert seen == [df.select("u", "v").distinct().count(), df.count()]
+    assert own.score(df, "accuracy").first()["score"] == pytest.approx(rows.score(df, "accuracy").first()["score"], abs=0.02)
+
+
+@pytest.mark.parametrize("family,y", [("svr", "y"), ("svc", "k")])
+def test_kernel_predictions_equal_those_of_the_vectors(spark, monkeypatch, family, y):
+    df = rings(spark, 600)
+    odd = df.select("u", "v").unionByName(spark.range(40).selectExpr("id / 7.0D as u", "if(id = 3, double('nan'), id / 3.0D) as v")).coalesce(1)
+    model = pl.fit_model(df, ["u", "v"], y, family, {"gamma": 0.5, "max_iter": 20})
+    own = [r["prediction"] for r in model.predict(odd).collect()]
+    monkeypatch.setattr(models, "_linear_parts", lambda m: None)
+    theirs = [r["prediction"] for r in model.predict(odd).collect()]
+    assert own == (pytest.approx(theirs, nan_ok=True) if family == "svr" else theirs)
+    with pytest.raises(Exception):
+        model.predict(spark.createDataFrame([(None, 1.0)], "u double, v double")).collect()

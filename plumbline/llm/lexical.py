@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import attach, col, require
 from .bpe import arrow_type
-from .common import Scratch, ascii_lower, id_type, stage, text_of, thin
+from .common import LARGE_ROWS, Scratch, ascii_lower, id_type, single_rows, stage, text_of, thin
 from .merging import merge_tops, top_lists
 from .terms import packed, term_shards, unpacked
 
@@ -23,6 +23,8 @@ _FOLD = bytes(
 )
 #: Bytes of query terms that are sent to the tasks at once.
 QUERY_BYTES = 4 << 20
+#: Cells of a shard, which tasks hold, sort and search as a whole.
+CELLS = 1 << 20
 #: Strata that a search visits first; each later visit takes twice as many.
 VISIT = 16
 #: Fixed values of the score: shares of the length part, in percent, and scales.
@@ -82,10 +84,11 @@ def lexical_index(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_
 
     One pass counts the terms of every document in shards of bounded size; the
     normaliser needs the corpus' sums, so a second one groups each shard's
-    documents by it and sorts the postings. No posting is shuffled.
+    documents by it and sorts the postings. No posting is shuffled. Tasks hold one shard,
+    and writers a few, whatever the size of their part of the documents.
     """
     rows = thin(df, id_col, text_col)
-    raw = scratch.stage(term_shards(rows, terms_of), "terms")
+    raw = scratch.stage(term_shards(rows, terms_of, cells=CELLS), "terms", LARGE_ROWS)
 
     def sums(source):
         for batch in source:
@@ -94,7 +97,8 @@ def lexical_index(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(terms, pa.int64())], names=["docs", "terms"])
 
     total = raw.select("ends", "counts").mapInArrow(sums, "docs long, terms long")
-    n_docs, n_terms = (x or 0 for x in total.agg(F.sum("docs"), F.sum("terms")).first())
+    with single_rows(df.sparkSession):
+        n_docs, n_terms = (x or 0 for x in total.agg(F.sum("docs"), F.sum("terms")).first())
 
     def strata(source):
         for batch in source:
@@ -113,7 +117,8 @@ def lexical_index(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_
         f"shard long, docs array<struct<doc_id: {kind}>>, words array<binary>, holders array<long>, "
         + ", ".join(f"{c} binary" for c in POSTINGS),
     )
-    return Index(scratch.stage(index, "index"), n_docs, n_terms)
+    with single_rows(df.sparkSession):
+        return Index(scratch.stage(index, "index", LARGE_ROWS), n_docs, n_terms)
 
 
 def _weighted_queries(index: Index, queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -249,7 +254,8 @@ def ranked_search(
                 terms.setdefault(r["q"], []).append((bytes(r["word"]), r["w"]))
                 items[r["q"]] = r["item_id"]
             held = spark.sparkContext.broadcast((terms, items))
-            lists.append(scratch.stage(_searched(index, held, wanted, k), "tops"))
+            with single_rows(spark):
+                lists.append(scratch.stage(_searched(index, held, wanted, k), "tops"))
         tops = lists[0]
         for more in lists[1:]:
             tops = tops.unionByName(more)

@@ -280,3 +280,42 @@ def test_query_columns(spark, name):
     from plumbline.llm.queries import QUERIES
 
     assert dict(QUERIES[name](spark, "/root/testdata/sf0.001").dtypes) == QUERY_COLUMNS[name]
+
+
+def test_large_rows_are_written_in_small_groups_and_read_one_by_one(spark):
+    """A task's part of the index has as many shards as its documents ask for; it holds few at once."""
+    import glob
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from plumbline.llm.common import LARGE_ROWS, ROWS_PER_BATCH, Scratch, single_rows
+
+    def sizes(source):
+        for batch in source:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    rows = [(i, os.urandom(6 << 20)) for i in range(8)]
+    with Scratch(spark) as scratch:
+        table = scratch.stage(spark.createDataFrame(rows, "i int, data binary").coalesce(1), "large", LARGE_ROWS)
+        (file,) = glob.glob(f"{scratch.paths[0].removeprefix('file:')}/*.parquet")
+        assert pq.ParquetFile(file).num_row_groups >= 2
+        before = spark.conf.get(ROWS_PER_BATCH)
+        with single_rows(spark):
+            assert {r["n"] for r in table.mapInArrow(sizes, "n long").collect()} == {1}
+        assert spark.conf.get(ROWS_PER_BATCH) == before
+
+
+def test_shards_of_the_search_hold_no_more_than_their_cells(spark, monkeypatch):
+    from plumbline.llm import lexical
+    from plumbline.llm.common import Scratch
+
+    texts = [(i, " ".join(f"w{(i * 7 + j * j) % 97}" for j in range(40))) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    asked = spark.createDataFrame([(1, "w1 w5 w9"), (2, "w96 none w3")], "item_id long, text string")
+    want = sorted(map(tuple, lexical.ranked_search(docs, asked).collect()))
+    monkeypatch.setattr(lexical, "CELLS", 400)
+    with Scratch(spark) as scratch:
+        index = lexical.lexical_index(docs, scratch)
+        assert index.shards.count() > 10
+    assert sorted(map(tuple, lexical.ranked_search(docs, asked).collect())) == want and len(want) == 20
